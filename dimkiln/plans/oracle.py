@@ -67,7 +67,7 @@ def dim_columns(spec: DimensionSpec) -> list[str]:
 
 
 def merge_ctes(spec: DimensionSpec, text_cols: set[str], run: str = RUN,
-               close_on_delete: bool = False) -> str:
+               close_on_delete: bool = False, soft_delete: bool = True) -> str:
     """CTEs ``kept`` and ``ins`` (with flag columns u, e, x, r) over ``dim`` and ``stg``."""
     on = " AND ".join(f"d.{k} = o.{k}" for k in spec.keys)
     o_cols = ", ".join(f"o.{c} AS o_{c}" for c in spec.columns)
@@ -75,7 +75,7 @@ def merge_ctes(spec: DimensionSpec, text_cols: set[str], run: str = RUN,
     cur = f"{IS_CURRENT} = 1" if scd2 else "TRUE"
     u = f"hit AND {_changed(spec.type1, text_cols)}"
     e = f"hit AND {cur} AND {_changed(spec.type2, text_cols)}" if scd2 else "FALSE"
-    x = f"NOT hit AND {cur} AND {IS_DELETED} = 0"
+    x = f"NOT hit AND {cur} AND {IS_DELETED} = 0" if soft_delete else "FALSE"
     r = f"hit AND {IS_DELETED} = 1"
     sets = {c: f"CASE WHEN u THEN o_{c} ELSE {c} END" for c in spec.type1}
     sets[UPDATED] = f"CASE WHEN u OR e OR x OR r THEN {run} ELSE {UPDATED} END"
@@ -124,3 +124,99 @@ FROM kept"""
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --- lineitem de-duplication ---------------------------------------------------
+
+LINEITEM_TEXT = {"l_returnflag", "l_linestatus"}
+_LI_KEYS = ", ".join(S.LINEITEM_KEYS)
+_LI_ORDER = ", ".join(f"{c} NULLS FIRST" for c in S.LINEITEM_ORDER)
+
+LINEITEM_RANKED = f"""ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY {_LI_KEYS}) AS dup_count,
+         row_number() OVER (PARTITION BY {_LI_KEYS} ORDER BY {_LI_ORDER}) AS rn
+  FROM lineitem)"""
+
+LINEITEM_DEDUP = "dedup AS (SELECT * EXCLUDE (dup_count, rn) FROM ranked WHERE rn = 1)"
+
+LINEITEM_DUPS = "dups AS (SELECT * EXCLUDE (rn), rn = 1 AS was_kept FROM ranked WHERE dup_count > 1)"
+
+LINEITEM_STG = "stg AS (SELECT * FROM dedup WHERE l_orderkey % 7 <> 0)"
+
+LINEITEM_DIM = f"""dim AS (
+  SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS LineItem_SK, l_orderkey, l_linenumber,
+         l_partkey, l_suppkey,
+         CASE WHEN l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+         l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
+         {tsql(S.T0)} AS {INSERTED}, {NULL_TS} AS {UPDATED},
+         CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END AS {IS_DELETED}, 'NEW' AS {REASON}
+  FROM dedup WHERE l_orderkey % 3 <> 0)"""
+
+
+# --- typed load -------------------------------------------------------------------
+
+_DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "double": "DOUBLE",
+               "float": "FLOAT", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "string": "VARCHAR"}
+
+
+def duck_type(spark_type: str) -> str:
+    return spark_type.upper() if spark_type.startswith("decimal") else _DUCK_TYPES[spark_type]
+
+
+def typed_value_sql(c: str, declared: str) -> str:
+    from dimkiln.functions.types import parse_declared
+    dt = parse_declared(declared)
+    if dt.spark_type == "string":
+        return c
+    inner = f"NULLIF(trim({c}), '')"
+    if dt.is_bit:
+        return f"CAST(TRY_CAST({inner} AS BOOLEAN) AS INTEGER)"
+    return f"TRY_CAST({inner} AS {duck_type(dt.spark_type)})"
+
+
+def typed_reason_sql(spec: DimensionSpec) -> str:
+    from dimkiln.functions.types import parse_declared
+    q = "'"
+    parts = []
+    for c in spec.columns:
+        dt = parse_declared(spec.types.get(c, "VARCHAR(8000)"))
+        blank = f"({c} IS NULL OR trim({c}) = '')"
+        if c in spec.keys:
+            parts.append(f"CASE WHEN {blank} THEN 'NULL_KEY: {c}' END")
+        elif c in spec.required:
+            parts.append(f"CASE WHEN {blank} THEN 'MISSING_REQUIRED: {c}' END")
+        if dt.spark_type == "string":
+            if dt.max_length is not None:
+                parts.append(f"CASE WHEN length({c}) > {dt.max_length} "
+                             f"THEN 'TOO_LONG: {c} > {dt.max_length}' END")
+        else:
+            msg_head = f"{q}TYPE_ERROR: {c}={q*3}"
+            msg_tail = f"{q*3} is not {dt.declared.upper()}{q}"
+            parts.append(f"CASE WHEN NOT {blank} AND {typed_value_sql(c, dt.declared)} IS NULL "
+                         f"THEN {msg_head} || {c} || {msg_tail} END")
+    return "NULLIF(concat_ws('; ', " + ", ".join(parts) + "), '')"
+
+
+PART_RAW = """raw AS (
+  SELECT CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS p_partkey,
+         CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_name END AS p_name,
+         CASE WHEN p_partkey % 23 = 0 THEN p_brand || '-EXTENDED' ELSE p_brand END AS p_brand,
+         p_type,
+         CASE WHEN p_partkey % 17 = 0 THEN CAST(p_size AS VARCHAR) || 'x'
+              ELSE CAST(p_size AS VARCHAR) END AS p_size,
+         CASE WHEN p_partkey % 29 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS VARCHAR) END AS p_retailprice
+  FROM part)"""
+
+
+def part_checked() -> str:
+    return f"chk AS (SELECT *, {typed_reason_sql(S.PART_SPEC)} AS reasons FROM raw)"
+
+
+def part_typed_select() -> str:
+    spec = S.PART_SPEC
+    cols = ", ".join(f"{typed_value_sql(c, spec.types[c])} AS {c}" for c in spec.columns)
+    return f"SELECT {cols} FROM chk WHERE reasons IS NULL"
+
+
+SANITIZE_SQL = (f"SELECT doc_id, trim(regexp_replace(text, '{SANITIZE_PATTERN}', ' ', 'g')) AS text "
+                f"FROM documents")

@@ -95,3 +95,60 @@ LINEITEM_SCD1 = DimensionSpec(
     name="LineItem", keys=LINEITEM_KEYS,
     type1=("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+
+
+def lineitem_order_cols() -> tuple[str, ...]:
+    return LINEITEM_ORDER
+
+
+def lineitem_staging(lineitem_dedup: DataFrame) -> DataFrame:
+    """Composite-key staging: de-duplicated lines except orders divisible by 7."""
+    return lineitem_dedup.filter(F.col("l_orderkey") % 7 != 0)
+
+
+def lineitem_dim(lineitem_dedup: DataFrame) -> DataFrame:
+    """Composite-key dimension: orders divisible by 3 not loaded yet; line 2
+    holds an older quantity; orders divisible by 11 soft-deleted."""
+    k = F.col("l_orderkey")
+    return lineitem_dedup.filter(k % 3 != 0).select(
+        (k * 8 + F.col("l_linenumber")).cast("long").alias("LineItem_SK"),
+        *LINEITEM_KEYS,
+        *[(F.when(F.col("l_linenumber") == 2, F.col(c) + 1).otherwise(F.col(c)) if c == "l_quantity"
+           else F.col(c)).alias(c) for c in LINEITEM_SCD1.type1],
+        ts(T0).alias(INSERTED), null_ts().alias(UPDATED),
+        F.when(k % 11 == 0, F.lit(1)).otherwise(F.lit(0)).alias(IS_DELETED),
+        F.lit("NEW").alias(REASON))
+
+
+# --- part as a text source with damaged values (typed load) -----------------
+
+PART_SPEC = DimensionSpec(
+    name="Part", keys=("p_partkey",),
+    type1=("p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    required=("p_partkey", "p_name"),
+    types={"p_partkey": "BIGINT", "p_name": "VARCHAR(55)", "p_brand": "VARCHAR(10)",
+           "p_type": "VARCHAR(25)", "p_size": "INT", "p_retailprice": "DECIMAL(12,2)"})
+
+
+def part_raw_text(part: DataFrame) -> DataFrame:
+    """Every part as a text row; keys divisible by 17 a bad size, 19 no name,
+    23 a brand too long, 29 a bad price, 31 no key."""
+    k = F.col("p_partkey")
+    txt = lambda c: F.col(c).cast("string")
+    return part.select(
+        F.when(k % 31 == 0, F.lit(None).cast("string")).otherwise(txt("p_partkey")).alias("p_partkey"),
+        F.when(k % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("p_name"),
+        F.when(k % 23 == 0, F.concat(F.col("p_brand"), F.lit("-EXTENDED")))
+         .otherwise(F.col("p_brand")).alias("p_brand"),
+        F.col("p_type"),
+        F.when(k % 17 == 0, F.concat(txt("p_size"), F.lit("x"))).otherwise(txt("p_size")).alias("p_size"),
+        F.when(k % 29 == 0, F.lit("n/a")).otherwise(txt("p_retailprice")).alias("p_retailprice"))
+
+
+def event_flag_text(events: DataFrame) -> DataFrame:
+    """Flag spellings as a spreadsheet holds them, one per event."""
+    et, v = F.col("event_type"), F.col("value")
+    text = (F.when(v < 5, F.lit("0")).when(et == "click", F.lit("1"))
+            .when(et == "view", F.lit(" 1 ")).when(et == "purchase", F.lit("1.0"))
+            .when(et == "signup", F.lit("True")).otherwise(F.lit("")))
+    return events.select("event_id", text.alias("flag_text"))

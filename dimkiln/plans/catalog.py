@@ -281,3 +281,97 @@ def q_scd1_composite(spark, sf):
     d = lineitem_dedup(spark, sf)
     return scd.scd1_merge(S.lineitem_dim(d), S.lineitem_staging(d), S.LINEITEM_SCD1, S.T1,
                           soft_delete=False).rows
+
+
+# --- source metadata (F-01, F-02, A-01, A-02, A-06, C-01, J-05, M-04, P-03, P-05, P-06) ------
+
+from dimkiln.operators import metadata as M  # noqa: E402
+
+
+def _sources(spark, sf):
+    return S.sources_from_supplier(S.read(spark, sf, "supplier"))
+
+
+def mapping_stage(spark, sf):
+    """Today's mapping sheet after P-03 trimming and P-06 known columns."""
+    return M.known_columns(M.trim_mapping(S.mapping_staging(_lineitem(spark, sf))))
+
+
+@query("active_sources", Q.with_(Q.SOURCES) + f"""SELECT Source_Import_SK, Source_Name,
+  {Q.PROC_ORDER} AS Processing_Order, Staging_Table, DW_Table_Name, {Q.MERGE_PROC} AS Merge_Proc_Name
+FROM src WHERE {Q.flag_sql('Is_Active')} AND NOT {Q.flag_sql('Is_Deleted')}
+  AND {Q.PROC_ORDER} >= 1.0""")
+def q_active_sources(spark, sf):
+    a = M.active_sources(_sources(spark, sf))
+    return a.select("Source_Import_SK", "Source_Name", "Processing_Order", "Staging_Table",
+                    "DW_Table_Name", M.merge_proc_name().alias("Merge_Proc_Name"))
+
+
+@query("config_sources", Q.with_(Q.SOURCES, Q.CONFIG_SOURCES) + "SELECT Source_Name FROM cand")
+def q_config_sources(spark, sf):
+    return M.config_sources(_sources(spark, sf))
+
+
+@query("changed_sources", Q.with_(Q.SOURCES, Q.CONFIG_SOURCES, Q.MAPPING_STG, Q.LAST_CHECKED,
+                                  "chg AS (SELECT Source_Name, max(Inserted_Datetime) AS "
+                                  "Max_Mapping_Change FROM stg GROUP BY 1)")
+       + f"""SELECT c.Source_Name, {Q.flag_sql('s.Force_DDL_Generation')} AS Force,
+  k.Last_Checked, g.Max_Mapping_Change,
+  {Q.flag_sql('s.Force_DDL_Generation')} OR k.Last_Checked IS NULL
+    OR COALESCE(g.Max_Mapping_Change > k.Last_Checked, FALSE) AS Needs_Generation
+FROM cand c LEFT JOIN src s ON c.Source_Name = s.Source_Name
+  LEFT JOIN chg g ON c.Source_Name = g.Source_Name
+  LEFT JOIN chk k ON c.Source_Name = k.Source_Name""")
+def q_changed_sources(spark, sf):
+    """C-01 with A-01 for all sources at once."""
+    src = _sources(spark, sf)
+    return M.changed_sources(M.config_sources(src), src,
+                             M.last_mapping_change(mapping_stage(spark, sf)),
+                             S.last_checked(_lineitem(spark, sf)))
+
+
+@query("known_columns", Q.with_(Q.MAPPING_STG) + "SELECT * FROM stg")
+def q_known_columns(spark, sf):
+    return mapping_stage(spark, sf)
+
+
+def metadata_result(spark, sf) -> scd.MergeResult:
+    stg = mapping_stage(spark, sf)
+    return scd.scd2_merge(S.mapping_dim(_lineitem(spark, sf)), stg, S.MAPPING_SPEC, S.T1,
+                          close_on_delete=True)
+
+
+_MAPPING_TEXT = set(S.MAPPING_SPEC.columns)
+_META_CTES = Q.with_(Q.MAPPING_STG, Q.MAPPING_DIM,
+                     Q.merge_ctes(S.MAPPING_SPEC, _MAPPING_TEXT, close_on_delete=True))
+
+
+@query("metadata_merge", _META_CTES + Q.merged_select(S.MAPPING_SPEC))
+def q_metadata_merge(spark, sf):
+    """M-04: mapping dimension merge; a soft delete also closes the version."""
+    return metadata_result(spark, sf).rows
+
+
+@query("mapping_last_change", _META_CTES + "SELECT Source_Name, max(COALESCE(Updated_Datetime, "
+       "Inserted_Datetime)) AS Max_Mapping_Change FROM (" + Q.merged_select(S.MAPPING_SPEC)
+       + ") m WHERE Is_Deleted = 0 GROUP BY 1")
+def q_mapping_last_change(spark, sf):
+    """A-02 + P-13 over the merged mapping dimension."""
+    return M.last_mapping_change(metadata_result(spark, sf).rows, use_updated=True)
+
+
+@query("mapping_source_keys", Q.with_(Q.SOURCES, Q.MAPPING_STG) + """SELECT m.Source_Name,
+  m.Target_Column, COALESCE(s.Source_Import_SK, 0) AS Source_Import_SK
+FROM stg m LEFT JOIN src s ON m.Source_Name = s.Source_Name""")
+def q_mapping_source_keys(spark, sf):
+    """J-05: mapping rows with their source key (0 when the source is unknown)."""
+    m = M.with_source_keys(mapping_stage(spark, sf), _sources(spark, sf))
+    return m.select("Source_Name", "Target_Column", "Source_Import_SK")
+
+
+@query("map_columns", "SELECT " + ", ".join(f"{s} AS {t}" for s, t in
+                                            S.CUSTOMER_SOURCE.source_columns.items())
+       + " FROM customer")
+def q_map_columns(spark, sf):
+    """P-05: source columns renamed to targets by name, in mapping order."""
+    return M.map_columns(S.read(spark, sf, "customer"), S.CUSTOMER_SOURCE)

@@ -220,3 +220,106 @@ def part_typed_select() -> str:
 
 SANITIZE_SQL = (f"SELECT doc_id, trim(regexp_replace(text, '{SANITIZE_PATTERN}', ' ', 'g')) AS text "
                 f"FROM documents")
+
+
+# --- source metadata -------------------------------------------------------------
+
+def flag_sql(c: str) -> str:
+    return f"COALESCE(TRY_CAST(trim(CAST({c} AS VARCHAR)) AS DOUBLE) = 1, FALSE)"
+
+
+def _sources_cte() -> str:
+    sys_rows = "\n  ".join(
+        f"UNION ALL SELECT {sk}, '{n}', 'config/{n}', '*.xlsx', '{n}', '[ETL].[{n}]', '{order}', "
+        f"'{active}', '0', '[ETL].[Dim_{n}]', NULL, '0'"
+        for sk, n, order, active in S.SYSTEM_ROWS)
+    return f"""src AS (
+  SELECT CAST(s_suppkey + 1 AS BIGINT) AS Source_Import_SK, s_name AS Source_Name,
+         'raw/' || s_name AS Rel_Path, '*.parquet' AS Pattern, CAST(NULL AS VARCHAR) AS Sheet_Name,
+         '[ODS].[' || s_name || ']' AS Staging_Table,
+         CAST(s_nationkey AS VARCHAR) || '.5' AS Processing_Order,
+         CASE WHEN s_acctbal >= 0 THEN '1' ELSE '0' END AS Is_Active,
+         CASE WHEN s_nationkey = 7 THEN '1' ELSE '0' END AS Is_Deleted,
+         '[DW].[Dim_' || s_name || ']' AS DW_Table_Name,
+         CASE WHEN s_nationkey = 5 THEN NULL ELSE '[ETL].[SP_Merge_Dim_' || s_name || ']' END
+           AS Merge_Proc_Name,
+         CASE WHEN s_nationkey = 3 THEN '1' ELSE '0' END AS Force_DDL_Generation
+  FROM supplier
+  {sys_rows})"""
+
+
+SOURCES = _sources_cte()
+PROC_ORDER = "TRY_CAST(trim(Processing_Order) AS DECIMAL(9,3))"
+MERGE_PROC = ("CASE WHEN trim(COALESCE(Merge_Proc_Name, '')) = '' THEN 'ETL.SP_Merge_Dim_' || "
+              "Source_Name ELSE Merge_Proc_Name END")
+CONFIG_SOURCES = ("cand AS (SELECT DISTINCT Source_Name FROM src WHERE " + flag_sql("Is_Active")
+                  + " AND Source_Name NOT IN ('Source_Imports', 'Source_File_Mapping'))")
+
+
+def mapping_snapshot_cte(name: str, lo: str | None, hi: str | None) -> str:
+    conds = []
+    if lo:
+        conds.append(f"l_shipdate >= {tsql(lo)}")
+    if hi:
+        conds.append(f"l_shipdate < {tsql(hi)}")
+    where = ("WHERE " + " AND ".join(conds)) if conds else ""
+    return f"""{name} AS (
+  SELECT 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS Source_Name,
+         'Line ' || CAST(l_linenumber AS VARCHAR) AS Source_Column,
+         'Line_' || CAST(l_linenumber AS VARCHAR) AS Target_Column,
+         CASE WHEN max(l_quantity) >= 49 THEN 'DECIMAL(12,2)' ELSE 'INT' END AS Data_Type,
+         CASE WHEN count(*) = 1 THEN NULL ELSE 'lines ' || CAST(count(*) AS VARCHAR) END AS Description,
+         CASE WHEN l_linenumber = 1 THEN '1' ELSE '0' END AS Is_PK,
+         CASE WHEN l_linenumber = 7 THEN '1' ELSE '0' END AS Is_Type2_Attribute,
+         CASE WHEN l_linenumber <= 2 THEN '1' ELSE '0' END AS Is_Required,
+         max(l_shipdate) AS Inserted_Datetime,
+         l_suppkey AS _suppkey, l_linenumber AS _line, min(l_discount) AS _min_discount
+  FROM lineitem {where}
+  GROUP BY l_suppkey, l_linenumber)"""
+
+
+def _p03(c: str) -> str:
+    from dimkiln.functions.text import WS_RUN_PATTERN
+    return f"COALESCE(trim(regexp_replace({c}, '{WS_RUN_PATTERN}', ' ', 'g')), '')"
+
+
+MAPPING_KNOWN = ("Source_Name", "Source_Column", "Target_Column", "Data_Type", "Description",
+                 "Is_Type2_Attribute", "Is_PK", "Is_Required")
+
+MAPPING_STG = (mapping_snapshot_cte("m_new", S.MAPPING_NEW_FROM, None) + ",\nstg AS (SELECT "
+               + ", ".join(f"{_p03(c)} AS {c}" for c in MAPPING_KNOWN)
+               + ", Inserted_Datetime FROM m_new)")
+
+MAPPING_DIM = (mapping_snapshot_cte("m_old", None, S.MAPPING_OLD_BEFORE) + f""",
+dim AS (
+  SELECT CAST(_suppkey * 8 + _line AS BIGINT) AS File_Mapping_SK, """
+               + ", ".join(f"COALESCE({c}, '') AS {c}" for c in S.MAPPING_SPEC.columns) + f""",
+         {tsql(S.T0)} AS {INSERTED}, {NULL_TS} AS {UPDATED},
+         CASE WHEN _min_discount = 0 THEN 1 ELSE 0 END AS {IS_DELETED}, 'NEW' AS {REASON},
+         1 AS {IS_CURRENT}, {tsql(S.T0)} AS {EFFECTIVE}, {NULL_TS} AS {EXPIRY}
+  FROM m_old)""")
+
+LAST_CHECKED = """chk AS (
+  SELECT 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS Source_Name,
+         max(l_shipdate) AS Last_Checked
+  FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"""
+
+
+# --- facts ---------------------------------------------------------------------------
+
+def dec_sum(c: str) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+
+
+FACT_SUMS = (f"{dec_sum('l_quantity')} AS Sum_Quantity, "
+             f"{dec_sum('l_extendedprice')} AS Sum_Extended_Price, count(*) AS Row_Count")
+
+LINE_RULES = {
+    "quantity_not_positive": "l_quantity > 0",
+    "price_not_positive": "l_extendedprice > 0",
+    "discount_out_of_range": f"l_discount >= 0 AND l_discount <= {S.MAX_DISCOUNT}",
+    "tax_out_of_range": f"l_tax >= 0 AND l_tax <= {S.MAX_TAX}",
+}
+LINE_REASON = ("NULLIF(concat_ws(', ', " + ", ".join(
+    f"CASE WHEN NOT COALESCE({rule}, FALSE) THEN '{name}' END" for name, rule in LINE_RULES.items())
+    + "), '')")

@@ -152,3 +152,145 @@ def event_flag_text(events: DataFrame) -> DataFrame:
             .when(et == "view", F.lit(" 1 ")).when(et == "purchase", F.lit("1.0"))
             .when(et == "signup", F.lit("True")).otherwise(F.lit("")))
     return events.select("event_id", text.alias("flag_text"))
+
+
+# --- source metadata derived from supplier and lineitem ------------------------
+
+SYSTEM_ROWS = (
+    # Source_Import_SK, Source_Name, Processing_Order, Is_Active
+    (-1, "Source_Imports", "1.0", "1"),
+    (-2, "Source_File_Mapping", "1.0", "1"),
+)
+
+
+def sources_from_supplier(supplier: DataFrame) -> DataFrame:
+    """``Source_Imports`` rows: one business source per supplier plus the two
+    metadata sources. Nation 0 sorts below the 1.0 threshold, negative
+    balances are inactive, nation 7 deleted, nation 3 forced, nation 5 has no
+    merge procedure name."""
+    spark = supplier.sparkSession
+    nk, name = F.col("s_nationkey"), F.col("s_name")
+    biz = supplier.select(
+        (F.col("s_suppkey") + 1).cast("long").alias("Source_Import_SK"),
+        name.alias("Source_Name"),
+        F.concat(F.lit("raw/"), name).alias("Rel_Path"),
+        F.lit("*.parquet").alias("Pattern"),
+        F.lit(None).cast("string").alias("Sheet_Name"),
+        F.concat(F.lit("[ODS].["), name, F.lit("]")).alias("Staging_Table"),
+        F.concat(nk.cast("string"), F.lit(".5")).alias("Processing_Order"),
+        F.when(F.col("s_acctbal") >= 0, F.lit("1")).otherwise(F.lit("0")).alias("Is_Active"),
+        F.when(nk == 7, F.lit("1")).otherwise(F.lit("0")).alias("Is_Deleted"),
+        F.concat(F.lit("[DW].[Dim_"), name, F.lit("]")).alias("DW_Table_Name"),
+        F.when(nk == 5, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("[ETL].[SP_Merge_Dim_"), name, F.lit("]"))).alias("Merge_Proc_Name"),
+        F.when(nk == 3, F.lit("1")).otherwise(F.lit("0")).alias("Force_DDL_Generation"))
+    sys_rows = [(sk, n, f"config/{n}", "*.xlsx", n, f"[ETL].[{n}]", order, active, "0",
+                 f"[ETL].[Dim_{n}]", None, "0") for sk, n, order, active in SYSTEM_ROWS]
+    return biz.unionByName(spark.createDataFrame(sys_rows, biz.schema))
+
+
+MAPPING_SPEC = DimensionSpec(
+    name="Source_Imports_Mapping", keys=("Source_Name", "Target_Column"),
+    type1=("Source_Column", "Description", "Is_PK", "Is_Type2_Attribute", "Is_Required"),
+    type2=("Data_Type",), sk_col="File_Mapping_SK")
+
+# Shipping-date windows of yesterday's and today's mapping sheet.
+MAPPING_OLD_BEFORE = "1999-01-01 00:00:00"
+MAPPING_NEW_FROM = "1997-01-01 00:00:00"
+MAPPING_CHECK_FLAG = "R"
+
+
+def mapping_snapshot(lineitem: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+    """A mapping sheet: one row per (supplier source, line number) seen in
+    the shipping window; the row's facts decide its attributes."""
+    li = lineitem
+    if lo is not None:
+        li = li.filter(F.col("l_shipdate") >= ts(lo))
+    if hi is not None:
+        li = li.filter(F.col("l_shipdate") < ts(hi))
+    g = li.groupBy("l_suppkey", "l_linenumber").agg(
+        F.max("l_quantity").alias("_mq"), F.count(F.lit(1)).alias("_n"),
+        F.max("l_shipdate").alias("_last"), F.min("l_discount").alias("_mind"))
+    line = F.col("l_linenumber").cast("string")
+    return g.select(
+        F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("Source_Name"),
+        F.concat(F.lit("Line "), line).alias("Source_Column"),
+        F.concat(F.lit("Line_"), line).alias("Target_Column"),
+        F.when(F.col("_mq") >= 49, F.lit("DECIMAL(12,2)")).otherwise(F.lit("INT")).alias("Data_Type"),
+        F.when(F.col("_n") == 1, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("lines "), F.col("_n").cast("string"))).alias("Description"),
+        F.when(F.col("l_linenumber") == 1, F.lit("1")).otherwise(F.lit("0")).alias("Is_PK"),
+        F.when(F.col("l_linenumber") == 7, F.lit("1")).otherwise(F.lit("0")).alias("Is_Type2_Attribute"),
+        F.when(F.col("l_linenumber") <= 2, F.lit("1")).otherwise(F.lit("0")).alias("Is_Required"),
+        F.col("_last").alias("Inserted_Datetime"),
+        F.concat(F.lit("min discount "), F.col("_mind").cast("string")).alias("Extra_Column"),
+        F.col("l_suppkey").alias("_suppkey"), F.col("l_linenumber").alias("_line"),
+        F.col("_mind").alias("_min_discount"))
+
+
+def mapping_staging(lineitem: DataFrame) -> DataFrame:
+    return mapping_snapshot(lineitem, MAPPING_NEW_FROM, None)
+
+
+def mapping_dim(lineitem: DataFrame) -> DataFrame:
+    """Yesterday's mapping dimension; rows whose lines had a zero discount
+    were soft-deleted."""
+    snap = mapping_snapshot(lineitem, None, MAPPING_OLD_BEFORE)
+    return snap.select(
+        (F.col("_suppkey") * 8 + F.col("_line")).cast("long").alias("File_Mapping_SK"),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in MAPPING_SPEC.columns],
+        ts(T0).alias(INSERTED), null_ts().alias(UPDATED),
+        F.when(F.col("_min_discount") == 0, F.lit(1)).otherwise(F.lit(0)).alias(IS_DELETED),
+        F.lit("NEW").alias(REASON), F.lit(1).alias(IS_CURRENT), ts(T0).alias(EFFECTIVE),
+        null_ts().alias(EXPIRY))
+
+
+def last_checked(lineitem: DataFrame) -> DataFrame:
+    """Per source the last structure check: the latest returned line."""
+    return (lineitem.filter(F.col("l_returnflag") == MAPPING_CHECK_FLAG)
+            .groupBy(F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
+                     .alias("Source_Name"))
+            .agg(F.max("l_shipdate").alias("Last_Checked")))
+
+
+# --- customer source mapping (P-05) --------------------------------------------
+
+CUSTOMER_SOURCE = DimensionSpec(
+    name="Customer", keys=("Customer_Code",),
+    type1=("Customer_Name", "Nation_Key", "Account_Balance"), type2=("Market_Segment",),
+    required=("Customer_Code", "Customer_Name"),
+    types={"Customer_Code": "BIGINT", "Customer_Name": "VARCHAR(25)", "Nation_Key": "INT",
+           "Account_Balance": "DECIMAL(12,2)", "Market_Segment": "VARCHAR(10)"},
+    source_columns={"c_custkey": "Customer_Code", "c_name": "Customer_Name",
+                    "c_nationkey": "Nation_Key", "c_acctbal": "Account_Balance",
+                    "c_mktsegment": "Market_Segment"})
+
+# The flagship pipeline keeps the table's own names and types.
+CUSTOMER_PIPELINE = DimensionSpec(
+    name="Customer", keys=("c_custkey",),
+    type1=("c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    required=("c_custkey", "c_name"),
+    types={"c_custkey": "BIGINT", "c_name": "VARCHAR(25)", "c_nationkey": "INT",
+           "c_acctbal": "FLOAT", "c_mktsegment": "VARCHAR(10)"})
+
+
+# --- facts -------------------------------------------------------------------------
+
+FACT_GRAIN = ("l_returnflag", "l_linestatus", "ship_month")
+FACT_MEASURES = {"Sum_Quantity": "l_quantity", "Sum_Extended_Price": "l_extendedprice"}
+FACT_HWM = "2001-06-30 00:00:00"
+FACT_OLD_BEFORE = "2000-01-01 00:00:00"
+# Measure rules of the line fact (discount policy maximum 8%).
+MAX_DISCOUNT = 0.08
+MAX_TAX = 0.08
+
+
+def with_ship_month(lineitem: DataFrame) -> DataFrame:
+    return lineitem.withColumn("ship_month", F.date_trunc("month", F.col("l_shipdate")))
+
+
+def line_rules() -> dict[str, Column]:
+    q, p, d, t = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    return {"quantity_not_positive": q > 0, "price_not_positive": p > 0,
+            "discount_out_of_range": (d >= 0) & (d <= MAX_DISCOUNT),
+            "tax_out_of_range": (t >= 0) & (t <= MAX_TAX)}

@@ -375,3 +375,221 @@ def q_mapping_source_keys(spark, sf):
 def q_map_columns(spark, sf):
     """P-05: source columns renamed to targets by name, in mapping order."""
     return M.map_columns(S.read(spark, sf, "customer"), S.CUSTOMER_SOURCE)
+
+
+# --- audit log, checkpoints, retention (K-07, P-16, O-01, C-03, X-07) -----------------
+
+from dimkiln.operators import audit as AU  # noqa: E402
+
+
+def audit_events(spark, sf):
+    """``events`` as an append-only audit log: one row per status change of a run."""
+    e = S.read(spark, sf, "events")
+    return e.select(F.col("user_id").alias("Audit_Source_Import_SK"),
+                    F.col("ts").alias("Event_Time"), F.col("event_type").alias("Process_Status"),
+                    "event_id")
+
+
+_AUDIT_SQL = """WITH e AS (
+  SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events),
+agg AS (SELECT user_id, min(ts) AS Start_Time, max(ts) AS End_Time, count(*) AS Event_Count
+        FROM events GROUP BY user_id),
+audit AS (
+  SELECT a.user_id AS Audit_Source_Import_SK, e.event_type AS Process_Status, a.Start_Time,
+         a.End_Time, a.Event_Count, date_sub('second', a.Start_Time, a.End_Time) AS Duration_Seconds
+  FROM agg a JOIN e ON a.user_id = e.user_id AND e.rn = 1)
+"""
+
+
+@query("audit_latest", _AUDIT_SQL + "SELECT * FROM audit")
+def q_audit_latest(spark, sf):
+    return AU.audit_latest(audit_events(spark, sf), tie_col="event_id")
+
+
+@query("audit_top20", _AUDIT_SQL + "SELECT * FROM audit ORDER BY Start_Time DESC, "
+       "Audit_Source_Import_SK DESC LIMIT 20")
+def q_audit_top20(spark, sf):
+    """O-01: the monitoring query; the limit is the feature (top-k)."""
+    return AU.audit_top(AU.audit_latest(audit_events(spark, sf), tie_col="event_id"), 20)
+
+
+@query("checkpoint_latest", """SELECT user_id AS Source_Import_SK,
+  max(ts) FILTER (WHERE event_type = 'purchase') AS Last_Successful_Load_Datetime,
+  max(ts) FILTER (WHERE event_type = 'view') AS Last_Checked
+FROM events GROUP BY user_id""")
+def q_checkpoint_latest(spark, sf):
+    """C-03: latest load and check per source from an append-only state table."""
+    e = S.read(spark, sf, "events").withColumnRenamed("user_id", "Source_Import_SK")
+    return AU.checkpoint_latest(e, "Source_Import_SK", "ts", "event_type",
+                                {"purchase": "Last_Successful_Load_Datetime", "view": "Last_Checked"})
+
+
+@query("retention_purge", f"SELECT * FROM events WHERE ts >= {Q.RUN} - INTERVAL 7 DAY")
+def q_retention_purge(spark, sf):
+    """X-07: log rows kept under the default 7-day retention at the run time."""
+    return AU.retention_purge(S.read(spark, sf, "events"), "ts", S.T1, 7)
+
+
+# --- bulk-load logs (F-06, P-11) -----------------------------------------------------------
+
+from dimkiln.sources import bulk_log as BL  # noqa: E402
+
+_EDGE = TX.EDGE_WS_PATTERN
+
+
+@query("bulk_log_rejects", f"""WITH d AS (
+  SELECT doc_id, string_split(regexp_replace(text, '{_EDGE}', '', 'g'), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS Line_Number, unnest(lines) AS Line FROM d)
+SELECT doc_id, Line_Number,
+  'BCP_REJECTED: ' || substring(regexp_replace(Line, '{_EDGE}', '', 'g'), 1, 200) AS Rejected_Reason
+FROM l
+WHERE regexp_replace(Line, '{_EDGE}', '', 'g') <> ''
+  AND NOT starts_with(Line, '@') AND NOT starts_with(Line, 'SQLState')""")
+def q_bulk_log_rejects(spark, sf):
+    """F-06 over whole document texts read as error logs."""
+    return BL.log_rejects(S.read(spark, sf, "documents"), "text", ["doc_id"])
+
+
+# --- rebuild and schema evolution (M-06, M-07, M-11, O-03) --------------------------------
+
+from dimkiln.operators import evolve as EV  # noqa: E402
+from dimkiln.spec import DimensionSpec  # noqa: E402
+
+REBUILD_SPEC = DimensionSpec(
+    name="Customer", keys=("c_custkey",),
+    type1=("c_name", "c_nationkey", "c_acctbal", "c_phone"), type2=("c_mktsegment",),
+    types={"c_custkey": "BIGINT", "c_name": "VARCHAR(25)", "c_nationkey": "BIGINT",
+           "c_acctbal": "FLOAT", "c_phone": "VARCHAR(15)", "c_mktsegment": "VARCHAR(10)"})
+EVOLVE_COLUMNS = {"c_phone": "string", "c_priority": "int"}
+
+
+@query("rebuild_dim", _DIM1_ONLY + f"""SELECT Customer_SK, c_custkey, c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_phone,
+  c_mktsegment, Inserted_Datetime, Updated_Datetime, Is_Deleted, Row_Change_Reason,
+  1 AS Row_Is_Current, {Q.RUN} AS Row_Effective_Datetime, {Q.NULL_TS} AS Row_Expiry_Datetime
+FROM dim""")
+def q_rebuild_dim(spark, sf):
+    """M-06/M-11: Type 1 customer dimension rebuilt as Type 2 with a new column, SKs kept."""
+    return EV.rebuild_dimension(S.customer_dim_scd1(S.read(spark, sf, "customer")), REBUILD_SPEC, S.T1)
+
+
+@query("evolve_schema", _DIM1_ONLY + "SELECT *, CAST(NULL AS VARCHAR) AS c_phone, "
+       "CAST(NULL AS INTEGER) AS c_priority FROM dim")
+def q_evolve_schema(spark, sf):
+    return EV.evolve_schema(S.customer_dim_scd1(S.read(spark, sf, "customer")), EVOLVE_COLUMNS)
+
+
+@query("union_distinct", _DIM1_ONLY + "SELECT DISTINCT * FROM (SELECT * FROM stg UNION ALL "
+       "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM dim) u")
+def q_union_distinct(spark, sf):
+    """O-03: two extracts of one source stacked, whole-row distinct."""
+    stg, c = _customer(spark, sf)
+    return EV.union_distinct([stg, S.customer_dim_scd1(c).select(*S.CUSTOMER_SCD1.columns)])
+
+
+# --- facts (X-01..X-06) ---------------------------------------------------------------------
+
+from dimkiln.operators import facts as FX  # noqa: E402
+
+_ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+
+
+def order_lookup(spark, sf):
+    o = S.read(spark, sf, "orders").select(*_ORDER_COLS)
+    dim = S.customer_dim_scd2(S.read(spark, sf, "customer"))
+    keys = FX.current_keys(dim, ["c_custkey"], "Customer_SK", scd2=True)
+    looked = FX.lookup_keys(o, keys, ["o_custkey"], ["c_custkey"], "Customer_SK")
+    return FX.split_missing(looked, "Customer_SK", ["o_custkey"], "Customer")
+
+
+_FACT_KEYS = Q.with_(Q.CUSTOMER_DIM2,
+                     "k AS (SELECT c_custkey, Customer_SK FROM dim WHERE Row_Is_Current = 1)")
+
+
+@query("fact_lookup", _FACT_KEYS + "SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, "
+       "o.o_totalprice, k.Customer_SK FROM orders o JOIN k ON o.o_custkey = k.c_custkey")
+def q_fact_lookup(spark, sf):
+    """X-01: order facts with the current customer SK."""
+    return order_lookup(spark, sf)[0]
+
+
+@query("fact_missing_fk", _FACT_KEYS + "SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, "
+       "o.o_totalprice, 'MISSING_FK: Customer o_custkey=' || CAST(o.o_custkey AS VARCHAR) "
+       "AS Rejected_Reason FROM orders o WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.c_custkey = o.o_custkey)")
+def q_fact_missing_fk(spark, sf):
+    """X-01: order facts whose customer has no current dimension row, with the reason."""
+    return order_lookup(spark, sf)[1]
+
+
+_FACT_GROUP = "l_returnflag, l_linestatus, date_trunc('month', l_shipdate)"
+
+
+@query("fact_aggregate", f"SELECT l_returnflag, l_linestatus, date_trunc('month', l_shipdate) "
+       f"AS ship_month, {Q.FACT_SUMS} FROM lineitem GROUP BY {_FACT_GROUP}")
+def q_fact_aggregate(spark, sf):
+    """X-02: line fact summed at (return flag, status, ship month)."""
+    li = S.with_ship_month(_lineitem(spark, sf))
+    return FX.aggregate(li, S.FACT_GRAIN, S.FACT_MEASURES)
+
+
+@query("fact_incremental", f"SELECT * FROM lineitem WHERE l_shipdate > {Q.tsql(S.FACT_HWM)}")
+def q_fact_incremental(spark, sf):
+    """X-03: lines above the stored high-water mark (filter pushed to the scan)."""
+    return FX.incremental(_lineitem(spark, sf), "l_shipdate", S.FACT_HWM)
+
+
+_FACT_MERGE_SQL = f"""WITH ex AS (
+  SELECT l_returnflag, l_linestatus, date_trunc('month', l_shipdate) AS ship_month, {Q.FACT_SUMS},
+         {Q.tsql(S.T0)} AS Inserted_Datetime, {Q.NULL_TS} AS Updated_Datetime
+  FROM lineitem WHERE l_shipdate < {Q.tsql(S.FACT_OLD_BEFORE)} AND l_discount > 0
+  GROUP BY {_FACT_GROUP}),
+nw AS (SELECT l_returnflag, l_linestatus, date_trunc('month', l_shipdate) AS ship_month, {Q.FACT_SUMS}
+       FROM lineitem GROUP BY {_FACT_GROUP}),
+j AS (
+  SELECT e.*, n.Sum_Quantity AS n_q, n.Sum_Extended_Price AS n_p, n.Row_Count AS n_c,
+         n.l_returnflag IS NOT NULL AS hit
+  FROM ex e LEFT JOIN nw n ON e.l_returnflag IS NOT DISTINCT FROM n.l_returnflag
+    AND e.l_linestatus IS NOT DISTINCT FROM n.l_linestatus AND e.ship_month IS NOT DISTINCT FROM n.ship_month),
+k AS (SELECT *, hit AND (Sum_Quantity IS DISTINCT FROM n_q OR Sum_Extended_Price IS DISTINCT FROM n_p
+                         OR Row_Count IS DISTINCT FROM n_c) AS upd FROM j)
+SELECT l_returnflag, l_linestatus, ship_month,
+  CASE WHEN upd THEN n_q ELSE Sum_Quantity END AS Sum_Quantity,
+  CASE WHEN upd THEN n_p ELSE Sum_Extended_Price END AS Sum_Extended_Price,
+  CASE WHEN upd THEN n_c ELSE Row_Count END AS Row_Count,
+  Inserted_Datetime, CASE WHEN upd THEN {Q.RUN} ELSE Updated_Datetime END AS Updated_Datetime,
+  CASE WHEN upd THEN 'update' ELSE 'keep' END AS Action
+FROM k
+UNION ALL
+SELECT n.l_returnflag, n.l_linestatus, n.ship_month, n.Sum_Quantity, n.Sum_Extended_Price, n.Row_Count,
+  {Q.RUN}, {Q.NULL_TS}, 'insert'
+FROM nw n WHERE NOT EXISTS (SELECT 1 FROM ex e WHERE e.l_returnflag IS NOT DISTINCT FROM n.l_returnflag
+  AND e.l_linestatus IS NOT DISTINCT FROM n.l_linestatus AND e.ship_month IS NOT DISTINCT FROM n.ship_month)"""
+
+
+@query("fact_merge", _FACT_MERGE_SQL)
+def q_fact_merge(spark, sf):
+    """X-05: monthly line fact merged by grain: late lines update, new months insert."""
+    li = S.with_ship_month(_lineitem(spark, sf))
+    old = li.filter((F.col("l_shipdate") < S.ts(S.FACT_OLD_BEFORE)) & (F.col("l_discount") > 0))
+    existing = FX.aggregate(old, S.FACT_GRAIN, S.FACT_MEASURES).withColumns(
+        {"Inserted_Datetime": S.ts(S.T0), "Updated_Datetime": S.null_ts()})
+    incoming = FX.aggregate(li, S.FACT_GRAIN, S.FACT_MEASURES)
+    return FX.fact_merge(existing, incoming, list(S.FACT_GRAIN),
+                         [*S.FACT_MEASURES, "Row_Count"], S.T1)
+
+
+@query("fact_invalid_measure", f"""SELECT * FROM (
+  SELECT *, CASE WHEN {Q.LINE_REASON} IS NULL THEN NULL ELSE 'INVALID_MEASURE: ' || {Q.LINE_REASON} END
+    AS Rejected_Reason FROM lineitem) r WHERE Rejected_Reason IS NOT NULL""")
+def q_fact_invalid_measure(spark, sf):
+    """X-06: lines breaking a measure rule, with every failed rule named."""
+    return FX.split_invalid(_lineitem(spark, sf), S.line_rules())[1]
+
+
+@query("fact_measure_totals", f"""SELECT {Q.FACT_SUMS} FROM lineitem
+WHERE {Q.LINE_REASON} IS NULL""")
+def q_fact_measure_totals(spark, sf):
+    """X-06 audit: measure totals of the valid lines."""
+    valid = FX.split_invalid(_lineitem(spark, sf), S.line_rules())[0]
+    return FX.measure_totals(valid, S.FACT_MEASURES)

@@ -593,3 +593,31 @@ def q_fact_measure_totals(spark, sf):
     """X-06 audit: measure totals of the valid lines."""
     valid = FX.split_invalid(_lineitem(spark, sf), S.line_rules())[0]
     return FX.measure_totals(valid, S.FACT_MEASURES)
+
+
+# --- flagship: load one source, then merge it (R-02 + M-01) ------------------------------
+
+from dimkiln.plans import pipeline as PL  # noqa: E402
+
+
+def customer_pipeline(spark, sf) -> tuple[PL.SourceLoad, scd.MergeResult]:
+    text = SRC.scan_source(spark, sf, "customer.parquet", as_text=True, lineage=True)
+    load = PL.load_source(text, S.CUSTOMER_PIPELINE, "Customer", 1, S.T1)
+    staged = load.staging.select(*S.CUSTOMER_PIPELINE.columns)
+    dim = S.customer_dim_scd1(S.read(spark, sf, "customer"))
+    return load, scd.scd1_merge(dim, staged, S.CUSTOMER_PIPELINE, S.T1)
+
+
+@query("pipeline_customer", Q.with_(
+    "stg AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer)",
+    Q.CUSTOMER_DIM1, Q.merge_ctes(S.CUSTOMER_SCD1, Q.CUSTOMER_TEXT)) + Q.merged_select(S.CUSTOMER_SCD1))
+def q_pipeline_customer(spark, sf):
+    """Flagship: scan customer as text with lineage, sanitize, de-duplicate, type, merge (SCD1)."""
+    return customer_pipeline(spark, sf)[1].rows
+
+
+@query("pipeline_rejects", "SELECT count(*) AS Rejected_Count FROM (SELECT c_custkey FROM customer "
+       "GROUP BY c_custkey HAVING count(*) > 1) d")
+def q_pipeline_rejects(spark, sf):
+    """Reject count of the flagship load (duplicates and type failures)."""
+    return customer_pipeline(spark, sf)[0].rejects.agg(F.count(F.lit(1)).alias("Rejected_Count"))

@@ -621,3 +621,17 @@ def q_pipeline_customer(spark, sf):
 def q_pipeline_rejects(spark, sf):
     """Reject count of the flagship load (duplicates and type failures)."""
     return customer_pipeline(spark, sf)[0].rejects.agg(F.count(F.lit(1)).alias("Rejected_Count"))
+
+
+@query("fact_incremental_stream", f"SELECT * FROM lineitem WHERE l_shipdate > {Q.tsql(S.FACT_HWM)}")
+def q_fact_incremental_stream(spark, sf):
+    """X-03 as a file stream (availableNow + foreachBatch) into a table, read back."""
+    import uuid
+    from dimkiln.session import checkpoint_dir
+    from dimkiln.streaming.incremental import incremental_stream, read_loaded
+    path = f"{sf}/lineitem.parquet"
+    schema = spark.read.parquet(path).schema
+    target = f"{checkpoint_dir(spark).rstrip('/')}/loads/{uuid.uuid4().hex}"
+    incremental_stream(spark, sf, schema, "l_shipdate", S.FACT_HWM, target,
+                       pattern="lineitem.parquet")
+    return read_loaded(spark, target)

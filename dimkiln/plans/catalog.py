@@ -635,3 +635,23 @@ def q_fact_incremental_stream(spark, sf):
     incremental_stream(spark, sf, schema, "l_shipdate", S.FACT_HWM, target,
                        pattern="lineitem.parquet")
     return read_loaded(spark, target)
+
+
+# --- orders Type 2 merge (the larger SCD2 bench case) ------------------------------------
+
+_ORDERS_CTES = Q.with_(Q.ORDERS_STG, Q.ORDERS_DIM2, Q.merge_ctes(S.ORDERS_SCD2, Q.ORDERS_TEXT))
+
+
+def orders_result(spark, sf) -> scd.MergeResult:
+    o = S.read(spark, sf, "orders")
+    return scd.scd2_merge(S.orders_dim_scd2(o), S.orders_staging(o), S.ORDERS_SCD2, S.T1)
+
+
+@query("scd2_merge_orders", _ORDERS_CTES + Q.merged_select(S.ORDERS_SCD2))
+def q_scd2_merge_orders(spark, sf):
+    return orders_result(spark, sf).rows
+
+
+@query("scd2_merge_orders_counts", _ORDERS_CTES + Q.COUNTS_SELECT)
+def q_scd2_merge_orders_counts(spark, sf):
+    return orders_result(spark, sf).counts()

@@ -323,3 +323,24 @@ LINE_RULES = {
 LINE_REASON = ("NULLIF(concat_ws(', ', " + ", ".join(
     f"CASE WHEN NOT COALESCE({rule}, FALSE) THEN '{name}' END" for name, rule in LINE_RULES.items())
     + "), '')")
+
+
+# --- orders as a Type 2 dimension ----------------------------------------------------
+
+ORDERS_TEXT = {"o_orderpriority", "o_orderstatus"}
+ORDERS_STG = ("stg AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, "
+              "o_orderstatus FROM orders WHERE o_orderkey % 13 <> 0)")
+ORDERS_DIM2 = f"""obase AS (
+  SELECT o_orderkey * 2 + 2 AS Orders_SK, o_orderkey, o_custkey,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority,
+         CASE WHEN o_orderkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+         {tsql(S.T0)} AS {INSERTED}, {NULL_TS} AS {UPDATED},
+         CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS {IS_DELETED}, 'NEW' AS {REASON}
+  FROM orders WHERE o_orderkey % 5 <> 0),
+dim AS (
+  SELECT *, 1 AS {IS_CURRENT}, {tsql(S.T0)} AS {EFFECTIVE}, {NULL_TS} AS {EXPIRY} FROM obase
+  UNION ALL
+  SELECT Orders_SK - 1, o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, 'H',
+         {tsql(S.T_HIST)}, {tsql(S.T0)}, 0, {REASON}, 0, {tsql(S.T_HIST)}, {tsql(S.T0)}
+  FROM obase WHERE o_orderkey % 4 = 0)"""

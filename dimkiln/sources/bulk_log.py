@@ -37,5 +37,5 @@ def log_rejects(logs: DataFrame, text_col: str, id_cols: list[str]) -> DataFrame
 
 def read_logs(spark: SparkSession, directory: str, pattern: str = "*.log") -> DataFrame:
     """Every log file under ``directory`` as (File_Name, text), one row per file."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(directory)
+    df = spark.read.option("pathGlobFilter", pattern).text(directory, wholetext=True)
     return df.select(F.col("_metadata.file_name").alias("File_Name"), F.col("value").alias("text"))

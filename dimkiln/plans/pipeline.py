@@ -134,9 +134,10 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
                audit_id: int, run_ts: str, data_root: str) -> dict:
     """R-02 + merge + checkpoint for one source row; returns counts."""
     name = source["Source_Name"]
-    pattern, _ = source_defaults(source.get("Pattern"), source.get("Sheet_Name"))
+    pattern, sheet = source_defaults(source.get("Pattern"), source.get("Sheet_Name"))
     rel = (source.get("Rel_Path") or "").strip().lstrip("/\\")
-    text = scan_source(spark, f"{data_root.rstrip('/')}/{rel}", pattern)
+    headers = list(spec.source_columns) or None
+    text = scan_source(spark, f"{data_root.rstrip('/')}/{rel}", pattern, sheet=sheet, columns=headers)
     if not text.columns:
         return {"rows": 0, "files": 0}
     load = load_source(text, spec, name, audit_id, run_ts)

@@ -83,14 +83,15 @@ def with_lineage(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
 def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
                 fmt: str | None = None, schema: StructType | None = None,
                 as_text: bool = True, lineage: bool = True,
-                options: dict | None = None) -> DataFrame:
+                options: dict | None = None, sheet: str | None = None,
+                columns: list[str] | None = None) -> DataFrame:
     """S-02/S-04: read every matching file at once; optionally all columns as text.
 
     Text is how a spreadsheet source arrives (``dtype=str``); casting happens
     later in ``typed_load``. When no file matches, an empty frame of
     ``schema`` (or no columns) is returned (S-01).
     """
-    pattern, _ = source_defaults(pattern, None)
+    pattern, sheet = source_defaults(pattern, sheet)
     found = resolve_pattern(spark, directory, pattern)
     if found is None:
         return empty_frame(spark, schema or StructType([]))
@@ -106,7 +107,7 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
         reader = reader.option(k, v)
     if fmt == "xlsx":
         from dimkiln.sources.xlsx import read_xlsx
-        df = read_xlsx(spark, directory, found)
+        df = read_xlsx(spark, directory, found, sheet, columns)
     else:
         df = reader.format(fmt).load(directory)
     if lineage and fmt in ("parquet", "orc"):

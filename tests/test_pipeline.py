@@ -151,3 +151,25 @@ def test_sinks_text_export_and_snapshot(spark, scratch):
     t.write(df)
     t.write(df.filter(F.col("x") == "a"))
     assert t.read().count() == 1 and t.current_path().endswith("v000002")
+
+
+def test_xlsx_source_through_pipeline(spark, scratch):
+    from dimkiln.sources.xlsx import parse_xlsx, write_xlsx_bytes
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    with open(f"{data}/p1.xlsx", "wb") as fh:
+        fh.write(write_xlsx_bytes(["Place code", "Place Name"], [["P1", "Alpha"], [7, "Seven"], ["P1", "Again"]]))
+    with open(f"{data}/p2.xlsx", "wb") as fh:
+        fh.write(write_xlsx_bytes(["Place Name", "Place code"], [["Beta  two", "P2"]]))
+    header, rows = parse_xlsx(open(f"{data}/p1.xlsx", "rb").read(), "Sheet1")
+    assert header == ["Place code", "Place Name"] and rows[1] == (3, ["7", "Seven"])
+    src = _sources(spark).filter("Source_Name = 'Places'").withColumn("Pattern", F.lit("*.xlsx"))
+    spec = spec_from_mapping("Places", spark.createDataFrame(PLACES_MAPPING))
+    layout = PL.Layout(f"{scratch}/wh")
+    rep = PL.run_sources(spark, layout, src, {"Places": spec}, RUN1, f"{scratch}/data", audit_id=3)
+    assert rep.status == "Success"
+    dim = store.SnapshotTable(spark, layout.dimension("Places")).read()
+    assert {r["Place_Code"]: r["Place_Name"] for r in dim.collect()} == {
+        "P1": "Alpha", "7": "Seven", "P2": "Beta two"}
+    rej = spark.read.parquet(layout.rejects).select("File_Name", "Row_Number").collect()
+    assert sorted(tuple(r) for r in rej) == [("p1.xlsx", 2), ("p1.xlsx", 4)]

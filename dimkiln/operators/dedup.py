@@ -13,7 +13,6 @@ the rows as the streamed side, which AQE may split when one key is hot.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -40,15 +39,17 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     Adds ``dup_count`` (group size) and ``was_kept`` (the member
     ``dedup_first`` keeps). NULL keys form a group, as in the reference.
+
+    Groups and joins on one struct of the key columns: struct equality treats
+    NULL fields as equal, and the join reuses the aggregate's hash
+    partitioning, so the per-key statistics are shuffled once.
     """
-    keys = list(keys)
+    key = F.struct(*[F.col(k) for k in keys])
     pos = F.struct(*[F.col(c) for c in order])
-    stats = (df.groupBy(*keys)
+    stats = (df.groupBy(key.alias("_dup_key"))
              .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(pos).alias("_first_pos"))
              .filter(F.col(DUP_COUNT) > 1))
-    s = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], DUP_COUNT, "_first_pos")
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    joined = df.join(s, on, "inner")
+    joined = df.withColumn("_dup_key", key).join(stats, "_dup_key", "inner")
     return joined.select(*df.columns, DUP_COUNT,
                          pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
 

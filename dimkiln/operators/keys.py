@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,19 +32,36 @@ def max_sk(dim: DataFrame, sk_col: str) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
+def sk_start(dim: DataFrame, sk_col: str) -> Column:
+    """Largest surrogate key in use as a scalar subquery (0 when empty).
+
+    Evaluated inside the plan that needs it: no round trip through the driver.
+    """
+    return F.coalesce(dim.agg(F.max(F.col(sk_col))).scalar(), F.lit(0)).cast("long")
+
+
 def assign_sk(df: DataFrame, order_cols: Iterable[str | Column], sk_col: str,
-              start: int = 0, num_partitions: int | None = None,
+              start: int | Column = 0, num_partitions: int | None = None,
               checkpoint: bool = True) -> DataFrame:
-    """Add ``sk_col`` = start + dense position in ``order_cols`` order (1-based)."""
+    """Add ``sk_col`` = start + dense position in ``order_cols`` order (1-based).
+
+    ``start`` is a number or a scalar Column such as ``sk_start(dim, sk)``.
+    """
     spark = df.sparkSession
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    src = df
+    if checkpoint:
+        # range partitioning samples its input and then shuffles it: keep the
+        # input so both passes read one computation
+        src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(num_partitions, *order) if num_partitions
+              else src.repartitionByRange(*order)).sortWithinPartitions(*order)
     if checkpoint:
         # A retry must see the same partitions and the same order inside them,
         # so cut the lineage in the shared checkpoint folder (never a local one).
         checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)
+        src.unpersist()
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
@@ -51,7 +69,8 @@ def assign_sk(df: DataFrame, order_cols: Iterable[str | Column], sk_col: str,
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
     return (tagged.join(F.broadcast(offsets), _PID, "inner")
-            .withColumn(sk_col, (F.lit(start) + F.col(_OFF) + F.col(_POS) + 1).cast("long"))
+            .withColumn(sk_col, ((start if isinstance(start, Column) else F.lit(start))
+                                 + F.col(_OFF) + F.col(_POS) + 1).cast("long"))
             .drop(_PID, _POS, _OFF))
 
 

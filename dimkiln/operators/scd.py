@@ -10,9 +10,11 @@ joins that Catalyst plans once:
   insert, numbered by ``assign_sk``.
 
 Both joins keep the dimension (the large, possibly skewed side) as the
-streamed left side or not at all, so AQE may split a hot key's partition;
-staging is exchanged once and the exchange is reused by both joins. Staging
-keys are unique (the staging primary key; duplicates go to rejects first).
+streamed left side or not at all, so AQE may split a hot key's partition.
+The anti join shuffles only key (and type-2) columns of the dimension; its
+result, usually small, is numbered and checkpointed in its own job, and the
+final job unions it with ``kept``. Staging keys are unique (the staging
+primary key; duplicates go to rejects first).
 
 Flag semantics follow §2.6 of the survey: ``u`` type-1 change, ``e`` type-2
 expiry, ``x`` soft delete, ``r`` reactivation, ``n`` insert.
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.predicates import any_changed, keys_equal
-from dimkiln.operators.keys import assign_sk, max_sk
+from dimkiln.operators.keys import assign_sk, sk_start as existing_max_sk
 from dimkiln.spec import (EFFECTIVE, EXPIRY, INSERTED, IS_CURRENT, IS_DELETED, REASON,
                           REASON_DELETED, REASON_NEW, REASON_REACTIVATED, UPDATED,
                           DimensionSpec)
@@ -88,7 +90,7 @@ def _join_cond(spec: DimensionSpec) -> Column:
 
 def _with_new_sk(new_rows: DataFrame, dim: DataFrame, spec: DimensionSpec,
                  start: int | None) -> DataFrame:
-    first = max_sk(dim, spec.sk) if start is None else start
+    first = existing_max_sk(dim, spec.sk) if start is None else start
     return assign_sk(new_rows, list(spec.keys), spec.sk, start=first)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.text import duplicate_reason, row_json
+from dimkiln.operators.skew import split_hot_join
 
 DUP_COUNT = "dup_count"
 WAS_KEPT = "was_kept"
@@ -40,16 +41,17 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     Adds ``dup_count`` (group size) and ``was_kept`` (the member
     ``dedup_first`` keeps). NULL keys form a group, as in the reference.
 
-    Groups and joins on one struct of the key columns: struct equality treats
-    NULL fields as equal, and the join reuses the aggregate's hash
-    partitioning, so the per-key statistics are shuffled once.
+    Groups and joins on one struct of the key columns (struct equality
+    treats NULL fields as equal). The statistics are partially aggregated;
+    the join back to the rows splits hot keys off (``split_hot_join``), so a
+    key holding a large share of the rows never lands on one reducer.
     """
     key = F.struct(*[F.col(k) for k in keys])
     pos = F.struct(*[F.col(c) for c in order])
     stats = (df.groupBy(key.alias("_dup_key"))
              .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(pos).alias("_first_pos"))
              .filter(F.col(DUP_COUNT) > 1))
-    joined = df.withColumn("_dup_key", key).join(stats, "_dup_key", "inner")
+    joined = split_hot_join(df.withColumn("_dup_key", key), stats, "_dup_key", DUP_COUNT)
     return joined.select(*df.columns, DUP_COUNT,
                          pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
 

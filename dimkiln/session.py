@@ -45,6 +45,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+# Starting points for a large cluster (1000 executors, ~100 TB inputs); AQE
+# coalesces small shuffle partitions, so the shuffle count is set high.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the defaults above where the session has no value of its own."""
     for k, v in _DEFAULTS.items():
@@ -57,8 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session.
 
     Uses the folder already set on the context or named in
-    ``spark.checkpoint.dir``; only when neither exists (a local test) a
-    fresh folder is created and set.
+    ``spark.checkpoint.dir`` (the shared folder of the cluster). Only a
+    local-mode session (tests, local benches) with nothing configured gets a
+    fresh local folder; on a cluster a missing setting is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +82,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         named = tempfile.mkdtemp(prefix="dimkiln-ckpt-", dir="/tmp")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named

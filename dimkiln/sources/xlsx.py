@@ -97,8 +97,14 @@ def read_xlsx(spark: SparkSession, directory: str, pattern: str = "*.xlsx", shee
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
              .select("path", "content"))
     if columns is None:
-        first = files.orderBy("path").select("content").limit(1).collect()
-        columns = parse_xlsx(bytes(first[0]["content"]), sheet)[0] if first else []
+        # header of the first file, parsed on an executor; only names come back
+        def header(batches):
+            import pandas as pd
+            for pdf in batches:
+                for content in pdf["content"]:
+                    yield pd.DataFrame({"h": parse_xlsx(bytes(content), sheet)[0]})
+        first = files.orderBy("path").limit(1).mapInPandas(header, "h string").collect()
+        columns = [r["h"] for r in first]
     cols = list(columns)
     schema = StructType([StructField(c, StringType()) for c in cols]
                         + [StructField("_file_name", StringType()), StructField("_file_path", StringType()),

@@ -173,3 +173,30 @@ def test_xlsx_source_through_pipeline(spark, scratch):
         "P1": "Alpha", "7": "Seven", "P2": "Beta two"}
     rej = spark.read.parquet(layout.rejects).select("File_Name", "Row_Number").collect()
     assert sorted(tuple(r) for r in rej) == [("p1.xlsx", 2), ("p1.xlsx", 4)]
+
+
+def test_hot_key_split_gives_same_rows(spark):
+    from dimkiln.operators.skew import HOT_KEY_ROWS, MAX_HOT_KEYS
+    from dimkiln.plans import scenarios as S
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    plain = D.duplicate_rows(li, S.LINEITEM_KEYS, S.LINEITEM_ORDER).collect()
+    spark.conf.set(HOT_KEY_ROWS, "3")
+    spark.conf.set(MAX_HOT_KEYS, "5")
+    try:
+        split = D.duplicate_rows(li, S.LINEITEM_KEYS, S.LINEITEM_ORDER)
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        got = split.collect()
+    finally:
+        spark.conf.unset(HOT_KEY_ROWS)
+        spark.conf.unset(MAX_HOT_KEYS)
+    assert "BroadcastHashJoin" in plan
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
+    # one dominant key (a third of the rows) is joined map-side
+    hot = li.limit(3000).withColumn("l_orderkey", F.lit(-1)).withColumn("l_linenumber", F.lit(1))
+    mixed = li.unionByName(hot)
+    spark.conf.set(HOT_KEY_ROWS, "1000")
+    try:
+        n = D.duplicate_rows(mixed, S.LINEITEM_KEYS, S.LINEITEM_ORDER).filter("l_orderkey = -1").count()
+    finally:
+        spark.conf.unset(HOT_KEY_ROWS)
+    assert n == 3000

@@ -4,22 +4,23 @@
 (file name and row number from ``with_lineage``); ``dropDuplicates`` promises
 no order and is not used.
 
-Both operators are skew-safe: they group by the key with partial
-(map-side) aggregation, so a key holding a third of all rows is reduced in
-every map task before the shuffle instead of landing in one task as raw
-rows. ``duplicate_rows`` joins the per-key statistics back to the rows with
-the rows as the streamed side, which AQE may split when one key is hot.
+Both operators are skew-safe. ``dedup_first`` groups by the key with
+partial (map-side) aggregation, so a key holding a third of all rows is
+reduced in every map task before the shuffle instead of landing in one task
+as raw rows. ``duplicate_rows`` must return every member, so it splits hot
+keys off explicitly (bounded broadcast, map-side join) and marks the other
+groups, all below the hot-key size, with one window.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimkiln.functions.text import duplicate_reason, row_json
-from dimkiln.operators.skew import split_hot_join
+from dimkiln.operators.skew import hot_keys, null_safe_keys
 
 DUP_COUNT = "dup_count"
 WAS_KEPT = "was_kept"
@@ -41,19 +42,32 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     Adds ``dup_count`` (group size) and ``was_kept`` (the member
     ``dedup_first`` keeps). NULL keys form a group, as in the reference.
 
-    Groups and joins on one struct of the key columns (struct equality
-    treats NULL fields as equal). The statistics are partially aggregated;
-    the join back to the rows splits hot keys off (``split_hot_join``), so a
-    key holding a large share of the rows never lands on one reducer.
+    Hot keys (``skew.hot_keys``: at least the configured row count, a bounded
+    list) are split off map-side; their statistics come from a partial
+    aggregate and a broadcast join. Every other group is then smaller than
+    the hot-key threshold, so one window over (key, order) marks them with a
+    single shuffle and bounded per-group buffers.
     """
-    key = F.struct(*[F.col(k) for k in keys])
+    keyed, key_cols = null_safe_keys(df, keys)
+    hot = hot_keys(keyed, key_cols)
+    w = Window.partitionBy(*key_cols).orderBy(*[F.col(c) for c in order])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def by_window(rows: DataFrame) -> DataFrame:
+        return (rows.select(*df.columns, F.count(F.lit(1)).over(whole).alias(DUP_COUNT),
+                            (F.row_number().over(w) == 1).alias(WAS_KEPT))
+                .filter(F.col(DUP_COUNT) > 1))
+
+    if hot.isEmpty():
+        return by_window(keyed)
+    hot_b = F.broadcast(hot)
+    hot_rows = keyed.join(hot_b, key_cols, "left_semi")
     pos = F.struct(*[F.col(c) for c in order])
-    stats = (df.groupBy(key.alias("_dup_key"))
-             .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(pos).alias("_first_pos"))
-             .filter(F.col(DUP_COUNT) > 1))
-    joined = split_hot_join(df.withColumn("_dup_key", key), stats, "_dup_key", DUP_COUNT)
-    return joined.select(*df.columns, DUP_COUNT,
-                         pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
+    stats = hot_rows.groupBy(*key_cols).agg(F.count(F.lit(1)).alias(DUP_COUNT),
+                                            F.min(pos).alias("_first_pos"))
+    hot_part = hot_rows.join(F.broadcast(stats), key_cols, "inner").select(
+        *df.columns, DUP_COUNT, pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
+    return hot_part.unionByName(by_window(keyed.join(hot_b, key_cols, "left_anti")))
 
 
 def reject_rows(dups: DataFrame, keys: Sequence[str], source_name: str, audit_id: int,

@@ -25,6 +25,24 @@ MAPPING_KNOWN_COLUMNS = ("Source_Name", "Source_Column", "Target_Column", "Data_
                          "Inserted_Datetime")
 # Fixed value: smallest processing order of a business source (F-01, coded as >= 1.0).
 MIN_PROCESSING_ORDER = 1.0
+# Columns of the two metadata sheets (load layouts of the metadata tables).
+SOURCE_IMPORTS_COLUMNS = ("Source_Name", "Rel_Path", "Pattern", "Sheet_Name", "Staging_Table",
+                          "Processing_Order", "Is_Active", "Description", "DW_Table_Name",
+                          "Merge_Proc_Name", "Force_DDL_Generation")
+MAPPING_COLUMNS = ("Source_Name", "Source_Column", "Target_Column", "Data_Type", "Description",
+                   "Is_Type2_Attribute", "Is_PK", "Is_Required")
+METADATA_SHEETS = ("Source_Imports", "Source_File_Mapping")
+
+# The two metadata dimensions: sources (Type 1) and column mapping (Type 2,
+# a soft delete also closes the version: M-04).
+SOURCE_IMPORTS_SPEC = DimensionSpec(
+    name="Source_Imports", keys=("Source_Name",),
+    type1=tuple(c for c in SOURCE_IMPORTS_COLUMNS if c != "Source_Name"),
+    sk_col="Source_Import_SK")
+MAPPING_SPEC = DimensionSpec(
+    name="Source_Imports_Mapping", keys=("Source_Name", "Target_Column"),
+    type1=("Source_Column", "Description", "Is_PK", "Is_Type2_Attribute", "Is_Required"),
+    type2=("Data_Type",), sk_col="File_Mapping_SK")
 
 
 def processing_order(c: Column | str = "Processing_Order") -> Column:
@@ -158,6 +176,14 @@ def with_source_keys(mapping: DataFrame, sources: DataFrame) -> DataFrame:
             .drop("_sk"))
 
 
+def read_metadata_workbook(spark, directory: str, pattern: str) -> tuple[DataFrame, DataFrame]:
+    """S-03: the two metadata sheets of the workbook(s), every cell as text, fixed columns."""
+    from dimkiln.sources.xlsx import read_xlsx
+    imports = read_xlsx(spark, directory, pattern, METADATA_SHEETS[0], list(SOURCE_IMPORTS_COLUMNS))
+    mapping = read_xlsx(spark, directory, pattern, METADATA_SHEETS[1], list(MAPPING_COLUMNS))
+    return (imports.select(*SOURCE_IMPORTS_COLUMNS), mapping.select(*MAPPING_COLUMNS))
+
+
 def spec_columns_from(mapping: DataFrame, name: str) -> Mapping[str, str]:
     """Source -> target names for one source (metadata, collected once)."""
     rows = (mapping.filter(F.col("Source_Name") == name)

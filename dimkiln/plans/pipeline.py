@@ -23,7 +23,8 @@ from dimkiln.operators import scd
 from dimkiln.operators import typed_load as TL
 from dimkiln.operators.audit import FAILED, RUNNING, SKIPPED, SUCCESS, file_lineage
 from dimkiln.sinks import store
-from dimkiln.sources.files import FILE_NAME, FILE_PATH, ROW_NUMBER, scan_source, source_defaults
+from dimkiln.sources.files import (FILE_NAME, ROW_NUMBER, format_for, probe_files, scan_source,
+                                   source_defaults)
 from dimkiln.spec import INSERTED, DimensionSpec
 
 REJECT_COLUMNS = ("Audit_Source_Import_SK", "Source_Name", "File_Name", "Row_Number",
@@ -137,13 +138,22 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
     pattern, sheet = source_defaults(source.get("Pattern"), source.get("Sheet_Name"))
     rel = (source.get("Rel_Path") or "").strip().lstrip("/\\")
     headers = list(spec.source_columns) or None
-    text = scan_source(spark, f"{data_root.rstrip('/')}/{rel}", pattern, sheet=sheet, columns=headers)
+    folder = f"{data_root.rstrip('/')}/{rel}"
+    bad = probe_files(spark, folder, pattern, source_name=name) \
+        if format_for(pattern) in ("parquet", "orc") else None                   # R-05
+    bad_names = [r["File_Name"] for r in bad.select("File_Name").collect()] if bad is not None else []
+    text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names)
     if not text.columns:
         return {"rows": 0, "files": 0}
     load = load_source(text, spec, name, audit_id, run_ts)
     store.write_staging(load.staging, layout.staging(name))                     # K-01
-    store.append(load.rejects, layout.rejects)                                   # K-04
-    store.write_reject_csv(load.rejects, layout.reject_csv(name), run_ts)        # K-05
+    rejects = load.rejects
+    if bad_names:
+        rejects = rejects.unionByName(bad.select(
+            F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), "Source_Name", "File_Name",
+            "Row_Number", "Rejected_Reason", F.to_json(F.struct("File_Name")).alias("Raw_Data")))
+    store.append(rejects, layout.rejects)                                        # K-04
+    store.write_reject_csv(rejects, layout.reject_csv(name), run_ts)             # K-05
     lineage = file_lineage(load.scanned, audit_id, int(source.get("Source_Import_SK") or 0))
     store.append(lineage.withColumn("Source_Name", F.lit(name)), layout.lineage)  # K-08
     stats = lineage.agg(F.sum("File_Row_Count").alias("rows"), F.count(F.lit(1)).alias("files")).first()
@@ -199,36 +209,83 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
     return report
 
 
-def refresh_metadata(spark: SparkSession, layout: Layout, imports_path: str | None,
-                     mapping_path: str | None, run_ts: str, audit_id: int) -> RunReport:
-    """R-03: metadata sheets -> trimmed, known columns -> staging -> mapping merge.
-
-    A missing sheet gives status Skipped (R-04) and no error.
+def _merge_into(spark: SparkSession, table: store.SnapshotTable, staged: DataFrame,
+                spec: DimensionSpec, run_ts: str, **kw) -> dict:
+    """Merge ``staged`` into the snapshot table (created empty on first use)."""
+    from dimkiln.operators.evolve import rebuild_dimension
+    dim = table.read()
+    if dim is None:
+        empty = staged.limit(0).withColumn(spec.sk, F.lit(None).cast("long"))
+        dim = rebuild_dimension(empty, spec, run_ts)
+    res = scd.merge(dim, staged, spec, run_ts, **kw)
+    return store.write_with_counts(res.flagged, table, scd.merge_count_columns())[1]
+
+
+def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id: int,
+                     workbook_dir: str | None = None, pattern: str = "*.xlsx",
+                     imports: DataFrame | None = None, mapping: DataFrame | None = None,
+                     force_ddl: bool = False) -> RunReport:
+    """R-03: metadata sheets -> staging -> metadata merges -> change detection -> rebuilds.
+
+    The two sheets come from the workbook(s) matching ``pattern`` under
+    ``workbook_dir`` (S-03) or as frames. No workbook: status Skipped (R-04).
+    Sources whose mapping changed since their last check (C-01), or forced,
+    get their dimension rebuilt in the layout of the new mapping (M-06, SKs
+    kept) and a new last-check row (C-03).
     """
+    from dimkiln.operators.audit import checkpoint_latest
+    from dimkiln.operators.evolve import rebuild_dimension
+    from dimkiln.sources.files import list_files
+    from dimkiln.spec import spec_from_mapping
     start = dt.datetime.now()
-    if not imports_path or not mapping_path:
-        store.append(audit_event(spark, audit_id, 0, SKIPPED, start, dt.datetime.now(),
-                                 detail="Config spreadsheet not found"), layout.audit)
-        return RunReport(SKIPPED)
+    if imports is None or mapping is None:
+        if not workbook_dir or not list_files(spark, workbook_dir, pattern):
+            store.append(audit_event(spark, audit_id, 0, SKIPPED, start, dt.datetime.now(),
+                                     detail="Config spreadsheet not found"), layout.audit)
+            return RunReport(SKIPPED)
+        imports, mapping = M.read_metadata_workbook(spark, workbook_dir, pattern)
     try:
-        imports = M.trim_imports(spark.read.parquet(imports_path))
-        mapping = M.known_columns(M.trim_mapping(spark.read.parquet(mapping_path)))
-        store.write_staging(imports, f"{layout.root}/etl/Source_Imports")
-        store.write_staging(mapping, f"{layout.root}/etl/Source_File_Mapping")
-        from dimkiln.plans.scenarios import MAPPING_SPEC
-        table = store.SnapshotTable(spark, f"{layout.root}/etl/Dim_Source_Imports_Mapping")
-        dim = table.read()
-        staged = spark.read.parquet(f"{layout.root}/etl/Source_File_Mapping").drop(INSERTED)
-        if dim is None:
-            from dimkiln.operators.evolve import rebuild_dimension
-            dim = rebuild_dimension(staged.limit(0).withColumn(MAPPING_SPEC.sk, F.lit(None).cast("long")),
-                                    MAPPING_SPEC, run_ts)
-        res = scd.scd2_merge(dim, staged, MAPPING_SPEC, run_ts, close_on_delete=True)   # M-04
-        _, counts = store.write_with_counts(res.flagged, table, scd.merge_count_columns())
-        rows = imports.count() + mapping.count()
+        stamp = F.lit(run_ts).cast("timestamp_ntz")
+        imports_stg = M.trim_imports(imports).withColumn(INSERTED, stamp)             # P-03, P-07
+        mapping_stg = M.known_columns(M.trim_mapping(mapping)).withColumn(INSERTED, stamp)  # P-06
+        store.write_staging(imports_stg, f"{layout.root}/etl/Source_Imports")          # K-01
+        store.write_staging(mapping_stg, f"{layout.root}/etl/Source_File_Mapping")
+        src_table = store.SnapshotTable(spark, f"{layout.root}/etl/Dim_Source_Imports")
+        map_table = store.SnapshotTable(spark, f"{layout.root}/etl/Dim_Source_Imports_Mapping")
+        staged_src = spark.read.parquet(f"{layout.root}/etl/Source_Imports").drop(INSERTED)
+        staged_map = spark.read.parquet(f"{layout.root}/etl/Source_File_Mapping").drop(INSERTED)
+        counts = {"Source_Imports": _merge_into(spark, src_table, staged_src.select(
+                      *M.SOURCE_IMPORTS_SPEC.columns), M.SOURCE_IMPORTS_SPEC, run_ts),
+                  "Source_File_Mapping": _merge_into(spark, map_table, staged_map.select(
+                      *M.MAPPING_SPEC.columns), M.MAPPING_SPEC, run_ts, close_on_delete=True)}
+
+        # C-01: one predicate for all sources; only the names of changed sources come back
+        sources, mapping_dim = src_table.read(), map_table.read()
+        try:
+            checked = checkpoint_latest(spark.read.parquet(layout.state), "Source_Name",
+                                        "Checkpoint_Time", "Kind", {"check": "Last_Checked"})
+        except Exception:  # no state table yet: nothing was ever checked
+            checked = spark.createDataFrame([], "Source_Name string, Last_Checked timestamp_ntz")
+        changed = M.changed_sources(M.config_sources(sources), sources,
+                                    M.last_mapping_change(mapping_dim), checked, force_ddl)
+        regenerate = [r["Source_Name"] for r in changed.filter("Needs_Generation").collect()]
+        for name in regenerate:
+            spec = spec_from_mapping(name, mapping_dim, sk_col=f"{name}_SK")
+            if not spec.keys:
+                continue
+            table = store.SnapshotTable(spark, layout.dimension(name))
+            old = table.read()
+            if old is not None:
+                table.write(rebuild_dimension(old, spec, run_ts))                    # M-06
+        if regenerate:
+            when = dt.datetime.fromisoformat(run_ts)
+            store.append(spark.createDataFrame([(n, "check", when) for n in regenerate],
+                                               "Source_Name string, Kind string, "
+                                               "Checkpoint_Time timestamp_ntz"), layout.state)  # C-03
+        rows = imports_stg.count() + mapping_stg.count()
         store.append(audit_event(spark, audit_id, 0, SUCCESS, start, dt.datetime.now(), rows, 1,
-                                 counts=counts), layout.audit)
-        return RunReport(SUCCESS, counts={"metadata": counts}, rows=rows, files=1)
+                                 pattern=pattern, counts=counts["Source_File_Mapping"]), layout.audit)
+        return RunReport(SUCCESS, sources=regenerate, counts=counts, rows=rows, files=1)
     except Exception as exc:
         store.append(audit_event(spark, audit_id, 0, FAILED, start, dt.datetime.now(),
                                  detail=str(exc)), layout.audit)

@@ -189,10 +189,7 @@ def sources_from_supplier(supplier: DataFrame) -> DataFrame:
     return biz.unionByName(spark.createDataFrame(sys_rows, biz.schema))
 
 
-MAPPING_SPEC = DimensionSpec(
-    name="Source_Imports_Mapping", keys=("Source_Name", "Target_Column"),
-    type1=("Source_Column", "Description", "Is_PK", "Is_Type2_Attribute", "Is_Required"),
-    type2=("Data_Type",), sk_col="File_Mapping_SK")
+from dimkiln.operators.metadata import MAPPING_SPEC  # noqa: E402  (the mapping dimension)
 
 # Shipping-date windows of yesterday's and today's mapping sheet.
 MAPPING_OLD_BEFORE = "1999-01-01 00:00:00"

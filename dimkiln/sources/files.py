@@ -84,12 +84,13 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
                 fmt: str | None = None, schema: StructType | None = None,
                 as_text: bool = True, lineage: bool = True,
                 options: dict | None = None, sheet: str | None = None,
-                columns: list[str] | None = None) -> DataFrame:
+                columns: list[str] | None = None, exclude: Iterable[str] = ()) -> DataFrame:
     """S-02/S-04: read every matching file at once; optionally all columns as text.
 
     Text is how a spreadsheet source arrives (``dtype=str``); casting happens
     later in ``typed_load``. When no file matches, an empty frame of
-    ``schema`` (or no columns) is returned (S-01).
+    ``schema`` (or no columns) is returned (S-01). ``exclude`` names files
+    to leave out (those a probe found unreadable, R-05).
     """
     pattern, sheet = source_defaults(pattern, sheet)
     found = resolve_pattern(spark, directory, pattern)
@@ -108,6 +109,12 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
     if fmt == "xlsx":
         from dimkiln.sources.xlsx import read_xlsx
         df = read_xlsx(spark, directory, found, sheet, columns)
+    elif exclude:
+        keep = [f"{directory.rstrip('/')}/{n}" for n in list_files(spark, directory, found)
+                if n not in set(exclude)]
+        if not keep:
+            return empty_frame(spark, schema or StructType([]))
+        df = reader.format(fmt).load(keep)
     else:
         df = reader.format(fmt).load(directory)
     if lineage and fmt in ("parquet", "orc"):

@@ -126,8 +126,8 @@ def read_xlsx(spark: SparkSession, directory: str, pattern: str = "*.xlsx", shee
     return files.mapInPandas(parse, schema)
 
 
-def write_xlsx_bytes(header: Sequence[str], rows: Sequence[Sequence], sheet: str = "Sheet1") -> bytes:
-    """A minimal workbook (inline strings) — used by tests to make inputs."""
+def write_workbook(sheets: dict[str, tuple[Sequence[str], Sequence[Sequence]]]) -> bytes:
+    """A minimal workbook (inline strings), one sheet per entry — used by tests."""
     def cell(ref, v):
         if v is None:
             return ""
@@ -144,19 +144,28 @@ def write_xlsx_bytes(header: Sequence[str], rows: Sequence[Sequence], sheet: str
             s = chr(65 + r) + s
         return s
 
-    body = []
-    for n, values in enumerate([list(header)] + [list(r) for r in rows], start=1):
-        body.append(f'<row r="{n}">' + "".join(cell(f"{letters(i)}{n}", v) for i, v in enumerate(values))
-                    + "</row>")
-    sheet_xml = (f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(body) + "</sheetData></worksheet>")
-    wb = (f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
-          f'<sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-    rels = (f'<Relationships xmlns="{_NS["pr"]}"><Relationship Id="rId1" '
-            'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
-            'Target="worksheets/sheet1.xml"/></Relationships>')
     buf = io.BytesIO()
+    sheet_tags, rel_tags = [], []
     with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("xl/workbook.xml", wb)
-        z.writestr("xl/_rels/workbook.xml.rels", rels)
-        z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
+        for n_sheet, (name, (header, rows)) in enumerate(sheets.items(), start=1):
+            body = []
+            for n, values in enumerate([list(header)] + [list(r) for r in rows], start=1):
+                body.append(f'<row r="{n}">' + "".join(cell(f"{letters(i)}{n}", v)
+                                                       for i, v in enumerate(values)) + "</row>")
+            z.writestr(f"xl/worksheets/sheet{n_sheet}.xml",
+                       f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(body)
+                       + "</sheetData></worksheet>")
+            sheet_tags.append(f'<sheet name="{name}" sheetId="{n_sheet}" r:id="rId{n_sheet}"/>')
+            rel_tags.append(f'<Relationship Id="rId{n_sheet}" Type="http://schemas.openxmlformats.org/'
+                            f'officeDocument/2006/relationships/worksheet" '
+                            f'Target="worksheets/sheet{n_sheet}.xml"/>')
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
+                   + "".join(sheet_tags) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_NS["pr"]}">'
+                   + "".join(rel_tags) + "</Relationships>")
     return buf.getvalue()
+
+
+def write_xlsx_bytes(header: Sequence[str], rows: Sequence[Sequence], sheet: str = "Sheet1") -> bytes:
+    """A one-sheet workbook — used by tests."""
+    return write_workbook({sheet: (header, rows)})

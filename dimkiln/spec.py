@@ -120,6 +120,8 @@ def spec_from_mapping(name: str, rows: Iterable[Mapping] | DataFrame,
     if isinstance(rows, DataFrame):
         from pyspark.sql import functions as F
         df = rows.filter(F.col("Source_Name") == (source_name or name))
+        if "Row_Is_Current" in df.columns:
+            df = df.filter(F.col("Row_Is_Current") == 1)
         if "Is_Deleted" in df.columns:
             df = df.filter(~F.coalesce(F.col("Is_Deleted").cast("string") == "1", F.lit(False)))
         df = df.filter(F.col("Target_Column").isNotNull())

@@ -111,11 +111,63 @@ def test_run_sources_end_to_end(spark, scratch):
 
 
 def test_refresh_metadata_skipped_without_sheets(spark, scratch):
-    rep = PL.refresh_metadata(spark, PL.Layout(scratch), None, None, RUN1, 1)
+    rep = PL.refresh_metadata(spark, PL.Layout(scratch), RUN1, 1, workbook_dir=f"{scratch}/none")
     assert rep.status == "Skipped"
     assert spark.read.parquet(f"{scratch}/etl/Fact_Audit_Source_Imports").first()["Process_Status"] == "Skipped"
 
 
+def test_refresh_metadata_from_workbook(spark, scratch):
+    from dimkiln.operators.metadata import MAPPING_COLUMNS, SOURCE_IMPORTS_COLUMNS
+    from dimkiln.sources.xlsx import write_workbook
+    cfg = f"{scratch}/config"
+    os.makedirs(cfg)
+    imports = [["Places", "raw/Places", "*.parquet", None, "[ODS].[Places]", "1.4", "1", "places ",
+                "[DW].[Dim_Places]", None, "0"],
+               ["Source_Imports", "config", "*.xlsx", None, "[ETL].[Source_Imports]", "0", "1", None,
+                "[ETL].[Dim_Source_Imports]", None, "0"]]
+    mapping = [["Places", "Place code", "Place_Code", "VARCHAR(50)", None, "0", "1", "1", "x"],
+               ["Places", "Place  Name", "Place_Name", "VARCHAR(200)", "the\tname", "0", "0", "1", "x"],
+               ["Places", "Zone", "Zone_Code", "INT", None, "0", "0", "0", "x"]]
+    with open(f"{cfg}/etl_config.xlsx", "wb") as fh:
+        fh.write(write_workbook({"Source_Imports": (SOURCE_IMPORTS_COLUMNS, imports),
+                                 "Source_File_Mapping": (list(MAPPING_COLUMNS) + ["Extra_Column"], mapping)}))
+    layout = PL.Layout(f"{scratch}/wh")
+    T = __import__("datetime").datetime(2024, 1, 1)
+    old = spark.createDataFrame([(5, "P1", "Alpha", T, None, 0, "NEW")],
+                                "Places_SK long, Place_Code string, Place_Name string, "
+                                "Inserted_Datetime timestamp_ntz, Updated_Datetime timestamp_ntz, "
+                                "Is_Deleted int, Row_Change_Reason string")
+    store.SnapshotTable(spark, layout.dimension("Places")).write(old)
+
+    rep = PL.refresh_metadata(spark, layout, RUN1, 5, workbook_dir=cfg, pattern="etl_config.xlsx")
+    assert rep.status == "Success" and rep.sources == ["Places"]
+    assert rep.counts["Source_File_Mapping"]["Inserted_Count"] == 3
+    rebuilt = store.SnapshotTable(spark, layout.dimension("Places")).read()
+    assert "Zone_Code" in rebuilt.columns and rebuilt.first()["Places_SK"] == 5
+    mdim = store.SnapshotTable(spark, f"{layout.root}/etl/Dim_Source_Imports_Mapping").read()
+    assert "Extra_Column" not in mdim.columns
+    assert {r["Source_Column"] for r in mdim.collect()} == {"Place code", "Place Name", "Zone"}
+
+    rep2 = PL.refresh_metadata(spark, layout, RUN2, 6, workbook_dir=cfg, pattern="etl_config.xlsx")
+    assert rep2.sources == [] and sum(rep2.counts["Source_File_Mapping"].values()) == 0
+
+
+def test_unreadable_file_is_logged_and_skipped(spark, scratch):
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    _write_places(spark, data, [("P1", "Alpha", "x")], "a")
+    with open(f"{data}/zz_broken.parquet", "wb") as fh:
+        fh.write(b"not parquet at all")
+    layout = PL.Layout(f"{scratch}/wh")
+    spec = spec_from_mapping("Places", spark.createDataFrame(PLACES_MAPPING))
+    rep = PL.run_sources(spark, layout, _sources(spark), {"Places": spec}, RUN1,
+                         f"{scratch}/data", audit_id=9, requested=["Places"])
+    assert rep.status == "Success" and rep.counts["Places"]["Inserted_Count"] == 1
+    rej = spark.read.parquet(layout.rejects).collect()
+    assert [(r["File_Name"], r["Row_Number"]) for r in rej] == [("zz_broken.parquet", 0)]
+    assert rej[0]["Rejected_Reason"].startswith("PROCESSING_ERROR: ")
+
+
 def test_scan_fallback_and_empty(spark, scratch):
     assert files.resolve_pattern(spark, SF_SMALL, "nothing*.csv") is None
     empty = files.scan_source(spark, scratch, "*.parquet")

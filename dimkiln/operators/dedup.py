@@ -26,14 +26,25 @@ DUP_COUNT = "dup_count"
 WAS_KEPT = "was_kept"
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """W-01: one row per key, the first by ``order`` (ties: smallest row)."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
+def _first_by_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                        columns: Sequence[str]) -> DataFrame:
+    """First row per key as a grouped ``min`` over (order, payload): reduced map-side."""
+    rest = [c for c in columns if c not in keys]
     ordered = list(order) + [c for c in rest if c not in order]
     first = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_first")
     return df.groupBy(*keys).agg(first).select(
-        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in columns])
+
+
+def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """W-01: one row per key, the first by ``order`` (ties: smallest row).
+
+    A grouped ``min`` over (order, payload) with partial aggregation: every
+    map task reduces its rows to one per key before the shuffle, so a key
+    with a third of all rows never reaches one task as raw rows. (Measured
+    against a ``row_number`` window at sf0.1: the same time.)
+    """
+    return _first_by_aggregate(df, keys, order, df.columns)
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -252,3 +252,4 @@ def test_hot_key_split_gives_same_rows(spark):
     finally:
         spark.conf.unset(HOT_KEY_ROWS)
     assert n == 3000
+

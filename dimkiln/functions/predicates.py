@@ -16,22 +16,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 
-def column_changed(d: Column, o: Column, is_text: bool) -> Column:
+def _coll(c: Column, collation: str | None) -> Column:
+    return F.collate(c, collation) if collation else c
+
+
+def column_changed(d: Column, o: Column, is_text: bool, collation: str | None = None) -> Column:
     if is_text:
-        return F.coalesce(d, F.lit("")) != F.coalesce(o, F.lit(""))
+        return _coll(F.coalesce(d, F.lit("")), collation) != _coll(F.coalesce(o, F.lit("")), collation)
     return ~d.eqNullSafe(o)
 
 
+def text_columns(schema: StructType) -> set[str]:
+    return {f.name for f in schema.fields if isinstance(f.dataType, StringType)}
+
+
 def any_changed(columns: Iterable[str], schema: StructType, d_prefix: str = "",
-                o_prefix: str = "") -> Column:
+                o_prefix: str = "", collation: str | None = None) -> Column:
     """OR of ``column_changed`` over columns; ``lit(False)`` when empty."""
-    text_cols = {f.name for f in schema.fields if isinstance(f.dataType, StringType)}
-    preds = [column_changed(F.col(f"{d_prefix}{c}"), F.col(f"{o_prefix}{c}"), c in text_cols)
-             for c in columns]
+    text_cols = text_columns(schema)
+    preds = [column_changed(F.col(f"{d_prefix}{c}"), F.col(f"{o_prefix}{c}"), c in text_cols,
+                            collation) for c in columns]
     return reduce(lambda a, b: a | b, preds) if preds else F.lit(False)
 
 
-def keys_equal(left: Iterable[str], right: Iterable[str]) -> Column:
-    """Plain equality over all key columns: NULL keys never match (§1.4)."""
-    preds = [F.col(a) == F.col(b) for a, b in zip(left, right)]
+def keys_equal(left: Iterable[str], right: Iterable[str], text_keys: Iterable[str] = (),
+               collation: str | None = None) -> Column:
+    """Plain equality over all key columns: NULL keys never match (§1.4).
+
+    Text keys compare under ``collation`` when one is given (the join then
+    hashes on collation keys, so it still shuffles by key).
+    """
+    text = set(text_keys)
+    preds = [(_coll(F.col(a), collation) == _coll(F.col(b), collation)) if a in text
+             else (F.col(a) == F.col(b)) for a, b in zip(left, right)]
     return reduce(lambda a, b: a & b, preds)

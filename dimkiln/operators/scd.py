@@ -28,7 +28,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimkiln.functions.predicates import any_changed, keys_equal
+from dimkiln.functions.predicates import any_changed, keys_equal, text_columns
 from dimkiln.operators.keys import assign_sk, sk_start as existing_max_sk
 from dimkiln.spec import (EFFECTIVE, EXPIRY, INSERTED, IS_CURRENT, IS_DELETED, REASON,
                           REASON_DELETED, REASON_NEW, REASON_REACTIVATED, UPDATED,
@@ -84,8 +84,9 @@ def _staging_side(stg: DataFrame, spec: DimensionSpec) -> DataFrame:
     return stg.select(*[F.col(c).alias(O + c) for c in spec.columns], F.lit(True).alias(HIT))
 
 
-def _join_cond(spec: DimensionSpec) -> Column:
-    return keys_equal(spec.keys, [O + k for k in spec.keys])
+def _join_cond(spec: DimensionSpec, schema=None) -> Column:
+    text = text_columns(schema) if (schema is not None and spec.collation) else set()
+    return keys_equal(spec.keys, [O + k for k in spec.keys], text, spec.collation)
 
 
 def _with_new_sk(new_rows: DataFrame, dim: DataFrame, spec: DimensionSpec,
@@ -119,9 +120,9 @@ def scd1_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
         raise ValueError(f"{spec.name} has type 2 columns; use scd2_merge")
     ts = ts_literal(run_ts)
     o = _staging_side(stg, spec)
-    j = dim.join(o, _join_cond(spec), "left_outer")
+    j = dim.join(o, _join_cond(spec, dim.schema), "left_outer")
     hit = F.col(HIT).isNotNull()
-    u = hit & any_changed(spec.type1, stg.schema, "", O)
+    u = hit & any_changed(spec.type1, stg.schema, "", O, spec.collation)
     x = (~hit & (F.col(IS_DELETED) == 0)) if soft_delete else F.lit(False)
     r = hit & (F.col(IS_DELETED) == 1)
     j = j.withColumns({"_u": u, "_x": x, "_r": r})
@@ -137,7 +138,7 @@ def scd1_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
     kept = j.withColumns(updates).select(*dim.columns, *FLAGS)
 
     # NOT EXISTS over the whole dimension: only key columns are shuffled.
-    candidates = o.join(dim.select(*spec.keys), _join_cond(spec), "left_anti")
+    candidates = o.join(dim.select(*spec.keys), _join_cond(spec, dim.schema), "left_anti")
     inserts = _with_new_sk(_insert_rows(candidates, spec, run_ts), dim, spec, sk_start)
     return MergeResult(spec, kept, inserts.select(*dim.columns, *FLAGS))
 
@@ -159,11 +160,11 @@ def scd2_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
         raise ValueError(f"{spec.name} has no type 2 columns; use scd1_merge")
     ts = ts_literal(run_ts)
     o = _staging_side(stg, spec)
-    j = dim.join(o, _join_cond(spec), "left_outer")
+    j = dim.join(o, _join_cond(spec, dim.schema), "left_outer")
     hit = F.col(HIT).isNotNull()
     current = F.col(IS_CURRENT) == 1
-    u = hit & any_changed(spec.type1, stg.schema, "", O)
-    e = hit & current & any_changed(spec.type2, stg.schema, "", O)
+    u = hit & any_changed(spec.type1, stg.schema, "", O, spec.collation)
+    e = hit & current & any_changed(spec.type2, stg.schema, "", O, spec.collation)
     x = (~hit & current & (F.col(IS_DELETED) == 0)) if soft_delete else F.lit(False)
     r = hit & (F.col(IS_DELETED) == 1)
     if strict_current:
@@ -190,7 +191,7 @@ def scd2_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
     # (that version survives the expiry step); only keys and type-2 columns of
     # current rows are shuffled for this anti join.
     blocking = dim.filter(current).select(*spec.keys, *spec.type2)
-    cond = _join_cond(spec) & ~any_changed(spec.type2, stg.schema, "", O)
+    cond = _join_cond(spec, dim.schema) & ~any_changed(spec.type2, stg.schema, "", O, spec.collation)
     candidates = o.join(blocking, cond, "left_anti")
     inserts = _with_new_sk(_insert_rows(candidates, spec, run_ts), dim, spec, sk_start)
     return MergeResult(spec, kept, inserts.select(*dim.columns, *FLAGS))
@@ -228,7 +229,8 @@ def changed_rows(dim: DataFrame, stg: DataFrame, spec: DimensionSpec,
     """
     cols = list(spec.type1 if columns is None else columns)
     o = _staging_side(stg, spec)
-    j = dim.join(o, _join_cond(spec), "inner").filter(any_changed(cols, stg.schema, "", O))
+    j = dim.join(o, _join_cond(spec, dim.schema), "inner").filter(
+        any_changed(cols, stg.schema, "", O, spec.collation))
     return j.select(spec.sk, *spec.keys, *[F.col(c).alias(f"old_{c}") for c in cols],
                     *[F.col(O + c).alias(f"new_{c}") for c in cols])
 

@@ -119,3 +119,26 @@ def error_row(spark: SparkSession, operator: str, exc: BaseException, source_nam
           source_name, int(run_id))],
         "Procedure_Name string, Error_Class string, Sql_State string, Error_Message string, "
         "Error_Summary string, Source_Name string, Audit_Source_Import_SK long")
+
+
+def load_fact(df: DataFrame, path: str, strategy: str = "append",
+              partition_by: Iterable[str] | None = None) -> None:
+    """X-04: load a fact table by truncate-and-load or append.
+
+    ``truncate`` replaces the table (whole-table overwrite); ``append`` adds
+    rows; ``replace_partitions`` overwrites only the partitions present in
+    ``df`` (dynamic partition overwrite), the idempotent form of a reload.
+    """
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if strategy == "truncate":
+        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    elif strategy == "append":
+        w.mode("append").parquet(path)
+    elif strategy == "replace_partitions":
+        if not partition_by:
+            raise ValueError("replace_partitions needs partition columns")
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        raise ValueError(f"unknown load strategy {strategy!r}")

@@ -70,7 +70,9 @@ class DimensionSpec:
     ``keys`` is the natural key (all PK columns, decision D-4), ``type1`` the
     columns overwritten in place, ``type2`` the columns that open a new
     version. ``merge`` optionally replaces the default merge operator with a
-    callable ``(dim_df, stg_df, run_ts) -> MergeResult``.
+    callable ``(dim_df, stg_df, run_ts) -> MergeResult``. ``collation`` (for
+    example ``UTF8_LCASE_RTRIM``: case- and trailing-space-insensitive) is
+    applied to text keys and text change tests; default is binary.
     """
 
     name: str
@@ -82,6 +84,7 @@ class DimensionSpec:
     source_columns: Mapping[str, str] = field(default_factory=dict)
     sk_col: str | None = None
     merge: Callable | None = None
+    collation: str | None = None
 
     def __post_init__(self):
         if not self.keys:

@@ -259,3 +259,16 @@ def test_scd1_matches_stepwise(spark, case):
     assert _norm(got) == _norm(want[dim.columns].itertuples(index=False))
     counts = res.counts().first().asDict()
     assert {k: counts[k] for k in want_counts} == want_counts
+
+
+def test_collation_makes_keys_and_changes_case_blind(spark):
+    spec = DimensionSpec(name="Place", keys=("code",), type1=("name",), collation="UTF8_LCASE_RTRIM")
+    dim = spark.createDataFrame([(1, "AB ", "Alpha", T0, None, 0, "NEW")],
+                                "Place_SK long, code string, name string, Inserted_Datetime timestamp_ntz, "
+                                "Updated_Datetime timestamp_ntz, Is_Deleted int, Row_Change_Reason string")
+    stg = spark.createDataFrame([("ab", "ALPHA"), ("cd", "Gamma")], "code string, name string")
+    c = scd.scd1_merge(dim, stg, spec, RUN).counts().first().asDict()
+    assert (c["Inserted_Count"], c["Updated_Count"], c["Deleted_Count"]) == (1, 0, 0)
+    binary = DimensionSpec(name="Place", keys=("code",), type1=("name",))
+    c2 = scd.scd1_merge(dim, stg, binary, RUN).counts().first().asDict()
+    assert (c2["Inserted_Count"], c2["Deleted_Count"]) == (2, 1)

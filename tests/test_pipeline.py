@@ -253,3 +253,15 @@ def test_hot_key_split_gives_same_rows(spark):
         spark.conf.unset(HOT_KEY_ROWS)
     assert n == 3000
 
+
+
+def test_fact_load_strategies(spark, scratch):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "m int, p string")
+    path = f"{scratch}/fact"
+    store.load_fact(df, path, "append", ["p"])
+    store.load_fact(df, path, "append", ["p"])
+    assert spark.read.parquet(path).count() == 4
+    store.load_fact(df.filter("p = 'a'"), path, "replace_partitions", ["p"])
+    assert spark.read.parquet(path).count() == 3
+    store.load_fact(df.filter("p = 'b'"), path, "truncate", ["p"])
+    assert spark.read.parquet(path).count() == 1

@@ -18,45 +18,69 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-POINTER = "_current"
-_VERSION = re.compile(r"/v(\d+)/?$")
+POINTERS = "_pointers"
+_NUM = re.compile(r"^[vp](\d+)$")
+
+
+def _children(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """(name, committed) of the sub-folders of ``folder`` on the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        if st.isDirectory():
+            done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+            out.append((st.getPath().getName(), bool(done)))
+    return out
 
 
 class SnapshotTable:
-    """K-06: a table as numbered snapshot folders and a pointer to the current one."""
+    """K-06: a table as numbered snapshot folders plus numbered pointers.
+
+    A write goes to a new folder ``vN`` (N above every folder present, so a
+    folder left by a crashed attempt is never reused), then a new pointer
+    ``_pointers/pN`` naming it is committed. Pointers are never overwritten:
+    a reader takes the highest committed one, so it never sees a missing or
+    half-written pointer while a writer switches.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     def current_path(self) -> str | None:
-        try:
-            row = self.spark.read.text(f"{self.root}/{POINTER}").first()
-        except AnalysisException:
+        done = [(int(m.group(1)), n) for n, ok in _children(self.spark, f"{self.root}/{POINTERS}")
+                if ok and (m := _NUM.match(n))]
+        if not done:
             return None
+        latest = max(done)[1]
+        row = self.spark.read.text(f"{self.root}/{POINTERS}/{latest}").first()
         return row["value"].strip() if row else None
 
     def read(self) -> DataFrame | None:
         path = self.current_path()
         return self.spark.read.parquet(path) if path else None
 
-    def _next_path(self) -> str:
-        cur = self.current_path()
-        m = _VERSION.search(cur) if cur else None
-        n = int(m.group(1)) + 1 if m else 1
-        return f"{self.root}/v{n:06d}"
+    def _next_number(self) -> int:
+        nums = [int(m.group(1)) for n, _ in _children(self.spark, self.root) if (m := _NUM.match(n))]
+        nums += [int(m.group(1)) for n, _ in _children(self.spark, f"{self.root}/{POINTERS}")
+                 if (m := _NUM.match(n))]
+        return max(nums, default=0) + 1
 
     def write(self, df: DataFrame, partition_by: Iterable[str] | None = None) -> str:
-        """Write ``df`` as the next snapshot, then switch the pointer to it."""
-        path = self._next_path()
+        """Write ``df`` as the next snapshot, then commit a pointer to it."""
+        n = self._next_number()
+        path = f"{self.root}/v{n:06d}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         (self.spark.createDataFrame([(path,)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{self.root}/{POINTER}"))
+         .write.mode("errorifexists").text(f"{self.root}/{POINTERS}/p{n:06d}"))
         return path
 
 

@@ -265,3 +265,15 @@ def test_fact_load_strategies(spark, scratch):
     assert spark.read.parquet(path).count() == 3
     store.load_fact(df.filter("p = 'b'"), path, "truncate", ["p"])
     assert spark.read.parquet(path).count() == 1
+
+
+def test_snapshot_survives_a_crashed_write(spark, scratch):
+    t = store.SnapshotTable(spark, f"{scratch}/dim")
+    df = spark.createDataFrame([("a",)], "x string")
+    t.write(df)
+    os.makedirs(f"{scratch}/dim/v000002")          # left behind by a crashed attempt
+    with open(f"{scratch}/dim/v000002/part-0.parquet", "wb") as fh:
+        fh.write(b"partial")
+    assert t.read().count() == 1                   # readers still see the committed snapshot
+    path = t.write(df.union(df))
+    assert path.endswith("v000003") and t.read().count() == 2

@@ -14,13 +14,14 @@ groups, all below the hot-key size, with one window.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimkiln.functions.text import duplicate_reason, row_json
-from dimkiln.operators.skew import hot_keys, null_safe_keys
+from dimkiln.operators.skew import hot_keys
 
 DUP_COUNT = "dup_count"
 WAS_KEPT = "was_kept"
@@ -59,9 +60,10 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     the hot-key threshold, so one window over (key, order) marks them with a
     single shuffle and bounded per-group buffers.
     """
-    keyed, key_cols = null_safe_keys(df, keys)
-    hot = hot_keys(keyed, key_cols)
-    w = Window.partitionBy(*key_cols).orderBy(*[F.col(c) for c in order])
+    keys = list(keys)
+    hot = hot_keys(df, keys)
+    # window partitioning keeps NULL keys together, so raw keys suffice here
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def by_window(rows: DataFrame) -> DataFrame:
@@ -70,15 +72,18 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
                 .filter(F.col(DUP_COUNT) > 1))
 
     if hot.isEmpty():
-        return by_window(keyed)
-    hot_b = F.broadcast(hot)
-    hot_rows = keyed.join(hot_b, key_cols, "left_semi")
+        return by_window(df)
+    hot_b = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    hot_rows = df.join(hot_b, on, "left_semi")
     pos = F.struct(*[F.col(c) for c in order])
-    stats = hot_rows.groupBy(*key_cols).agg(F.count(F.lit(1)).alias(DUP_COUNT),
-                                            F.min(pos).alias("_first_pos"))
-    hot_part = hot_rows.join(F.broadcast(stats), key_cols, "inner").select(
+    stats = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(DUP_COUNT),
+                                        F.min(pos).alias("_first_pos"))
+    s = F.broadcast(stats.select(*[F.col(k).alias(f"_st_{k}") for k in keys], DUP_COUNT, "_first_pos"))
+    on_s = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_st_{k}")) for k in keys])
+    hot_part = hot_rows.join(s, on_s, "inner").select(
         *df.columns, DUP_COUNT, pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
-    return hot_part.unionByName(by_window(keyed.join(hot_b, key_cols, "left_anti")))
+    return hot_part.unionByName(by_window(df.join(hot_b, on, "left_anti")))
 
 
 def reject_rows(dups: DataFrame, keys: Sequence[str], source_name: str, audit_id: int,

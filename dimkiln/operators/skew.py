@@ -1,30 +1,24 @@
-"""Per-key statistics attached to every row, safe when a few keys are huge.
-
-``rows JOIN (rows GROUP BY key)`` sends all rows of a key to one reducer; a
-key holding a third of all rows would make one task do a third of the work.
-``join_group_stats`` splits such keys off explicitly:
-
-1. a key-only count (hash aggregate with map-side partial counts) names the
-   heaviest keys: at least ``threshold`` rows, at most ``max_hot`` keys. Only
-   these keys reach the driver, a list with a proven bound;
-2. with no hot key the plain plan runs: aggregate, then join on the key;
-3. otherwise rows are split map-side by a broadcast of the hot keys. Hot rows
-   get their statistics from a partial aggregate (reduced in every map task)
-   and are joined to them map-side (the statistics have at most ``max_hot``
-   rows); all other rows take the plain plan, where no key is hot.
-
-Keys over the threshold beyond the first ``max_hot`` take the plain path, so
-the result is always whole; only the strategy differs.
+"""Hot keys: the few keys that could put a large share of rows on one reducer.
+
+A shuffle by key sends every row of a key to one task; a key holding a third
+of all rows would make one task do a third of the work. ``hot_keys`` names
+such keys up front with a key-only count (hash aggregate, partial counts in
+every map task): keys with at least ``threshold`` rows, at most ``max_hot``
+of them. Only this bounded list reaches the driver. Operators then split hot
+rows off map-side (broadcast of the list) and treat them with partial
+aggregates and broadcast joins; every remaining group is smaller than the
+threshold, so a per-key shuffle or window over it has bounded groups. Keys
+over the threshold beyond the first ``max_hot`` stay on the ordinary path,
+so results are always whole; only the strategy differs.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, DateType, StringType, StructType,
-                               TimestampNTZType, TimestampType)
+from pyspark.sql.types import StructType
 
 # Settings (session conf) and their defaults.
 HOT_KEY_ROWS = "dimkiln.skew.hotKeyRows"
@@ -38,34 +32,6 @@ def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(value) if value not in (None, "") else default
 
 
-def null_safe_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_nk") -> tuple[DataFrame, list[str]]:
-    """Key columns that make NULL a value: ``coalesce(k, default)`` and ``isnull(k)``.
-
-    Plain equality on these equals ``<=>`` on the keys; grouping and joining
-    on the same primitive columns share one hash partitioning and keep
-    Spark's fast prefix sort.
-    """
-    cols, names = {}, []
-    for i, k in enumerate(keys):
-        dt = df.schema[k].dataType
-        if isinstance(dt, StringType):
-            default = F.lit("")
-        elif isinstance(dt, BooleanType):
-            default = F.lit(False)
-        elif isinstance(dt, BinaryType):
-            default = F.lit(bytearray())
-        elif isinstance(dt, DateType):
-            default = F.to_date(F.lit("1970-01-01"))
-        elif isinstance(dt, (TimestampType, TimestampNTZType)):
-            default = F.lit("1970-01-01 00:00:00").cast(dt)
-        else:
-            default = F.lit(0).cast(dt)
-        cols[f"{prefix}{i}"] = F.coalesce(F.col(k), default)
-        cols[f"{prefix}{i}_null"] = F.col(k).isNull()
-        names += [f"{prefix}{i}", f"{prefix}{i}_null"]
-    return df.withColumns(cols), names
-
-
 def hot_keys(rows: DataFrame, key_cols: Sequence[str], threshold: int | None = None,
              max_hot: int | None = None) -> DataFrame:
     """The heaviest keys (columns ``key_cols``): >= ``threshold`` rows, at most ``max_hot``.
@@ -83,26 +49,3 @@ def hot_keys(rows: DataFrame, key_cols: Sequence[str], threshold: int | None = N
              .select(*key_cols).collect())
     schema = StructType([rows.schema[k] for k in key_cols])
     return spark.createDataFrame(found, schema)
-
-
-def join_group_stats(rows: DataFrame, key_cols: Sequence[str], aggs: Sequence[Column],
-                     having: Column | None = None, threshold: int | None = None,
-                     max_hot: int | None = None) -> DataFrame:
-    """``rows`` inner-joined with ``aggs`` computed per key (filtered by ``having``).
-
-    ``key_cols`` must hold no NULL (see ``null_safe_keys``).
-    """
-    key_cols = list(key_cols)
-
-    def stats(r: DataFrame) -> DataFrame:
-        s = r.groupBy(*key_cols).agg(*aggs)
-        return s.filter(having) if having is not None else s
-
-    hot = hot_keys(rows, key_cols, threshold, max_hot)
-    if hot.isEmpty():
-        return rows.join(stats(rows), key_cols, "inner")
-    hot_b = F.broadcast(hot)
-    hot_rows = rows.join(hot_b, key_cols, "left_semi")
-    cold_rows = rows.join(hot_b, key_cols, "left_anti")
-    hot_part = hot_rows.join(F.broadcast(stats(hot_rows)), key_cols, "inner")
-    return hot_part.unionByName(cold_rows.join(stats(cold_rows), key_cols, "inner"))

@@ -107,6 +107,14 @@ def _insert_rows(candidates: DataFrame, spec: DimensionSpec, run_ts: str) -> Dat
     return candidates.select(*cols, *audit, *flags)
 
 
+def _conform(inserts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Inserts in the dimension's column order; columns the spec does not map
+    (kept from an earlier layout) are typed NULLs."""
+    cols = [F.col(c) if c in inserts.columns else F.lit(None).cast(dim.schema[c].dataType).alias(c)
+            for c in dim.columns]
+    return inserts.select(*cols, *FLAGS)
+
+
 def scd1_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
                soft_delete: bool = True, sk_start: int | None = None) -> MergeResult:
     """M-01 (and M-03 with ``soft_delete=False``): Type 1 merge in one pass.
@@ -140,7 +148,7 @@ def scd1_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
     # NOT EXISTS over the whole dimension: only key columns are shuffled.
     candidates = o.join(dim.select(*spec.keys), _join_cond(spec, dim.schema), "left_anti")
     inserts = _with_new_sk(_insert_rows(candidates, spec, run_ts), dim, spec, sk_start)
-    return MergeResult(spec, kept, inserts.select(*dim.columns, *FLAGS))
+    return MergeResult(spec, kept, _conform(inserts, dim))
 
 
 def scd2_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
@@ -194,7 +202,7 @@ def scd2_merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str,
     cond = _join_cond(spec, dim.schema) & ~any_changed(spec.type2, stg.schema, "", O, spec.collation)
     candidates = o.join(blocking, cond, "left_anti")
     inserts = _with_new_sk(_insert_rows(candidates, spec, run_ts), dim, spec, sk_start)
-    return MergeResult(spec, kept, inserts.select(*dim.columns, *FLAGS))
+    return MergeResult(spec, kept, _conform(inserts, dim))
 
 
 def merge(dim: DataFrame, stg: DataFrame, spec: DimensionSpec, run_ts: str, **kw) -> MergeResult:

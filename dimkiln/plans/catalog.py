@@ -10,11 +10,24 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from dimkiln.functions import flags as FL
+from dimkiln.functions import text as TX
+from dimkiln.operators import audit as AU
+from dimkiln.operators import dedup as D
+from dimkiln.operators import evolve as EV
+from dimkiln.operators import facts as FX
 from dimkiln.operators import keys as K
+from dimkiln.operators import metadata as M
 from dimkiln.operators import scd
+from dimkiln.operators import typed_load as TL
 from dimkiln.plans import oracle as Q
+from dimkiln.plans import pipeline as PL
 from dimkiln.plans import scenarios as S
+from dimkiln.sources import bulk_log as BL
+from dimkiln.sources import files as SRC
+from dimkiln.spec import DimensionSpec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -129,13 +142,6 @@ def q_changed_rows(spark, sf):
 
 # --- de-duplication and rejects on lineitem (W-01, W-02, A-07, K-04, A-03) ---------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from dimkiln.functions import flags as FL  # noqa: E402
-from dimkiln.functions import text as TX  # noqa: E402
-from dimkiln.operators import dedup as D  # noqa: E402
-from dimkiln.operators import typed_load as TL  # noqa: E402
-from dimkiln.sources import files as SRC  # noqa: E402
 
 _LI_DUPS = Q.with_(Q.LINEITEM_RANKED, Q.LINEITEM_DUPS)
 
@@ -286,8 +292,6 @@ def q_scd1_composite(spark, sf):
 
 # --- source metadata (F-01, F-02, A-01, A-02, A-06, C-01, J-05, M-04, P-03, P-05, P-06) ------
 
-from dimkiln.operators import metadata as M  # noqa: E402
-
 
 def _sources(spark, sf):
     return S.sources_from_supplier(S.read(spark, sf, "supplier"))
@@ -380,8 +384,6 @@ def q_map_columns(spark, sf):
 
 # --- audit log, checkpoints, retention (K-07, P-16, O-01, C-03, X-07) -----------------
 
-from dimkiln.operators import audit as AU  # noqa: E402
-
 
 def audit_events(spark, sf):
     """``events`` as an append-only audit log: one row per status change of a run."""
@@ -434,7 +436,6 @@ def q_retention_purge(spark, sf):
 
 # --- bulk-load logs (F-06, P-11) -----------------------------------------------------------
 
-from dimkiln.sources import bulk_log as BL  # noqa: E402
 
 _EDGE = TX.EDGE_WS_PATTERN
 
@@ -454,8 +455,6 @@ def q_bulk_log_rejects(spark, sf):
 
 # --- rebuild and schema evolution (M-06, M-07, M-11, O-03) --------------------------------
 
-from dimkiln.operators import evolve as EV  # noqa: E402
-from dimkiln.spec import DimensionSpec  # noqa: E402
 
 REBUILD_SPEC = DimensionSpec(
     name="Customer", keys=("c_custkey",),
@@ -491,7 +490,6 @@ def q_union_distinct(spark, sf):
 
 # --- facts (X-01..X-06) ---------------------------------------------------------------------
 
-from dimkiln.operators import facts as FX  # noqa: E402
 
 _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
 
@@ -598,8 +596,6 @@ def q_fact_measure_totals(spark, sf):
 
 # --- flagship: load one source, then merge it (R-02 + M-01) ------------------------------
 
-from dimkiln.plans import pipeline as PL  # noqa: E402
-
 
 def customer_pipeline(spark, sf) -> tuple[PL.SourceLoad, scd.MergeResult]:
     text = SRC.scan_source(spark, sf, "customer.parquet", as_text=True, lineage=True)

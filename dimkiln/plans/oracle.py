@@ -9,7 +9,7 @@ is assembled from the same specs the Spark side uses.
 
 from __future__ import annotations
 
-from dimkiln.functions.text import SANITIZE_PATTERN, WHITESPACE
+from dimkiln.functions.text import SANITIZE_PATTERN
 from dimkiln.plans import scenarios as S
 from dimkiln.spec import (EFFECTIVE, EXPIRY, INSERTED, IS_CURRENT, IS_DELETED, REASON,
                           UPDATED, DimensionSpec)

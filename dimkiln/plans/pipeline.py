@@ -160,13 +160,7 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
 
     staged = spark.read.parquet(layout.staging(name)).drop(INSERTED)
     table = store.SnapshotTable(spark, layout.dimension(name))
-    dim = table.read()
-    if dim is None:
-        from dimkiln.operators.evolve import rebuild_dimension
-        dim = rebuild_dimension(staged.limit(0).withColumn(spec.sk, F.lit(None).cast("long")),
-                                spec, run_ts)
-    result = scd.merge(dim, staged, spec, run_ts)                                # M-01 / M-02
-    _, counts = store.write_with_counts(result.flagged, table, scd.merge_count_columns())
+    counts = _merge_into(spark, table, staged, spec, run_ts)                      # M-01 / M-02
     state = spark.createDataFrame([(name, "load", dt.datetime.fromisoformat(run_ts))],
                                   "Source_Name string, Kind string, Checkpoint_Time timestamp_ntz")
     store.append(state, layout.state)                                            # C-03

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimkiln.operators.metadata import MAPPING_SPEC
 from dimkiln.spec import (EFFECTIVE, EXPIRY, INSERTED, IS_CURRENT, IS_DELETED, REASON,
                           UPDATED, DimensionSpec)
 
@@ -189,8 +190,6 @@ def sources_from_supplier(supplier: DataFrame) -> DataFrame:
     return biz.unionByName(spark.createDataFrame(sys_rows, biz.schema))
 
 
-from dimkiln.operators.metadata import MAPPING_SPEC  # noqa: E402  (the mapping dimension)
-
 # Shipping-date windows of yesterday's and today's mapping sheet.
 MAPPING_OLD_BEFORE = "1999-01-01 00:00:00"
 MAPPING_NEW_FROM = "1997-01-01 00:00:00"

@@ -48,11 +48,12 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return _first_by_aggregate(df, keys, order, df.columns)
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """W-02 + A-07: every member of a key group with more than one row.
+def mark_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Every row with ``dup_count`` (its key group's size) and ``was_kept``.
 
-    Adds ``dup_count`` (group size) and ``was_kept`` (the member
-    ``dedup_first`` keeps). NULL keys form a group, as in the reference.
+    One shuffle gives both de-duplication outputs: the kept rows
+    (``was_kept``) and the duplicate log (``dup_count > 1``). NULL keys form a
+    group, as in the reference.
 
     Hot keys (``skew.hot_keys``: at least the configured row count, a bounded
     list) are split off map-side; their statistics come from a partial
@@ -67,9 +68,8 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def by_window(rows: DataFrame) -> DataFrame:
-        return (rows.select(*df.columns, F.count(F.lit(1)).over(whole).alias(DUP_COUNT),
-                            (F.row_number().over(w) == 1).alias(WAS_KEPT))
-                .filter(F.col(DUP_COUNT) > 1))
+        return rows.select(*df.columns, F.count(F.lit(1)).over(whole).alias(DUP_COUNT),
+                           (F.row_number().over(w) == 1).alias(WAS_KEPT))
 
     if hot.isEmpty():
         return by_window(df)
@@ -86,6 +86,15 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return hot_part.unionByName(by_window(df.join(hot_b, on, "left_anti")))
 
 
+def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """W-02 + A-07: every member of a key group with more than one row.
+
+    Adds ``dup_count`` (group size) and ``was_kept`` (the member kept by
+    de-duplication); see ``mark_duplicates``.
+    """
+    return mark_duplicates(df, keys, order).filter(F.col(DUP_COUNT) > 1)
+
+
 def reject_rows(dups: DataFrame, keys: Sequence[str], source_name: str, audit_id: int,
                 raw_columns: Sequence[str], file_col: str | None = None,
                 row_col: str | None = None) -> DataFrame:

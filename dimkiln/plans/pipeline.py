@@ -13,6 +13,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +38,23 @@ class SourceLoad:
     staging: DataFrame      # typed, de-duplicated rows stamped with Inserted_Datetime
     rejects: DataFrame      # duplicates (all members) and rows that failed typing
     scanned: DataFrame      # the cleaned text rows with lineage, for file lineage
+    marked: DataFrame | None = None   # persisted de-dup marks (release after the writes)
+
+    def release(self) -> None:
+        if self.marked is not None:
+            self.marked.unpersist()
 
 
 def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit_id: int,
-                run_ts: str, order_cols: Sequence[str] = (FILE_NAME, ROW_NUMBER)) -> SourceLoad:
-    """R-02: one source from raw text rows to a staging frame and its rejects."""
+                run_ts: str, order_cols: Sequence[str] = (FILE_NAME, ROW_NUMBER),
+                persist: bool = False) -> SourceLoad:
+    """R-02: one source from raw text rows to a staging frame and its rejects.
+
+    De-duplication is one shuffle (``mark_duplicates``) feeding both the kept
+    rows and the duplicate log; with ``persist`` the marked rows are kept
+    (memory and disk) so the staging write and the reject write read them
+    once. Call ``release()`` after the writes.
+    """
     data_cols = [c for c in text_df.columns if not c.startswith("_")]
     df = sanitize_frame(text_df, data_cols)                                   # P-01, P-02
     if spec.source_columns:
@@ -55,10 +68,13 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
     file_col = FILE_NAME if FILE_NAME in df.columns else None
     row_col = ROW_NUMBER if ROW_NUMBER in df.columns else None
 
-    dups = D.duplicate_rows(df, spec.keys, order)                             # W-02
+    marked = D.mark_duplicates(df, spec.keys, order)                          # W-01, W-02
+    if persist:
+        marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
+    dups = marked.filter(F.col(D.DUP_COUNT) > 1)
     dup_rejects = D.reject_rows(dups, spec.keys, source_name, audit_id, raw_cols,
                                 file_col, row_col).drop(D.WAS_KEPT)            # K-04, P-09, P-10
-    first = D.dedup_first(df, spec.keys, order)                                # W-01
+    first = marked.filter(F.col(D.WAS_KEPT)).drop(D.DUP_COUNT, D.WAS_KEPT)
     typed = TL.split(first, spec)                                              # K-02, M-09
     type_rejects = typed.rejects.select(
         F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"),
@@ -67,7 +83,8 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
         (F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")).alias("Row_Number"),
         "Rejected_Reason", row_json(list(spec.columns)).alias("Raw_Data"))
     staging = typed.good.withColumn(INSERTED, F.lit(run_ts).cast("timestamp_ntz"))   # P-07
-    return SourceLoad(source_name, staging, dup_rejects.unionByName(type_rejects), df)
+    return SourceLoad(source_name, staging, dup_rejects.unionByName(type_rejects), df,
+                      marked if persist else None)
 
 
 @dataclass
@@ -145,7 +162,7 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
     text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names)
     if not text.columns:
         return {"rows": 0, "files": 0}
-    load = load_source(text, spec, name, audit_id, run_ts)
+    load = load_source(text, spec, name, audit_id, run_ts, persist=True)
     store.write_staging(load.staging, layout.staging(name))                     # K-01
     rejects = load.rejects
     if bad_names:
@@ -157,6 +174,7 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
     lineage = file_lineage(load.scanned, audit_id, int(source.get("Source_Import_SK") or 0))
     store.append(lineage.withColumn("Source_Name", F.lit(name)), layout.lineage)  # K-08
     stats = lineage.agg(F.sum("File_Row_Count").alias("rows"), F.count(F.lit(1)).alias("files")).first()
+    load.release()
 
     staged = spark.read.parquet(layout.staging(name)).drop(INSERTED)
     table = store.SnapshotTable(spark, layout.dimension(name))

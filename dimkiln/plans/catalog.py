@@ -652,3 +652,21 @@ def q_scd2_merge_orders(spark, sf):
 @query("scd2_merge_orders_counts", _ORDERS_CTES + Q.COUNTS_SELECT)
 def q_scd2_merge_orders_counts(spark, sf):
     return orders_result(spark, sf).counts()
+
+
+@query("pipeline_lineitem", """SELECT
+  (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k) AS Staged_Rows,
+  (SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem
+     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d) AS Duplicate_Rejects,
+  CAST(0 AS BIGINT) AS Type_Rejects""")
+def q_pipeline_lineitem(spark, sf):
+    """R-02 on the largest table: text scan with lineage, sanitize, one-shuffle
+    de-duplication, typed load; the counts that do not depend on file order."""
+    text = SRC.scan_source(spark, sf, "lineitem.parquet", as_text=True, lineage=True)
+    load = PL.load_source(text, S.LINEITEM_PIPELINE, "LineItem", 1, S.T1)
+    is_dup = F.col("Rejected_Reason").startswith(TX.DUPLICATE_PREFIX)
+    kinds = load.staging.select(F.lit("staged").alias("kind")).unionByName(
+        load.rejects.select(F.when(is_dup, F.lit("duplicate")).otherwise(F.lit("type")).alias("kind")))
+    return kinds.agg(F.count_if(F.col("kind") == "staged").alias("Staged_Rows"),
+                     F.count_if(F.col("kind") == "duplicate").alias("Duplicate_Rejects"),
+                     F.count_if(F.col("kind") == "type").alias("Type_Rejects"))

@@ -324,3 +324,13 @@ def orders_dim_scd2(orders: DataFrame) -> DataFrame:
         INSERTED: ts(T_HIST), UPDATED: ts(T0), IS_DELETED: F.lit(0),
         IS_CURRENT: F.lit(0), EFFECTIVE: ts(T_HIST), EXPIRY: ts(T0)})
     return current.unionByName(hist)
+
+
+# The line source as a staged load: declared types of its columns.
+LINEITEM_PIPELINE = DimensionSpec(
+    name="LineItem", keys=LINEITEM_KEYS, type1=LINEITEM_SCD1.type1,
+    required=("l_orderkey", "l_linenumber", "l_quantity"),
+    types={"l_orderkey": "BIGINT", "l_linenumber": "INT", "l_partkey": "BIGINT",
+           "l_suppkey": "BIGINT", "l_quantity": "DECIMAL(12,2)", "l_extendedprice": "DECIMAL(12,2)",
+           "l_discount": "DECIMAL(4,2)", "l_tax": "DECIMAL(4,2)", "l_returnflag": "VARCHAR(1)",
+           "l_linestatus": "VARCHAR(1)", "l_shipdate": "DATETIME"})

@@ -232,9 +232,12 @@ def test_scd2_matches_stepwise(spark, case):
     want, want_counts = stepwise.run(pdim, pstg, ["k"], ["name", "val"], ["seg"], TEXT, "Place_SK")
     assert _norm(got) == _norm(want[dim.columns].itertuples(index=False))
     assert {k: counts[k] for k in want_counts} == want_counts
-    # properties: SKs unique; one active current row per key
+    # properties: SKs unique; one active current row per key; a second merge
+    # with the same staging changes nothing (idempotent)
     sks = [r["Place_SK"] for r in got]
     assert len(sks) == len(set(sks))
+    again = scd.scd2_merge(res.rows, stg, SCD2, "2024-03-01 00:00:00").counts().first().asDict()
+    assert sum(again.values()) == 0
     assert K.active_key_violations(res.rows, ["k"], scd2=True).count() == 0 or any(
         sum(1 for r in dim_rows if r[1] == k and r[6] == 1 and r[5] == 0) > 1 for k in range(6))
 

@@ -138,6 +138,19 @@ def audit_event(spark: SparkSession, audit_id: int, source_sk: int, status: str,
     return spark.createDataFrame([row], schema).withColumn("Source_Name", F.lit(str(source_sk)))
 
 
+def next_audit_id(spark: SparkSession, layout: Layout) -> int:
+    """K-07: the key of a new run: one above the largest key in the audit log.
+
+    One scalar aggregate over the append-only log (single writer assumed).
+    """
+    try:
+        row = spark.read.parquet(layout.audit).agg(
+            F.max("Audit_Source_Import_SK").alias("m")).first()
+    except Exception:  # no audit log yet
+        return 1
+    return int(row["m"] or 0) + 1
+
+
 @dataclass
 class RunReport:
     status: str
@@ -186,7 +199,8 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
 
 
 def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
-                specs: dict[str, DimensionSpec], run_ts: str, data_root: str, audit_id: int,
+                specs: dict[str, DimensionSpec], run_ts: str, data_root: str,
+                audit_id: int | None = None,
                 requested: Sequence[str] | None = None,
                 on_source: Callable[[str], None] | None = None) -> RunReport:
     """R-01: run active sources in order; stop at the first failure.
@@ -196,6 +210,8 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
     (K-09). The final status reflects the failure (decision D-9).
     """
     start = dt.datetime.now()
+    if audit_id is None:
+        audit_id = next_audit_id(spark, layout)
     store.append(audit_event(spark, audit_id, 0, RUNNING, start, pattern="Full ETL Run"), layout.audit)
     active = [r.asDict() for r in M.active_sources(sources, requested).collect()]   # F-01, O-02
     report = RunReport(SUCCESS)

@@ -108,6 +108,7 @@ def test_run_sources_end_to_end(spark, scratch):
     assert sum(c2[k] for k in ("Inserted_Count", "Updated_Count", "Deleted_Count",
                                "Reactivated_Count", "Expired_Count")) == 0
     assert store.SnapshotTable(spark, layout.dimension("Places")).current_path().endswith("v000002")
+    assert PL.next_audit_id(spark, layout) == 9
 
 
 def test_refresh_metadata_skipped_without_sheets(spark, scratch):

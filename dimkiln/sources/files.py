@@ -10,7 +10,7 @@ from __future__ import annotations
 import fnmatch
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -80,6 +80,34 @@ def with_lineage(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
                      (F.col("_metadata.row_index") + header_rows + 1).alias(ROW_NUMBER))
 
 
+def with_block_row_numbers(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
+    """S-05 for line-based files (CSV, JSON lines), which have no ``row_index``.
+
+    A file is read as splits; each row carries its split's start offset
+    (``_metadata.file_block_start``) and its position inside the task
+    (``monotonically_increasing_id``), both deterministic for a file scan.
+    Per split the first position and the row count are aggregated (one row
+    per split, a bound set by the input size over the split size), turned
+    into running offsets per file, and joined back: row number = rows in
+    earlier splits of the file + position in the split + ``header_rows`` + 1.
+    """
+    tagged = df.select(
+        "*", F.col("_metadata.file_name").alias(FILE_NAME),
+        F.col("_metadata.file_path").alias(FILE_PATH),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_mid"))
+    blocks = tagged.groupBy(FILE_PATH, "_blk").agg(F.min("_mid").alias("_first"),
+                                                   F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy(FILE_PATH).orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = blocks.select(FILE_PATH, "_blk", "_first",
+                            F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_before"))
+    return (tagged.join(offsets, [FILE_PATH, "_blk"], "inner")
+            .withColumn(ROW_NUMBER, F.col("_before") + (F.col("_mid") - F.col("_first"))
+                        + header_rows + 1)
+            .drop("_blk", "_mid", "_first", "_before"))
+
+
 def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
                 fmt: str | None = None, schema: StructType | None = None,
                 as_text: bool = True, lineage: bool = True,
@@ -119,9 +147,8 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
         df = reader.format(fmt).load(directory)
     if lineage and fmt in ("parquet", "orc"):
         df = with_lineage(df)
-    elif lineage and fmt != "xlsx":
-        df = df.select("*", F.col("_metadata.file_name").alias(FILE_NAME),
-                       F.col("_metadata.file_path").alias(FILE_PATH))
+    elif lineage and fmt in ("csv", "json"):
+        df = with_block_row_numbers(df, HEADER_ROWS if fmt == "csv" else 0)
     if as_text:
         df = df.select(*[F.col(c).cast("string").alias(c) if c not in (ROW_NUMBER,) else F.col(c)
                          for c in df.columns])

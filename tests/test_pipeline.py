@@ -278,3 +278,26 @@ def test_snapshot_survives_a_crashed_write(spark, scratch):
     assert t.read().count() == 1                   # readers still see the committed snapshot
     path = t.write(df.union(df))
     assert path.endswith("v000003") and t.read().count() == 2
+
+
+def test_csv_row_numbers_across_splits(spark, scratch):
+    src = f"{scratch}/csv"
+    os.makedirs(src)
+    expected = {}
+    for f, n in (("a.csv", 700), ("b.csv", 45)):
+        with open(f"{src}/{f}", "w") as fh:
+            fh.write("code,name\n")
+            for i in range(n):
+                fh.write(f"K{i % 97},row {i} of {f}\n")
+        expected[f] = list(range(2, n + 2))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")    # several splits per file
+    try:
+        df = files.scan_source(spark, src, "*.csv")
+        rows = df.select("name", files.FILE_NAME, files.ROW_NUMBER).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for f in expected:
+        got = sorted((r[files.ROW_NUMBER], r["name"]) for r in rows if r[files.FILE_NAME] == f)
+        assert [g[0] for g in got] == expected[f]
+        assert all(name == f"row {num - 2} of {f}" for num, name in got)

@@ -97,3 +97,31 @@ def test_convert_and_errors(spark):
 def test_names():
     assert sk_column_for("[DW].[Dim_Places]") == "Places_SK"
     assert qualify("[Dim_X]") == "dbo.Dim_X" and qualify("DW.Dim_X") == "DW.Dim_X"
+
+
+def test_typed_load_declared_types(spark):
+    from dimkiln.operators import typed_load as TL
+    from dimkiln.spec import DimensionSpec
+    spec = DimensionSpec(
+        name="T", keys=("k",), type1=("flag", "day", "at", "amount", "note", "other"),
+        required=("k",),
+        types={"k": "INT", "flag": "BIT", "day": "DATE", "at": "DATETIME2",
+               "amount": "DECIMAL(5,2)", "note": "NVARCHAR(MAX)", "other": "GEOGRAPHY"})
+    rows = [("1", "1", "2024-01-31", "2024-01-31 10:20:30", "123.45", "x" * 9000, "ok"),
+            ("2", "yes", "2024-02-30", "31/01/2024", "1234.5", None, "y" * 8001),
+            (" ", "0", "", "", "", "", "")]
+    text = spark.createDataFrame(rows, "k string, flag string, day string, at string, "
+                                       "amount string, note string, other string")
+    out = TL.split(text, spec)
+    good = out.good.collect()
+    assert len(good) == 1
+    g = good[0]
+    assert (g["k"], g["flag"], str(g["day"]), str(g["at"]), str(g["amount"])) == \
+        (1, 1, "2024-01-31", "2024-01-31 10:20:30", "123.45")
+    assert len(g["note"]) == 9000                      # MAX: no length limit
+    reasons = {r["k"]: r["Rejected_Reason"] for r in out.rejects.collect()}
+    assert reasons["2"] == ("TYPE_ERROR: day='2024-02-30' is not DATE; "
+                            "TYPE_ERROR: at='31/01/2024' is not DATETIME2; "
+                            "TYPE_ERROR: amount='1234.5' is not DECIMAL(5,2); "
+                            "TOO_LONG: other > 8000")
+    assert reasons[" "] == "NULL_KEY: k"               # blank key; blank values are NULL, not errors

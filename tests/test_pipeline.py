@@ -191,6 +191,10 @@ def test_bulk_log_reader(spark, scratch):
     out = bulk_log.log_rejects(logs, "text", ["File_Name"]).collect()
     assert [(r["Line_Number"], r["Rejected_Reason"]) for r in out] == [
         (3, "BCP_REJECTED: row 3: string data truncated")]
+    full = bulk_log.log_reject_rows(logs, "text", "Places", 4).collect()
+    assert [(r["Row_Number"], r["File_Name"]) for r in full] == [(3, "bcp_1.log")]
+    assert full[0]["Raw_Data"] == ('{"error_line":3,"bcp_error":"row 3: string data truncated",'
+                                   '"file_name":"bcp_1.log"}')
 
 
 def test_sinks_text_export_and_snapshot(spark, scratch):

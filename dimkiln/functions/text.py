@@ -48,12 +48,16 @@ def sanitize(c: Column | str) -> Column:
     """P-01 + P-02: newline, CR, tab, backslash and whitespace runs -> one space; trim.
 
     Every whitespace character and the backslash is mapped to a space by
-    ``translate`` (one pass, no regex), then runs of spaces collapse to one;
-    the result equals ``regexp_replace(c, SANITIZE_PATTERN, ' ')`` + trim.
+    ``translate`` (one pass, no regex), then runs of spaces collapse to one
+    (the regex runs only on values that hold a double space); the result
+    equals ``regexp_replace(c, SANITIZE_PATTERN, ' ')`` + trim.
     """
     col = F.col(c) if isinstance(c, str) else c
     spaced = F.translate(col, WHITESPACE_CHARS + "\\", " " * (len(WHITESPACE_CHARS) + 1))
-    return F.trim(F.regexp_replace(spaced, "  +", " "))
+    # most values hold no double space: a cheap test skips the regex for them
+    collapsed = F.when(F.instr(spaced, "  ") > 0, F.regexp_replace(spaced, "  +", " ")) \
+        .otherwise(spaced)
+    return F.trim(collapsed)
 
 
 def collapse_ws(c: Column | str) -> Column:

@@ -37,7 +37,9 @@ def test_no_cartesian_or_nested_loop_anywhere(spark):
 
 def test_dedup_is_partial_aggregate_not_window(spark):
     plan = _plan(C.QUERIES["dedup_first"](spark, SF_MID))
-    assert "Window" not in plan and "SortAggregate" in plan or "HashAggregate" in plan
+    assert "Window" not in plan
+    assert "SortAggregate" in plan or "ObjectHashAggregate" in plan or "HashAggregate" in plan
+    assert plan.count("Exchange hashpartitioning") == 1          # one shuffle of the rows
 
 
 def test_scan_prunes_and_pushes(spark):
@@ -47,3 +49,9 @@ def test_scan_prunes_and_pushes(spark):
     assert "l_orderkey" not in plan.split("ReadSchema")[1].split("\n")[0]
     inc = _plan(C.QUERIES["fact_incremental"](spark, SF_MID))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThan(l_shipdate" in inc
+
+
+def test_duplicate_rows_is_one_shuffle_without_hot_keys(spark):
+    plan = _plan(C.QUERIES["duplicate_rows"](spark, SF_MID))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Window" in plan and "Join" not in plan

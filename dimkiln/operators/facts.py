@@ -14,7 +14,7 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimkiln.spec import IS_CURRENT, IS_DELETED
+from dimkiln.spec import IS_CURRENT
 
 # Reject reason prefixes of fact loads.
 MISSING_FK = "MISSING_FK"
@@ -118,7 +118,3 @@ def fact_merge(existing: DataFrame, incoming: DataFrame, grain: Sequence[str],
         *[F.col(f"_n_{c}").alias(c) for c in grain + measures], ts.alias("Inserted_Datetime"),
         F.lit(None).cast("timestamp_ntz").alias("Updated_Datetime"), F.lit("insert").alias("Action"))
     return kept.unionByName(new)
-
-
-def active_dimension_rows(dim: DataFrame) -> DataFrame:
-    return dim.filter(F.col(IS_DELETED) == 0)

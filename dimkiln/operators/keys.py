@@ -26,12 +26,6 @@ _OFF = "_sk_off"
 _CNT = "_sk_cnt"
 
 
-def max_sk(dim: DataFrame, sk_col: str) -> int:
-    """Largest surrogate key in use (0 for an empty dimension); one scalar to the driver."""
-    row = dim.agg(F.max(F.col(sk_col)).alias("m")).first()
-    return int(row["m"]) if row and row["m"] is not None else 0
-
-
 def sk_start(dim: DataFrame, sk_col: str) -> Column:
     """Largest surrogate key in use as a scalar subquery (0 when empty).
 

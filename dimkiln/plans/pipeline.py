@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkiln.functions.text import last_line, row_json, sanitize_frame
+from dimkiln.functions.text import row_json, sanitize_frame
 from dimkiln.operators import dedup as D
 from dimkiln.operators import metadata as M
 from dimkiln.operators import scd
@@ -318,8 +318,3 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
         store.append(audit_event(spark, audit_id, 0, FAILED, start, dt.datetime.now(),
                                  detail=str(exc)), layout.audit)
         raise
-
-
-def error_summary(message_col) -> object:
-    """P-17 on a column of messages."""
-    return last_line(message_col)

@@ -98,10 +98,6 @@ LINEITEM_SCD1 = DimensionSpec(
            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
 
 
-def lineitem_order_cols() -> tuple[str, ...]:
-    return LINEITEM_ORDER
-
-
 def lineitem_staging(lineitem_dedup: DataFrame) -> DataFrame:
     """Composite-key staging: de-duplicated lines except orders divisible by 7."""
     return lineitem_dedup.filter(F.col("l_orderkey") % 7 != 0)

@@ -305,3 +305,24 @@ def test_csv_row_numbers_across_splits(spark, scratch):
         got = sorted((r[files.ROW_NUMBER], r["name"]) for r in rows if r[files.FILE_NAME] == f)
         assert [g[0] for g in got] == expected[f]
         assert all(name == f"row {num - 2} of {f}" for num, name in got)
+
+
+def test_small_public_helpers(spark, scratch):
+    from dimkiln.functions.flags import as_bit
+    from dimkiln.operators import facts as FX
+    from dimkiln.operators import metadata as M
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-03-01 00:00:00")],
+                               "k int, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    mark = FX.next_high_water_mark(df, "t").first()["High_Water_Mark"]
+    assert str(mark) == "2024-03-01 00:00:00"
+    assert FX.incremental(df, "t", "2024-02-01 00:00:00").count() == 1
+    df.write.parquet(f"{scratch}/t")
+    assert files.read_table(spark, f"{scratch}/t", ["k"]).columns == ["k"]
+    assert [r[0] for r in df.select(as_bit(F.col("k") > 1)).orderBy(F.col("k")).collect()] == [0, 1]
+    src = spark.createDataFrame([("A", "[ODS].[A]", "[DW].[Dim_A]", None, None)],
+                                "Source_Name string, Staging_Table string, DW_Table_Name string, "
+                                "Merge_Proc_Name string, Source_Import_SK long")
+    row = M.source_lookup(src).first()
+    assert (row["Merge_Proc_Name"], row["Source_Import_SK"]) == ("ETL.SP_Merge_Dim_A", 0)
+    mapping = spark.createDataFrame(PLACES_MAPPING)
+    assert M.spec_columns_from(mapping, "Places")["Place code"] == "Place_Code"

@@ -73,10 +73,16 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def sanitize_frame(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Apply ``sanitize`` to every string column (or the given ones) in one projection."""
+    """Apply ``sanitize`` to every string column (or the given ones) in one projection.
+
+    Columns tagged as text made from a number, date, timestamp or boolean
+    (``sources.files.as_text_frame``) are left as they are: their text holds
+    no edge or repeated whitespace and no backslash, so clean-up is identity.
+    """
     names = list(columns) if columns is not None else [
         f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return df.withColumns({n: sanitize(F.col(n)) for n in names})
+    typed = {f.name for f in df.schema.fields if "dimkiln.typed_origin" in (f.metadata or {})}
+    return df.withColumns({n: sanitize(F.col(n)) for n in names if n not in typed})
 
 
 def normalise_header(raw: str) -> str:

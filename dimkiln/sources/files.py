@@ -150,11 +150,36 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
     elif lineage and fmt in ("csv", "json"):
         df = with_block_row_numbers(df, HEADER_ROWS if fmt == "csv" else 0)
     if as_text:
-        df = df.select(*[F.col(c).cast("string").alias(c) if c not in (ROW_NUMBER,) else F.col(c)
-                         for c in df.columns])
+        df = as_text_frame(df)
     return df
 
 
+# Atomic types whose text form never holds what clean-up changes (no edge or
+# repeated whitespace, no backslash): such columns are tagged so clean-up can
+# skip an identity step.
+_PLAIN_TEXT_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean",
+                     "date", "timestamp", "timestamp_ntz")
+TYPED_ORIGIN = "dimkiln.typed_origin"
+
+
+def as_text_frame(df: DataFrame) -> DataFrame:
+    """Every column as text (how a spreadsheet row arrives), lineage columns kept.
+
+    Columns converted from a number, date, timestamp or boolean carry their
+    original type in the column metadata (``TYPED_ORIGIN``).
+    """
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if f.name == ROW_NUMBER or t == "string":
+            out.append(F.col(f.name))
+        elif t in _PLAIN_TEXT_TYPES or t.startswith("decimal"):
+            out.append(F.col(f.name).cast("string").alias(f.name, metadata={TYPED_ORIGIN: t}))
+        else:
+            out.append(F.col(f.name).cast("string").alias(f.name))
+    return df.select(*out)
+
+
 def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
     """S-06: a stored ODS or dimension table; selecting columns prunes the scan."""
     df = spark.read.parquet(path)

@@ -125,3 +125,13 @@ def test_typed_load_declared_types(spark):
                             "TYPE_ERROR: amount='1234.5' is not DECIMAL(5,2); "
                             "TOO_LONG: other > 8000")
     assert reasons[" "] == "NULL_KEY: k"               # blank key; blank values are NULL, not errors
+
+
+def test_text_from_numbers_skips_identity_cleanup(spark):
+    from dimkiln.sources.files import TYPED_ORIGIN, as_text_frame
+    df = spark.createDataFrame([(1, 2.5, " a  b\\c ")], "n int, x double, s string")
+    t = as_text_frame(df)
+    tagged = {f.name for f in t.schema.fields if TYPED_ORIGIN in f.metadata}
+    assert tagged == {"n", "x"}
+    out = text.sanitize_frame(t, ["n", "x", "s"]).first()
+    assert (out["n"], out["x"], out["s"]) == ("1", "2.5", "a b c")

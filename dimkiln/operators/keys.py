@@ -5,8 +5,8 @@ partition: the rows are range-partitioned on the order columns and sorted
 inside each partition, checkpointed so that every later read sees the same
 partitions, counted per partition, and each row gets
 ``start + rows in earlier partitions + position in its partition``. Only the
-per-partition counts (one row per partition) are broadcast, so the broadcast
-side has a proven bound: the partition count.
+per-partition counts (one number per partition) reach the driver, and the
+offsets are broadcast back, so both have a proven bound: the partition count.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from typing import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.session import checkpoint_dir
@@ -58,10 +58,15 @@ def assign_sk(df: DataFrame, order_cols: Iterable[str | Column], sk_col: str,
         src.unpersist()
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(
         _POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    # one row per partition: the running total is over a bounded, tiny frame
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    # one count per partition (a bound set by the partition count) reaches the
+    # driver; the running offsets go back as a broadcast of the same size
+    counts = sorted((r[_PID], r[_CNT]) for r in
+                    tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT)).collect())
+    running, rows = 0, []
+    for pid, cnt in counts:
+        rows.append((pid, running))
+        running += cnt
+    offsets = spark.createDataFrame(rows, f"{_PID} int, {_OFF} long")
     return (tagged.join(F.broadcast(offsets), _PID, "inner")
             .withColumn(sk_col, ((start if isinstance(start, Column) else F.lit(start))
                                  + F.col(_OFF) + F.col(_POS) + 1).cast("long"))

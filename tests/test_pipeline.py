@@ -326,3 +326,19 @@ def test_small_public_helpers(spark, scratch):
     assert (row["Merge_Proc_Name"], row["Source_Import_SK"]) == ("ETL.SP_Merge_Dim_A", 0)
     mapping = spark.createDataFrame(PLACES_MAPPING)
     assert M.spec_columns_from(mapping, "Places")["Place code"] == "Place_Code"
+
+
+def test_json_lines_row_numbers(spark, scratch):
+    src = f"{scratch}/json"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        for i in range(300):
+            fh.write('{"code": "K%d", "note": "line %d"}\n' % (i % 50, i))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        rows = files.scan_source(spark, src, "*.json").select("note", files.ROW_NUMBER).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted((r[files.ROW_NUMBER], r["note"]) for r in rows)
+    assert got == [(i + 1, f"line {i}") for i in range(300)]

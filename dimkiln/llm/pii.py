@@ -133,15 +133,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumns(
         {k: _found(text, k, STRICT[k], valid) for k in KINDS})
     strict = F.concat(*[F.col(k) for k in KINDS])
+
+    def occurrences(kind: str, found: Column, seed: bool) -> Column:
+        return F.transform(found, lambda m: F.struct(
+            F.lit(kind).alias("kind"), F.lit(seed).alias("seed"), m["start"].alias("start"), m["end"].alias("end"),
+            F.lower(m["value"]).alias("value"), _neighbours(text, m)[0].alias("before"),
+            _neighbours(text, m)[1].alias("after")))
+
     seen = []
     for kind in KINDS:
         loose = F.filter(_found(text, kind, LOOSE[kind], plausible),
                          lambda m: ~F.exists(F.col("strict"), lambda s: _overlaps(m, s)))
-        for found, seed in ((F.col(kind), True), (loose, False)):
-            seen.append(F.transform(found, lambda m, kind=kind, seed=seed: F.struct(
-                F.lit(kind).alias("kind"), F.lit(seed).alias("seed"), m["start"].alias("start"), m["end"].alias("end"),
-                F.lower(m["value"]).alias("value"), _neighbours(text, m)[0].alias("before"),
-                _neighbours(text, m)[1].alias("after"))))
+        seen += [occurrences(kind, F.col(kind), True), occurrences(kind, loose, False)]
     return materialise(
         base.withColumn("strict", strict).withColumn("seen", F.concat(*seen))
         .select("id", F.monotonically_increasing_id().alias("row"), *KINDS, "seen"), "pii-scan")
@@ -239,11 +242,13 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every row of ``documents``."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data(docs)
-    both = [F.sort_array(F.concat(
-        F.transform(F.col(k), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))),
-        F.transform(F.filter("found", lambda m, k=k: m["kind"] == k),
-                    lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))))) for k in KINDS]
+
+    def merged(kind: str) -> Column:
+        place = lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
+        added = F.filter("found", lambda m: m["kind"] == kind)
+        return F.sort_array(F.concat(F.transform(F.col(kind), place), F.transform(added, place)))
+
     return found.select(
         F.col("id").alias("doc_id"), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(_listed([_named(k, F.col(k)) for k in KINDS]).cast("binary"), 256).alias("base_sha256"),
-        _listed([_named(k, b) for k, b in zip(KINDS, both)]).alias("spans"))
+        _listed([_named(k, merged(k)) for k in KINDS]).alias("spans"))

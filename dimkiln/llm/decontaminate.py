@@ -175,7 +175,8 @@ def _match_column(spark: SparkSession, items: list[tuple[int, str]], text: Colum
         for texts in batches:
             yield pd.Series([matcher.search(t if isinstance(t, str) else None) for t in texts])
 
-    return search(text)
+    # evaluated once: Spark would repeat a deterministic call in the filter it infers
+    return search.asNondeterministic()(text)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches", text_col: str = "text",

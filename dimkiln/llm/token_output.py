@@ -79,8 +79,8 @@ class CachedTokenizer:
         for w in words:
             stem = w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalnum() else w
             stems[w] = stem
-        need = {s for s in stems.values() if s not in self.words}
-        need |= {w[-1:] for w, s in stems.items() if len(s) < len(w)} - self.words.keys()
+        tails = {w[-1:] for w, s in stems.items() if len(s) < len(w)}
+        need = {s for s in (*stems.values(), *tails) if s not in self.words}
         plain = [w for w in need if w.decode().isalpha()]
         # words of letters alone are one pre-token each, whose last id ends the word
         for i in range(0, len(plain), 64):

@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 
 def parse_flag(c: Column | str) -> Column:
-    """P-12: numeric 1 in any spelling (``1``, ``'1'``, ``' 1 '``, ``1.0``) is true.
+    """P-12: boolean true, and numeric 1 in any spelling (``1``, ``'1'``, ``' 1 '``,
+    ``1.0``), is true.
 
-    Blank, NULL, words and other numbers are false; never NULL.
+    Blank, NULL, words in text and other numbers are false; never NULL. A
+    boolean column is taken as it is, as ``spec.flag_value`` does.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.trim(col.cast("string")).try_cast("double") == F.lit(1.0), F.lit(False))
+    is_bool = F.typeof(col) == "boolean"
+    text = F.trim(col.cast("string"))
+    return F.when(is_bool, F.coalesce(text == "true", F.lit(False))).otherwise(
+        F.coalesce(text.try_cast("double") == F.lit(1.0), F.lit(False)))
 
 
 def as_bit(c: Column) -> Column:

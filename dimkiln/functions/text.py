@@ -130,3 +130,11 @@ def last_line(message: Column | str) -> Column:
     """P-17: last line of an error message."""
     col = F.col(message) if isinstance(message, str) else message
     return F.element_at(F.split(col, "\n"), -1)
+
+
+def error_line(exc: BaseException) -> str:
+    """P-17: one readable line for an audit row: the error's class, then its
+    first line that is not blank."""
+    lines = (line.strip() for line in str(exc).splitlines())
+    first = next((line for line in lines if line), "")
+    return f"{type(exc).__name__}: {first}" if first else type(exc).__name__

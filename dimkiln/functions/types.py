@@ -63,13 +63,18 @@ def convert(text: Column, dt: DeclaredType) -> Column:
 
     Empty text is NULL for non-text types (as a bulk load reads an empty
     field). BIT accepts what a boolean cast accepts (``1``/``0``/``true``...).
+    A bare number is not a date: a cast would read it as a year, where a
+    spreadsheet means a serial day.
     """
     if dt.spark_type == "string":
         return text
     blank_to_null = F.when(F.trim(text) == "", F.lit(None)).otherwise(text)
     if dt.is_bit:
         return F.trim(blank_to_null).try_cast("boolean").cast("int")
-    return F.trim(blank_to_null).try_cast(dt.spark_type)
+    value = F.trim(blank_to_null)
+    if dt.spark_type in ("date", "timestamp_ntz"):
+        value = F.when(~value.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$"), value)
+    return value.try_cast(dt.spark_type)
 
 
 def conversion_error(text: Column, value: Column, dt: DeclaredType) -> Column:

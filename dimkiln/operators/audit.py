@@ -71,6 +71,9 @@ def checkpoint_latest(state: DataFrame, source_col: str, time_col: str, kind_col
 
 
 def retention_purge(log: DataFrame, time_col: str, run_ts: str, days: int = 7) -> DataFrame:
-    """X-07: rows to keep under a retention period (default 7 days) at ``run_ts``."""
+    """X-07: rows to keep under a retention period (default 7 days) at ``run_ts``.
+
+    ``sinks.store.purge_log`` applies it to a stored log.
+    """
     cutoff = F.lit(run_ts).cast("timestamp_ntz") - F.make_interval(days=F.lit(days))
     return log.filter(F.col(time_col) >= cutoff)

@@ -7,9 +7,13 @@ no order and is not used.
 Both operators are skew-safe. ``dedup_first`` groups by the key with
 partial (map-side) aggregation, so a key holding a third of all rows is
 reduced in every map task before the shuffle instead of landing in one task
-as raw rows. ``duplicate_rows`` must return every member, so it splits hot
-keys off explicitly (bounded broadcast, map-side join) and marks the other
-groups, all below the hot-key size, with one window.
+as raw rows. ``duplicate_keys`` finds the keys held more than once the same
+way, reading only key and order columns, and writes them to the shared
+folder; ``mark_duplicates`` and ``duplicate_rows`` join the rows to that
+table with the rows on the left, so the join is broadcast when the table is
+small and otherwise a shuffle whose hot partitions AQE splits. There is one
+path at every size. The order must place one row first in every key:
+two rows that tie for first stop the job.
 """
 
 from __future__ import annotations
@@ -17,11 +21,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.text import duplicate_reason, row_json
-from dimkiln.operators.skew import hot_keys
+from dimkiln.session import write_shared
 
 DUP_COUNT = "dup_count"
 WAS_KEPT = "was_kept"
@@ -48,51 +52,70 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return _first_by_aggregate(df, keys, order, df.columns)
 
 
-def mark_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every row with ``dup_count`` (its key group's size) and ``was_kept``.
+def _key(col: Column, is_text: bool, collation: str | None) -> Column:
+    return F.collate(col, collation) if collation and is_text else col
+
+
+def _text_keys(df: DataFrame, keys: Sequence[str]) -> set[str]:
+    return {k for k in keys if df.schema[k].dataType.typeName() in ("string", "varchar", "char")}
 
-    One shuffle gives both de-duplication outputs: the kept rows
-    (``was_kept``) and the duplicate log (``dup_count > 1``). NULL keys form a
-    group, as in the reference.
 
-    Hot keys (``skew.hot_keys``: at least the configured row count, a bounded
-    list) are split off map-side; their statistics come from a partial
-    aggregate and a broadcast join. Every other group is then smaller than
-    the hot-key threshold, so one window over (key, order) marks them with a
-    single shuffle and bounded per-group buffers.
+def duplicate_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   collation: str | None = None) -> DataFrame:
+    """A-07: (``_dk_`` keys, ``dup_count``, ``_first_pos``) of every key with more than one row.
+
+    One partial aggregate over the key and order columns. Of the rows at the
+    first position the smallest and the largest row tag are kept: they differ
+    exactly when two rows tie, which raises. NULL keys form a group. Text
+    keys group under ``collation`` when one is given.
     """
-    keys = list(keys)
-    hot = hot_keys(df, keys)
-    # window partitioning keeps NULL keys together, so raw keys suffice here
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def by_window(rows: DataFrame) -> DataFrame:
-        return rows.select(*df.columns, F.count(F.lit(1)).over(whole).alias(DUP_COUNT),
-                           (F.row_number().over(w) == 1).alias(WAS_KEPT))
-
-    if hot.isEmpty():
-        return by_window(df)
-    hot_b = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    hot_rows = df.join(hot_b, on, "left_semi")
-    pos = F.struct(*[F.col(c) for c in order])
-    stats = hot_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(DUP_COUNT),
-                                        F.min(pos).alias("_first_pos"))
-    s = F.broadcast(stats.select(*[F.col(k).alias(f"_st_{k}") for k in keys], DUP_COUNT, "_first_pos"))
-    on_s = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_st_{k}")) for k in keys])
-    hot_part = hot_rows.join(s, on_s, "inner").select(
-        *df.columns, DUP_COUNT, pos.eqNullSafe(F.col("_first_pos")).alias(WAS_KEPT))
-    return hot_part.unionByName(by_window(df.join(hot_b, on, "left_anti")))
-
-
-def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    text = _text_keys(df, keys)
+    tagged = df.select(*[_key(F.col(k), k in text, collation).alias(f"_dk_{k}") for k in keys],
+                       F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("pos"),
+                       F.monotonically_increasing_id().alias("tag"))
+    found = (tagged.groupBy(*[f"_dk_{k}" for k in keys])
+             .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(F.struct("pos", "tag")).alias("lo"),
+                  F.min(F.struct(F.col("pos"), (-F.col("tag")).alias("tag"))).alias("hi"))
+             .filter(F.col(DUP_COUNT) > 1))
+    tie = F.raise_error(F.concat(F.lit("rows tie for first in key "),
+                                 F.to_json(F.struct(*[f"_dk_{k}" for k in keys]))))
+    first = F.when(F.col("lo.tag") == -F.col("hi.tag"), F.col("lo.pos")).otherwise(tie)
+    plain = [(F.collate(F.col(f"_dk_{k}"), "UTF8_BINARY") if collation and k in text else F.col(f"_dk_{k}"))
+             .alias(f"_dk_{k}") for k in keys]
+    return write_shared(found.select(*plain, DUP_COUNT, first.alias("_first_pos")), "duplicate-keys")
+
+
+def join_duplicate_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], order: Sequence[str],
+                        how: str, collation: str | None = None) -> DataFrame:
+    """``df`` joined to ``duplicate_keys``: adds ``dup_count`` and ``was_kept``."""
+    text = _text_keys(df, keys)
+    on = reduce(lambda a, b: a & b, [
+        _key(F.col(k), k in text, collation).eqNullSafe(_key(F.col(f"_dk_{k}"), k in text, collation)) for k in keys])
+    pos = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    kept = F.col("_first_pos").isNull() | pos.eqNullSafe(F.col("_first_pos"))
+    return df.join(found, on, how).select(
+        *df.columns, F.coalesce(DUP_COUNT, F.lit(1).cast("long")).alias(DUP_COUNT), kept.alias(WAS_KEPT))
+
+
+def mark_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    collation: str | None = None) -> DataFrame:
+    """Every row with ``dup_count`` (its key group's size) and ``was_kept``.
+
+    The kept rows are ``was_kept``, the duplicate log is ``dup_count > 1``.
+    """
+    found = duplicate_keys(df, keys, order, collation)
+    return join_duplicate_keys(df, found, keys, order, "left", collation)
+
+
+def duplicate_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   collation: str | None = None) -> DataFrame:
     """W-02 + A-07: every member of a key group with more than one row.
 
     Adds ``dup_count`` (group size) and ``was_kept`` (the member kept by
-    de-duplication); see ``mark_duplicates``.
+    de-duplication).
     """
-    return mark_duplicates(df, keys, order).filter(F.col(DUP_COUNT) > 1)
+    found = duplicate_keys(df, keys, order, collation)
+    return join_duplicate_keys(df, found, keys, order, "inner", collation)
 
 
 def reject_rows(dups: DataFrame, keys: Sequence[str], source_name: str, audit_id: int,
@@ -113,7 +136,15 @@ def reject_rows(dups: DataFrame, keys: Sequence[str], source_name: str, audit_id
         F.col(WAS_KEPT))
 
 
+def duplicate_reject_counts(df: DataFrame, keys: Sequence[str], source_name: str, audit_id: int) -> DataFrame:
+    """A-03 for duplicates, from key counts alone: no row and no other column is shuffled."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return (sizes.groupBy(F.lit(source_name).alias("Source_Name"),
+                          F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"))
+            .agg(F.sum("n").alias("Rejected_Count")))
+
+
 def reject_counts(rejects: DataFrame) -> DataFrame:
-    """A-03: number of rejects per source and run."""
+    """A-03: number of rejects per source and run, from reject rows."""
     return (rejects.groupBy("Source_Name", "Audit_Source_Import_SK")
             .agg(F.count(F.lit(1)).alias("Rejected_Count")))

@@ -60,6 +60,34 @@ def rebuild_dimension(old: DataFrame, spec: DimensionSpec, run_ts: str) -> DataF
     return old.select(*out)
 
 
+def split_rebuild(old: DataFrame, spec: DimensionSpec, run_ts: str) -> tuple[DataFrame, DataFrame]:
+    """M-06: (the rebuilt rows, the old rows that do not fit the new layout).
+
+    A row with a value that cannot be converted is not carried over with a
+    NULL in its place: it becomes a reject row with its reason and its old
+    values as JSON. On demotion from Type 2 each key keeps one version: the
+    current one, or the one last in effect when none is current.
+    """
+    have = set(old.columns)
+    if IS_CURRENT in have and not spec.is_scd2:
+        keys = [k for k in spec.keys if k in have]
+        latest = F.struct(F.col(IS_CURRENT), F.col(EFFECTIVE), *([spec.sk] if spec.sk in have else []))
+        old = (old.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+               .agg(F.max_by(F.struct(*old.columns), latest).alias("_row")).select("_row.*"))
+    failed = []
+    for name, typ in layout(spec):
+        if name in have and typ is not None and old.schema[name].dataType.simpleString() != typ:
+            bad = F.col(name).isNotNull() & F.col(name).try_cast(typ).isNull()
+            failed.append(F.when(bad, F.concat(F.lit(f"TYPE_ERROR: {name}='"), F.col(name).cast("string"),
+                                               F.lit(f"' is not {typ.upper()}"))))
+    reason = F.concat_ws("; ", *failed) if failed else F.lit("")
+    fit = rebuild_dimension(old.filter(reason == ""), spec, run_ts)
+    unfit = old.filter(reason != "").select(
+        reason.alias("Rejected_Reason"),
+        F.to_json(F.struct(*old.columns), {"ignoreNullFields": "false"}).alias("Raw_Data"))
+    return fit, unfit
+
+
 def evolve_schema(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """M-07: add the columns the frame lacks (typed NULL), keep the rest as is."""
     missing = {n: F.lit(None).cast(t) for n, t in columns.items() if n not in df.columns}

@@ -41,23 +41,35 @@ def split_missing(looked_up: DataFrame, sk_col: str, fact_keys: Sequence[str],
     """X-01: (rows with an SK, rows without one plus a reject reason)."""
     found = looked_up.filter(F.col(sk_col).isNotNull())
     reason = F.concat(F.lit(f"{MISSING_FK}: {dim_name} "),
-                      F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string"))
+                      F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"),
+                                                                              F.lit("NULL")))
                                           for k in fact_keys]))
     missing = looked_up.filter(F.col(sk_col).isNull()).drop(sk_col) \
         .withColumn("Rejected_Reason", reason)
     return found, missing
 
 
+def _sum(df: DataFrame, src: str, scale: int) -> Column:
+    """The exact sum of a measure, rounded to ``scale`` once, after adding.
+
+    Decimals and integers add as they are. Binary floats are first written
+    out as decimals with twelve places, where their sums do not depend on the
+    order of rows.
+    """
+    kind = df.schema[src].dataType.typeName()
+    value = F.col(src).cast("decimal(28,12)") if kind in ("float", "double", "string") else F.col(src)
+    return F.round(F.sum(value), scale).cast(f"decimal(38,{scale})")
+
+
 def aggregate(fact: DataFrame, grain: Sequence[str | Column], measures: Mapping[str, str],
               count_col: str | None = "Row_Count", scale: int = 2) -> DataFrame:
     """X-02: SUM of each measure (as decimal) and a row count at the grain.
 
-    ``measures`` maps output name -> input column. Partial aggregation runs
-    map-side, so a hot grain key is reduced before the shuffle.
+    ``measures`` maps output name -> input column; ``scale`` is that of the
+    result, rows are not rounded. Partial aggregation runs map-side, so a hot
+    grain key is reduced before the shuffle.
     """
-    dec = f"decimal(38,{scale})"
-    aggs = [F.sum(F.col(src).cast(f"decimal(18,{scale})")).cast(dec).alias(out)
-            for out, src in measures.items()]
+    aggs = [_sum(fact, src, scale).alias(out) for out, src in measures.items()]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return fact.groupBy(*grain).agg(*aggs)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.flags import parse_flag
-from dimkiln.functions.text import collapse_ws, key_renames
+from dimkiln.functions.text import collapse_ws, key_renames, strip_ws
 from dimkiln.spec import DimensionSpec
 
 # Metadata sources that are not business data (F-02).
@@ -99,7 +99,7 @@ def trim_mapping(mapping: DataFrame) -> DataFrame:
 
 def trim_imports(sources: DataFrame) -> DataFrame:
     """P-03: text columns of the imports sheet stripped."""
-    return sources.withColumns({f.name: F.trim(F.col(f.name)) for f in sources.schema.fields
+    return sources.withColumns({f.name: strip_ws(F.col(f.name)) for f in sources.schema.fields
                                 if f.dataType.simpleString() == "string"})
 
 
@@ -181,7 +181,11 @@ def read_metadata_workbook(spark, directory: str, pattern: str) -> tuple[DataFra
     from dimkiln.sources.xlsx import read_xlsx
     imports = read_xlsx(spark, directory, pattern, METADATA_SHEETS[0], list(SOURCE_IMPORTS_COLUMNS))
     mapping = read_xlsx(spark, directory, pattern, METADATA_SHEETS[1], list(MAPPING_COLUMNS))
-    return (imports.select(*SOURCE_IMPORTS_COLUMNS), mapping.select(*MAPPING_COLUMNS))
+
+    def fixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+    return fixed(imports, SOURCE_IMPORTS_COLUMNS), fixed(mapping, MAPPING_COLUMNS)
 
 
 def spec_columns_from(mapping: DataFrame, name: str) -> Mapping[str, str]:

@@ -2,7 +2,7 @@
 
 Each query takes ``(spark, sf_dir)``, reads whole tables from ``sf_dir`` and
 returns a DataFrame; ``ORACLE`` holds the DuckDB SQL giving the same rows.
-Queries without an oracle entry get a rows-only check.
+Queries that write tables put them under the session's warehouse folder.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from dimkiln.operators import typed_load as TL
 from dimkiln.plans import oracle as Q
 from dimkiln.plans import pipeline as PL
 from dimkiln.plans import scenarios as S
+from dimkiln.session import table_dir
+from dimkiln.sinks import store
 from dimkiln.sources import bulk_log as BL
 from dimkiln.sources import files as SRC
 from dimkiln.spec import DimensionSpec
@@ -167,40 +169,50 @@ def q_duplicate_rows(spark, sf):
 def lineitem_rejects(spark, sf):
     li = SRC.with_lineage(_lineitem(spark, sf))
     raw = [c for c in li.columns if not c.startswith("_")]
-    dups = D.duplicate_rows(li, S.LINEITEM_KEYS, S.LINEITEM_ORDER)
+    dups = D.duplicate_rows(li, S.LINEITEM_KEYS, [SRC.FILE_PATH, SRC.ROW_NUMBER])
     return D.reject_rows(dups, S.LINEITEM_KEYS, "lineitem", 1, raw,
                          file_col=SRC.FILE_NAME, row_col=SRC.ROW_NUMBER)
 
 
-_REJECT_SQL = _LI_DUPS + """SELECT CAST(1 AS BIGINT) AS Audit_Source_Import_SK, 'lineitem' AS Source_Name,
-  'lineitem.parquet' AS File_Name,
+_LI_RAW = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+           "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+# rows of the view come in file order, which is what "first" means
+_LI_FILE_ORDER = """numbered AS (SELECT *, row_number() OVER () + 1 AS file_row FROM lineitem),
+dups AS (SELECT * FROM (
+  SELECT *, count(*) OVER k AS dup_count, row_number() OVER (k ORDER BY file_row) = 1 AS was_kept
+  FROM numbered WINDOW k AS (PARTITION BY l_orderkey, l_linenumber)) r WHERE dup_count > 1)"""
+
+_REJECT_SQL = Q.with_(_LI_FILE_ORDER) + """SELECT CAST(1 AS BIGINT) AS Audit_Source_Import_SK,
+  'lineitem' AS Source_Name, 'lineitem.parquet' AS File_Name, file_row AS Row_Number,
   'DUPLICATE_RECORD: PK l_orderkey=' || CAST(l_orderkey AS VARCHAR) || ', l_linenumber='
     || CAST(l_linenumber AS VARCHAR) AS Rejected_Reason,
-  was_kept, l_orderkey AS raw_l_orderkey, l_partkey AS raw_l_partkey, l_quantity AS raw_l_quantity
-FROM dups"""
+  was_kept, """ + ", ".join(f"{c} AS raw_{c}" for c in _LI_RAW) + " FROM dups"
 
 
 @query("reject_rows", _REJECT_SQL)
 def q_reject_rows(spark, sf):
-    """K-04; the raw JSON is compared through fields read back out of it."""
+    """K-04; the raw JSON is compared through all fields read back out of it."""
     r = lineitem_rejects(spark, sf)
-    fields = F.json_tuple("Raw_Data", "l_orderkey", "l_partkey", "l_quantity")   # one parse
-    return r.select("Audit_Source_Import_SK", "Source_Name", "File_Name", "Rejected_Reason",
-                    "was_kept", fields).select(
-        "Audit_Source_Import_SK", "Source_Name", "File_Name", "Rejected_Reason", "was_kept",
-        F.col("c0").cast("long").alias("raw_l_orderkey"), F.col("c1").cast("long").alias("raw_l_partkey"),
-        F.col("c2").cast("double").alias("raw_l_quantity"))
+    kinds = dict(_lineitem(spark, sf).dtypes)
+    fields = F.from_json("Raw_Data", ", ".join(f"{c} {kinds[c]}" for c in _LI_RAW)).alias("raw")
+    return (r.select("Audit_Source_Import_SK", "Source_Name", "File_Name", "Row_Number", "Rejected_Reason",
+                     "was_kept", fields)
+            .select("Audit_Source_Import_SK", "Source_Name", "File_Name", "Row_Number", "Rejected_Reason",
+                    "was_kept", *[F.col(f"raw.{c}").alias(f"raw_{c}") for c in _LI_RAW]))
 
 
 @query("reject_counts", "SELECT Source_Name, Audit_Source_Import_SK, count(*) AS Rejected_Count "
        "FROM (" + _REJECT_SQL + ") r GROUP BY 1, 2")
 def q_reject_counts(spark, sf):
-    return D.reject_counts(lineitem_rejects(spark, sf))
+    """A-03 from key counts: only keys are shuffled."""
+    return D.duplicate_reject_counts(_lineitem(spark, sf), S.LINEITEM_KEYS, "lineitem", 1)
 
 
-@query("row_lineage")
+@query("row_lineage", "SELECT l_orderkey, l_linenumber, 'lineitem.parquet' AS _file_name, "
+       "row_number() OVER () + 1 AS _row_number FROM lineitem")
 def q_row_lineage(spark, sf):
-    """S-05: file name and sheet-style row number of every lineitem row (rows-only check)."""
+    """S-05: file name and sheet-style row number of every lineitem row."""
     return SRC.with_lineage(_lineitem(spark, sf)).select(
         *S.LINEITEM_KEYS, SRC.FILE_NAME, SRC.ROW_NUMBER)
 
@@ -613,11 +625,17 @@ def q_pipeline_customer(spark, sf):
     return customer_pipeline(spark, sf)[1].rows
 
 
-@query("pipeline_rejects", "SELECT count(*) AS Rejected_Count FROM (SELECT c_custkey FROM customer "
-       "GROUP BY c_custkey HAVING count(*) > 1) d")
+def lineitem_load(spark, sf) -> PL.SourceLoad:
+    text = SRC.scan_source(spark, sf, "lineitem.parquet", as_text=True, lineage=True)
+    return PL.load_source(text, S.LINEITEM_PIPELINE, "LineItem", 1, S.T1)
+
+
+@query("pipeline_rejects", Q.with_(_LI_FILE_ORDER) + """SELECT 'lineitem.parquet' AS File_Name, file_row AS Row_Number,
+  'DUPLICATE_RECORD: PK l_orderkey=' || CAST(l_orderkey AS VARCHAR) || ', l_linenumber='
+    || CAST(l_linenumber AS VARCHAR) AS Rejected_Reason FROM dups""")
 def q_pipeline_rejects(spark, sf):
-    """Reject count of the flagship load (duplicates and type failures)."""
-    return customer_pipeline(spark, sf)[0].rejects.agg(F.count(F.lit(1)).alias("Rejected_Count"))
+    """Reject rows of the staged line load: every member of a duplicate key."""
+    return lineitem_load(spark, sf).rejects.select("File_Name", "Row_Number", "Rejected_Reason")
 
 
 @query("fact_incremental_stream", f"SELECT * FROM lineitem WHERE l_shipdate > {Q.tsql(S.FACT_HWM)}")
@@ -628,8 +646,9 @@ def q_fact_incremental_stream(spark, sf):
     from dimkiln.streaming.incremental import incremental_stream, read_loaded
     path = f"{sf}/lineitem.parquet"
     schema = spark.read.parquet(path).schema
-    target = f"{checkpoint_dir(spark).rstrip('/')}/loads/{uuid.uuid4().hex}"
+    target = f"{table_dir(spark)}/fact"
     incremental_stream(spark, sf, schema, "l_shipdate", S.FACT_HWM, target,
+                       f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}",
                        pattern="lineitem.parquet")
     return read_loaded(spark, target)
 
@@ -654,19 +673,203 @@ def q_scd2_merge_orders_counts(spark, sf):
     return orders_result(spark, sf).counts()
 
 
-@query("pipeline_lineitem", """SELECT
-  (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k) AS Staged_Rows,
-  (SELECT CAST(COALESCE(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem
-     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d) AS Duplicate_Rejects,
-  CAST(0 AS BIGINT) AS Type_Rejects""")
+_LI_STAGED = Q.with_("""numbered AS (SELECT *, row_number() OVER () + 1 AS file_row FROM lineitem),
+first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY file_row) AS rn
+          FROM numbered) r WHERE rn = 1)""") + "SELECT " + ", ".join(
+    f"{Q.typed_value_sql(f'CAST({c} AS VARCHAR)', S.LINEITEM_PIPELINE.types[c])} AS {c}"
+    for c in S.LINEITEM_PIPELINE.columns) + f", file_row AS _row_number, {Q.RUN} AS Inserted_Datetime FROM first"
+
+
+@query("pipeline_lineitem", _LI_STAGED)
 def q_pipeline_lineitem(spark, sf):
-    """R-02 on the largest table: text scan with lineage, sanitize, one-shuffle
-    de-duplication, typed load; the counts that do not depend on file order."""
-    text = SRC.scan_source(spark, sf, "lineitem.parquet", as_text=True, lineage=True)
-    load = PL.load_source(text, S.LINEITEM_PIPELINE, "LineItem", 1, S.T1)
-    is_dup = F.col("Rejected_Reason").startswith(TX.DUPLICATE_PREFIX)
-    kinds = load.staging.select(F.lit("staged").alias("kind")).unionByName(
-        load.rejects.select(F.when(is_dup, F.lit("duplicate")).otherwise(F.lit("type")).alias("kind")))
-    return kinds.agg(F.count_if(F.col("kind") == "staged").alias("Staged_Rows"),
-                     F.count_if(F.col("kind") == "duplicate").alias("Duplicate_Rejects"),
-                     F.count_if(F.col("kind") == "type").alias("Type_Rejects"))
+    """R-02 on the largest table: text scan with lineage, clean-up, typed load and
+    de-duplication; every staged row with its load timestamp (P-07)."""
+    return lineitem_load(spark, sf).staging.drop(SRC.FILE_NAME, SRC.FILE_PATH)
+
+
+# --- loads that write tables and read them back ------------------------------------------
+
+
+@query("multi_file_source", """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+  CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier""")
+def q_multi_file_source(spark, sf):
+    """S-04: supplier as CSV files of two column orders, read back by name."""
+    s = S.read(spark, sf, "supplier")
+    folder = f"{table_dir(spark)}/supplier"
+    odd = F.col("s_suppkey") % 2 == 1
+    for rows, columns in ((s.filter(odd), ["s_suppkey", "s_name", "s_nationkey"]),
+                          (s.filter(~odd), ["s_nationkey", "s_suppkey", "s_name"])):
+        rows.select(*columns).write.mode("append").option("header", True).csv(folder)
+    return SRC.scan_source(spark, folder, "*.csv").select("s_suppkey", "s_name", "s_nationkey")
+
+
+@query("typed_duplicate_keys", """WITH t AS (
+  SELECT p_partkey, p_name, 1 AS member FROM part
+  UNION ALL SELECT p_partkey, p_name || ' again', 2 FROM part WHERE p_partkey % 3 = 0)
+SELECT 'staged' AS load_kind, p_partkey, p_name, CAST(NULL AS VARCHAR) AS Rejected_Reason FROM t
+  WHERE member = 1
+UNION ALL SELECT 'reject', p_partkey, p_name, 'DUPLICATE_RECORD: PK p_partkey='
+  || CASE WHEN member = 2 THEN '00' ELSE '' END || CAST(p_partkey AS VARCHAR) FROM t WHERE p_partkey % 3 = 0""")
+def q_typed_duplicate_keys(spark, sf):
+    """M-09: keys that differ as text ('7', '007') but not as numbers are one staging key."""
+    p = S.read(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("p_partkey"), "p_name")
+    again = p.filter(F.col("p_partkey").cast("long") % 3 == 0).select(
+        F.concat(F.lit("00"), "p_partkey").alias("p_partkey"), F.concat("p_name", F.lit(" again")).alias("p_name"))
+    text = p.withColumn(SRC.ROW_NUMBER, F.lit(2).cast("long")).unionByName(
+        again.withColumn(SRC.ROW_NUMBER, F.lit(3).cast("long")))
+    spec = DimensionSpec("Part", keys=("p_partkey",), type1=("p_name",),
+                         types={"p_partkey": "BIGINT", "p_name": "VARCHAR(100)"})
+    load = PL.load_source(text, spec, "Part", 1, S.T1)
+    staged = load.staging.select(F.lit("staged").alias("load_kind"), "p_partkey", "p_name",
+                                 F.lit(None).cast("string").alias("Rejected_Reason"))
+    raw = F.from_json("Raw_Data", "p_partkey string, p_name string")
+    rejects = load.rejects.select(F.lit("reject").alias("load_kind"), raw["p_partkey"].cast("long").alias("p_partkey"),
+                                  raw["p_name"].alias("p_name"), "Rejected_Reason")
+    return staged.unionByName(rejects)
+
+
+@query("fact_incremental_two_loads", "SELECT * FROM lineitem")
+def q_fact_incremental_two_loads(spark, sf):
+    """X-03: the lines up to a day, then all lines, each above the stored mark, in one table."""
+    from dimkiln.streaming.incremental import load_increment, read_loaded
+    li, root = _lineitem(spark, sf), table_dir(spark)
+    early = li.filter(F.col("l_shipdate") <= S.ts(S.FACT_HWM))
+    for rows in (early, li):
+        load_increment(spark, rows, "l_shipdate", f"{root}/fact", f"{root}/state", "lineitem")
+    return read_loaded(spark, f"{root}/fact")
+
+
+@query("rebuild_demote", Q.with_(Q.CUSTOMER_DIM2) + """SELECT Customer_SK, c_custkey, c_name, c_nationkey,
+  c_acctbal, c_mktsegment, Inserted_Datetime, Updated_Datetime, Is_Deleted, Row_Change_Reason
+FROM dim WHERE Row_Is_Current = 1""")
+def q_rebuild_demote(spark, sf):
+    """M-06: a Type 2 dimension rebuilt as Type 1 keeps one version of each key."""
+    return EV.split_rebuild(S.customer_dim_scd2(S.read(spark, sf, "customer")), S.CUSTOMER_SCD1, S.T1)[0]
+
+
+def _customer_mapping(spark, type2: bool):
+    from dimkiln.operators.metadata import MAPPING_COLUMNS
+    kinds = {"c_custkey": "BIGINT", "c_name": "VARCHAR(100)", "c_mktsegment": "VARCHAR(20)"}
+    rows = [{"Source_Name": "Customer", "Source_Column": c, "Target_Column": c, "Data_Type": t,
+             "Is_Type2_Attribute": "1" if type2 and c == "c_mktsegment" else "0",
+             "Is_PK": "1" if c == "c_custkey" else "0", "Is_Required": "0"} for c, t in kinds.items()]
+    rows.append({"Source_Name": "Unmapped", "Source_Column": "x", "Target_Column": "x", "Data_Type": "INT"})
+    return spark.createDataFrame([tuple(r.get(c) for c in MAPPING_COLUMNS) for r in rows],
+                                 ", ".join(f"{c} string" for c in MAPPING_COLUMNS))
+
+
+def _customer_imports(spark, *more):
+    from dimkiln.operators.metadata import SOURCE_IMPORTS_COLUMNS
+    rows = [{"Source_Name": n, "Rel_Path": "", "Pattern": "customer.parquet", "Processing_Order": "1.0",
+             "Is_Active": "1"} for n in ("Customer", *more)]
+    return spark.createDataFrame([tuple(r.get(c) for c in SOURCE_IMPORTS_COLUMNS) for r in rows],
+                                 ", ".join(f"{c} string" for c in SOURCE_IMPORTS_COLUMNS))
+
+
+@query("refresh_metadata_two_runs", f"""SELECT c_custkey * 2 AS Customer_SK, c_custkey, c_name, c_mktsegment,
+  {Q.tsql(S.T0)} AS Inserted_Datetime, {Q.NULL_TS} AS Updated_Datetime, 0 AS Is_Deleted, 'NEW' AS Row_Change_Reason,
+  1 AS Row_Is_Current, {Q.tsql("2024-03-01 00:00:00")} AS Row_Effective_Datetime, {Q.NULL_TS} AS Row_Expiry_Datetime,
+  'Customer' AS first_run, 'Customer' AS second_run FROM customer""")
+def q_refresh_metadata_two_runs(spark, sf):
+    """R-03, C-01, C-02: a mapping row that becomes a Type 2 attribute regenerates its
+    source; an active source without a mapped key is passed over."""
+    from dimkiln.sinks.store import SnapshotTable
+    layout = PL.Layout(table_dir(spark))
+    c = S.read(spark, sf, "customer").select(
+        (F.col("c_custkey") * 2).alias("Customer_SK"), "c_custkey", "c_name", "c_mktsegment",
+        S.ts(S.T0).alias("Inserted_Datetime"), S.null_ts().alias("Updated_Datetime"), F.lit(0).alias("Is_Deleted"),
+        F.lit("NEW").alias("Row_Change_Reason"))
+    table = SnapshotTable(spark, layout.dimension("Customer"))
+    table.write(c)
+    runs = []
+    for n, (when, type2) in enumerate(((S.T1, False), ("2024-03-01 00:00:00", True)), 1):
+        rep = PL.refresh_metadata(spark, layout, when, n, imports=_customer_imports(spark, "Unmapped"),
+                                  mapping=_customer_mapping(spark, type2))
+        runs.append(",".join(rep.sources))
+    return table.read().withColumns({"first_run": F.lit(runs[0]), "second_run": F.lit(runs[1])})
+
+
+@query("run_sources_audit", """SELECT s.n AS run, CASE WHEN s.n = 2 THEN 'Failed' ELSE 'Success' END AS Process_Status,
+  CASE WHEN s.n = 2 THEN 0 ELSE c.rows END AS Total_Row_Count, CASE WHEN s.n = 2 THEN 0 ELSE 1 END AS Total_File_Count,
+  CASE WHEN s.n = 1 THEN c.rows ELSE 0 END AS Inserted_Count, 0 AS Updated_Count,
+  CASE WHEN s.n = 2 THEN 'requested sources not found: Custommer' END AS Exception_Detail
+FROM (SELECT count(*) AS rows FROM customer) c, (VALUES (1), (2), (3)) s(n)""")
+def q_run_sources_audit(spark, sf):
+    """R-01, K-07, F-07: audit rows of a first load, a mistyped request and a second load."""
+    from dimkiln.spec import spec_from_mapping, specs_rows
+    layout = PL.Layout(table_dir(spark))
+    sources = _customer_imports(spark).withColumns({"Source_Import_SK": F.lit(1).cast("long"),
+                                                    "Is_Deleted": F.lit(0)})
+    spec = spec_from_mapping("Customer", specs_rows(_customer_mapping(spark, False), ["Customer"])["Customer"])
+    for n, requested in ((1, None), (2, ["Custommer"]), (3, ["Customer"])):
+        PL.run_sources(spark, layout, sources, {"Customer": spec}, S.T1, sf, audit_id=n, requested=requested)
+    ended = spark.read.parquet(layout.audit).filter(F.col("Process_Status") != "Running")
+    return ended.select(F.col("Audit_Source_Import_SK").cast("int").alias("run"), "Process_Status",
+                        "Total_Row_Count", "Total_File_Count", "Inserted_Count", "Updated_Count", "Exception_Detail")
+
+
+@query("staging_truncate_load", "SELECT n_nationkey, n_name FROM nation")
+def q_staging_truncate_load(spark, sf):
+    """K-01: a second load replaces the first."""
+    path = f"{table_dir(spark)}/ods"
+    store.write_staging(S.read(spark, sf, "region").select(F.col("r_regionkey").alias("n_nationkey"),
+                                                           F.col("r_name").alias("n_name")), path)
+    store.write_staging(S.read(spark, sf, "nation").select("n_nationkey", "n_name"), path)
+    return spark.read.parquet(path)
+
+
+@query("staging_text_export", """SELECT CAST(c_custkey AS VARCHAR) || chr(9) || c_name || chr(9)
+  || CASE WHEN c_nationkey % 5 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS line FROM customer""")
+def q_staging_text_export(spark, sf):
+    """K-03: tab-separated lines with CRLF ends, NULL as empty, read back line by line."""
+    path = f"{table_dir(spark)}/export"
+    key = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey"))
+    store.export_staging_text(S.read(spark, sf, "customer").select("c_custkey", "c_name", key), path)
+    return spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"))
+
+
+@query("reject_csv_file", Q.with_(_LI_FILE_ORDER) + f"""SELECT '{S.T1}' AS Inserted_Datetime,
+  'DUPLICATE_RECORD: PK l_orderkey=' || CAST(l_orderkey AS VARCHAR) || ', l_linenumber='
+    || CAST(l_linenumber AS VARCHAR) AS Rejected_Reason, l_partkey AS raw_l_partkey FROM dups""")
+def q_reject_csv_file(spark, sf):
+    """K-05: the reject file of the line source, parsed again."""
+    path = f"{table_dir(spark)}/rejected"
+    store.write_reject_csv(lineitem_rejects(spark, sf), path, S.T1)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    return back.select("Inserted_Datetime", "Rejected_Reason",
+                       F.get_json_object("Raw_Data", "$.l_partkey").cast("long").alias("raw_l_partkey"))
+
+
+@query("snapshot_write_back", Q.with_(Q.CUSTOMER_STG, Q.CUSTOMER_DIM1, Q.merge_ctes(S.CUSTOMER_SCD1, Q.CUSTOMER_TEXT))
+       + Q.merged_select(S.CUSTOMER_SCD1))
+def q_snapshot_write_back(spark, sf):
+    """K-06: a dimension written, merged into the next snapshot and read through its pointer."""
+    stg, c = _customer(spark, sf)
+    table = store.SnapshotTable(spark, f"{table_dir(spark)}/dim")
+    table.write(S.customer_dim_scd1(c))
+    res = scd.scd1_merge(table.read(), stg, S.CUSTOMER_SCD1, S.T1)
+    store.write_with_counts(res.flagged, table, scd.merge_count_columns(),
+                            validate=lambda rows: K.check_active_keys(rows, S.CUSTOMER_SCD1.keys, False))
+    return table.read()
+
+
+@query("log_purge", """SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= (
+  SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY""")
+def q_log_purge(spark, sf):
+    """X-07: a log kept as snapshots, purged of what is older than 30 days before its last day."""
+    log = S.read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    table = store.SnapshotTable(spark, f"{table_dir(spark)}/log")
+    table.write(log)
+    store.purge_log(table, "o_orderdate", str(log.agg(F.max("o_orderdate")).first()[0]), 30)
+    return table.read()
+
+
+@query("processing_order", Q.with_(Q.SOURCES) + f"""SELECT Source_Name,
+  row_number() OVER (ORDER BY {Q.PROC_ORDER}, Source_Name) AS place
+FROM src WHERE {Q.flag_sql('Is_Active')} AND NOT {Q.flag_sql('Is_Deleted')} AND {Q.PROC_ORDER} >= 1.0""")
+def q_processing_order(spark, sf):
+    """O-02: the place of every active source in the run."""
+    # the ordered names are metadata, a list the driver walks through
+    names = [r["Source_Name"] for r in M.active_sources(_sources(spark, sf)).select("Source_Name").collect()]
+    order = spark.createDataFrame(list(enumerate(names, 1)), "place long, Source_Name string")
+    return _sources(spark, sf).select("Source_Name").distinct().join(order, "Source_Name")

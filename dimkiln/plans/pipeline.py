@@ -1,7 +1,7 @@
 """Pipelines (R-01..R-05): load sources, merge dimensions, record audit rows.
 
-``load_source`` composes the row operators into one lazy plan per source
-(scan -> sanitize -> map -> de-duplicate -> type -> stamp). ``run_sources``
+``load_source`` composes the row operators into one plan per source
+(scan -> sanitize -> map -> type -> de-duplicate -> stamp). ``run_sources``
 walks the active sources in processing order (a driver loop over metadata,
 tens of items); each source is a handful of Spark jobs, one per sink. Only
 metadata, counts and status reach the driver.
@@ -13,47 +13,84 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkiln.functions.text import row_json, sanitize_frame
+from dimkiln.functions.text import DUPLICATE_PREFIX, error_line, row_json, sanitize_frame
 from dimkiln.operators import dedup as D
+from dimkiln.operators import keys as K
 from dimkiln.operators import metadata as M
 from dimkiln.operators import scd
 from dimkiln.operators import typed_load as TL
 from dimkiln.operators.audit import FAILED, RUNNING, SKIPPED, SUCCESS, file_lineage
+from dimkiln.session import write_shared
 from dimkiln.sinks import store
-from dimkiln.sources.files import (FILE_NAME, ROW_NUMBER, format_for, probe_files, scan_source,
-                                   source_defaults)
-from dimkiln.spec import INSERTED, DimensionSpec
+from dimkiln.sources.files import (FILE_NAME, FILE_PATH, ROW_NUMBER, list_files, path_exists, probe_files,
+                                   resolve_pattern, scan_source, source_defaults)
+from dimkiln.spec import INSERTED, DimensionSpec, flag_value
 
 REJECT_COLUMNS = ("Audit_Source_Import_SK", "Source_Name", "File_Name", "Row_Number",
                   "Rejected_Reason", "Raw_Data")
 
 
+# The kinds a loaded row is written under.
+STAGED, REJECTED = "staged", "rejected"
+KIND = "load_kind"
+DUP_REASON, TYPE_REASON = "_dup_reason", "_type_reason"
+
+
 @dataclass
 class SourceLoad:
+    """One source as a single frame of marked rows, and views of it.
+
+    ``marked`` has every row read: typed columns, load timestamp, file name,
+    path and row number, the duplicate and type reasons, the raw text as JSON
+    where there is a reason, and ``load_kind``.
+    """
+
     source_name: str
-    staging: DataFrame      # typed, de-duplicated rows stamped with Inserted_Datetime
-    rejects: DataFrame      # duplicates (all members) and rows that failed typing
-    scanned: DataFrame      # the cleaned text rows with lineage, for file lineage
-    marked: DataFrame | None = None   # persisted de-dup marks (release after the writes)
+    spec: DimensionSpec
+    audit_id: int
+    marked: DataFrame
 
-    def release(self) -> None:
-        if self.marked is not None:
-            self.marked.unpersist()
+    @property
+    def staging(self) -> DataFrame:
+        """Typed, de-duplicated rows stamped with ``Inserted_Datetime``."""
+        return self.marked.filter(F.col(KIND) == STAGED).select(
+            *self.spec.columns, *[c for c in self.marked.columns if c in (FILE_NAME, FILE_PATH, ROW_NUMBER)],
+            INSERTED)
+
+    @property
+    def rejects(self) -> DataFrame:
+        """Duplicates (all members, the kept one included) and rows that failed typing."""
+        reason = F.coalesce(TYPE_REASON, DUP_REASON)
+        lineage = set(self.marked.columns)
+        return self.marked.filter(reason.isNotNull()).select(
+            F.lit(self.audit_id).cast("long").alias("Audit_Source_Import_SK"),
+            F.lit(self.source_name).alias("Source_Name"),
+            (F.col(FILE_NAME) if FILE_NAME in lineage else F.lit(None).cast("string")).alias("File_Name"),
+            (F.col(ROW_NUMBER).cast("long") if ROW_NUMBER in lineage else F.lit(None).cast("long"))
+            .alias("Row_Number"),
+            reason.alias("Rejected_Reason"), "Raw_Data")
+
+    def stored(self, path: str) -> "SourceLoad":
+        """The same load with ``marked`` written once under ``path``, split by kind."""
+        store.write_staging(self.marked, path, partition_by=[KIND])
+        frame = self.marked.sparkSession.read.schema(self.marked.schema).parquet(path)
+        return SourceLoad(self.source_name, self.spec, self.audit_id, frame)
 
 
 def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit_id: int,
-                run_ts: str, order_cols: Sequence[str] = (FILE_NAME, ROW_NUMBER),
-                persist: bool = False) -> SourceLoad:
-    """R-02: one source from raw text rows to a staging frame and its rejects.
-
-    De-duplication is one shuffle (``mark_duplicates``) feeding both the kept
-    rows and the duplicate log; with ``persist`` the marked rows are kept
-    (memory and disk) so the staging write and the reject write read them
-    once. Call ``release()`` after the writes.
+                run_ts: str, order_cols: Sequence[str] = (FILE_PATH, ROW_NUMBER)) -> SourceLoad:
+    """R-02: one source from raw text rows to marked rows.
+
+    Rows are cleaned, renamed and typed in one projection. Those that type
+    are de-duplicated on their typed key (under the spec's collation), so
+    ``'1'`` and ``'01'`` of a BIGINT key are one key in staging, as the key
+    constraint of a staging table demands; the raw text stays in the reject
+    row. The duplicate keys come from an aggregate over key and order columns
+    and are joined to the rows: one scan of the rows and at most one exchange
+    of them, none when the duplicate keys are few enough to broadcast.
     """
     data_cols = [c for c in text_df.columns if not c.startswith("_")]
     df = sanitize_frame(text_df, data_cols)                                   # P-01, P-02
@@ -62,29 +99,24 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
     missing = M.missing_key_columns(df.columns, spec.keys)                     # O-04
     if missing:
         raise ValueError(f"{source_name}: key columns missing after rename: {missing}")
-    order = [c for c in order_cols if c in df.columns] or \
-        [c for c in df.columns if c not in spec.keys]
     raw_cols = [c for c in df.columns if not c.startswith("_")]
-    file_col = FILE_NAME if FILE_NAME in df.columns else None
-    row_col = ROW_NUMBER if ROW_NUMBER in df.columns else None
-
-    marked = D.mark_duplicates(df, spec.keys, order)                          # W-01, W-02
-    if persist:
-        marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
-    dups = marked.filter(F.col(D.DUP_COUNT) > 1)
-    dup_rejects = D.reject_rows(dups, spec.keys, source_name, audit_id, raw_cols,
-                                file_col, row_col).drop(D.WAS_KEPT)            # K-04, P-09, P-10
-    first = marked.filter(F.col(D.WAS_KEPT)).drop(D.DUP_COUNT, D.WAS_KEPT)
-    typed = TL.split(first, spec)                                              # K-02, M-09
-    type_rejects = typed.rejects.select(
-        F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"),
-        F.lit(source_name).alias("Source_Name"),
-        (F.col(file_col) if file_col else F.lit(None).cast("string")).alias("File_Name"),
-        (F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")).alias("Row_Number"),
-        "Rejected_Reason", row_json(list(spec.columns)).alias("Raw_Data"))
-    staging = typed.good.withColumn(INSERTED, F.lit(run_ts).cast("timestamp_ntz"))   # P-07
-    return SourceLoad(source_name, staging, dup_rejects.unionByName(type_rejects), df,
-                      marked if persist else None)
+    lineage = [c for c in (FILE_NAME, FILE_PATH, ROW_NUMBER) if c in df.columns]
+    checked = TL.check_rows(df.withColumn("_raw", row_json(raw_cols)), spec)    # K-02, P-08, P-09
+    order = [c for c in order_cols if c in lineage] or [c for c in spec.columns if c not in spec.keys]
+    good = checked.filter(F.col(TL.REASONS).isNull())
+    found = D.duplicate_keys(good, spec.keys, order, spec.collation)           # M-09, A-07
+    marked = D.join_duplicate_keys(checked, found, spec.keys, order, "left", spec.collation)   # W-01, W-02
+    typed = F.col(TL.REASONS).isNull()
+    raw_keys = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(f"_raw_{k}"), F.lit("NULL")))
+                                   for k in spec.keys])
+    dup = F.when(typed & (F.col(D.DUP_COUNT) > 1), F.concat(F.lit(DUPLICATE_PREFIX), raw_keys))   # P-10
+    bad = F.coalesce(TL.REASONS, dup).isNotNull()
+    out = marked.select(
+        *spec.columns, *lineage, F.lit(run_ts).cast("timestamp_ntz").alias(INSERTED),   # P-07
+        dup.alias(DUP_REASON), F.col(TL.REASONS).alias(TYPE_REASON),
+        F.when(bad, F.col("_raw")).alias("Raw_Data"),
+        F.when(typed & F.col(D.WAS_KEPT), F.lit(STAGED)).otherwise(F.lit(REJECTED)).alias(KIND))
+    return SourceLoad(source_name, spec, audit_id, out)
 
 
 @dataclass
@@ -93,9 +125,13 @@ class Layout:
 
     root: str
 
-    def staging(self, source: str) -> str:
+    def load(self, source: str) -> str:
+        """All marked rows of the source's last load, split by kind."""
         return f"{self.root}/ods/{source}"
 
+    def staging(self, source: str) -> str:
+        return f"{self.load(source)}/{KIND}={STAGED}"
+
     def dimension(self, source: str) -> str:
         return f"{self.root}/dw/Dim_{source}"
 
@@ -143,11 +179,9 @@ def next_audit_id(spark: SparkSession, layout: Layout) -> int:
 
     One scalar aggregate over the append-only log (single writer assumed).
     """
-    try:
-        row = spark.read.parquet(layout.audit).agg(
-            F.max("Audit_Source_Import_SK").alias("m")).first()
-    except Exception:  # no audit log yet
+    if not path_exists(spark, layout.audit):
         return 1
+    row = spark.read.parquet(layout.audit).agg(F.max("Audit_Source_Import_SK").alias("m")).first()
     return int(row["m"] or 0) + 1
 
 
@@ -169,29 +203,30 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
     rel = (source.get("Rel_Path") or "").strip().lstrip("/\\")
     headers = list(spec.source_columns) or None
     folder = f"{data_root.rstrip('/')}/{rel}"
-    bad = probe_files(spark, folder, pattern, source_name=name) \
-        if format_for(pattern) in ("parquet", "orc") else None                   # R-05
-    bad_names = [r["File_Name"] for r in bad.select("File_Name").collect()] if bad is not None else []
-    text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names)
-    if not text.columns:
+    pattern = resolve_pattern(spark, folder, pattern)                            # S-01
+    if pattern is None:
         return {"rows": 0, "files": 0}
-    load = load_source(text, spec, name, audit_id, run_ts, persist=True)
-    store.write_staging(load.staging, layout.staging(name))                     # K-01
-    rejects = load.rejects
+    bad = probe_files(spark, folder, pattern, source_name=name, sheet=sheet).select(   # R-05
+        F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), "Source_Name", "File_Name",
+        "Row_Number", "Rejected_Reason", F.to_json(F.struct("File_Name")).alias("Raw_Data"))
+    bad = write_shared(bad, "unreadable")
+    bad_names = [r["File_Name"] for r in bad.select("File_Name").collect()]
     if bad_names:
-        rejects = rejects.unionByName(bad.select(
-            F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), "Source_Name", "File_Name",
-            "Row_Number", "Rejected_Reason", F.to_json(F.struct("File_Name")).alias("Raw_Data")))
+        store.append(bad, layout.rejects)
+        if set(bad_names) >= set(list_files(spark, folder, pattern)):
+            store.write_reject_csv(bad, layout.reject_csv(name), run_ts)
+            raise ValueError(f"{name}: none of the {len(bad_names)} files found could be read")
+    text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names)
+    load = load_source(text, spec, name, audit_id, run_ts).stored(layout.load(name))   # K-01
+    rejects = load.rejects
     store.append(rejects, layout.rejects)                                        # K-04
-    store.write_reject_csv(rejects, layout.reject_csv(name), run_ts)             # K-05
-    lineage = file_lineage(load.scanned, audit_id, int(source.get("Source_Import_SK") or 0))
+    store.write_reject_csv(rejects.unionByName(bad), layout.reject_csv(name), run_ts)   # K-05
+    lineage = write_shared(file_lineage(load.marked, audit_id, int(source.get("Source_Import_SK") or 0)), "lineage")
     store.append(lineage.withColumn("Source_Name", F.lit(name)), layout.lineage)  # K-08
     stats = lineage.agg(F.sum("File_Row_Count").alias("rows"), F.count(F.lit(1)).alias("files")).first()
-    load.release()
 
-    staged = spark.read.parquet(layout.staging(name)).drop(INSERTED)
     table = store.SnapshotTable(spark, layout.dimension(name))
-    counts = _merge_into(spark, table, staged, spec, run_ts)                      # M-01 / M-02
+    counts = _merge_into(spark, table, load.staging.select(*spec.columns), spec, run_ts)   # M-01 / M-02
     state = spark.createDataFrame([(name, "load", dt.datetime.fromisoformat(run_ts))],
                                   "Source_Name string, Kind string, Checkpoint_Time timestamp_ntz")
     store.append(state, layout.state)                                            # C-03
@@ -205,9 +240,11 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
                 on_source: Callable[[str], None] | None = None) -> RunReport:
     """R-01: run active sources in order; stop at the first failure.
 
-    Audit events: Running at start, Success or Failed (with the last line
-    of the error, P-17) at the end; a failure also appends an error fact
-    (K-09). The final status reflects the failure (decision D-9).
+    Audit events: Running at start, Success or Failed (with one readable line
+    of the error, P-17) at the end, with the rows, files and merge actions of
+    the sources that loaded; a failure also appends an error fact (K-09). The
+    final status reflects the failure (decision D-9). A requested name that
+    no source has fails the run before any source is loaded (F-07).
     """
     start = dt.datetime.now()
     if audit_id is None:
@@ -215,6 +252,11 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
     store.append(audit_event(spark, audit_id, 0, RUNNING, start, pattern="Full ETL Run"), layout.audit)
     active = [r.asDict() for r in M.active_sources(sources, requested).collect()]   # F-01, O-02
     report = RunReport(SUCCESS)
+    totals = dict.fromkeys(scd.COUNT_COLUMNS, 0)
+    unknown = sorted(set(requested or ()) - {r["Source_Name"] for r in active})
+    if unknown:
+        report.status, report.error = FAILED, f"requested sources not found: {', '.join(unknown)}"
+        active = []
     for src in active:
         name = src["Source_Name"]
         if on_source:
@@ -227,26 +269,33 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
             report.files += out.get("files", 0)
             report.counts[name] = out
             report.sources.append(name)
+            for k in totals:
+                totals[k] += out.get(k, 0)
         except Exception as exc:  # recorded, then the run stops (R-01)
-            summary = str(exc).split("\n")[-1] if str(exc) else "Unknown error"
-            report.status, report.error = FAILED, f"{name} failed: {summary}"
+            report.status, report.error = FAILED, f"{name}: {error_line(exc)}"
             store.append(store.error_row(spark, f"merge:{name}", exc, name, audit_id), layout.errors)
             break
     store.append(audit_event(spark, audit_id, 0, report.status, start, dt.datetime.now(),
-                             report.rows, report.files, report.error, "Full ETL Run"), layout.audit)
+                             report.rows, report.files, report.error, "Full ETL Run", totals), layout.audit)
     return report
 
 
 def _merge_into(spark: SparkSession, table: store.SnapshotTable, staged: DataFrame,
                 spec: DimensionSpec, run_ts: str, **kw) -> dict:
-    """Merge ``staged`` into the snapshot table (created empty on first use)."""
+    """Merge ``staged`` into the snapshot table (created empty on first use).
+
+    The new snapshot becomes the current one only if each natural key has at
+    most one active row in it (M-08).
+    """
     from dimkiln.operators.evolve import rebuild_dimension
     dim = table.read()
     if dim is None:
         empty = staged.limit(0).withColumn(spec.sk, F.lit(None).cast("long"))
         dim = rebuild_dimension(empty, spec, run_ts)
     res = scd.merge(dim, staged, spec, run_ts, **kw)
-    return store.write_with_counts(res.flagged, table, scd.merge_count_columns())[1]
+    return store.write_with_counts(
+        res.flagged, table, scd.merge_count_columns(),
+        validate=lambda rows: K.check_active_keys(rows, spec.keys, spec.is_scd2))[1]
 
 
 def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id: int,
@@ -259,12 +308,13 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
     ``workbook_dir`` (S-03) or as frames. No workbook: status Skipped (R-04).
     Sources whose mapping changed since their last check (C-01), or forced,
     get their dimension rebuilt in the layout of the new mapping (M-06, SKs
-    kept) and a new last-check row (C-03).
+    kept; rows with a value that no longer fits go to the rejects) and a new
+    last-check row (C-03). A source without a mapped key has nothing to build
+    from and is passed over (C-02).
     """
     from dimkiln.operators.audit import checkpoint_latest
-    from dimkiln.operators.evolve import rebuild_dimension
-    from dimkiln.sources.files import list_files
-    from dimkiln.spec import spec_from_mapping
+    from dimkiln.operators.evolve import split_rebuild
+    from dimkiln.spec import spec_from_mapping, specs_rows
     start = dt.datetime.now()
     if imports is None or mapping is None:
         if not workbook_dir or not list_files(spark, workbook_dir, pattern):
@@ -289,22 +339,31 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
 
         # C-01: one predicate for all sources; only the names of changed sources come back
         sources, mapping_dim = src_table.read(), map_table.read()
-        try:
+        if path_exists(spark, layout.state):
             checked = checkpoint_latest(spark.read.parquet(layout.state), "Source_Name",
                                         "Checkpoint_Time", "Kind", {"check": "Last_Checked"})
-        except Exception:  # no state table yet: nothing was ever checked
+        else:
             checked = spark.createDataFrame([], "Source_Name string, Last_Checked timestamp_ntz")
+        # a role change updates a mapping row in place, so updates count as changes (A-02)
         changed = M.changed_sources(M.config_sources(sources), sources,
-                                    M.last_mapping_change(mapping_dim), checked, force_ddl)
-        regenerate = [r["Source_Name"] for r in changed.filter("Needs_Generation").collect()]
-        for name in regenerate:
-            spec = spec_from_mapping(name, mapping_dim, sk_col=f"{name}_SK")
-            if not spec.keys:
-                continue
+                                    M.last_mapping_change(mapping_dim, use_updated=True), checked, force_ddl)
+        needed = [r["Source_Name"] for r in changed.filter("Needs_Generation").collect()]
+        rows_of = specs_rows(mapping_dim, needed)
+        regenerate = []
+        for name in needed:
+            if not any(flag_value(r.get("Is_PK")) for r in rows_of.get(name, [])):
+                continue                                              # C-02: nothing to build from
+            regenerate.append(name)
+            spec = spec_from_mapping(name, rows_of[name], sk_col=f"{name}_SK")
             table = store.SnapshotTable(spark, layout.dimension(name))
             old = table.read()
             if old is not None:
-                table.write(rebuild_dimension(old, spec, run_ts))                    # M-06
+                rebuilt, unfit = split_rebuild(old, spec, run_ts)                    # M-06
+                store.append(unfit.select(
+                    F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), F.lit(name).alias("Source_Name"),
+                    F.lit(None).cast("string").alias("File_Name"), F.lit(None).cast("long").alias("Row_Number"),
+                    "Rejected_Reason", "Raw_Data"), layout.rejects)
+                table.write(rebuilt)
         if regenerate:
             when = dt.datetime.fromisoformat(run_ts)
             store.append(spark.createDataFrame([(n, "check", when) for n in regenerate],

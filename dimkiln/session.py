@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; applied only where the session leaves them unset.
 _DEFAULTS = {
@@ -19,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows handed to Python tasks are batched by bytes as well as by count
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # parquet files keep naive timestamps naive
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
@@ -87,3 +90,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="dimkiln-ckpt-", dir="/tmp")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh place in the shared checkpoint folder and read it back.
+
+    The files outlive any executor, and their measured size lets a later join
+    be broadcast only below ``spark.sql.autoBroadcastJoinThreshold``; above
+    it the join is a plain shuffle whose skewed partitions AQE can split.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def table_dir(spark: SparkSession) -> str:
+    """A fresh folder for tables a query writes and reads back: under the warehouse."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/dimkiln/{uuid.uuid4().hex}"

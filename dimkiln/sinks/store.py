@@ -14,11 +14,13 @@ machine-local folder.
 from __future__ import annotations
 
 import re
-from typing import Iterable
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dimkiln.functions.text import error_line
+
 POINTERS = "_pointers"
 _NUM = re.compile(r"^[vp](\d+)$")
 
@@ -71,22 +73,41 @@ class SnapshotTable:
                  if (m := _NUM.match(n))]
         return max(nums, default=0) + 1
 
-    def write(self, df: DataFrame, partition_by: Iterable[str] | None = None) -> str:
-        """Write ``df`` as the next snapshot, then commit a pointer to it."""
+    def write(self, df: DataFrame, partition_by: Iterable[str] | None = None,
+              validate: Callable[[DataFrame], None] | None = None) -> str:
+        """Write ``df`` as the next snapshot, then commit a pointer to it.
+
+        ``validate`` sees the rows as written and raises to keep the old
+        snapshot current.
+        """
         n = self._next_number()
         path = f"{self.root}/v{n:06d}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        if validate is not None:
+            validate(self.spark.read.parquet(path))
         (self.spark.createDataFrame([(path,)], "value string").coalesce(1)
          .write.mode("errorifexists").text(f"{self.root}/{POINTERS}/p{n:06d}"))
         return path
 
 
-def write_staging(df: DataFrame, path: str) -> None:
+def drop_snapshots(table: SnapshotTable, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` committed snapshots; never the current one."""
+    jvm = table.spark.sparkContext._jvm
+    done = sorted(n for n, ok in _children(table.spark, table.root) if ok and _NUM.match(n))
+    old = done[:-max(1, keep)]
+    for name in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{table.root}/{name}")
+        path.getFileSystem(table.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return old
+
+
+def write_staging(df: DataFrame, path: str, partition_by: Iterable[str] | None = None) -> None:
     """K-01: truncate-then-load of a transient staging table."""
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = ("Source_Name",)) -> None:
@@ -98,8 +119,24 @@ def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = ("Sour
     w.parquet(path)
 
 
+def purge_log(table: SnapshotTable, time_col: str, run_ts: str, days: int = 7) -> int:
+    """X-07: rewrite a log kept as a snapshot table without its expired rows.
+
+    Returns the number of rows purged. The snapshot before stays until
+    ``drop_snapshots`` removes it.
+    """
+    from dimkiln.operators.audit import retention_purge
+    log = table.read()
+    if log is None:
+        return 0
+    before = log.count()
+    table.write(retention_purge(log, time_col, run_ts, days))
+    return before - table.read().count()
+
+
 def write_with_counts(df: DataFrame, table: SnapshotTable, counts: list,
-                      name: str = "merge_counts") -> tuple[str, dict]:
+                      name: str = "merge_counts",
+                      validate: Callable[[DataFrame], None] | None = None) -> tuple[str, dict]:
     """Write a merge result and collect its action counts in the same job (M-05).
 
     ``counts`` are aggregate Columns over the flag columns of ``df``; the
@@ -107,7 +144,7 @@ def write_with_counts(df: DataFrame, table: SnapshotTable, counts: list,
     """
     obs = Observation(name)
     flags = [c for c in df.columns if c.startswith("_") and len(c) == 2]
-    path = table.write(df.observe(obs, *counts).drop(*flags))
+    path = table.write(df.observe(obs, *counts).drop(*flags), validate=validate)
     return path, obs.get
 
 
@@ -137,9 +174,8 @@ def error_row(spark: SparkSession, operator: str, exc: BaseException, source_nam
     """K-09: one error fact row for a failed merge (driver-side, one row)."""
     sql_state = getattr(exc, "getSqlState", lambda: None)() if hasattr(exc, "getSqlState") else None
     err_class = getattr(exc, "getErrorClass", lambda: None)() if hasattr(exc, "getErrorClass") else None
-    msg = str(exc)
     return spark.createDataFrame(
-        [(operator, err_class or type(exc).__name__, sql_state, msg, msg.split("\n")[-1],
+        [(operator, err_class or type(exc).__name__, sql_state, str(exc), error_line(exc),
           source_name, int(run_id))],
         "Procedure_Name string, Error_Class string, Sql_State string, Error_Message string, "
         "Error_Summary string, Source_Name string, Audit_Source_Import_SK long")

@@ -12,7 +12,7 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # Defaults of a source row (pattern, sheet) and the fallback pattern.
 DEFAULT_PATTERN = "*.xlsx"
@@ -41,6 +41,13 @@ def format_for(pattern: str) -> str:
             "parquet": "parquet", "xlsx": "xlsx"}.get(ext, "parquet")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the Hadoop file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def list_files(spark: SparkSession, directory: str, pattern: str) -> list[str]:
     """S-01: file names under ``directory`` matching ``pattern`` (driver-side listing).
 
@@ -71,8 +78,8 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
 def with_lineage(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
     """S-05 + K-08 inputs: file name, path and sheet-style row number per row.
 
-    ``_metadata.row_index`` exists for Parquet (and ORC) scans; the row
-    number is ``row_index + header_rows + 1`` (first data row = 2).
+    ``_metadata.row_index`` exists for Parquet scans; the row number is
+    ``row_index + header_rows + 1`` (first data row = 2).
     """
     return df.select("*",
                      F.col("_metadata.file_name").alias(FILE_NAME),
@@ -81,7 +88,7 @@ def with_lineage(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
 
 
 def with_block_row_numbers(df: DataFrame, header_rows: int = HEADER_ROWS) -> DataFrame:
-    """S-05 for line-based files (CSV, JSON lines), which have no ``row_index``.
+    """S-05 for formats whose scan gives no ``row_index`` (CSV, JSON lines, ORC).
 
     A file is read as splits; each row carries its split's start offset
     (``_metadata.file_block_start``) and its position inside the task
@@ -136,22 +143,58 @@ def scan_source(spark: SparkSession, directory: str, pattern: str | None = None,
         reader = reader.option(k, v)
     if fmt == "xlsx":
         from dimkiln.sources.xlsx import read_xlsx
-        df = read_xlsx(spark, directory, found, sheet, columns)
-    elif exclude:
+        df = read_xlsx(spark, directory, found, sheet, columns, exclude)
+    else:
+        left_out = set(exclude)
         keep = [f"{directory.rstrip('/')}/{n}" for n in list_files(spark, directory, found)
-                if n not in set(exclude)]
-        if not keep:
+                if n not in left_out] if left_out else None
+        if keep == []:
             return empty_frame(spark, schema or StructType([]))
-        df = reader.format(fmt).load(keep)
-    else:
-        df = reader.format(fmt).load(directory)
-    if lineage and fmt in ("parquet", "orc"):
+        if fmt == "csv" and schema is None:
+            return _finish(_scan_csv(spark, directory, found, left_out, options or {}, lineage), as_text)
+        df = reader.format(fmt).load(keep or directory)
+    if lineage and fmt == "parquet":
         df = with_lineage(df)
-    elif lineage and fmt in ("csv", "json"):
-        df = with_block_row_numbers(df, HEADER_ROWS if fmt == "csv" else 0)
-    if as_text:
-        df = as_text_frame(df)
-    return df
+    elif lineage and fmt in ("csv", "json", "orc"):
+        df = with_block_row_numbers(df, 0 if fmt == "json" else HEADER_ROWS)
+    return _finish(df, as_text)
+
+
+def _finish(df: DataFrame, as_text: bool) -> DataFrame:
+    return as_text_frame(df) if as_text else df
+
+
+def csv_headers(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
+    """(header, files): the distinct header lines of the matching files.
+
+    A file's header is its first line: the smallest position in its first
+    split. One pass over the lines with a partial aggregate per file.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).text(directory).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def _scan_csv(spark: SparkSession, directory: str, pattern: str, left_out: set[str], options: dict,
+              lineage: bool) -> DataFrame:
+    """Every CSV file with the columns its own header names (decision D-2).
+
+    Files are read in one scan per distinct header and stacked by name; a
+    column that a file lacks is NULL there.
+    """
+    groups = [(r["header"], [f for f in r["files"] if f not in left_out])
+              for r in csv_headers(spark, directory, pattern).orderBy("header").collect()]
+    out = None
+    for _, files in groups:
+        if not files:
+            continue
+        reader = spark.read.option("header", True).option("inferSchema", False).options(**options)
+        df = reader.csv([f"{directory.rstrip('/')}/{f}" for f in files])
+        df = with_block_row_numbers(df, HEADER_ROWS) if lineage else df
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out if out is not None else empty_frame(spark, StructType([]))
 
 
 # Atomic types whose text form never holds what clean-up changes (no edge or
@@ -186,24 +229,53 @@ def read_table(spark: SparkSession, path: str, columns: Iterable[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def probe_files(spark: SparkSession, directory: str, pattern: str, fmt: str = "parquet",
-                source_name: str = "") -> DataFrame:
+def probe_files(spark: SparkSession, directory: str, pattern: str, fmt: str | None = None,
+                source_name: str = "", sheet: str = DEFAULT_SHEET) -> DataFrame:
     """R-05: one row per file that cannot be read: ``PROCESSING_ERROR`` at row 0.
 
-    The read option ``ignoreCorruptFiles`` would drop such files silently,
-    so each file's footer is probed on the driver (metadata only, no rows).
+    Files are probed on the executors. Parquet and ORC: a scan of file paths
+    alone, which reads footers only, with ``ignoreCorruptFiles`` names the
+    files that give rows; the others (corrupt, or readable without rows) are
+    parsed one by one from their bytes. Workbooks are opened the same way,
+    one file at a time. Text formats have no structure a probe could check
+    beyond being readable.
     """
-    bad = []
-    for name in list_files(spark, directory, pattern):
-        try:
-            spark.read.format(fmt).load(f"{directory.rstrip('/')}/{name}").schema
-        except Exception as exc:  # the file is reported, the load goes on
-            bad.append((source_name, name, 0, str(exc).split("\n")[0]))
-    schema = StructType([StructField("Source_Name", StringType()),
-                         StructField("File_Name", StringType()),
-                         StructField("Row_Number", StringType()),
-                         StructField("Error", StringType())])
-    df = spark.createDataFrame([(a, b, str(c), d) for a, b, c, d in bad], schema)
     from dimkiln.functions.text import PROCESSING_PREFIX, prefixed_reason
-    return df.select("Source_Name", "File_Name", F.col("Row_Number").cast("long"),
-                     prefixed_reason(PROCESSING_PREFIX, F.col("Error")).alias("Rejected_Reason"))
+    fmt = fmt or format_for(pattern)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory).select(
+        F.col("_metadata.file_name").alias("File_Name"), "content")
+    schema = "File_Name string, Error string"
+    if fmt in ("csv", "json"):
+        bad = spark.createDataFrame([], schema)
+    else:
+        if fmt in ("parquet", "orc"):
+            scan = spark.read.format(fmt).option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
+            # no column is needed, so no file has to be readable to give a schema
+            sound = scan.schema("_probe string").load(directory).select(
+                F.col("_metadata.file_name").alias("File_Name")).distinct()
+            files = files.join(sound, "File_Name", "left_anti")
+        bad = files.mapInPandas(lambda batches: _unreadable(batches, fmt, sheet), schema)
+    return bad.select(F.lit(source_name).alias("Source_Name"), "File_Name", F.lit(0).cast("long").alias("Row_Number"),
+                      prefixed_reason(PROCESSING_PREFIX, F.col("Error")).alias("Rejected_Reason"))
+
+
+def _unreadable(batches, fmt: str, sheet: str):
+    """(file name, error) of the files of ``batches`` that do not parse."""
+    import io
+
+    import pandas as pd
+    import pyarrow.orc
+    import pyarrow.parquet
+
+    from dimkiln.sources.xlsx import parse_xlsx
+    opener = {"parquet": lambda b: pyarrow.parquet.ParquetFile(io.BytesIO(b)).schema_arrow,
+              "orc": lambda b: pyarrow.orc.ORCFile(io.BytesIO(b)).schema,
+              "xlsx": lambda b: parse_xlsx(b, sheet)}[fmt]
+    for batch in batches:
+        found = []
+        for name, content in zip(batch["File_Name"], batch["content"]):
+            try:
+                opener(bytes(content))
+            except Exception as exc:  # any parse failure is what is being looked for
+                found.append((name, f"{type(exc).__name__}: {exc}".strip().splitlines()[0]))
+        yield pd.DataFrame(found, columns=["File_Name", "Error"])

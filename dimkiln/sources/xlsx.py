@@ -21,7 +21,7 @@ import io
 import re
 import zipfile
 import xml.etree.ElementTree as ET
-from typing import Iterator, Sequence
+from typing import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,25 +87,29 @@ def parse_xlsx(data: bytes, sheet: str) -> tuple[list[str], list[tuple[int, list
 
 
 def read_xlsx(spark: SparkSession, directory: str, pattern: str = "*.xlsx", sheet: str = "Sheet1",
-              columns: Sequence[str] | None = None) -> DataFrame:
+              columns: Sequence[str] | None = None, exclude: Iterable[str] = ()) -> DataFrame:
     """All matching workbooks of ``directory`` as text rows with lineage.
 
     ``columns`` are the expected headers (from the mapping metadata); when
-    omitted they are read from the first file's header row. A file lacking a
-    column yields NULL for it.
+    omitted they are the headers of all files, in the order of the first file
+    that has each. A header that no file has is not a column of the result,
+    and a file lacking a column yields NULL for it. ``exclude`` names files to
+    leave out. Arrow batches are bounded by bytes (``session.tune``), so a task
+    holds a few small workbooks or one large one.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
-             .select("path", "content"))
-    if columns is None:
-        # header of the first file, parsed on an executor; only names come back
-        def header(batches):
-            import pandas as pd
-            for pdf in batches:
-                for content in pdf["content"]:
-                    yield pd.DataFrame({"h": parse_xlsx(bytes(content), sheet)[0]})
-        first = files.orderBy("path").limit(1).mapInPandas(header, "h string").collect()
-        columns = [r["h"] for r in first]
-    cols = list(columns)
+             .filter(~F.col("_metadata.file_name").isin(list(exclude))).select("path", "content"))
+
+    # the headers of each file, parsed on the executors; only distinct names come back
+    def headers(batches):
+        import pandas as pd
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                names = parse_xlsx(bytes(content), sheet)[0]
+                yield pd.DataFrame({"path": [path] * len(names), "at": range(len(names)), "h": names})
+    seen = [r["h"] for r in files.mapInPandas(headers, "path string, at int, h string")
+            .groupBy("h").agg(F.min(F.struct("path", "at")).alias("first")).orderBy("first").collect()]
+    cols = seen if columns is None else [c for c in columns if c in set(seen)]
     schema = StructType([StructField(c, StringType()) for c in cols]
                         + [StructField("_file_name", StringType()), StructField("_file_path", StringType()),
                            StructField("_row_number", LongType())])
@@ -124,48 +128,3 @@ def read_xlsx(spark: SparkSession, directory: str, pattern: str = "*.xlsx", shee
                 yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
     return files.mapInPandas(parse, schema)
-
-
-def write_workbook(sheets: dict[str, tuple[Sequence[str], Sequence[Sequence]]]) -> bytes:
-    """A minimal workbook (inline strings), one sheet per entry — used by tests."""
-    def cell(ref, v):
-        if v is None:
-            return ""
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return f'<c r="{ref}"><v>{v}</v></c>'
-        esc = str(v).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{esc}</t></is></c>'
-
-    def letters(i):
-        s = ""
-        i += 1
-        while i:
-            i, r = divmod(i - 1, 26)
-            s = chr(65 + r) + s
-        return s
-
-    buf = io.BytesIO()
-    sheet_tags, rel_tags = [], []
-    with zipfile.ZipFile(buf, "w") as z:
-        for n_sheet, (name, (header, rows)) in enumerate(sheets.items(), start=1):
-            body = []
-            for n, values in enumerate([list(header)] + [list(r) for r in rows], start=1):
-                body.append(f'<row r="{n}">' + "".join(cell(f"{letters(i)}{n}", v)
-                                                       for i, v in enumerate(values)) + "</row>")
-            z.writestr(f"xl/worksheets/sheet{n_sheet}.xml",
-                       f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(body)
-                       + "</sheetData></worksheet>")
-            sheet_tags.append(f'<sheet name="{name}" sheetId="{n_sheet}" r:id="rId{n_sheet}"/>')
-            rel_tags.append(f'<Relationship Id="rId{n_sheet}" Type="http://schemas.openxmlformats.org/'
-                            f'officeDocument/2006/relationships/worksheet" '
-                            f'Target="worksheets/sheet{n_sheet}.xml"/>')
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
-                   + "".join(sheet_tags) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_NS["pr"]}">'
-                   + "".join(rel_tags) + "</Relationships>")
-    return buf.getvalue()
-
-
-def write_xlsx_bytes(header: Sequence[str], rows: Sequence[Sequence], sheet: str = "Sheet1") -> bytes:
-    """A one-sheet workbook — used by tests."""
-    return write_workbook({sheet: (header, rows)})

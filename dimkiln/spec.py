@@ -111,6 +111,24 @@ class DimensionSpec:
         return base + ((IS_CURRENT, EFFECTIVE, EXPIRY) if self.is_scd2 else ())
 
 
+def specs_rows(mapping: DataFrame, sources: Iterable[str],
+               order_col: str = "File_Mapping_SK") -> dict[str, list[dict]]:
+    """F-03, W-03: the live mapping rows of each source in order, in one collect."""
+    from pyspark.sql import functions as F
+    df = mapping.filter(F.col("Source_Name").isin(list(sources)))
+    if "Row_Is_Current" in df.columns:
+        df = df.filter(F.col("Row_Is_Current") == 1)
+    if "Is_Deleted" in df.columns:
+        df = df.filter(~F.coalesce(F.col("Is_Deleted").cast("string") == "1", F.lit(False)))
+    df = df.filter(F.col("Target_Column").isNotNull())
+    if order_col in df.columns:
+        df = df.orderBy(order_col)
+    out: dict[str, list[dict]] = {}
+    for r in df.collect():
+        out.setdefault(r["Source_Name"], []).append(r.asDict())
+    return out
+
+
 def spec_from_mapping(name: str, rows: Iterable[Mapping] | DataFrame,
                       source_name: str | None = None, sk_col: str | None = None,
                       order_col: str = "File_Mapping_SK") -> DimensionSpec:
@@ -121,16 +139,7 @@ def spec_from_mapping(name: str, rows: Iterable[Mapping] | DataFrame,
     (W-03) before the small result is collected.
     """
     if isinstance(rows, DataFrame):
-        from pyspark.sql import functions as F
-        df = rows.filter(F.col("Source_Name") == (source_name or name))
-        if "Row_Is_Current" in df.columns:
-            df = df.filter(F.col("Row_Is_Current") == 1)
-        if "Is_Deleted" in df.columns:
-            df = df.filter(~F.coalesce(F.col("Is_Deleted").cast("string") == "1", F.lit(False)))
-        df = df.filter(F.col("Target_Column").isNotNull())
-        if order_col in df.columns:
-            df = df.orderBy(order_col)
-        rows = [r.asDict() for r in df.collect()]
+        rows = specs_rows(rows, [source_name or name], order_col).get(source_name or name, [])
     keys, t1, t2, req = [], [], [], []
     types, src = {}, {}
     for r in rows:

@@ -3,32 +3,42 @@
 New files under a source folder are picked up by Structured Streaming's
 file source with ``trigger(availableNow=True)``: every file not yet in the
 stream's checkpoint is processed once, in bounded micro-batches, and the
-query stops. Each micro-batch keeps the rows above the stored high-water mark
-and is appended (or replaces the table, X-04) by ``foreachBatch``; the batch
-id makes a retried batch idempotent. The checkpoint lives under the session's
-shared checkpoint folder, so a lost executor or a restarted driver resumes
-where the last committed batch ended.
+query stops. Each micro-batch keeps the rows above the high-water mark and is
+appended (or replaces the table, X-04) by ``foreachBatch``. The target is
+partitioned by load and batch: the load is named after its checkpoint, so a
+retried batch rewrites only its own partition and two loads never touch each
+other's. The checkpoint location is the caller's, in a folder that outlives
+the session, so a restarted driver resumes where the last batch ended.
+
+``load_increment`` is the batch form: it reads the stored high-water mark,
+appends the rows above it and stores the new mark.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dimkiln.session import checkpoint_dir
+from dimkiln.sources.files import path_exists
+
+LOAD_ID = "load_id"
+BATCH_ID = "batch_id"
+MARK = "High_Water_Mark"
+
 
-BATCH_ID = "_batch_id"
+def load_id_of(checkpoint_location: str) -> str:
+    """The name of a load: a digest of where its checkpoint lies."""
+    return hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
 
 
 def incremental_stream(spark: SparkSession, source_dir: str, schema: StructType, ts_col: str,
-                       high_water_mark: str, target_path: str, pattern: str | None = None,
-                       mode: str = "append",
+                       high_water_mark: str, target_path: str, checkpoint_location: str,
+                       pattern: str | None = None, mode: str = "append",
                        max_files_per_trigger: int | None = None,
-                       checkpoint_location: str | None = None,
                        transform: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Load rows with ``ts_col > high_water_mark`` from new files into ``target_path``.
 
@@ -36,9 +46,13 @@ def incremental_stream(spark: SparkSession, source_dir: str, schema: StructType,
     file names.
 
     ``mode`` is the X-04 strategy: ``append`` adds each batch, ``truncate``
-    replaces the table with the first batch and appends the rest. Returns
-    the checkpoint location (reuse it to continue from the same point).
+    replaces the table with the first batch and appends the rest. Calling
+    again with the same ``checkpoint_location`` continues that load; another
+    location is another load into the same table. Returns the load id.
     """
+    if not checkpoint_location:
+        raise ValueError("a load needs a checkpoint location of its own")
+    load_id = load_id_of(checkpoint_location)
     reader = spark.readStream.schema(schema).format("parquet")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -48,24 +62,52 @@ def incremental_stream(spark: SparkSession, source_dir: str, schema: StructType,
         F.col(ts_col) > F.lit(high_water_mark).cast("timestamp_ntz"))
     if transform is not None:
         stream = transform(stream)
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # A retried batch rewrites only its own partition (dynamic overwrite);
         # ``truncate`` replaces the whole table with the first batch.
         static = mode == "truncate" and batch_id == 0
-        (batch.withColumn(BATCH_ID, F.lit(batch_id).cast("long")).write
-         .partitionBy(BATCH_ID).mode("overwrite")
+        (batch.withColumn(LOAD_ID, F.lit(load_id)).withColumn(BATCH_ID, F.lit(batch_id).cast("long")).write
+         .partitionBy(LOAD_ID, BATCH_ID).mode("overwrite")
          .option("partitionOverwriteMode", "static" if static else "dynamic")
          .parquet(target_path))
 
     q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", location)
+         .option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return location
+    return load_id
 
 
 def read_loaded(spark: SparkSession, target_path: str) -> DataFrame:
-    """The loaded rows without the batch column."""
-    return spark.read.parquet(target_path).drop(BATCH_ID)
+    """The loaded rows without the load columns."""
+    return spark.read.parquet(target_path).drop(LOAD_ID, BATCH_ID)
+
+
+def stored_mark(spark: SparkSession, state_path: str, name: str) -> str | None:
+    """X-03: the highest mark stored for ``name``, None before its first load."""
+    if not path_exists(spark, state_path):
+        return None
+    marks = spark.read.parquet(state_path).filter(F.col("Name") == name)
+    return marks.agg(F.max(MARK).cast("string")).first()[0]
+
+
+def load_increment(spark: SparkSession, fact: DataFrame, ts_col: str, target_path: str, state_path: str,
+                   name: str) -> str | None:
+    """X-03: append the rows of ``fact`` above the stored mark, then store the new mark.
+
+    Without a stored mark all rows are loaded, those with a NULL time too. The
+    load's partition is named after the mark it started from, so a load cut
+    off before its mark was stored is repeated into the same partition.
+    Returns the mark now stored.
+    """
+    mark = stored_mark(spark, state_path, name)
+    rows = fact if mark is None else fact.filter(F.col(ts_col) > F.lit(mark).cast("timestamp_ntz"))
+    load_id = load_id_of(f"{name}/{mark}")
+    (rows.withColumn(LOAD_ID, F.lit(load_id)).withColumn(BATCH_ID, F.lit(0).cast("long")).write
+     .partitionBy(LOAD_ID, BATCH_ID).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .parquet(target_path))
+    loaded = spark.read.parquet(target_path).filter(F.col(LOAD_ID) == load_id)
+    state = loaded.agg(F.max(ts_col).cast("timestamp_ntz").alias(MARK)).filter(F.col(MARK).isNotNull())
+    state.select(F.lit(name).alias("Name"), MARK).coalesce(1).write.mode("append").parquet(state_path)
+    return stored_mark(spark, state_path, name)

@@ -91,7 +91,7 @@ def main(argv):
     wanted = set(argv[2:])
     from dimkiln.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    spark = build_session(extra={"spark.sql.warehouse.dir": __import__("tempfile").mkdtemp(prefix="dimkiln-wh-", dir="/tmp")})
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

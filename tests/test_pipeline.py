@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from dimkiln.operators import dedup as D
@@ -119,7 +120,7 @@ def test_refresh_metadata_skipped_without_sheets(spark, scratch):
 
 def test_refresh_metadata_from_workbook(spark, scratch):
     from dimkiln.operators.metadata import MAPPING_COLUMNS, SOURCE_IMPORTS_COLUMNS
-    from dimkiln.sources.xlsx import write_workbook
+    from tests.workbooks import write_workbook
     cfg = f"{scratch}/config"
     os.makedirs(cfg)
     imports = [["Places", "raw/Places", "*.parquet", None, "[ODS].[Places]", "1.4", "1", "places ",
@@ -211,7 +212,8 @@ def test_sinks_text_export_and_snapshot(spark, scratch):
 
 
 def test_xlsx_source_through_pipeline(spark, scratch):
-    from dimkiln.sources.xlsx import parse_xlsx, write_xlsx_bytes
+    from dimkiln.sources.xlsx import parse_xlsx
+    from tests.workbooks import write_xlsx_bytes
     data = f"{scratch}/data/raw/Places"
     os.makedirs(data)
     with open(f"{data}/p1.xlsx", "wb") as fh:
@@ -232,32 +234,147 @@ def test_xlsx_source_through_pipeline(spark, scratch):
     assert sorted(tuple(r) for r in rej) == [("p1.xlsx", 2), ("p1.xlsx", 4)]
 
 
-def test_hot_key_split_gives_same_rows(spark):
-    from dimkiln.operators.skew import HOT_KEY_ROWS, MAX_HOT_KEYS
-    from dimkiln.plans import scenarios as S
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    plain = D.duplicate_rows(li, S.LINEITEM_KEYS, S.LINEITEM_ORDER).collect()
-    spark.conf.set(HOT_KEY_ROWS, "3")
-    spark.conf.set(MAX_HOT_KEYS, "5")
-    try:
-        split = D.duplicate_rows(li, S.LINEITEM_KEYS, S.LINEITEM_ORDER)
-        plan = split._jdf.queryExecution().executedPlan().toString()
-        got = split.collect()
-    finally:
-        spark.conf.unset(HOT_KEY_ROWS)
-        spark.conf.unset(MAX_HOT_KEYS)
-    assert "BroadcastHashJoin" in plan
-    assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
-    # one dominant key (a third of the rows) is joined map-side
-    hot = li.limit(3000).withColumn("l_orderkey", F.lit(-1)).withColumn("l_linenumber", F.lit(1))
-    mixed = li.unionByName(hot)
-    spark.conf.set(HOT_KEY_ROWS, "1000")
-    try:
-        n = D.duplicate_rows(mixed, S.LINEITEM_KEYS, S.LINEITEM_ORDER).filter("l_orderkey = -1").count()
-    finally:
-        spark.conf.unset(HOT_KEY_ROWS)
-    assert n == 3000
+def test_duplicates_with_equal_payload_and_a_dominant_key(spark):
+    rows = [("k", "a", 2), ("k", "a", 3), ("k", "b", 4), ("x", "c", 5)]
+    df = spark.createDataFrame(rows, "k string, v string, r long")
+    got = D.duplicate_rows(df, ["k"], ["v", "r"]).collect()
+    assert sorted((r["r"], r["dup_count"], r["was_kept"]) for r in got) == [(2, 3, True), (3, 3, False), (4, 3, False)]
+    # one key holds a third of the rows: all its members come back, one of them kept
+    big = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
+    hot = D.duplicate_rows(big.repartition(8), ["k"], ["r"])
+    assert (hot.count(), hot.filter("was_kept").count(), hot.filter("was_kept").first()["r"]) == (10000, 1, 0)
+
+
+def test_rows_that_tie_for_first_stop_the_job(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="tie for first"):
+        D.duplicate_rows(df, ["k"], ["v"]).collect()
+    # a tie behind the first row does no harm
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b")], "k int, v string")
+    assert D.duplicate_rows(df, ["k"], ["v"]).filter("was_kept").count() == 1
+
+
+def _run_places(spark, scratch, requested=("Places",), audit_id=1, spec=None, pattern="*.parquet"):
+    spec = spec or spec_from_mapping("Places", spark.createDataFrame(PLACES_MAPPING))
+    layout = PL.Layout(f"{scratch}/wh")
+    src = _sources(spark).withColumn("Pattern", F.lit(pattern))
+    return layout, PL.run_sources(spark, layout, src, {"Places": spec}, RUN1, f"{scratch}/data",
+                                  audit_id=audit_id, requested=list(requested))
+
+
+def test_keys_equal_after_typing_or_under_a_collation_are_one(spark, scratch):
+    for name, key_type, collation, keys in (("n", "BIGINT", None, ("1", "01")),
+                                            ("c", "VARCHAR(10)", "UTF8_LCASE_RTRIM", ("ab", "AB"))):
+        data = f"{scratch}/{name}/data/raw/Places"
+        os.makedirs(data)
+        _write_places(spark, data, [(keys[0], "first", "x"), (keys[1], "second", "x")], "a")
+        spec = DimensionSpec("Places", keys=("Place_Code",), type1=("Place_Name",), collation=collation,
+                             types={"Place_Code": key_type, "Place_Name": "VARCHAR(200)"},
+                             source_columns={"Place code": "Place_Code", "Place Name": "Place_Name"})
+        for run in (1, 2):
+            layout, rep = _run_places(spark, f"{scratch}/{name}", audit_id=run, spec=spec)
+            assert rep.status == "Success", rep.error
+            dim = store.SnapshotTable(spark, layout.dimension("Places")).read()
+            assert [r["Place_Name"] for r in dim.collect()] == ["first"]
+        reasons = {r["Rejected_Reason"] for r in spark.read.parquet(layout.rejects).collect()}
+        assert reasons == {f"DUPLICATE_RECORD: PK Place_Code={k}" for k in keys}     # the raw text stays
+
+
+def test_orc_source_and_all_files_unreadable(spark, scratch):
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    spark.createDataFrame([("P1", "Alpha")], "`Place code` string, `Place Name` string").coalesce(1) \
+        .write.mode("append").orc(data)
+    layout, rep = _run_places(spark, scratch, pattern="*.orc")
+    assert (rep.status, rep.counts["Places"]["Inserted_Count"]) == ("Success", 1)
+    bad = f"{scratch}/bad/data/raw/Places"
+    os.makedirs(bad)
+    with open(f"{bad}/a.parquet", "wb") as fh:
+        fh.write(b"not parquet")
+    layout, rep = _run_places(spark, f"{scratch}/bad")
+    assert rep.status == "Failed" and "none of the 1 files" in rep.error
+    assert [r["File_Name"] for r in spark.read.parquet(layout.rejects).collect()] == ["a.parquet"]
+
+
+def test_one_corrupt_workbook_of_two(spark, scratch):
+    from tests.workbooks import write_xlsx_bytes
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    with open(f"{data}/a.xlsx", "wb") as fh:
+        fh.write(write_xlsx_bytes(["Place code", "Place Name"], [["P1", "Alpha"]]))
+    with open(f"{data}/b.xlsx", "wb") as fh:
+        fh.write(b"PK broken")
+    layout, rep = _run_places(spark, scratch, pattern="*.xlsx")
+    assert (rep.status, rep.counts["Places"]["Inserted_Count"]) == ("Success", 1), rep.error
+    rej = spark.read.parquet(layout.rejects).collect()
+    assert [(r["File_Name"], r["Row_Number"]) for r in rej] == [("b.xlsx", 0)]
+
 
+def test_workbook_without_the_key_column_and_late_columns(spark, scratch):
+    from dimkiln.sources.xlsx import read_xlsx
+    from tests.workbooks import write_xlsx_bytes
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    with open(f"{data}/a.xlsx", "wb") as fh:
+        fh.write(write_xlsx_bytes(["Place Name"], [["Alpha"]]))
+    _, rep = _run_places(spark, scratch, pattern="*.xlsx")
+    assert rep.status == "Failed" and "missing" in rep.error
+    with open(f"{data}/b.xlsx", "wb") as fh:
+        fh.write(write_xlsx_bytes(["Place Name", "z"], [["Beta", "9"]]))
+    assert read_xlsx(spark, data).filter("z = '9'").count() == 1
+
+
+def test_csv_files_are_read_by_name(spark, scratch):
+    for name, text in (("a", "k,v\n1,a\n"), ("b", "v,k\nb,2\n"), ("c", "k\n3\n")):
+        with open(f"{scratch}/{name}.csv", "w") as fh:
+            fh.write(text)
+    got = files.scan_source(spark, scratch, "*.csv").select("k", "v", files.FILE_NAME, files.ROW_NUMBER).collect()
+    assert sorted(tuple(r) for r in got) == [("1", "a", "a.csv", 2), ("2", "b", "b.csv", 2), ("3", None, "c.csv", 2)]
+
+
+def test_unknown_request_fails_and_errors_read_well(spark, scratch):
+    os.makedirs(f"{scratch}/data")
+    _, rep = _run_places(spark, scratch, requested=["Typo"])
+    assert (rep.status, rep.sources) == ("Failed", []) and "Typo" in rep.error
+    from dimkiln.functions.text import error_line
+    assert error_line(ValueError("\n  first\nsecond\n\n")) == "ValueError: first"
+    assert error_line(KeyError()) == "KeyError"
+
+
+def test_audit_row_has_the_merge_counts(spark, scratch):
+    data = f"{scratch}/data/raw/Places"
+    os.makedirs(data)
+    _write_places(spark, data, [("P1", "Alpha", "x"), ("P2", "Beta", "x")], "a")
+    layout, rep = _run_places(spark, scratch)
+    row = spark.read.parquet(layout.audit).filter("Process_Status = 'Success'").first()
+    assert (row["Inserted_Count"], row["Total_Row_Count"], row["Total_File_Count"]) == (2, 2, 1)
+
+
+def test_a_snapshot_with_two_active_rows_of_a_key_is_not_committed(spark, scratch):
+    from dimkiln.operators.keys import check_active_keys
+    t = store.SnapshotTable(spark, f"{scratch}/dim")
+    good = spark.createDataFrame([(1, 0)], "k int, Is_Deleted int")
+    t.write(good)
+    with pytest.raises(ValueError):
+        t.write(good.union(good), validate=lambda rows: check_active_keys(rows, ["k"], False))
+    assert t.read().count() == 1
+
+
+def test_rebuild_rejects_what_does_not_fit(spark):
+    from dimkiln.operators.evolve import split_rebuild
+    old = spark.createDataFrame([(1, "a", "7"), (2, "b", "abc")], "D_SK long, k string, n string")
+    spec = DimensionSpec("D", keys=("k",), type1=("n",), types={"k": "VARCHAR(5)", "n": "INT"})
+    fit, unfit = split_rebuild(old, spec, RUN1)
+    assert [(r["D_SK"], r["n"]) for r in fit.collect()] == [(1, 7)]
+    assert [r["Rejected_Reason"] for r in unfit.collect()] == ["TYPE_ERROR: n='abc' is not INT"]
+
+
+def test_old_snapshots_are_dropped(spark, scratch):
+    t = store.SnapshotTable(spark, f"{scratch}/dim")
+    for n in range(4):
+        t.write(spark.range(n + 1))
+    assert store.drop_snapshots(t, keep=2) == ["v000001", "v000002"] and t.read().count() == 4
 
 
 def test_fact_load_strategies(spark, scratch):

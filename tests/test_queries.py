@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from dimkiln.plans.catalog import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare_one, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +22,8 @@ def test_query_matches_oracle(spark, con, name):
     assert res["rows"] >= 0
 
 
-def test_every_query_but_lineage_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"row_lineage"}
+def test_every_query_has_oracle():
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

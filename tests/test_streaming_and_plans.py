@@ -4,6 +4,8 @@ import os
 import shutil
 
 from dimkiln.plans import catalog as C
+from pyspark.sql import functions as F
+
 from dimkiln.streaming.incremental import incremental_stream, read_loaded
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -51,7 +53,40 @@ def test_scan_prunes_and_pushes(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThan(l_shipdate" in inc
 
 
-def test_duplicate_rows_is_one_shuffle_without_hot_keys(spark):
+def test_duplicate_rows_moves_no_row_while_the_key_table_is_small(spark):
     plan = _plan(C.QUERIES["duplicate_rows"](spark, SF_MID))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Window" in plan and "Join" not in plan
+    assert "Window" not in plan and "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_staged_load_scans_once_and_exchanges_at_most_once(spark):
+    plan = _plan(C.lineitem_load(spark, SF_MID).staging)
+    # one scan of the rows, one of the duplicate keys found before
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("Exchange hashpartitioning") <= 1
+
+
+def test_reject_counts_shuffle_keys_only(spark):
+    plan = _plan(C.QUERIES["reject_counts"](spark, SF_MID))
+    assert "l_partkey" not in plan and "Join" not in plan
+
+
+def test_two_loads_into_one_table_both_stay(spark, scratch):
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    shutil.copy(f"{SF_SMALL}/lineitem.parquet", f"{src}/a.parquet")
+    schema = spark.read.parquet(f"{src}/a.parquet").schema
+    for n in (1, 2):
+        incremental_stream(spark, src, schema, "l_shipdate", "2000-01-01 00:00:00", f"{scratch}/out",
+                           f"{scratch}/ckpt{n}")
+        assert read_loaded(spark, f"{scratch}/out").count() % n == 0
+    one = spark.read.parquet(f"{src}/a.parquet").filter("l_shipdate > '2000-01-01'").count()
+    assert read_loaded(spark, f"{scratch}/out").count() == 2 * one
+
+
+def test_stored_mark_makes_a_repeated_load_a_no_op(spark, scratch):
+    from dimkiln.streaming.incremental import load_increment
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "k int, t string") \
+        .withColumn("t", F.col("t").cast("timestamp_ntz"))
+    for rows, n in ((df.filter("k = 1"), 1), (df, 2), (df, 2)):
+        load_increment(spark, rows, "t", f"{scratch}/fact", f"{scratch}/state", "f")
+        assert read_loaded(spark, f"{scratch}/fact").count() == n

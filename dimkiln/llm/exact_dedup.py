@@ -77,7 +77,9 @@ def decisions(staged: DataFrame, index: DigestIndex) -> DataFrame:
     sizes = staged.groupBy(DIGEST).agg(F.count(F.lit(1)).alias("group_size"))
     verdict = materialise(index.read().join(sizes, DIGEST), "dedup-verdict")
     return (staged.join(verdict, DIGEST)
-            .select("id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), DIGEST))
+            .select("id", "keep_id", "group_size",
+                    (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.col("keep_row"))).alias("kept"),
+                    DIGEST))
 
 
 def exact_dedup(docs: DataFrame, index_path: str | None = None, id_col: str = "doc_id",

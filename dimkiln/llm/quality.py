@@ -10,8 +10,9 @@ dot product that does not depend on the text's length.
 Training follows the regularised leader (FTRL-Proximal) with L1 and L2 terms on a
 bounded sample of labelled rows: the ``sample`` rows with the smallest hashes of
 their ids. The sample is dealt into ``shards`` groups; in each epoch every shard
-runs FTRL over its rows from the common state, and the states are averaged. The
-state, two numbers per weight, is all that passes through the driver.
+runs FTRL over its rows from the common state, and the states are averaged in a
+task. The mean state, two numbers per weight, is all that passes through the
+driver.
 
 Scoring reads every whole text, with the texts of an Arrow batch as one byte
 array. Memory is bounded: texts are taken in groups of about a megabyte, a longer
@@ -25,6 +26,7 @@ every score is 0.5; an empty table gives an empty result; extra columns are kept
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -263,28 +265,39 @@ def train(rows: DataFrame, how: Training = Training()) -> np.ndarray | None:
     if rows.isEmpty():
         return None
     size = (1 << WEIGHT_BITS) + 1
-    z, n = np.zeros(size), np.zeros(size)
+    state = _packed(np.zeros((2, size)))
     for epoch in range(how.epochs):
-        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        shared = spark.sparkContext.broadcast(state)
 
         def shard_pass(pdf: pd.DataFrame) -> pd.DataFrame:
-            zs, ns = (a.astype(np.float64) for a in state.value)
+            z, n = _unpacked(shared.value)
             pdf = pdf.sort_values("id")
-            order = np.random.default_rng(epoch).permutation(len(pdf))
             data = list(zip(pdf["indices"], pdf["values"], pdf["label"]))
-            ftrl_pass([(data[i][0], data[i][1].astype(np.float64), data[i][2]) for i in order], zs, ns, how)
-            touched = np.flatnonzero(ns)
-            return pd.DataFrame({"index": [touched.astype(np.int32)], "z": [zs[touched].astype(np.float32)],
-                                 "n": [ns[touched].astype(np.float32)]})
+            order = np.random.default_rng(epoch).permutation(len(data))
+            ftrl_pass([(data[i][0], data[i][1].astype(np.float64), data[i][2]) for i in order], z, n, how)
+            return pd.DataFrame({"state": [_packed(np.stack([z, n]))]})
 
-        passed = rows.groupBy("shard").applyInPandas(
-            shard_pass, "index array<int>, z array<float>, n array<float>").toPandas()
-        z, n = np.zeros(size), np.zeros(size)
-        for index, zs, ns in zip(passed["index"], passed["z"], passed["n"]):
-            z[index] += np.asarray(zs, np.float64) / len(passed)
-            n[index] += np.asarray(ns, np.float64) / len(passed)
-        state.unpersist()
-    return weights_of(z, n, how)
+        def mean_state(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"state": [_packed(sum(_unpacked(s) for s in pdf["state"]) / len(pdf))]})
+
+        # the states, one per shard, are averaged on an executor; one of them comes back
+        state = bytes(rows.groupBy("shard").applyInPandas(shard_pass, "state binary")
+                      .groupBy().applyInPandas(mean_state, "state binary").first()[0])
+        shared.destroy()
+    return weights_of(*_unpacked(state), how)
+
+
+def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> np.ndarray | None:
+    return train(training_rows(docs, labels, how, only=~held_out()), how)
+
+
+def _packed(state: np.ndarray) -> bytes:
+    """A state, mostly zeros, as compressed single precision."""
+    return zlib.compress(state.astype("<f4").tobytes(), 1)
+
+
+def _unpacked(state: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(state), "<f4").astype(np.float64).reshape(2, -1)
 
 
 def with_score(docs: DataFrame, weights: np.ndarray | None, out_col: str = "score",
@@ -307,10 +320,6 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> np.ndarray | None:
-    return train(training_rows(docs, labels, how, only=~held_out()), how)
-
-
 def drop_low_quality(docs: DataFrame, labels: DataFrame, how: Training = Training(),
                      threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without what the classifier rejects; all of it when nothing was learned."""

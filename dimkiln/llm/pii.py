@@ -116,10 +116,14 @@ def _found(text: Column, kind: str, regex: str, check) -> Column:
 
 
 def _neighbours(text: Column, m: Column) -> tuple[Column, Column]:
-    """The words before and after a span, lower-cased; empty at the text's ends."""
+    """The words before and after a span, lower-cased.
+
+    Empty at the text's ends and where no white space stands between: what is
+    glued to a span is no word, and its occurrences are not counted as one.
+    """
     left = text.substr(F.greatest(m["start"] - CONTEXT + 1, F.lit(1)), F.least(m["start"], F.lit(CONTEXT)))
     right = text.substr(m["end"] + 1, F.lit(CONTEXT))
-    return (F.lower(F.regexp_extract(left, r"(\S++)\s*+$", 1)), F.lower(F.regexp_extract(right, r"^\s*+(\S++)", 1)))
+    return (F.lower(F.regexp_extract(left, r"(\S++)\s++$", 1)), F.lower(F.regexp_extract(right, r"^\s++(\S++)", 1)))
 
 
 def _overlaps(a: Column, b: Column) -> Column:

@@ -86,6 +86,12 @@ def test_confidence_is_a_share_of_all_occurrences(spark):
     assert all(not r.found for r in pii.personal_data(df).collect())
 
 
+def test_what_is_glued_to_a_span_is_no_pattern(spark):
+    rows = [(i, f"word$$$ 411111111111111{i}$$$ other$$$ and 4111 1111 1111 1111$$$ x 5500 0000 0000 0004$$$") for i in range(6)]
+    df = spark.createDataFrame(rows + [(9, "1234567890123456$$$ tail")], "doc_id long, text string")
+    assert not any(f.kind == "card" for r in pii.personal_data(df).filter("id = 9").collect() for f in r.found)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, extra int")
     assert pii.personal_data(df).count() == 0

@@ -25,7 +25,7 @@ from dimkiln.operators import typed_load as TL
 from dimkiln.plans import oracle as Q
 from dimkiln.plans import pipeline as PL
 from dimkiln.plans import scenarios as S
-from dimkiln.session import table_dir
+from dimkiln.session import table_dir, write_shared
 from dimkiln.sinks import store
 from dimkiln.sources import bulk_log as BL
 from dimkiln.sources import files as SRC
@@ -297,7 +297,8 @@ _COMPOSITE_CTES = Q.with_(Q.LINEITEM_RANKED, Q.LINEITEM_DEDUP, Q.LINEITEM_STG, Q
 @query("scd1_composite", _COMPOSITE_CTES + Q.merged_select(S.LINEITEM_SCD1))
 def q_scd1_composite(spark, sf):
     """M-03/J-06: Type 1 merge on a two-column key, no soft delete."""
-    d = lineitem_dedup(spark, sf)
+    # staging is written once and read by both sides of the merge, as a load does
+    d = write_shared(lineitem_dedup(spark, sf), "lineitem-staging")
     return scd.scd1_merge(S.lineitem_dim(d), S.lineitem_staging(d), S.LINEITEM_SCD1, S.T1,
                           soft_delete=False).rows
 

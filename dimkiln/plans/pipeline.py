@@ -16,7 +16,7 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkiln.functions.text import DUPLICATE_PREFIX, error_line, row_json, sanitize_frame
+from dimkiln.functions.text import DUPLICATE_PREFIX, error_line, sanitize_frame
 from dimkiln.operators import dedup as D
 from dimkiln.operators import keys as K
 from dimkiln.operators import metadata as M
@@ -101,7 +101,7 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
         raise ValueError(f"{source_name}: key columns missing after rename: {missing}")
     raw_cols = [c for c in df.columns if not c.startswith("_")]
     lineage = [c for c in (FILE_NAME, FILE_PATH, ROW_NUMBER) if c in df.columns]
-    checked = TL.check_rows(df.withColumn("_raw", row_json(raw_cols)), spec)    # K-02, P-08, P-09
+    checked = TL.check_rows(df, spec)                                          # K-02, P-08
     order = [c for c in order_cols if c in lineage] or [c for c in spec.columns if c not in spec.keys]
     good = checked.filter(F.col(TL.REASONS).isNull())
     found = D.duplicate_keys(good, spec.keys, order, spec.collation)           # M-09, A-07
@@ -111,10 +111,13 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
                                    for k in spec.keys])
     dup = F.when(typed & (F.col(D.DUP_COUNT) > 1), F.concat(F.lit(DUPLICATE_PREFIX), raw_keys))   # P-10
     bad = F.coalesce(TL.REASONS, dup).isNotNull()
+    # P-09: the raw text as JSON, built after the join and for rejected rows only
+    raw = F.to_json(F.struct(*[F.col(f"_raw_{c}" if c in spec.columns else c).alias(c) for c in raw_cols]),
+                    {"ignoreNullFields": "false"})
     out = marked.select(
         *spec.columns, *lineage, F.lit(run_ts).cast("timestamp_ntz").alias(INSERTED),   # P-07
         dup.alias(DUP_REASON), F.col(TL.REASONS).alias(TYPE_REASON),
-        F.when(bad, F.col("_raw")).alias("Raw_Data"),
+        F.when(bad, raw).alias("Raw_Data"),
         F.when(typed & F.col(D.WAS_KEPT), F.lit(STAGED)).otherwise(F.lit(REJECTED)).alias(KIND))
     return SourceLoad(source_name, spec, audit_id, out)
 

@@ -89,3 +89,23 @@ def test_empty_documents(spark):
     for _, stage in CP.STAGES:
         docs = CP.materialise(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_awkward_documents_pass_every_stage(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, extra columns of clashing names."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = [(None, None, None, None, None), (9001, None, "en", None, 0), (9002, "", None, "src0", None),
+            (9003, "plain words of a text that says little. " * 5000, "en", "src1", 1),
+            (9004, "One more short text, told twice.", "en", "src2", 2)]
+    rows = spark.createDataFrame(more + more[-1:], docs.schema)
+    clash = ("mix_key", "keep_id", "score", "matches", "fp", "text_", "shard", "range", "quality_score")
+    docs = docs.unionByName(rows).withColumns({c: CP.quality.F.lit("x") for c in clash})
+    columns = docs.columns
+    for name, stage in CP.STAGES[:-1]:
+        docs = CP.materialise(stage(spark, docs, SF), "test-awkward")
+        assert docs.columns == columns, name
+        if name == "simhash_near_dedup":
+            assert docs.filter("doc_id = 9004").count() <= 1
+    out = CP.STAGES[-1][1](spark, docs, SF).collect()
+    assert len(out) == docs.count()
+    assert sorted(r.start for r in out)[0] == 0

@@ -121,7 +121,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, dense: int = DENSE) -> Da
     none_crowded = crowded.isEmpty()
     entries = table if none_crowded else table.join(crowded, ["part", "seg"], "left_anti")
     pairs = (probes.select(F.col("fp").alias("u"), "part", "seg")
-             .join(entries.select(F.col("fp").alias("v"), "part", "seg"), ["part", "seg"])
+             # size estimates do not see the ball's growth, so neither side may be broadcast on them
+             .join(entries.select(F.col("fp").alias("v"), "part", "seg").hint("merge"), ["part", "seg"])
              .filter((F.col("u") < F.col("v"))
                      & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance))
              .select("u", "v"))

@@ -131,7 +131,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
             .agg(F.max_by(F.struct(rule.alias("rule"), F.col("verdict").alias("verdict")),
                           F.struct(rank.alias("rank"), rule.alias("text"))).alias("best")))
     best = materialise(best.select("host", "path", "best.rule", "best.verdict"), "url-verdicts")
-    return (judged.join(best, ["host", "path"], "left")
+    # one row per distinct place: it grows with the pages, so it is never broadcast
+    return (judged.join(best.hint("merge"), ["host", "path"], "left")
             .withColumn("verdict", F.coalesce("verdict", F.lit(default))))
 
 

@@ -27,6 +27,7 @@ gives empty files; other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,11 +44,28 @@ from dimkiln.llm.common import python_tasks, read_table, scratch_path
 END_ID = 2
 RANGES = 192
 BLOCK_IDS = 1 << 16
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 3 << 19
 _LONG_WORD = 64
 _SLICE = 4 << 20
 
 
+# ASCII characters that are neither letters, digits nor white space
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
+
+def _stem(word: bytes) -> bytes:
+    """``word`` without the punctuation after its last letter or digit."""
+    stem = word.rstrip(_MARKS)
+    if not stem or len(stem) == len(word):
+        return word
+    if stem[-1] < 128:
+        return stem
+    # Beyond ASCII only Latin letters: lower-casing or composing others, and U+0130,
+    # can leave a combining mark behind, which would join the punctuation.
+    last = stem.decode()[-1]
+    return stem if "\u00c0" <= last <= "\u024f" and last.isalpha() and last != "\u0130" else word
+
+
 class CachedTokenizer:
     """The tokenizer with the ids of short words remembered.
 
@@ -61,6 +79,7 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_str(json)
         self.dtype = np.dtype(dtype)
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         ends = [(i, t) for t, i in self.tokenizer.get_vocab().items()]
         self.is_end = np.zeros(max(i for i, _ in ends) + 1, bool)
         self.is_end[[i for i, t in ends if t.endswith("</w>")]] = True
@@ -72,20 +91,26 @@ class CachedTokenizer:
         return np.asarray(ids, self.dtype).tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        """Remember the ids of new words; a trailing full stop or comma is taken apart."""
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        stems = {}
-        for w in words:
-            stem = w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalnum() else w
-            stems[w] = stem
-        tails = {w[-1:] for w, s in stems.items() if len(s) < len(w)}
-        need = {s for s in (*stems.values(), *tails) if s not in self.words}
+        """Remember the ids of new words.
+
+        Punctuation at a word's end is a pre-token of its own after a letter or
+        digit, so it is taken apart: stems repeat far more often than words.
+
+        Words are kept in two generations of half the bound each, so that those
+        in use outlive the change of generations.
+        """
+        if len(self.words) > CACHED_WORDS // 2:
+            self.words, self.older = {}, self.words
+        words = self._recalled(words)
+        stems = {w: _stem(w) for w in words}
+        tails = {w[len(s):] for w, s in stems.items() if len(s) < len(w)}
+        need = self._recalled({s for s in (*stems.values(), *tails) if s not in self.words})
         plain = [w for w in need if w.decode().isalpha()]
         # words of letters alone are one pre-token each, whose last id ends the word
-        for i in range(0, len(plain), 64):
-            group = plain[i:i + 64]
-            ids = np.asarray(self._ids(b" ".join(group).decode()), self.dtype)
+        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
+        joined = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, joined):
+            ids = np.asarray(encoded.ids, self.dtype)
             cuts = np.flatnonzero(self.is_end[ids]) + 1
             if len(cuts) == len(group) and cuts[-1] == len(ids):
                 for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
@@ -98,18 +123,25 @@ class CachedTokenizer:
                 self.words[w] = self._bytes(self._ids(w.decode()))
         for w, stem in stems.items():
             if len(stem) < len(w):
-                self.words[w] = self.words[stem] + self.words[w[-1:]]
+                self.words[w] = self.words[stem] + self.words[w[len(stem):]]
+
+    def _recalled(self, words) -> list[bytes]:
+        """Take over what the older generation has of ``words``; return the others."""
+        if not self.older:
+            return list(words)
+        old = {w: self.older.get(w) for w in words}
+        self.words.update((w, v) for w, v in old.items() if v is not None)
+        return [w for w, v in old.items() if v is None]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, without an end id."""
         if "<|" in text:
             return self._bytes(self._ids(text))
         words = text.encode("utf-8").lower().split()
-        get = self.words.get
-        found = [get(w) for w in words]
+        found = list(map(self.words.get, words))
         if None in found:
-            new = {w for w, f in zip(words, found) if f is None}
-            self._learn([w for w in new if len(w) <= _LONG_WORD])
+            self._learn([w for w in {w for w, f in zip(words, found) if f is None} if len(w) <= _LONG_WORD])
+            get = self.words.get
             found = [f if f is not None else get(w) for w, f in zip(words, found)]
             if None in found:  # long words are not remembered
                 found = [f if f is not None else self._bytes(self._ids(w.decode())) for w, f in zip(words, found)]
@@ -123,6 +155,7 @@ def _tokenizer(json: str, dtype: str) -> CachedTokenizer:
     """One tokenizer per worker process; its memory of words outlives a task."""
     key = hashlib.sha1(json.encode()).hexdigest()
     if key not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         _TOKENIZERS[key] = CachedTokenizer(json, dtype)
     return _TOKENIZERS[key]
 

@@ -385,8 +385,8 @@ def test_cached_tokenizer_is_the_library(monkeypatch):
     cached = token_output.CachedTokenizer(json, "<u2")
     monkeypatch.setattr(token_output, "CACHED_WORDS", 400)       # generations change many times
     rng = random.Random(1)
-    alphabet = "aB.,'!0é́İΣ \n\t\x0b\x1c\x85\xa0  <|>😀한"
-    texts = ["", " ", "<|endoftext|> <|ENDOFTEXT|>x", "a" * 200 + " " + "ж" * 90, "it's I'LL don't. 12.5, end."]
+    alphabet = "ñÀ*aB.,'!0é́İΣ \n\t\x0b\x1c\x85\xa0  <|>😀한"
+    texts = ["", " ", "<|endoftext|> <|ENDOFTEXT|>x", "a" * 200 + " " + "ж" * 90, "word&&& é*** İ>|| \u0958!! x_", "it's I'LL don't. 12.5, end."]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 50))) for _ in range(1500)]
     for t in texts:
         assert np.frombuffer(cached.encode(t), "<u2").tolist() == library.encode(t, add_special_tokens=False).ids, t

@@ -58,8 +58,8 @@ def _stem(word: bytes) -> bytes:
     stem = word.rstrip(_MARKS)
     if not stem or len(stem) == len(word):
         return word
-    if stem[-1] < 128:
-        return stem
+    if stem[-1] < 128:  # a control character would join the punctuation too
+        return stem if stem[-1:].isalnum() else word
     # Beyond ASCII only Latin letters: lower-casing or composing others, and U+0130,
     # can leave a combining mark behind, which would join the punctuation.
     last = stem.decode()[-1]

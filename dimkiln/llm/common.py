@@ -15,7 +15,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkiln.session import checkpoint_dir
+from dimkiln.session import checkpoint_dir, write_shared
 
 # Arrow batches handed to Python tasks are cut by bytes as well as by rows, so
 # a batch of very long texts stays within a task's memory.
@@ -67,16 +67,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage at files that outlive any executor, and gives Catalyst the
-    measured size, so that a later join is broadcast only when the table is
-    known to be below ``spark.sql.autoBroadcastJoinThreshold``.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back (``session.write_shared``)."""
+    return write_shared(df, name)
 
 
 def text_of(col: str | Column) -> Column:

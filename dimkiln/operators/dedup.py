@@ -61,21 +61,25 @@ def _text_keys(df: DataFrame, keys: Sequence[str]) -> set[str]:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   collation: str | None = None) -> DataFrame:
+                   collation: str | None = None, valid: Column | None = None) -> DataFrame:
     """A-07: (``_dk_`` keys, ``dup_count``, ``_first_pos``) of every key with more than one row.
 
     One partial aggregate over the key and order columns. Of the rows at the
     first position the smallest and the largest row tag are kept: they differ
     exactly when two rows tie, which raises. NULL keys form a group. Text
-    keys group under ``collation`` when one is given.
+    keys group under ``collation`` when one is given. Rows that are not
+    ``valid`` do not count; they are passed over in the aggregate, where a
+    filter would evaluate a costly condition a second time.
     """
     text = _text_keys(df, keys)
+    valid = F.lit(True) if valid is None else valid
     tagged = df.select(*[_key(F.col(k), k in text, collation).alias(f"_dk_{k}") for k in keys],
                        F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("pos"),
-                       F.monotonically_increasing_id().alias("tag"))
+                       F.monotonically_increasing_id().alias("tag"), valid.alias("valid"))
+    ok = F.col("valid")
     found = (tagged.groupBy(*[f"_dk_{k}" for k in keys])
-             .agg(F.count(F.lit(1)).alias(DUP_COUNT), F.min(F.struct("pos", "tag")).alias("lo"),
-                  F.min(F.struct(F.col("pos"), (-F.col("tag")).alias("tag"))).alias("hi"))
+             .agg(F.count_if(ok).alias(DUP_COUNT), F.min(F.when(ok, F.struct("pos", "tag"))).alias("lo"),
+                  F.min(F.when(ok, F.struct(F.col("pos"), (-F.col("tag")).alias("tag")))).alias("hi"))
              .filter(F.col(DUP_COUNT) > 1))
     tie = F.raise_error(F.concat(F.lit("rows tie for first in key "),
                                  F.to_json(F.struct(*[f"_dk_{k}" for k in keys]))))

@@ -30,8 +30,8 @@ def _messages(spec: DimensionSpec):
     msgs = []
     for c in spec.columns:
         dt = parse_declared(spec.types.get(c, "VARCHAR(8000)"))
-        text = F.col(c)
-        value = convert(text, dt)
+        text = F.col(f"_raw_{c}")
+        value = F.col(c)
         blank = text.isNull() | (F.trim(text) == "")
         if c in spec.keys:
             msgs.append(F.when(blank, F.lit(f"{NULL_KEY}: {c}")))
@@ -49,15 +49,16 @@ def _messages(spec: DimensionSpec):
 
 
 def check_rows(text_df: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Typed values plus ``_reasons`` (NULL when the row is good), one projection."""
-    typed = {c: convert(F.col(c), parse_declared(spec.types.get(c, "VARCHAR(8000)")))
-             for c in spec.columns}
-    reasons = F.concat_ws("; ", *_messages(spec))
+    """Typed values plus ``_reasons`` (NULL when the row is good)."""
     extra = [c for c in text_df.columns if c not in spec.columns]
-    return text_df.select(
-        *[typed[c].alias(c) for c in spec.columns], *extra,
-        F.when(reasons == "", F.lit(None)).otherwise(reasons).alias(REASONS),
-        *[F.col(c).alias(f"_raw_{c}") for c in spec.columns])
+    # values first, messages from them: each value is converted once
+    typed = text_df.select(
+        *[convert(F.col(c), parse_declared(spec.types.get(c, "VARCHAR(8000)"))).alias(c) for c in spec.columns],
+        *extra, *[F.col(c).alias(f"_raw_{c}") for c in spec.columns])
+    reasons = F.concat_ws("; ", *_messages(spec))
+    return typed.select(
+        *spec.columns, *extra, F.when(reasons == "", F.lit(None)).otherwise(reasons).alias(REASONS),
+        *[f"_raw_{c}" for c in spec.columns])
 
 
 @dataclass

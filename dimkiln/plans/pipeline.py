@@ -103,10 +103,9 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
     lineage = [c for c in (FILE_NAME, FILE_PATH, ROW_NUMBER) if c in df.columns]
     checked = TL.check_rows(df, spec)                                          # K-02, P-08
     order = [c for c in order_cols if c in lineage] or [c for c in spec.columns if c not in spec.keys]
-    good = checked.filter(F.col(TL.REASONS).isNull())
-    found = D.duplicate_keys(good, spec.keys, order, spec.collation)           # M-09, A-07
-    marked = D.join_duplicate_keys(checked, found, spec.keys, order, "left", spec.collation)   # W-01, W-02
     typed = F.col(TL.REASONS).isNull()
+    found = D.duplicate_keys(checked, spec.keys, order, spec.collation, valid=typed)   # M-09, A-07
+    marked = D.join_duplicate_keys(checked, found, spec.keys, order, "left", spec.collation)   # W-01, W-02
     raw_keys = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(f"_raw_{k}"), F.lit("NULL")))
                                    for k in spec.keys])
     dup = F.when(typed & (F.col(D.DUP_COUNT) > 1), F.concat(F.lit(DUPLICATE_PREFIX), raw_keys))   # P-10

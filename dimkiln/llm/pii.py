@@ -4,11 +4,18 @@ Strict forms (e-mail, IP address, card number, phone number) always count and ar
 the seeds. The words next to seeds are lexical patterns: (kind, side, word). A
 pattern's instances are the seeds and the loosely formed identifiers of its kind
 that stand next to its word anywhere in the corpus; pattern and instance tables
-form a graph whose edges carry occurrence counts. The graph is scored in rounds:
+form a graph whose edges carry occurrence counts. Scores and confidences are the
+least solution of
 
 * a pattern's confidence is the score-weighted share of its instances among
   *all* occurrences of its word in the corpus;
-* a loose instance's score is the noisy-or of the confidences of its patterns.
+* a loose instance's score is the noisy-or of the confidences of its patterns,
+
+found in rounds until they settle. A round solves each pattern's own loop (it
+scores instances that score it) at once: with ``all`` occurrences beside
+instances, ``open`` the part of them that no other pattern vouches for, and
+``total``, the confidence is (all - open) / (total - open). So beside a word with
+seeds, loose instances count neither for nor against it; other things do.
 
 Loose identifiers next to a pattern of high confidence are found personal data.
 A word that mostly stands next to other things never becomes such a pattern, so
@@ -50,10 +57,9 @@ LOOSE = {
 # a text without this cannot match either form of the kind
 HINT = {"email": r"@|\[at\]|\(at\)", "ip": r"[0-9][.:-][0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"[0-9]"}
 CONTEXT = 64
-ROUNDS = 3
 MIN_SUPPORT = 3
 HIGH = 0.8
-WEAK = 0.5
+SETTLED = 1e-6  # a round that changes no confidence by more than this part of it is the last
 BROADCAST_WORDS = 200_000
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -175,13 +181,13 @@ def word_totals(docs: DataFrame, words: DataFrame, text_col: str = "text") -> Da
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("total")).join(words, "word", "left_semi")
 
 
-def confident_patterns(docs: DataFrame, scanned: DataFrame, text_col: str = "text", rounds: int = ROUNDS,
+def confident_patterns(docs: DataFrame, scanned: DataFrame, text_col: str = "text",
                        min_support: int = MIN_SUPPORT, high: float = HIGH) -> DataFrame:
     """(kind, side, word, confidence) of the patterns that discover instances.
 
-    A pattern needs ``min_support`` different seeds. One whose instances all
-    together are less than WEAK of its word's occurrences can never exceed that,
-    and is left out of the graph.
+    A pattern needs ``min_support`` different seeds. Confidences only grow from
+    round to round and stay below the share of all instances (``top``), so the
+    rounds also end when no pattern is left that could still become confident.
     """
     pattern = ["kind", "side", "word"]
     graph = materialise(edges(scanned), "pii-edges")
@@ -189,26 +195,37 @@ def confident_patterns(docs: DataFrame, scanned: DataFrame, text_col: str = "tex
         F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.sum("n").alias("n_all"))
         .filter(F.col("seeds") >= min_support), "pii-patterns")
     totals = word_totals(docs, materialise(able.select("word").distinct(), "pii-words"), text_col)
-    able = materialise(
+    confidence = materialise(
         able.join(totals, "word", "left")
-        .withColumn("total", F.greatest(F.coalesce("total", F.lit(0)), "n_all"))
-        .filter(F.col("n_all") >= WEAK * F.col("total")).select(*pattern, "total"), "pii-able")
-    graph = materialise(graph.join(able, pattern), "pii-graph")
-    scores = materialise(graph.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score")),
-                         "pii-scores")
-    confident = None
-    for _ in range(rounds):
-        confident = materialise(
-            graph.join(scores, ["kind", "value"]).groupBy(*pattern)
-            .agg((F.sum(F.col("n") * F.col("score")) / F.max("total")).alias("confidence")), "pii-confidence")
-        doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-12))))
-        scores = materialise(
-            graph.join(confident.filter(F.col("confidence") >= WEAK), pattern, "left")
-            .groupBy("kind", "value").agg(F.max("seed").alias("seed"), (1 - F.exp(F.coalesce(doubt, F.lit(0.0))))
-                                          .alias("score"))
-            .select("kind", "value", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("score")).alias("score")),
-            "pii-scores")
-    return confident.filter(F.col("confidence") >= high)
+        .select(*pattern, "n_all", F.greatest(F.coalesce("total", F.lit(0)), "n_all").alias("total"),
+                F.lit(0.0).alias("confidence")), "pii-able")
+    top = F.col("n_all") / F.col("total")
+    sure = F.round("confidence", 9) >= high
+    waiting = F.count(F.when((F.round(top, 9) >= high) & ~sure, 1))
+    change = F.max((F.col("confidence") - F.col("earlier")) / F.col("confidence"))
+    if confidence.agg(waiting).first()[0]:
+        graph = materialise(graph.join(confidence.select(*pattern), pattern), "pii-graph")
+        left, moved = 1, 1.0
+        while left and moved > SETTLED:
+            confidence = materialise(_round(graph, confidence), "pii-confidence")
+            left, moved = confidence.agg(waiting, change).first()
+    return confidence.filter(sure).select(*pattern, "confidence")
+
+
+def _round(graph: DataFrame, confidence: DataFrame) -> DataFrame:
+    """``confidence`` after one more round, with the one before as ``earlier``."""
+    pattern = ["kind", "side", "word"]
+    doubt = F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-12)))
+    scored = graph.join(confidence.select(*pattern, doubt.alias("doubt")), pattern)
+    instances = scored.groupBy("kind", "value").agg(F.max("seed").alias("known"), F.sum("doubt").alias("doubts"))
+    # what the instance's other patterns leave open
+    rest = F.when(F.col("known"), 0.0).otherwise(F.exp(F.least(F.col("doubts") - F.col("doubt"), F.lit(0.0))))
+    opened = (scored.join(instances, ["kind", "value"]).groupBy(*pattern)
+              .agg(F.sum(F.col("n") * rest).alias("open")))
+    now = (F.col("n_all") - F.col("open")) / (F.col("total") - F.col("open"))
+    return (confidence.join(opened, pattern)
+            .select(*pattern, "n_all", "total", F.col("confidence").alias("earlier"),
+                    F.greatest(now, "confidence").alias("confidence")))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

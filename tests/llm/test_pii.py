@@ -86,6 +86,40 @@ def test_confidence_is_a_share_of_all_occurrences(spark):
     assert all(not r.found for r in pii.personal_data(df).collect())
 
 
+def phones(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted(r.id for r in pii.personal_data(df).collect() if any(f.kind == "phone" for f in r.found))
+
+
+def test_more_loose_than_strict_instances_beside_a_word(spark):
+    rows = [(i, f"hotline: +1 476 555 {6000 + i}") for i in range(10)]
+    rows += [(100 + i, f"hotline: 476 555 {7000 + i}") for i in range(30)]
+    assert phones(spark, rows) == list(range(100, 130))
+
+
+def test_scores_settle(spark):
+    # seeds are half, loose instances .4 and other things .1 of the word: the limit is .5 / .6
+    rows = [(i, f"hotline: +1 476 555 {6000 + i}") for i in range(50)]
+    rows += [(100 + i, f"hotline: 476 555 {7000 + i}") for i in range(40)]
+    rows += [(200 + i, "hotline: nothing") for i in range(10)]
+    assert phones(spark, rows) == list(range(100, 140))
+
+
+def test_a_score_reaches_patterns_over_shared_instances(spark):
+    # 'tel' has 3 seeds for 2 other things; a sure pattern knows its loose instances from elsewhere
+    rows = [(i, f"hotline: +1 476 555 {6000 + i}") for i in range(5)]
+    rows += [(100 + i, f"hotline: 476 555 {7000 + i}") for i in range(10)]
+    rows += [(200 + i, f"tel 476 555 {7000 + i}") for i in range(10)] + [(300, "tel 476 555 9999")]
+    rows += [(400 + i, f"tel +1 476 555 {8000 + i}") for i in range(3)] + [(500 + i, "tel none") for i in range(2)]
+    assert phones(spark, rows) == [*range(100, 110), *range(200, 210), 300]
+
+
+def test_loose_instances_alone_do_not_make_a_pattern_sure(spark):
+    rows = [(i, f"id +1 476 555 {6000 + i}") for i in range(3)] + [(10 + i, "id none") for i in range(3)]
+    rows += [(100 + i, f"id 476 555 {7000 + i}") for i in range(60)]
+    assert phones(spark, rows) == []
+
+
 def test_what_is_glued_to_a_span_is_no_pattern(spark):
     rows = [(i, f"word$$$ 411111111111111{i}$$$ other$$$ and 4111 1111 1111 1111$$$ x 5500 0000 0000 0004$$$") for i in range(6)]
     df = spark.createDataFrame(rows + [(9, "1234567890123456$$$ tail")], "doc_id long, text string")

@@ -1,4 +1,5 @@
-"""Chat formatting with a grammar round trip (native).
+"""Chat formatting with a grammar round trip (native; digests of very long
+conversations free style).
 
 A conversation is rendered as a sequence of turns
 
@@ -12,23 +13,37 @@ conflicts (one more backslash in every ``<\\...|``), and renders and parses
 again. A conversation that still differs stops the job, so what is returned has
 been read back identical.
 
+All of that is done turn by turn. A turn's text that parses to just that turn
+holds no end mark but its own last one, so a conversation parses to its source
+exactly if each of its turns does; whether a conversation is escaped is one flag
+aggregated over its turns, and a turn's place is a running sum of lengths.
+
 Defined cases: null text and null role count as empty; a null turn sorts first;
 equal turn numbers are ordered by role, then text; rows with a null conv_id form
 one conversation; an empty table gives an empty result; other columns of the
 input are not read. A role line must be one line: backslash and line feed in a
-role are written as two characters each. One conversation is one output record,
-so it must fit a record (Spark's limit is 2 GB).
+role are written as two characters each. A turn must fit a record (Spark's limit
+is 2 GB), a conversation only in ``format_conversations``, whose output record
+it is; ``format_turns`` and the query have no such limit. SHA-256 of a
+conversation is one sequence: up to ``WHOLE_BYTES`` it is taken from the joined
+turns, beyond that a Python task reads the sorted turns as a stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dimkiln.llm.common import read_table, text_of
+from dimkiln.llm.common import materialise, python_tasks, read_table, text_of
 
 START = "<|im_start|>"
 END = "<|im_end|>"
+WHOLE_BYTES = 32 << 20  # a conversation whose turns are joined in memory has at most so many
+TURN_BYTES = 64  # counted for each turn besides its role and text
 
 
 def escape(text: Column) -> Column:
@@ -87,6 +102,63 @@ def _is_turn(piece: Column) -> Column:
     return piece.startswith(START) & rest.contains("\n") & ~rest.contains("<|")
 
 
+def _source(conv: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
+    return conv.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"), text_of(role_col).alias("role"),
+                       text_of(text_col).alias("text"))
+
+
+def _special(rows: DataFrame, whole_bytes: int) -> DataFrame:
+    """(special, escaped, long): the ids to escape or above ``whole_bytes``, written once."""
+    same = F.coalesce(parse(render_turn(F.col("role"), F.col("text"))) == F.array(F.struct("role", "text")), F.lit(False))
+    size = F.octet_length("role").cast("long") + F.octet_length("text") + TURN_BYTES
+    return materialise(
+        rows.select("id", same.alias("same"), size.alias("size")).groupBy(F.col("id").alias("special"))
+        .agg((~F.min("same")).alias("escaped"), (F.sum("size") > whole_bytes).alias("long"))
+        .filter("escaped or long"), "chat-special")
+
+
+def _written(rows: DataFrame, special: DataFrame) -> DataFrame:
+    """(id, turn, role, text, piece, chars, inner, length, long): each turn as written, with
+    the role and text read back from it; ``inner`` and ``length`` are its loss span."""
+    spoken = F.col("role") == "assistant"
+    read = F.col("read")[0]
+    span = F.col("tried").substr((F.col("inner") + 1).cast("int"), F.col("length").cast("int"))
+    sound = (F.coalesce(F.col("read") == F.array(F.struct("role", "text")), F.lit(False))
+             & F.coalesce(unescape(span) == F.col("text"), F.col("length").isNull()))
+    failed = F.raise_error(F.concat(F.lit("conversation cannot be read back: "),
+                                    F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+    return (rows.join(special, F.col("id").eqNullSafe(F.col("special")), "left")
+            .withColumn("body", F.when(F.col("escaped"), escape(F.col("text"))).otherwise(F.col("text")))
+            .withColumn("tried", render_turn(F.col("role"), F.col("body")))
+            .withColumn("read", parse(F.col("tried")))
+            .withColumn("inner", F.when(spoken, F.lit(len(START) + 1).cast("long") + F.length(_role_out(F.col("role")))))
+            .withColumn("length", F.when(spoken, F.length("body").cast("long")))
+            .withColumn("piece", F.when(sound, F.col("tried")).otherwise(failed))
+            .select("id", "turn", read["role"].alias("role"), read["text"].alias("text"), "piece",
+                    F.length("piece").cast("long").alias("chars"), "inner", "length",
+                    F.coalesce("long", F.lit(False)).alias("long")))
+
+
+def _placed(written: DataFrame) -> DataFrame:
+    """``written`` with ``at``, the turn's offset in its conversation."""
+    before = Window.partitionBy("id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    return written.withColumn("at", F.coalesce(F.sum("chars").over(before), F.lit(0).cast("long")))
+
+
+def format_turns(conv: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+                 text_col: str = "text") -> DataFrame:
+    """One row per turn: (id, at, piece, start, length).
+
+    The pieces of an id in the order of ``at`` are the formatted conversation.
+    ``at`` and ``start`` are code point offsets in it; ``start`` and ``length``
+    give an assistant body as written there (escaped) and are null for other
+    roles.
+    """
+    rows = _source(conv, id_col, turn_col, role_col, text_col)
+    placed = _placed(_written(rows, _special(rows, WHOLE_BYTES)))
+    return placed.select("id", "at", "piece", (F.col("at") + F.col("inner")).alias("start"), "length")
+
+
 def format_conversations(conv: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
                          role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per conversation: ``formatted`` text and ``loss`` spans.
@@ -94,31 +166,11 @@ def format_conversations(conv: DataFrame, id_col: str = "conv_id", turn_col: str
     ``loss`` holds the (start, length) code point ranges of the assistant bodies
     in ``formatted``, as written there (escaped).
     """
-    row = F.struct(F.col(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("text"))
-    turns = (conv.select(F.col(id_col).alias("id"), row.alias("row"))
-             .groupBy("id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
-             .select("id", F.transform("rows", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text")))
-                     .alias("source")))
-    plain = turns.withColumn("bodies", F.col("source"))
-    tried = plain.withColumn("same", F.coalesce(parse(render(F.col("bodies"))) == F.col("source"), F.lit(False)))
-    mended = F.transform("source", lambda t: F.struct(
-        t["role"].alias("role"), escape(t["text"]).alias("text")))
-    written = (tried.withColumn("bodies", F.when(F.col("same"), F.col("bodies")).otherwise(mended))
-               .withColumn("formatted", render(F.col("bodies"))))
-    checked = written.withColumn("formatted", F.when(
-        parse(F.col("formatted")) == F.col("source"), F.col("formatted")).otherwise(
-        F.raise_error(F.concat(F.lit("conversation cannot be read back: "), F.col("id").cast("string")))))
-    spans = F.aggregate(
-        "bodies",
-        F.struct(F.lit(0).cast("long").alias("at"),
-                 F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, t: F.struct(
-            (acc["at"] + F.length(render_turn(t["role"], t["text"]))).cast("long").alias("at"),
-            F.when(t["role"] == "assistant", F.concat(acc["spans"], F.array(F.struct(
-                (acc["at"] + len(START) + F.length(_role_out(t["role"])) + 1).cast("long").alias("start"),
-                F.length(t["text"]).cast("long").alias("length"))))).otherwise(acc["spans"]).alias("spans")),
-        lambda acc: acc["spans"])
-    return checked.select(F.col("id").alias(id_col), "formatted", spans.alias("loss"))
+    turns = format_turns(conv, id_col, turn_col, role_col, text_col)
+    whole = turns.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "piece", "start", "length"))).alias("t"))
+    loss = F.transform(F.filter("t", lambda t: t["start"].isNotNull()),
+                       lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    return whole.select(F.col("id").alias(id_col), F.array_join("t.piece", "").alias("formatted"), loss.alias("loss"))
 
 
 def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
@@ -128,20 +180,68 @@ def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return formatted.select(id_col, "formatted", parse(F.col("formatted")).alias("turns"), loss.alias("loss_text"))
 
 
+def _sums(turns: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row of ``digests`` of every conversation of a partition sorted by (id, at)."""
+    def row(key, n, said, chars, loss, formatted):
+        return pa.RecordBatch.from_pydict({
+            "id": pa.array([key], kind), "n_turns": pa.array([n], pa.int64()), "turns_sha256": [said.hexdigest()],
+            "loss_chars": pa.array([chars], pa.int64()), "loss_sha256": [loss.hexdigest()],
+            "formatted_chars": pa.array([formatted], pa.int64())})
+
+    now = kind = None
+    for batch in turns:
+        kind = batch.schema.field("id").type
+        columns = [batch.column(c) for c in ("id", "chars", "said", "loss")]
+        for i in range(batch.num_rows):
+            key, chars, said, loss = (c[i].as_py() for c in columns)
+            if now is None or now[0] != key:
+                if now is not None:
+                    yield row(*now)
+                now = [key, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            now[1] += 1
+            now[2].update(said.encode())
+            now[3] += len(loss)
+            now[4].update(loss.encode())
+            now[5] += chars
+    if now is not None:
+        yield row(*now)
+
+
+def digests(conv: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+            text_col: str = "text", whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """(id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of every
+    conversation, from its turns as read back; those above ``whole_bytes`` are
+    hashed by a Python task as a stream, and only then is there one."""
+    rows = _source(conv, id_col, turn_col, role_col, text_col)
+    special = _special(rows, whole_bytes)
+    written = _written(rows, special)
+    said = F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("said")
+    loss = F.when(F.col("length").isNotNull(), F.col("text")).otherwise("").alias("loss")
+
+    def joined(name: str) -> Column:
+        return F.sha2(F.array_join(F.col(f"t.{name}"), "").cast("binary"), 256)
+
+    whole = (_placed(written.filter(~F.col("long"))).select("id", "at", "chars", said, loss).groupBy("id")
+             .agg(F.count(F.lit(1)).alias("n_turns"), F.sum(F.length("loss").cast("long")).alias("loss_chars"),
+                  F.sort_array(F.collect_list(F.struct("at", "said", "loss"))).alias("t"),
+                  F.max(F.col("at") + F.col("chars")).alias("formatted_chars"))
+             .select("id", "n_turns", joined("said").alias("turns_sha256"), "loss_chars",
+                     joined("loss").alias("loss_sha256"), "formatted_chars"))
+    if special.filter("long").isEmpty():
+        return whole
+    python_tasks(conv.sparkSession)
+    stream = (_placed(written.filter("long")).select("id", "at", "chars", said, loss)
+              .repartition("id").sortWithinPartitions("id", "at"))
+    return whole.unionByName(stream.mapInArrow(_sums, whole.schema))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``conversations`` and the probe conversation -1, formatted and read back."""
     conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     bad = f"{END}{START}assistant ok"
     probe = spark.createDataFrame([(-1, 0, "user", bad), (-1, 1, "assistant", bad)],
                                   "conv_id long, turn long, role string, text string")
-    back = read_back(format_conversations(conv.unionByName(probe)))
-    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return back.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
-        F.length("loss_text").cast("long").alias("loss_chars"),
-        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+    return digests(conv.unionByName(probe)).withColumnRenamed("id", "conv_id")
 
 
 OP9_SQL = r"""

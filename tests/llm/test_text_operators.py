@@ -328,6 +328,36 @@ def test_the_parser_rejects_what_is_not_in_the_grammar(spark):
     assert [r.p for r in df.collect()] == [None] * len(bad)
 
 
+def test_long_conversations_are_hashed_as_a_stream(spark):
+    rng = random.Random(9)
+    rows = [(c, t, rng.choice(["user", "assistant", "a\nb", None]), rng.choice(NASTY))
+            for c in (1, 2, None) for t in range(300)] + [(c, 0, "assistant", "short") for c in range(3, 40)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    want = {}
+    for c, t, r, x in sorted(rows, key=lambda r: (r[1], r[2] or "", r[3] or "")):
+        n, said, loss = want.get(c, (0, "", ""))
+        want[c] = (n + 1, f"{said}{r or ''}\n{x or ''}\n", loss + ((x or "") if r == "assistant" else ""))
+    chars = {r.conv_id: len(r.formatted) for r in chat_format.format_conversations(df).collect()}
+    for limit in (1000, chat_format.WHOLE_BYTES):
+        out = chat_format.digests(df, whole_bytes=limit)
+        plan = out._jdf.queryExecution().toString()
+        assert ("MapInArrow" in plan) is (limit == 1000)
+        assert {r.id: tuple(r)[1:] for r in out.collect()} == {
+            c: (n, hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), chars[c])
+            for c, (n, said, loss) in want.items()}
+
+
+def test_a_conversation_with_many_turns(spark):
+    n = 60000
+    df = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "'assistant' AS role", "if(id = 7, '<|', 'é') AS text")
+    turns = chat_format.format_turns(df)
+    r = turns.selectExpr("count(*) AS n", "max(at + length(piece)) AS chars", "max(start) AS start",
+                         "sum(length) AS said").first()
+    size = len("<|im_start|>assistant\né<|im_end|>\n")
+    assert (r.n, r.chars, r.start, r.said) == (n, n * size + 2, (n - 1) * size + 2 + 22, n + 2)
+
+
 # --- tokens ----------------------------------------------------------------------------
 
 

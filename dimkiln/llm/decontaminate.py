@@ -8,14 +8,16 @@ Aho-Corasick automaton over all pieces finds exact piece hits in every document
 in one pass; each hit fixes where the item would have to start, hits that agree
 within the budget are one candidate, and Myers' bit-parallel algorithm gives the
 smallest edit distance of the item to any passage of the candidate's window.
+Items below ``min_chars`` normalised characters are found exactly only, as whole
+words: where no letter or digit touches one at their edges. The first such place
+is reported.
 
 The benchmark is the stated query set: it is taken in blocks of at most
 ``block_bytes`` of item text, each of which is broadcast, and every document is
 searched for every block. Nothing of the documents leaves their tasks but the
 matches.
 
-Defined cases: null and empty texts and items match nothing; so do items below
-``min_chars`` normalised characters, for which a hit says nothing; repeated item
+Defined cases: null and empty texts and items match nothing; repeated item
 ids are told apart by their place and each match is reported; repeated documents
 are each searched; an empty table gives an empty result; extra columns are kept.
 """
@@ -93,16 +95,17 @@ class Matcher:
     """All items of one block: the automaton and the items' texts and budgets."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = EDIT_RATE, min_chars: int = MIN_CHARS):
-        self.items: list[tuple[int, str, int]] = []
+        self.items: list[tuple[int, str, int, bool]] = []
         found: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = normalise(text)
-            if len(text) < max(1, min_chars):
+            if not text:
                 continue
-            k = budget(len(text), rate)
+            short = len(text) < min_chars
+            k = 0 if short else budget(len(text), rate)
             for offset, piece in pieces(text, k):
                 found.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((item_id, text, k))
+            self.items.append((item_id, text, k, short))
         self.automaton = ahocorasick.Automaton()
         for piece, places in found.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -123,7 +126,11 @@ class Matcher:
                 starts.setdefault(number, set()).add(last + 1 - size - offset)
         out = []
         for number, where in starts.items():
-            item_id, item, k = self.items[number]
+            item_id, item, k, short = self.items[number]
+            if short:
+                whole = [a for a in where if _whole_words(doc, a, a + len(item))]
+                out += [(item_id, 0, a, a + len(item)) for a in sorted(whole)[:1]]
+                continue
             best = None
             for low, high in _merged(sorted(where), k):
                 a, b = max(0, low - k), min(len(doc), high + len(item) + k)
@@ -138,6 +145,13 @@ class Matcher:
         return sorted(out)
 
 
+def _whole_words(doc: str, start: int, end: int) -> bool:
+    """Whether no word goes on beyond either edge of the passage."""
+    before, after = doc[max(0, start - 1):start + 1], doc[end - 1:end + 1]
+    return not any(len(pair) == 2 and pair[0].isalnum() and pair[1].isalnum()
+                   for pair in (before if start else "", after))
+
+
 def _merged(starts: list[int], k: int) -> Iterator[tuple[int, int]]:
     """Runs of starts whose neighbours are at most 2 k + 1 apart, in one window each."""
     low = high = starts[0]

@@ -25,7 +25,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item: neither a whole one of 24 characters or more
-    within 8 % edits nor a shorter one word for word."""
+    within 8 % edits nor a shorter one word for word. Partial quotes stay."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 

@@ -12,6 +12,10 @@ Items below ``min_chars`` normalised characters are found exactly only, as whole
 words: where no letter or digit touches one at their edges. The first such place
 is reported.
 
+What counts is the whole item: a passage that leaves out or changes more than
+its budget (an item cut by the end of a document, the first 50 of 59 words) is
+no match.
+
 The benchmark is the stated query set: it is taken in blocks of at most
 ``block_bytes`` of item text, each of which is broadcast, and every document is
 searched for every block. Nothing of the documents leaves their tasks but the

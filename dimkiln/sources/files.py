@@ -8,6 +8,7 @@ comes from Spark's hidden ``_metadata`` column, so no Python touches rows.
 from __future__ import annotations
 
 import fnmatch
+import re
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -235,15 +236,16 @@ def probe_files(spark: SparkSession, directory: str, pattern: str, fmt: str | No
 
     Files are probed on the executors. Parquet and ORC: a scan of file paths
     alone, which reads footers only, with ``ignoreCorruptFiles`` names the
-    files that give rows; the others (corrupt, or readable without rows) are
-    parsed one by one from their bytes. Workbooks are opened the same way,
+    files that give rows; only the others (corrupt, or readable without rows)
+    are read whole, by path, and parsed one by one from their bytes; their paths
+    come to the driver, as any listing does. Workbooks are opened the same way,
     one file at a time. Text formats have no structure a probe could check
     beyond being readable.
     """
     from dimkiln.functions.text import PROCESSING_PREFIX, prefixed_reason
     fmt = fmt or format_for(pattern)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory).select(
-        F.col("_metadata.file_name").alias("File_Name"), "content")
+    name = F.col("_metadata.file_name").alias("File_Name")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
     schema = "File_Name string, Error string"
     if fmt in ("csv", "json"):
         bad = spark.createDataFrame([], schema)
@@ -251,10 +253,12 @@ def probe_files(spark: SparkSession, directory: str, pattern: str, fmt: str | No
         if fmt in ("parquet", "orc"):
             scan = spark.read.format(fmt).option("pathGlobFilter", pattern).option("ignoreCorruptFiles", True)
             # no column is needed, so no file has to be readable to give a schema
-            sound = scan.schema("_probe string").load(directory).select(
-                F.col("_metadata.file_name").alias("File_Name")).distinct()
-            files = files.join(sound, "File_Name", "left_anti")
-        bad = files.mapInPandas(lambda batches: _unreadable(batches, fmt, sheet), schema)
+            sound = scan.schema("_probe string").load(directory).select(name).distinct()
+            left = [r.path for r in files.select("path", name).join(sound, "File_Name", "left_anti").collect()]
+            # a path is read as a glob
+            files = (spark.read.format("binaryFile").load([re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in left])
+                     if left else files.limit(0))
+        bad = files.select(name, "content").mapInPandas(lambda batches: _unreadable(batches, fmt, sheet), schema)
     return bad.select(F.lit(source_name).alias("Source_Name"), "File_Name", F.lit(0).cast("long").alias("Row_Number"),
                       prefixed_reason(PROCESSING_PREFIX, F.col("Error")).alias("Rejected_Reason"))
 

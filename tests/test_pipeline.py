@@ -1,6 +1,8 @@
 """Pipelines end to end (R-01..R-05) with sources, sinks and audit tables in a scratch folder."""
 
 import os
+import shutil
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +187,23 @@ def test_probe_reports_unreadable_files(spark, scratch):
     assert rows[0]["Row_Number"] == 0
 
 
+def test_probe_reads_no_bytes_of_sound_files(spark, scratch):
+    spark.range(1000).coalesce(1).write.parquet(f"{scratch}/made")
+    part = next(f for f in os.listdir(f"{scratch}/made") if f.endswith(".parquet"))
+    os.mkdir(f"{scratch}/in")
+    shutil.copy(f"{scratch}/made/{part}", f"{scratch}/in/sound.parquet")
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "10")
+    try:
+        assert files.probe_files(spark, f"{scratch}/in", "*.parquet", source_name="S").collect() == []
+        with open(f"{scratch}/in/a [1] {{b}}.parquet", "wb") as fh:
+            fh.write(b"broken")
+        rows = files.probe_files(spark, f"{scratch}/in", "*.parquet", source_name="S").collect()
+    finally:
+        spark.conf.unset(limit)
+    assert [unquote(r["File_Name"]) for r in rows] == ["a [1] {b}.parquet"]
+
+
 def test_bulk_log_reader(spark, scratch):
     with open(f"{scratch}/bcp_1.log", "w") as fh:
         fh.write("\n@ header\nSQLState = 22001\n row 3: string data truncated \n\n")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dimkiln.llm.chat_format import OP9_SQL, op9_chat_format
+from dimkiln.llm.collocations import OP12_SQL, op12_collocations
 from dimkiln.llm.decontaminate import op7_decontaminate
 from dimkiln.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from dimkiln.llm.mixing import OP4_SQL, op4_mixing
+from dimkiln.llm.piece_codec import op11_piece_codec
 from dimkiln.llm.pii import op6_pii
 from dimkiln.llm.quality import op2_quality
 from dimkiln.llm.sharding import op8_sharding
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
     "op10_token_output": op10_token_output,
+    "op11_piece_codec": op11_piece_codec,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLE = {
@@ -31,4 +35,5 @@ ORACLE = {
     "op4_mixing": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op9_chat_format": OP9_SQL,
+    "op12_collocations": OP12_SQL,
 }

@@ -8,14 +8,17 @@ of prefixes enough to find the result:
   its own text and no adjacent pair ever joins across its border;
 * so every prefix of a text has one last token, whatever follows it.
 
-An Aho-Corasick automaton over the pieces lists the tokens that end at each place;
-the one that is compatible with the last token before it is written to the table,
-and the ids are read backwards from the end. Whether two tokens are compatible is
-found by replaying the merges of both side by side (``Merges.compatible``), once
-per pair that occurs.
+An automaton over the pieces lists the tokens between any two places; of those that
+end at a place, the one that is compatible with the last token before it is written
+to the table, and the ids are read backwards from the end. Whether two tokens are
+compatible is found by replaying the merges of both side by side
+(``Merges.compatible``), once per pair that occurs.
 
 No piece holds a space mark after another character (checked on load), so a text
-is cut before each run of space marks and the ids of short words are remembered.
+is cut before each run of space marks, and of the words of a batch each distinct
+one is coded once, all short ones place by place together (``tables``). Long
+words, where that would not pay, go through the same table one by one, with an
+Aho-Corasick automaton. Nothing but pair verdicts is kept from batch to batch.
 
 Defined cases: a null text counts as empty and has no ids; characters the model
 lacks become byte pieces (or the unknown id, if the model has none); special
@@ -33,6 +36,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +45,10 @@ from pyspark.sql import types as T
 from dimkiln.llm.common import free_name, python_tasks, read_table
 
 SPACE = "▁"
-CACHED_WORDS = 1 << 20
-_LONG_WORD = 64
-_MAX_PAIRS = 1 << 21
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_LONG_WORD = 48
+_WORDS_AT_ONCE = 1 << 16
+_PAIR_BITS = 22
+_SLICE = 6 << 20
 
 
 class Merges:
@@ -100,15 +104,53 @@ class Merges:
                 j += 1
 
 
+class Table:
+    """64-bit keys to small numbers by open addressing, looked up and filled as arrays."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.zeros(1 << bits, np.int32)
+        self.used = 0
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values of ``keys`` (none negative), -1 where there is none."""
+        place, mask = self._home(keys), len(self.keys) - 1
+        out = np.full(len(keys), -1, np.int32)
+        todo = np.arange(len(keys))
+        while len(todo):
+            here = self.keys[place[todo]]
+            hit = here == keys[todo]
+            out[todo[hit]] = self.values[place[todo[hit]]]
+            todo = todo[~hit & (here >= 0)]
+            place[todo] = (place[todo] + 1) & mask
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add ``keys``, distinct and not there yet."""
+        place, mask = self._home(keys), len(self.keys) - 1
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[place[todo]] < 0]
+            self.keys[place[free]] = keys[free]          # of several at one place the last one stays
+            self.values[place[free]] = values[free]
+            todo = todo[self.keys[place[todo]] != keys[todo]]
+            place[todo] = (place[todo] + 1) & mask
+        self.used += len(keys)
+
+
 class PieceEncoder:
-    """One model's pieces, automaton, pair memory and word memory."""
+    """One model's pieces, automata and pair verdicts."""
 
-    def __init__(self, model: bytes, cached_words: int = CACHED_WORDS):
+    def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         lib = self.library
         _check_kind(lib, model)
-        n = lib.vocab_size()
-        plain = [i for i in range(n) if not (lib.is_unknown(i) or lib.is_control(i) or lib.is_byte(i))]
+        self.size = lib.vocab_size()
+        plain = [i for i in range(self.size) if not (lib.is_unknown(i) or lib.is_control(i) or lib.is_byte(i))]
         self.piece = {i: lib.id_to_piece(i) for i in plain}
         self.scores = {self.piece[i]: lib.get_score(i) for i in plain}
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores):
@@ -116,81 +158,225 @@ class PieceEncoder:
         if any(c not in self.scores for p in self.scores for c in p):
             raise ValueError("a piece holds a character that is no piece itself")
         self.merges = Merges(self.scores)
+        # a piece that merging does not make of its own text never is a token
+        self.tokens = {p: i for i, p in self.piece.items() if len(p) == 1 or self.merges.merge(p)[0] == [p]}
+        self.unknown = lib.unk_id()
+        self.bytes_id = np.array([lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
+        self.byte_fallback = all(lib.is_byte(int(i)) for i in self.bytes_id)
+        self.pairs = Table(_PAIR_BITS)
         self.automaton = ahocorasick.Automaton()
-        for i in plain:
-            if len(self.piece[i]) == 1 or self.merges.merge(self.piece[i])[0] == [self.piece[i]]:
-                self.automaton.add_word(self.piece[i], (i, len(self.piece[i])))
+        for p, i in self.tokens.items():
+            self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
-        self.length = {i: len(p) for i, p in self.piece.items()}
-        unknown = lib.unk_id()
-        self.bytes_id = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_fallback = all(lib.is_byte(i) for i in self.bytes_id)
-        self.unknown = unknown
-        self.size = n
-        self.pairs: dict[int, bool] = {}
-        self.bound = cached_words
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def last_tokens(self, text: str) -> list[int]:
+        self._build_trie()
+
+    def _build_trie(self) -> None:
+        """The pieces as a trie: edges (node, character class) -> node, and the token of each node."""
+        chars = sorted({c for p in self.tokens for c in p})
+        self.classes = np.zeros(0x110000, np.int32)
+        self.classes[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.n_classes = len(chars) + 1
+        nodes, edges, self.longest = {"": 0}, [], max(map(len, self.tokens))
+        for p in sorted(self.tokens):
+            for k in range(1, len(p) + 1):
+                if p[:k] not in nodes:
+                    nodes[p[:k]] = len(nodes)
+                    edges.append((nodes[p[:k - 1]] * self.n_classes + int(self.classes[ord(p[k - 1])]), nodes[p[:k]]))
+        keys, to = np.array(edges, np.int64).T
+        self.edges = Table(max(4, int(len(keys)).bit_length() + 1))
+        self.edges.put(keys, to.astype(np.int32))
+        self.token = np.full(len(nodes), -1, np.int32)
+        for p, i in self.tokens.items():
+            self.token[nodes[p]] = i
+        self.length = np.ones(self.size + 1, np.int64)  # the last one for characters that no token has
+        for i, p in self.piece.items():
+            self.length[i] = len(p)
+
+    def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each pair of tokens is compatible."""
+        keys = left.astype(np.int64) * self.size + right
+        out = self.pairs.get(keys)
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new = np.unique(keys[missing])
+            if self.pairs.used + len(new) > len(self.pairs.keys) // 2:
+                self.pairs = Table(max(_PAIR_BITS, int(len(new)).bit_length() + 2))
+            verdicts = [self.merges.compatible(self.piece[k // self.size], self.piece[k % self.size]) for k in new.tolist()]
+            self.pairs.put(new, np.array(verdicts, np.int32))
+            out[missing] = np.array(verdicts, np.int32)[np.searchsorted(new, keys[missing])]
+        return out == 1
+
+    def last_tokens(self, text: str) -> np.ndarray:
         """Per prefix length the id of its last token; -1 where that is a character the model lacks."""
-        last, pairs, size = [-1] * (len(text) + 1), self.pairs, self.size
-        if len(pairs) > _MAX_PAIRS:
-            pairs.clear()
+        last, verdicts = [-1] * (len(text) + 1), {}
         for end, (token, length) in self.automaton.iter(text):
             if last[end + 1] >= 0:
                 continue
             before = last[end + 1 - length]
             if before >= 0:
-                key = before * size + token
-                fits = pairs.get(key)
+                fits = verdicts.get((before, token))
                 if fits is None:
-                    fits = pairs[key] = self.merges.compatible(self.piece[before], self.piece[token])
+                    fits = verdicts[before, token] = self.merges.compatible(self.piece[before], self.piece[token])
                 if not fits:
                     continue
             last[end + 1] = token
-        return last
+        return np.array(last, np.int32)
 
-    def recover(self, text: str, last: list[int]) -> list[int]:
-        """The ids of ``text``, read backwards from its table of last tokens."""
-        out, at, length = [], len(text), self.length
-        while at:
-            token = last[at]
-            if token >= 0:
-                out.append(token)
-                at -= length[token]
-            else:
-                at -= 1
-                if self.byte_fallback:
-                    out.extend(self.bytes_id[b] for b in reversed(text[at].encode("utf-8")))
-                elif not out or out[-1] != self.unknown:  # neighbours share one unknown id
-                    out.append(self.unknown)
-        out.reverse()
-        return out
+    def matches(self, classes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, token) of all tokens in words that lie one after the other.
+
+        ``ends`` has for every place the end of its word.
+        """
+        at, node = np.arange(len(classes)), np.zeros(len(classes), np.int64)
+        found = []
+        for k in range(self.longest):
+            inside = (at + k < ends[at])
+            at, node = at[inside], node[inside]
+            node = self.edges.get(node * self.n_classes + classes[at + k]).astype(np.int64)
+            alive = node >= 0
+            at, node = at[alive], node[alive]
+            if not len(at):
+                break
+            token = self.token[node]
+            hit = token >= 0
+            found.append((at[hit], at[hit] + k + 1, token[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+    def tables(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The tables of last tokens of words that lie one after the other, a place more than characters each.
+
+        All words advance together, by the place within the word.
+        """
+        n = np.diff(bounds)
+        word = np.repeat(np.arange(len(n)), n)
+        start, end, token = self.matches(self.classes[codes], np.repeat(bounds[1:], n))
+        w = word[start]
+        place = end - bounds[w]
+        order = np.argsort(place, kind="stable")
+        start, end, token, w = start[order], end[order], token[order], w[order]
+        cuts = np.concatenate((np.searchsorted(place[order], np.arange(1, (int(place.max()) if len(place) else 0) + 2)), [len(place)]))
+        last = np.full(len(codes) + len(n), -1, np.int32)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if a == b:
+                continue
+            before = last[start[a:b] + w[a:b]]
+            fits = before < 0  # a word's start, or a character the model lacks
+            ask = np.flatnonzero(~fits)
+            fits[ask] = self.fits(before[ask], token[a:b][ask])
+            last[(end[a:b] + w[a:b])[fits]] = token[a:b][fits]
+        return last
 
-    def word(self, word: str) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = np.asarray(self.recover(word, self.last_tokens(word)), "<i4").tobytes()
-        if len(word) <= _LONG_WORD:
-            if len(self.words) >= self.bound // 2:
-                self.words, self.older = {}, self.words
-            self.words[word] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a whole text as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        words = _WORD.findall(SPACE + text.replace(" ", SPACE))
-        found = list(map(self.words.get, words))
-        if None in found:
-            get = self.words.get
-            for i, known in enumerate(found):
-                if known is None:
-                    # the word may have been met earlier in this text
-                    found[i] = get(words[i]) or self.word(words[i])
-        return b"".join(found)
+    def read_back(self, last: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each word has) from the tables, read from the words' ends."""
+        words = np.arange(len(bounds) - 1)
+        at = bounds[1:].copy()
+        steps = []
+        todo = words[at > bounds[:-1]]
+        while len(todo):
+            token = last[at[todo] + todo]
+            at[todo] -= self.length[token]
+            steps.append((todo, np.where(token >= 0, token, -1 - codes[at[todo]].astype(np.int64))))
+            todo = todo[at[todo] > bounds[todo]]
+        count = np.zeros(len(words), np.int64)
+        for todo, _ in steps:
+            count[todo] += 1
+        ends = np.cumsum(count)
+        flat = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        for k, (todo, token) in enumerate(steps):
+            flat[ends[todo] - 1 - k] = token
+        return self._bytes_for_unknown(flat, count)
+
+    def _bytes_for_unknown(self, flat: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters the model lacks, held as -1 - code point, as byte pieces or the unknown id."""
+        missing = flat < 0
+        if not missing.any():
+            return flat.astype(np.int32), count
+        word = np.repeat(np.arange(len(count)), count)
+        if not self.byte_fallback:  # neighbours share one unknown id
+            again = missing & np.concatenate(([False], missing[:-1] & (word[1:] == word[:-1])))
+            out = np.where(missing, self.unknown, flat)[~again].astype(np.int32)
+            return out, np.bincount(word[~again], minlength=len(count))
+        code = -1 - flat
+        size = np.where(missing, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), 1)
+        first = np.cumsum(size) - size
+        out = np.repeat(flat, size)
+        nth = np.arange(len(out)) - np.repeat(first, size)
+        code, size_of = np.repeat(code, size), np.repeat(size, size)
+        tail = 0x80 | (code >> np.maximum(6 * (size_of - 1 - nth), 0)) & 0x3F
+        lead = np.select([size_of == 1, size_of == 2, size_of == 3], [code, 0xC0 | code >> 6, 0xE0 | code >> 12], 0xF0 | code >> 18)
+        at = np.flatnonzero(out < 0)
+        out[at] = self.bytes_id[np.where(nth == 0, lead, tail)[at]]
+        return out.astype(np.int32), np.bincount(word, weights=size, minlength=len(count)).astype(np.int64)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, how many each has)."""
+        if any(len(w) > _LONG_WORD for w in words):
+            return self._with_long(words)
+        ids, counts = [], []
+        for a in range(0, len(words), _WORDS_AT_ONCE):
+            part = words[a:a + _WORDS_AT_ONCE]
+            codes = np.frombuffer("".join(part).encode("utf-32-le"), "<u4").astype(np.int64)
+            bounds = np.concatenate(([0], np.cumsum([len(w) for w in part])))
+            i, c = self.read_back(self.tables(codes, bounds), codes, bounds)
+            ids.append(i)
+            counts.append(c)
+        return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _with_long(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = self.encode_words([w for w in words if len(w) <= _LONG_WORD])
+        short = iter(np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else ())
+        out = []
+        for w in words:
+            if len(w) <= _LONG_WORD:
+                out.append(next(short))
+                continue
+            codes = np.frombuffer(w.encode("utf-32-le"), "<u4").astype(np.int64)
+            out.append(self.read_back(self.last_tokens(w), codes, np.array([0, len(w)]))[0])
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all whole texts one after the other, how many each has)."""
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        parts = [self._encode_slice(texts.slice(a, b - a)) for a, b in _slices(bounds)]
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        n = len(texts)
+        full = pc.greater(pc.binary_length(texts), 0)
+        none, space = pa.scalar("", pa.large_string()), pa.scalar(SPACE, pa.large_string())
+        marked = pc.if_else(full, pc.binary_join_element_wise(none, pc.replace_substring(texts, " ", SPACE), space), none)
+        data = np.frombuffer(marked.buffers()[2] or b"", np.uint8)
+        bounds = np.frombuffer(marked.buffers()[1], np.int64)[marked.offset:marked.offset + n + 1]
+        data, bounds = data[bounds[0]:bounds[-1]], bounds - bounds[0]
+        mark = np.frombuffer(SPACE.encode(), np.uint8)
+        at = np.flatnonzero((data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2])) if len(data) > 2 else np.zeros(0, np.int64)
+        # a word starts with its text and at each space mark that follows something else
+        first = np.unique(np.concatenate((bounds[:-1][np.diff(bounds) > 0], at[np.diff(at, prepend=-9) != len(mark)])))
+        cuts = np.append(first, len(data)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(cuts), pa.py_buffer(
+            np.ascontiguousarray(data))]).dictionary_encode()
+        ids, count = self.encode_words(words.dictionary.to_pylist())
+        start = np.cumsum(count) - count
+        code = words.indices.to_numpy()
+        size = count[code]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = ids[np.arange(total) + np.repeat(start[code] - (ends - size), size)]
+        text = np.searchsorted(bounds, first, side="right") - 1
+        return flat, np.bincount(text, weights=size, minlength=n).astype(np.int64)
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of a whole text."""
+        return self.encode_batch(pa.array([text], pa.large_string()))[0].tolist()
+
+
+def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_SLICE`` bytes each, so that work arrays stay small."""
+    at, n = 0, len(bounds) - 1
+    while at < n:
+        last = max(int(np.searchsorted(bounds, bounds[at] + _SLICE, side="right")) - 1, at + 1)
+        yield at, last
+        at = last
 
 
 def _check_kind(lib: sentencepiece.SentencePieceProcessor, model: bytes) -> None:
@@ -219,13 +405,23 @@ _ENCODERS: dict[int, PieceEncoder] = {}
 
 
 def _encoder(model: bytes) -> PieceEncoder:
-    """One encoder per worker process; its memories outlive a task."""
+    """One encoder per worker process; its pair verdicts outlive a task."""
     key = hash(model)
     if key not in _ENCODERS:
         _ENCODERS[key] = PieceEncoder(model)
     return _ENCODERS[key]
 
 
+_LIBRARIES: dict[int, sentencepiece.SentencePieceProcessor] = {}
+
+
+def _library(model: bytes) -> sentencepiece.SentencePieceProcessor:
+    key = hash(model)
+    if key not in _LIBRARIES:
+        _LIBRARIES[key] = sentencepiece.SentencePieceProcessor(model_proto=model)
+    return _LIBRARIES[key]
+
+
 def _model(model_path: str | None) -> bytes:
     with open(model_path or default_model_path(), "rb") as f:
         return f.read()
@@ -243,11 +439,10 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, text_col: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            found = [encoder.encode(t or "") for t in batch.column(at).to_pylist()]
-            ends = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(b) // 4 for b in found], out=ends[1:])
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
+            ids, count = encoder.encode_batch(pc.fill_null(batch.column(at), "").cast(pa.large_string()))
+            ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, name])
 
     return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
 
@@ -262,9 +457,13 @@ def decode_pieces(rows: DataFrame, model_path: str | None = None, ids_col: str =
     at = rows.columns.index(ids_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _encoder(shared.value).library
+        library = _library(shared.value)
         for batch in batches:
-            texts = [library.decode(i) if i else "" for i in batch.column(at).to_pylist()]
+            listed = batch.column(at)
+            values, ends = listed.values.to_numpy(), listed.offsets.to_numpy().tolist()
+            # one text's ids at a time become Python numbers
+            texts = [library.decode(values[a:b].tolist()) if b > a and listed[i].is_valid else ""
+                     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*batch.schema.names, name])
 

@@ -5,13 +5,17 @@ these windows are counted; Spark's ROLLUP over the lead columns w1 .. w5 then su
 them to the counts of all shorter phrases, because each occurrence of a phrase is
 the prefix of exactly one window. The sum over a language is its number of words.
 
-Before the windows are counted, hashed counts of all 1- to 5-word phrases (one
-array of fixed size per order and task, added up in Spark) tell which phrases can
-reach the least count at all: a bucket never counts less than a phrase in it. A
-window is cut, by padding, at its first prefix whose bucket stays below; windows
-cut to nothing are counted as all padding, so that no word is lost from the totals.
-The result is exact with any size of these arrays; ``SKETCH_BITS`` only decides how
-many hopeless windows are shuffled.
+Most windows are of phrases that cannot reach the least count. So the hashes of all
+phrases of 1 to 3 words are counted first: every task writes its sorted hashes and
+counts as compressed pieces, dealt by ranges of hashes, which costs about two bytes
+a distinct phrase of a task and grows in proportion to the input. Hashes that occur
+often enough mark bits of a map of ``MAP_BITS`` bits an order, the only thing
+broadcast, of fixed size. A window is cut, by padding, before the first word with
+which one of its runs of up to three words has no mark; windows cut to nothing are
+counted as all padding, so that no word is lost from the totals. A phrase that is
+frequent enough is never cut, whatever the sizes of hashes and maps: marks that
+stand for others too only let some windows be longer than need be. The counts
+themselves are Spark's, of words, and exact.
 
 Scores are products and quotients of exact decimals.
 
@@ -30,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimkiln.llm.common import materialise, python_tasks, read_table
@@ -38,8 +42,11 @@ from dimkiln.llm.common import materialise, python_tasks, read_table
 ORDER = 5
 LEAST = 100
 TOP = 2000
-SKETCH_BITS = 22
-_BLOCK = 1 << 12
+RUN = 3
+HASH_BITS = 34
+MAP_BITS = 27
+_BLOCK_BITS = 10
+_HELD = 6 << 20
 _RANK_PARTS = 64
 UNKNOWN_LANG = "und"
 PAD = ""
@@ -84,20 +91,20 @@ class _Words:
             out[:n - k] += (self.piece[:n - k] == self.piece[k:]) & (out[:n - k] == k)
         return out
 
-    def buckets(self, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per order the places where such a phrase starts, and its buckets."""
+    def hashes(self, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per number of words 1 .. RUN, the places where such a phrase starts and its hashes."""
         reach = self.reach()
         by_word = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words.cast(pa.large_binary()).to_pylist()),
                               np.uint64, len(self.words))
         by_lang = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.langs.to_pylist()), np.uint64, len(self.langs))
         words = by_word[self.code]
         seen = by_lang[self.lang]
-        for k in range(1, ORDER + 1):
+        for k in range(1, RUN + 1):
             last = len(words) - k + 1
             if last > 0:
                 seen = _stir(seen[:last] * np.uint64(0x9E3779B97F4A7C15) + words[k - 1:])
             at = np.flatnonzero(reach >= k)
-            yield at, (seen[at] >> np.uint64(64 - bits)).astype(np.int64)
+            yield at, seen[at] >> np.uint64(64 - bits)
 
 
 def _stir(x: np.ndarray) -> np.ndarray:
@@ -110,89 +117,153 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
         yield _Words(batch.column(0), batch.column(1))
 
 
-def frequent_buckets(docs: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Per order and bucket, whether the phrases in it occur ``least`` times together.
+def _counted(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value once, in order, with its counts added up."""
+    order = np.argsort(values, kind="stable")
+    values, counts = values[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
-    ``docs`` is (lang, text). What reaches the driver is one bit a bucket.
+
+def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted values as byte planes of their steps, and counts in the narrowest type, compressed."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if counts.max() <= np.iinfo(t).max)
+    return kind[1:].encode() + zlib.compress(steps.tobytes() + counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    kind = np.dtype(f"<{blob[:2].decode()}")
+    raw = zlib.decompress(blob[2:])
+    n = len(raw) // (8 + kind.itemsize)
+    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n).T).view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64), np.frombuffer(raw, kind, n, 8 * n).astype(np.uint64)
+
+
+def frequent_marks(docs: DataFrame, least: int, hash_bits: int = HASH_BITS, map_bits: int = MAP_BITS) -> list[bytes]:
+    """Compressed pieces of the maps of phrases of 1 .. RUN words that may occur ``least`` times.
+
+    ``docs`` is (lang, text). The maps reach the driver, at most RUN << map_bits
+    bits before compression. A piece of hashes is one task's share of a range of
+    hashes; a range is added up in one task.
     """
+    shift = np.uint64(hash_bits - _BLOCK_BITS)
+    inside = np.uint64((1 << (hash_bits - _BLOCK_BITS)) - 1)
+    to_map = np.uint64(max(0, hash_bits - map_bits))
+    size = 1 << (hash_bits - int(to_map) - _BLOCK_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((ORDER, 1 << bits), np.uint32)
+        held = [[] for _ in range(RUN)]
+        n = 0
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            for k, parts in enumerate(held):
+                if not parts:
+                    continue
+                values, counts = _counted(*(np.concatenate(p) for p in zip(*parts)))
+                cuts = np.searchsorted(values >> shift, np.arange((1 << _BLOCK_BITS) + 1, dtype=np.uint64))
+                used = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(used + (k << _BLOCK_BITS), pa.int32()),
+                    pa.array([_packed(values[cuts[i]:cuts[i + 1]] & inside, counts[cuts[i]:cuts[i + 1]]) for i in used],
+                             pa.binary())], ["block", "counts"])
+                parts.clear()
+
         for words in _batches(batches):
-            for k, (_, bucket) in enumerate(words.buckets(bits)):
-                total[k] += np.bincount(bucket, minlength=1 << bits).astype(np.uint32)
-        blocks = total.reshape(-1, min(_BLOCK, 1 << bits))
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(used, pa.int32()), pa.array([_packed(blocks[i]) for i in used], pa.binary())], ["block", "counts"])
+            for k, (_, found) in enumerate(words.hashes(hash_bits)):
+                held[k].append(_counted(found, np.ones(len(found), np.uint64)))
+                n += len(held[k][-1][0])
+            if n > _HELD:
+                yield from pieces()
+                n = 0
+        yield from pieces()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        now, parts = None, []
+
+        def marks() -> pa.RecordBatch:
+            values, counts = _counted(*(np.concatenate(p) for p in zip(*parts)))
+            marked = np.zeros(size, bool)
+            marked[(values[counts >= least] >> to_map).astype(np.int64)] = True
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array(
+                [zlib.compress(np.packbits(marked).tobytes(), 1)], pa.binary())], ["block", "marks"])
+
         for batch in batches:
             for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = _unpacked(counts)
-                total[block] = total[block] + counts if block in total else counts
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(total), pa.int32()),
-            pa.array([np.packbits(c >= least).tobytes() for c in total.values()], pa.binary())], ["block", "bits"])
-
-    size = min(_BLOCK, 1 << bits)
-    out = np.zeros((ORDER << bits) // size * size, bool).reshape(-1, size)
-    # each block is added up in one task: one row a task that counted, a few KB each
-    added = docs.mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, bits binary")
-    rows = added.toArrow()
-    for block, packed in zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist()):
-        out[block] = np.unpackbits(np.frombuffer(packed, np.uint8), count=size).astype(bool)
-    return out.reshape(ORDER, 1 << bits)
-
-
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts in the narrowest unsigned type that holds them, compressed."""
-    kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if counts.max() <= np.iinfo(t).max)
-    return kind[1:].encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+                if block != now:
+                    if parts:
+                        yield marks()
+                    now, parts = block, []
+                parts.append(_unpacked(counts))
+        if parts:
+            yield marks()
+
+    pieces = docs.mapInArrow(count, "block int, counts binary")
+    rows = (pieces.repartition("block").sortWithinPartitions("block")
+            .mapInArrow(add, "block int, marks binary").toArrow())
+    found = dict(zip(rows.column("block").to_pylist(), rows.column("marks").to_pylist()))
+    none = zlib.compress(bytes(-(-size // 8)), 1)
+    return [found.get(i, none) for i in range(RUN << _BLOCK_BITS)]
+
+
+def longest_windows(docs: DataFrame, marks: list[bytes], hash_bits: int = HASH_BITS,
+                    map_bits: int = MAP_BITS) -> DataFrame:
+    """(lang, w1 .. w5, n): the padded windows of ``docs`` (lang, text).
+
+    A window of two words or more is a row; shorter ones come counted per batch.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+    to_map = np.uint64(max(0, hash_bits - map_bits))
 
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.frombuffer(b"".join(map(zlib.decompress, shared.value)), np.uint8)
+        maps = whole.reshape(RUN, -1)
+        for words in _batches(batches):
+            n = len(words.code)
+            # may[k][i]: the k + 1 words from i on may be frequent
+            may = np.zeros((RUN, n + ORDER), bool)
+            for k, (at, found) in enumerate(words.hashes(hash_bits)):
+                place = (found >> to_map).astype(np.int64)
+                may[k, at] = (maps[k][place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
+            length = np.zeros(n, np.int8)
+            open_ = np.ones(n, bool)
+            for k in range(ORDER):
+                for run in range(min(k + 1, RUN)):
+                    open_ &= may[run, k - run:k - run + n]
+                length += open_
+            yield _rows(words, np.flatnonzero(length > 1), length)
+            short = np.flatnonzero(length <= 1)
+            first = np.where(length[short] > 0, words.code[short], -1).astype(np.int64)
+            keys, counts = np.unique(words.lang[short].astype(np.int64) << 32 | (first + 1), return_counts=True)
+            yield _named(words, (keys >> 32), [(keys & 0xFFFFFFFF) - 1] + [np.full(len(keys), -1)] * (ORDER - 1), counts)
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(blob[2:]), f"<{blob[:2].decode()}").astype(np.uint64)
+    return docs.mapInArrow(windows, "lang string, " + ", ".join(f"{w} string" for w in LEADS) + ", n long")
 
 
-def longest_windows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(lang, w1 .. w5, n): the padded windows, counted per batch of ``docs`` (lang, text)."""
-    bits = int(frequent.shape[1]).bit_length() - 1
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent, axis=1))  # ORDER << bits bits
+def _rows(words: _Words, at: np.ndarray, length: np.ndarray) -> pa.RecordBatch:
+    padded = np.concatenate([words.code, np.full(ORDER, -1, np.int32)])
+    leads = [np.where(length[at] > k, padded[at + k], -1) for k in range(ORDER)]
+    return _named(words, words.lang[at], leads, np.ones(len(at), np.int64))
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = np.unpackbits(shared.value, axis=1, count=1 << bits).astype(bool)
-        for words in _batches(batches):
-            length = np.zeros(len(words.code), np.int8)
-            for k, (at, bucket) in enumerate(words.buckets(bits)):
-                # a phrase is no more frequent than its first k words
-                length[at] += may[k][bucket] & (length[at] == k)
-            lead = {"lang": pa.array(words.lang)}
-            for k, name in enumerate(LEADS):
-                column = np.full(len(words.code), -1, np.int32)
-                at = np.flatnonzero(length > k)
-                column[at] = words.code[at + k]
-                lead[name] = pa.array(column)
-            counted = pa.table(lead).group_by(["lang", *LEADS]).aggregate([([], "count_all")])
-            padded = pa.concat_arrays([words.words.cast(pa.large_string()), pa.array([PAD], pa.large_string())])
-            codes = [counted.column(name).to_numpy() for name in LEADS]
-            yield pa.RecordBatch.from_arrays(
-                [words.langs.cast(pa.string()).take(pa.array(counted.column("lang").to_numpy()))]
-                + [padded.take(pa.array(np.where(c < 0, len(padded) - 1, c))).cast(pa.string()) for c in codes]
-                + [pa.array(counted.column("count_all").to_numpy(), pa.int64())], ["lang", *LEADS, "n"])
 
-    return docs.mapInArrow(windows, "lang string, " + ", ".join(f"{w} string" for w in LEADS) + ", n long")
+def _named(words: _Words, langs: np.ndarray, leads: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+    """Codes as words; -1 is padding."""
+    names = pa.concat_arrays([words.words.cast(pa.large_string()), pa.array([PAD], pa.large_string())])
+    return pa.RecordBatch.from_arrays(
+        [words.langs.cast(pa.string()).take(pa.array(langs))]
+        + [names.take(pa.array(np.where(c < 0, len(names) - 1, c))).cast(pa.string()) for c in leads]
+        + [pa.array(counts, pa.int64())], ["lang", *LEADS, "n"])
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = SKETCH_BITS, lang_col: str = "lang",
-                  text_col: str = "text") -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text",
+                  hash_bits: int = HASH_BITS, map_bits: int = MAP_BITS) -> DataFrame:
     """(lang, words, f): all phrases of 1 to 5 words that occur ``least`` times, and per
     language its number of words, with no words at all. Written to the shared folder."""
     python_tasks(docs.sparkSession)
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    windows = longest_windows(rows, frequent_buckets(rows, least, bits))
-    rolled = windows.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    windows = longest_windows(rows, frequent_marks(rows, least, hash_bits, map_bits), hash_bits, map_bits)
+    counted = windows.groupBy("lang", *LEADS).agg(F.sum("n").alias("n"))
+    rolled = counted.rollup("lang", *LEADS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     words = F.filter(F.array(*LEADS), lambda w: w.isNotNull())
     # the bits of the level are the columns summed over, the last lead lowest
     k = F.lit(ORDER) - F.bit_count("level")
@@ -200,14 +271,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = SKETCH_BITS,
     return materialise(kept.select("lang", words.alias("words"), "f"), "phrase-counts")
 
 
-def _phrase(words) -> F.Column:
+def _phrase(words: str | Column) -> Column:
     return F.concat_ws(" ", words)
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int = SKETCH_BITS,
-                 lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+def _score() -> Column:
+    """floor(1000 a n / (l r)) in decimals of 38 digits, whose products are exact."""
+    return F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(16,0)) * cast(n as decimal(16,0)))"
+                  " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
+
+
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col: str = "lang",
+                 text_col: str = "text", hash_bits: int = HASH_BITS, map_bits: int = MAP_BITS) -> DataFrame:
     """The best phrases of each language: (lang, rank, phrase, a, l, r, n, score)."""
-    counts = phrase_counts(docs, least, bits, lang_col, text_col)
+    counts = phrase_counts(docs, least, lang_col, text_col, hash_bits, map_bits)
     totals = counts.filter(F.size("words") == 0).select("lang", F.col("f").alias("n"))
     part = counts.filter(F.size("words") > 0).select("lang", _phrase("words").alias("part"), F.col("f").alias("f"))
     candidates = counts.filter(F.size("words") > 1).select(
@@ -221,9 +298,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, bits: int
     scored = (cuts.join(part.select("lang", F.col("part").alias("first"), F.col("f").alias("l")), ["lang", "first"])
               .join(part.select("lang", F.col("part").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
               .join(totals, "lang"))
-    score = F.expr("(cast(1000 as decimal(4,0)) * cast(a as decimal(19,0)) * cast(n as decimal(19,0)))"
-                   " div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
-    best = (scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
+    best = (scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(_score().alias("score"), "k", "l", "r")).alias("cut"))
             .select("lang", "phrase", "a", "n", "cut.score", "cut.l", "cut.r"))
 
     spans = F.flatten(F.transform(F.sequence(F.lit(2), size - 1), lambda n: F.transform(

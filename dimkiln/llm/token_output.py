@@ -6,9 +6,12 @@ Writing takes these steps, each a Spark job over all documents:
    end id, are written as they come (``ids`` table in the shared folder);
 2. global counts per id give a length-limited canonical Huffman code; its code
    lengths are the ``codebook`` of the output;
-3. ids are coded where they lie, each document on a byte boundary with a
-   checkpoint for every 256 ids, shuffled to ranges of document ids and packed
-   into blocks of about 65,536 ids, which are the ``blocks`` of the output.
+3. the documents are dealt to ranges of document ids and sorted, and each range
+   is coded, every document on a byte boundary with a checkpoint for every 256
+   ids, and packed into blocks of about 65,536 ids, which are the ``blocks`` of the
+   output. The number of ranges follows from the number of ids; documents that
+   repeat an id, or have none, are told apart by a row tag of the written ids, so
+   they are divided between ranges too.
 
 A block is one row of a Parquet file: (range, block, n_ids, payload, and per
 document its id, number of ids and checkpoints as bit offsets in the payload).
@@ -27,6 +30,7 @@ gives empty files; other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -34,15 +38,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark import TaskContext
 from tokenizers import Tokenizer
 
 from dimkiln.llm import huffman
 from dimkiln.llm.common import python_tasks, read_table, scratch_path
 
 END_ID = 2
-RANGES = 192
+RANGE_IDS = 1 << 24
 BLOCK_IDS = 1 << 16
 CACHED_WORDS = 3 << 19
 _LONG_WORD = 64
@@ -66,23 +72,40 @@ def _stem(word: bytes) -> bytes:
     return stem if "\u00c0" <= last <= "\u024f" and last.isalpha() and last != "\u0130" else word
 
 
+_PROBE = "The Quick  (brown) fox's\tÉtude, 12.5\nnaïve -- end."
+
+
+def _lower_cases(json_text: str) -> bool:
+    """Whether the tokenizer's normaliser lower-cases and drops white space."""
+    def steps(rule) -> list[str]:
+        if not isinstance(rule, dict):
+            return []
+        return [rule.get("type", ""), *(t for part in rule.get("normalizers", ()) for t in steps(part))]
+
+    return "Lowercase" in steps(json.loads(json_text).get("normalizer"))
+
+
 class CachedTokenizer:
     """The tokenizer with the ids of short words remembered.
 
-    The tokenizer's normaliser and pre-tokenizer never look across white space,
-    and its special strings hold none, so a text's ids are the ids of its
+    Where the tokenizer's normaliser and pre-tokenizer never look across white
+    space, and its special strings hold none, a text's ids are the ids of its
     white-space separated words, one after the other. A text that has ``<|`` is
-    encoded whole, as lower-casing could make a special string of it.
+    encoded whole, as lower-casing could make a special string of it. That holds
+    for lower-casing tokenizers with word ends; what the file says and a probe text
+    decide on loading, and with any other tokenizer all texts are encoded whole.
     """
 
-    def __init__(self, json: str, dtype: str):
-        self.tokenizer = Tokenizer.from_str(json)
+    def __init__(self, json_text: str, dtype: str):
+        self.tokenizer = Tokenizer.from_str(json_text)
         self.dtype = np.dtype(dtype)
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         ends = [(i, t) for t, i in self.tokenizer.get_vocab().items()]
         self.is_end = np.zeros(max(i for i, _ in ends) + 1, bool)
         self.is_end[[i for i, t in ends if t.endswith("</w>")]] = True
+        self.by_word = _lower_cases(json_text) and bool(self.is_end.any()) and self._ids(_PROBE) == [
+            i for w in _PROBE.split() for i in self._ids(w.lower())]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -135,28 +158,67 @@ class CachedTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, without an end id."""
-        if "<|" in text:
-            return self._bytes(self._ids(text))
-        words = text.encode("utf-8").lower().split()
+        return self.encode_batch(pa.array([text], pa.large_string()))[0].tobytes()
+
+    def encode_batch(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has; ``end`` is put behind each.
+
+        The words of all texts are coded first; only distinct ones are looked up,
+        and the ids are gathered by word code.
+        """
+        n = len(texts)
+        if not self.by_word:
+            ids = [self._ids(t) + [end] * (end is not None) for t in texts.to_pylist()]
+            return (np.array([i for x in ids for i in x], self.dtype), np.array([len(x) for x in ids], np.int64))
+        whole = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        special = [self._bytes(self._ids(texts[int(i)].as_py())) for i in whole]
+        if len(whole):
+            texts = pc.if_else(pc.match_substring(texts, "<|"), "", texts)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        per_text = np.diff(split.offsets.to_numpy())
+        words = split.flatten()
+        full = pc.greater(pc.binary_length(words), 0)
+        coded = words.filter(full).dictionary_encode()
+        known = self._of_words(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        text_of = np.repeat(np.arange(n), per_text)[full.to_numpy(zero_copy_only=False)]
+        # word codes, then one code for each text that is encoded whole, then the end id
+        entries = [*known, *special, b"" if end is None else self._bytes([end])]
+        size = np.array([len(b) for b in entries], np.int64) // self.dtype.itemsize
+        start = np.concatenate(([0], np.cumsum(size)[:-1]))
+        flat = np.frombuffer(b"".join(entries), self.dtype)
+        code = np.full(len(text_of) + n, len(entries) - 1, np.int64)
+        code[np.arange(len(text_of)) + text_of] = coded.indices.to_numpy()
+        ends = np.cumsum(np.bincount(text_of, minlength=n) + 1) - 1
+        if len(whole):  # such a text has no words left: its own code goes before its end
+            code = np.insert(code, ends[whole], len(known) + np.arange(len(whole)))
+            per = np.bincount(text_of, minlength=n) + 1
+            per[whole] += 1
+            ends = np.cumsum(per) - 1
+        length = size[code]
+        upto = np.cumsum(length)
+        total = int(upto[-1]) if len(upto) else 0
+        at = np.arange(total) + np.repeat(start[code] - (upto - length), length)
+        return flat[at], np.diff(upto[ends], prepend=0)
+
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
         found = list(map(self.words.get, words))
         if None in found:
-            self._learn([w for w in {w for w, f in zip(words, found) if f is None} if len(w) <= _LONG_WORD])
+            self._learn([w for w, f in zip(words, found) if f is None and len(w) <= _LONG_WORD])
             get = self.words.get
-            found = [f if f is not None else get(w) for w, f in zip(words, found)]
-            if None in found:  # long words are not remembered
-                found = [f if f is not None else self._bytes(self._ids(w.decode())) for w, f in zip(words, found)]
-        return b"".join(found)
+            # long words are not remembered
+            found = [f if f is not None else get(w) or self._bytes(self._ids(w.decode())) for w, f in zip(words, found)]
+        return found
 
 
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
 
 
-def _tokenizer(json: str, dtype: str) -> CachedTokenizer:
+def _tokenizer(json_text: str, dtype: str) -> CachedTokenizer:
     """One tokenizer per worker process; its memory of words outlives a task."""
-    key = hashlib.sha1(json.encode()).hexdigest()
+    key = hashlib.sha1(json_text.encode()).hexdigest()
     if key not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-        _TOKENIZERS[key] = CachedTokenizer(json, dtype)
+        _TOKENIZERS[key] = CachedTokenizer(json_text, dtype)
     return _TOKENIZERS[key]
 
 
@@ -187,27 +249,39 @@ def default_tokenizer_path() -> str:
 
 def write_ids(docs: DataFrame, files: TokenFiles, tokenizer_json: str, vocabulary: int, end_id: int,
               id_col: str, text_col: str) -> DataFrame:
-    """The (doc_id, n, ids) table; ids are little-endian, 2 bytes each where the vocabulary allows."""
+    """The (doc_id, tag, n, ids) table; ids are little-endian, 2 bytes each where the vocabulary allows.
+
+    ``tag`` is unique; it is fixed by the write.
+    """
     spark = docs.sparkSession
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     shared = spark.sparkContext.broadcast(tokenizer_json)
-    end = np.array([end_id], dtype).tobytes()
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(shared.value, dtype)
         for batch in batches:
-            out = [tokenizer.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            n = [len(b) // tokenizer.dtype.itemsize for b in out]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["doc_id", "n", "ids"])
+            texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
+            bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            for a, b in _slices(bounds):
+                ids, n = tokenizer.encode_batch(texts.slice(a, b - a), end_id)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), _blobs(ids, n)], ["doc_id", "n", "ids"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     made = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        tokenise, f"doc_id {id_type}, n long, ids binary")
+        tokenise, f"doc_id {id_type}, n long, ids binary").select(
+        "doc_id", F.monotonically_increasing_id().alias("tag"), "n", "ids")
     made.write.option("compression", "zstd").parquet(files.ids)
     return spark.read.schema(made.schema).parquet(files.ids)
 
 
+def _blobs(ids: np.ndarray, n: np.ndarray) -> pa.Array:
+    """One binary value per text."""
+    ends = np.concatenate(([0], np.cumsum(n))) * ids.dtype.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64)),
+                                                             pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
+
+
 def id_counts(ids: DataFrame, vocabulary: int) -> np.ndarray:
     """Occurrences of every id over all documents; a partial count per task."""
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -244,101 +318,75 @@ def _slices(bounds: np.ndarray, size: int = _SLICE) -> Iterator[tuple[int, int]]
         at = last
 
 
-def coded(ids: DataFrame, lengths: np.ndarray, vocabulary: int) -> DataFrame:
-    """(doc_id, n, payload, marks): every document's ids in the code; marks are uint32 bit offsets."""
-    spark = ids.sparkSession
-    dtype = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
-    shared = spark.sparkContext.broadcast((lengths, huffman.canonical(lengths)))
+def ranges_for(total: int, spark: SparkSession) -> int:
+    """Ranges of about RANGE_IDS ids each, and enough for every shuffle task."""
+    return max(-(-total // RANGE_IDS), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, codes = shared.value
-        for batch in batches:
-            for a, b in _slices(_concat(batch.column(2))[1]):
-                part = batch.slice(a, b - a)
-                data, bounds = _concat(part.column(2))
-                out, at, marks, mark_at = huffman.encode(
-                    data.view(dtype), bounds // dtype.itemsize, codes, sizes)
-                raw, marks = out.tobytes(), marks.astype("<u4")
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1),
-                    pa.array([raw[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()),
-                    pa.array([marks[x:y].tobytes() for x, y in zip(mark_at[:-1], mark_at[1:])], pa.binary())],
-                    ["doc_id", "n", "payload", "marks"])
 
-    id_type = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(code, f"doc_id {id_type}, n long, payload binary, marks binary")
+def blocks(ids: DataFrame, lengths: np.ndarray, vocabulary: int, ranges: int, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """Documents of (doc_id, tag, n, ids) rows in ascending order, coded and packed.
 
-
-def packed(documents: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of sorted (range, doc_id, n, payload, marks) rows; a block never spans ranges."""
-    id_type = documents.schema["doc_id"].dataType.simpleString()
+    A range is a partition of the sorted rows, and its number is the partition's;
+    a block never spans ranges. ``marks`` are uint32 bit offsets in a document.
+    """
+    spark = ids.sparkSession
+    id_type = ids.schema["doc_id"].dataType.simpleString()
+    dtype = np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+    shared = spark.sparkContext.broadcast((lengths, huffman.canonical(lengths)))
     schema = (f"range int, block int, n_ids long, doc_ids array<{id_type}>, counts array<long>, "
               "places array<long>, marks binary, payload binary")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, codes = shared.value
+        number = TaskContext.get().partitionId()
         held: list[tuple] = []
-        now, number, n_ids = None, 0, 0
+        block, n_ids, id_arrow = 0, 0, pa.int64()
 
         def flush() -> pa.RecordBatch:
-            sizes = [len(h[3]) for h in held]
-            places = [0]
-            for s in sizes[:-1]:
-                places.append(places[-1] + s)
+            places = np.cumsum([0, *(len(h[2]) for h in held[:-1])])
             return pa.RecordBatch.from_arrays([
-                pa.array([now], pa.int32()), pa.array([number], pa.int32()), pa.array([n_ids], pa.int64()),
-                pa.array([[h[1] for h in held]], pa.list_(id_arrow)), pa.array([[h[2] for h in held]], pa.list_(pa.int64())),
-                pa.array([places], pa.list_(pa.int64())), pa.array([b"".join(h[4] for h in held)], pa.binary()),
-                pa.array([b"".join(h[3] for h in held)], pa.binary())],
+                pa.array([number], pa.int32()), pa.array([block], pa.int32()), pa.array([n_ids], pa.int64()),
+                pa.array([[h[0] for h in held]], pa.list_(id_arrow)), pa.array([[h[1] for h in held]], pa.list_(pa.int64())),
+                pa.array([places], pa.list_(pa.int64())), pa.array([b"".join(h[3] for h in held)], pa.binary()),
+                pa.array([b"".join(h[2] for h in held)], pa.binary())],
                 ["range", "block", "n_ids", "doc_ids", "counts", "places", "marks", "payload"])
 
-        id_arrow = pa.int64()
         for batch in batches:
-            id_arrow = batch.column(1).type
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if row[0] != now or n_ids + row[2] > block_ids:
-                    if held:
+            id_arrow = batch.column(0).type
+            for a, b in _slices(_concat(batch.column(2))[1]):
+                part = batch.slice(a, b - a)
+                data, bounds = _concat(part.column(2))
+                out, at, marks, mark_at = huffman.encode(data.view(dtype), bounds // dtype.itemsize, codes, sizes)
+                raw, marks, at, mark_at = out.tobytes(), marks.astype("<u4"), at.tolist(), mark_at.tolist()
+                for i, (doc_id, n) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+                    if held and n_ids + n > block_ids:
                         yield flush()
-                    number = number + 1 if row[0] == now else 0
-                    held, now, n_ids = [], row[0], 0
-                held.append(row)
-                n_ids += row[2]
+                        held, block, n_ids = [], block + 1, 0
+                    held.append((doc_id, n, raw[at[i]:at[i + 1]], marks[mark_at[i]:mark_at[i + 1]].tobytes()))
+                    n_ids += n
         if held:
             yield flush()
 
-    return documents.select("range", "doc_id", "n", "payload", "marks").mapInArrow(pack, schema)
-
-
-def with_range(df: DataFrame, ids: DataFrame, ranges: int) -> DataFrame:
-    """``df`` with the number of the id range its ``doc_id`` falls in.
-
-    The limits are quantiles of all document ids, at most ``ranges`` numbers.
-    """
-    fractions = [i / ranges for i in range(1, ranges)]
-    limits = sorted({x for x in ids.filter(F.col("doc_id").isNotNull())
-                     .agg(F.percentile_approx("doc_id", fractions, 100 * ranges)).first()[0] or []})
-    number = F.lit(0)
-    if limits:
-        table = F.array(*[F.lit(x) for x in limits])
-        number = F.size(F.filter(table, lambda x: x < F.col("doc_id")))
-    return df.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(number))
+    ordered = ids.repartitionByRange(ranges, "doc_id", "tag").sortWithinPartitions("doc_id", "tag")
+    return ordered.select("doc_id", "n", "ids").mapInArrow(pack, schema)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID,
-                 id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES,
+                 id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None,
                  block_ids: int = BLOCK_IDS) -> TokenFiles:
-    """Write the token files of ``docs`` under ``path``."""
+    """Write the token files of ``docs`` under ``path``; ``ranges`` follows from the ids unless given."""
     spark = docs.sparkSession
     python_tasks(spark)
     files = TokenFiles(path)
     with open(tokenizer_path or default_tokenizer_path(), encoding="utf-8") as f:
-        json = f.read()
-    vocabulary = Tokenizer.from_str(json).get_vocab_size()
-    ids = write_ids(docs, files, json, vocabulary, end_id, id_col, text_col)
-    lengths = huffman.code_lengths(id_counts(ids, vocabulary))
+        tokenizer = f.read()
+    vocabulary = Tokenizer.from_str(tokenizer).get_vocab_size()
+    ids = write_ids(docs, files, tokenizer, vocabulary, end_id, id_col, text_col)
+    counts = id_counts(ids, vocabulary)
+    lengths = huffman.code_lengths(counts)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").write.parquet(files.codebook)
-    ready = with_range(coded(ids, lengths, vocabulary), ids, ranges)
-    ordered = ready.repartition(F.col("range")).sortWithinPartitions("range", "doc_id")
-    packed(ordered, block_ids).write.option("compression", "none").parquet(files.blocks)
+    packed = blocks(ids, lengths, vocabulary, ranges or ranges_for(int(counts.sum()), spark), block_ids)
+    packed.write.option("compression", "none").parquet(files.blocks)
     return files
 
 

@@ -156,32 +156,47 @@ def _crowded_links(visits: DataFrame, distance: int) -> DataFrame:
     return stars.select("u", F.explode("all").alias("v")).filter(F.col("u") != F.col("v")).distinct()
 
 
+def _rooted(rows: DataFrame, distance: int, dense: int) -> DataFrame:
+    """(fp, least, root) of every fingerprint of ``rows`` (id, fp, ...), with its smallest id and its component."""
+    prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
+    roots = components(links(prints.select("fp"), distance, dense))
+    return (prints.join(roots, prints["fp"] == roots["node"], "left")
+            .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE, dense: int = DENSE) -> DataFrame:
     """(id, fp, component_id) of every row; the component is named by its smallest id."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = materialise(with_fingerprint(texts, "fp", "text", shingle).select("id", "fp"), "simhash-rows")
-    prints = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
-    roots = components(links(prints.select("fp"), distance, dense))
-    rooted = (prints.join(roots, prints["fp"] == roots["node"], "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(rows, distance, dense)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     verdict = materialise(rooted.join(named, "root").select("fp", "component_id"), "simhash-verdict")
     return rows.join(verdict, "fp").select("id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each component: the one with its smallest id.
 
-    Of rows repeating that id one stays. Rows with a null id cannot be named and
-    all stay.
+    Rows are told apart by id and by hashes of all their columns, so the choice does
+    not depend on the order of rows: of rows repeating the smallest id the one with
+    the least hash stays, and of rows equal in every column one. Null ids come last;
+    a component of null ids alone keeps one row too.
     """
-    keep = free_name(docs, "keep_id")
-    stays = materialise(near_duplicates(docs, id_col, text_col)
-                        .filter(F.col("id") == F.col("component_id"))
-                        .select(F.col("id").alias(keep)).distinct(), "simhash-keep")
-    named = docs.join(stays, docs[id_col] == stays[keep], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    flags = [F.col(c).isNull() for c in docs.columns]
+    first, second = free_name(docs, "row_hash"), free_name(docs, "row_hash_too")
+    hashed = docs.withColumns({first: F.xxhash64(F.lit(1), *docs.columns, *flags),
+                               second: F.xxhash64(F.lit(2), *docs.columns, *flags)})
+    texts = hashed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(first).alias("h1"),
+                          F.col(second).alias("h2"))
+    rows = materialise(with_fingerprint(texts, "fp", "text", shingle).select("id", "fp", "h1", "h2"), "simhash-rows")
+    roots = materialise(_rooted(rows, distance, DENSE).select("fp", "root"), "simhash-roots")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("best")
+    stays = materialise(rows.join(roots, "fp").groupBy("root").agg(best)
+                        .select(F.col("best.h1").alias("s1"), F.col("best.h2").alias("s2")).distinct(), "simhash-keep")
+    kept = hashed.join(stays, (F.col(first) == F.col("s1")) & (F.col(second) == F.col("s2")), "left_semi")
+    return kept.dropDuplicates([first, second]).select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,7 +60,7 @@ CONTEXT = 64
 MIN_SUPPORT = 3
 HIGH = 0.8
 SETTLED = 1e-6  # a round that changes no confidence by more than this part of it is the last
-BROADCAST_WORDS = 200_000
+BROADCAST_WORDS, BROADCAST_LENGTH = 200_000, 64
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -122,14 +122,22 @@ def _found(text: Column, kind: str, regex: str, check) -> Column:
 
 
 def _neighbours(text: Column, m: Column) -> tuple[Column, Column]:
-    """The words before and after a span, lower-cased.
+    """The words before and after a span, lower-cased, whole and beyond any white space.
 
     Empty at the text's ends and where no white space stands between: what is
-    glued to a span is no word, and its occurrences are not counted as one.
+    glued to a span is no word, and its occurrences are not counted as one. Words
+    are looked for within ``CONTEXT`` characters first; where that window may cut
+    one, the whole text on that side is used.
     """
+    before, after = r"(\S++)\s++$", r"^\s++(\S++)"
     left = text.substr(F.greatest(m["start"] - CONTEXT + 1, F.lit(1)), F.least(m["start"], F.lit(CONTEXT)))
     right = text.substr(m["end"] + 1, F.lit(CONTEXT))
-    return (F.lower(F.regexp_extract(left, r"(\S++)\s++$", 1)), F.lower(F.regexp_extract(right, r"^\s++(\S++)", 1)))
+    cut_left = (m["start"] > CONTEXT) & left.rlike(r"^\S*+\s++$")
+    cut_right = (F.length(right) == CONTEXT) & right.rlike(r"^\s++\S*+$")
+    return (F.lower(F.when(cut_left, F.regexp_extract(text.substr(F.lit(1), m["start"]), before, 1))
+                    .otherwise(F.regexp_extract(left, before, 1))),
+            F.lower(F.when(cut_right, F.regexp_extract(text.substr(m["end"] + 1, F.length(text)), after, 1))
+                    .otherwise(F.regexp_extract(right, after, 1))))
 
 
 def _overlaps(a: Column, b: Column) -> Column:
@@ -172,11 +180,12 @@ def edges(scanned: DataFrame) -> DataFrame:
 def word_totals(docs: DataFrame, words: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, total): occurrences over all texts of the words of ``words``.
 
-    Few words (each at most CONTEXT characters) are broadcast and filter the
-    corpus's words before they are counted; many are joined to the counts.
+    Few and short words are broadcast and filter the corpus's words before they
+    are counted; otherwise they are joined to the counts.
     """
     tokens = docs.select(F.explode(F.split(F.lower(text_of(text_col)), r"\s+")).alias("word"))
-    if words.count() <= BROADCAST_WORDS:
+    n, longest = words.agg(F.count(F.lit(1)), F.max(F.length("word"))).first()
+    if n <= BROADCAST_WORDS and (longest or 0) <= BROADCAST_LENGTH:
         return tokens.join(F.broadcast(words), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("total"))
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("total")).join(words, "word", "left_semi")
 

@@ -18,8 +18,8 @@ no match.
 
 The benchmark is the stated query set: it is taken in blocks of at most
 ``block_bytes`` of item text, each of which is broadcast, and every document is
-searched for every block. Nothing of the documents leaves their tasks but the
-matches.
+searched for every block, one block after the other. Nothing of the documents
+leaves their tasks but the matches (and, with several blocks, a row tag).
 
 Defined cases: null and empty texts and items match nothing; repeated item
 ids are told apart by their place and each match is reported; repeated documents
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkiln.llm.common import free_name, python_tasks, read_table
+from dimkiln.llm.common import free_name, materialise, python_tasks, read_table
 
 EDIT_RATE = 0.08
 MIN_CHARS = 24
@@ -200,15 +200,34 @@ def _match_column(spark: SparkSession, items: list[tuple[int, str]], text: Colum
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches", text_col: str = "text",
                       rate: float = EDIT_RATE, min_chars: int = MIN_CHARS,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with the array of matches of each text; no shuffle."""
+    """``docs`` with the array of matches of each text.
+
+    A benchmark of one block is searched in one pass without a shuffle. With more,
+    the documents are written with a row tag and each block's matches are written
+    before the next block is taken: one block is on the driver and one automaton
+    in a task at any time, however many blocks there are.
+    """
     spark = docs.sparkSession
     python_tasks(spark)
-    out = docs.withColumn(out_col, F.array().cast(MATCH))
-    for items in item_blocks(benchmark, block_bytes=block_bytes):
-        part = free_name(out, "block_matches")
-        out = (out.withColumn(part, _match_column(spark, items, F.col(text_col), rate, min_chars))
-               .withColumn(out_col, F.concat(out_col, part)).drop(part))
-    return out
+    blocks = item_blocks(benchmark, block_bytes=block_bytes)
+    items = next(blocks, None)
+    if items is None:
+        return docs.withColumn(out_col, F.array().cast(MATCH))
+    following = next(blocks, None)
+    if following is None:
+        return docs.withColumn(out_col, _match_column(spark, items, F.col(text_col), rate, min_chars))
+    tag = free_name(docs, "row_tag")
+    tagged = materialise(docs.withColumn(tag, F.monotonically_increasing_id()), "contamination-docs")
+    found = None
+    while items is not None:
+        column = _match_column(spark, items, F.col(text_col), rate, min_chars)
+        part = materialise(tagged.select(F.col(tag).alias("tag"), column.alias("m")).filter(F.size("m") > 0),
+                           "contamination-matches")
+        found = part if found is None else found.union(part)
+        items, following = following, next(blocks, None) if following is not None else None
+    by_row = found.groupBy("tag").agg(F.array_sort(F.flatten(F.collect_list("m"))).alias("m"))
+    return (tagged.join(by_row, F.col(tag) == F.col("tag"), "left")
+            .select(*docs.columns, F.coalesce("m", F.array().cast(MATCH)).alias(out_col)))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

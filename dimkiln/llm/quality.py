@@ -26,6 +26,7 @@ every score is 0.5; an empty table gives an empty result; extra columns are kept
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -271,7 +272,10 @@ def train(rows: DataFrame, how: Training = Training()) -> np.ndarray | None:
 
         def shard_pass(pdf: pd.DataFrame) -> pd.DataFrame:
             z, n = _unpacked(shared.value)
-            pdf = pdf.sort_values("id")
+            # an order of the rows' own, also where ids repeat
+            content = [hashlib.sha1(i.tobytes() + v.tobytes() + bytes([int(y)])).hexdigest()
+                       for i, v, y in zip(pdf["indices"], pdf["values"], pdf["label"])]
+            pdf = pdf.assign(content=content).sort_values(["id", "content"])
             data = list(zip(pdf["indices"], pdf["values"], pdf["label"]))
             order = np.random.default_rng(epoch).permutation(len(data))
             ftrl_pass([(data[i][0], data[i][1].astype(np.float64), data[i][2]) for i in order], z, n, how)

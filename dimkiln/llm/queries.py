@@ -9,6 +9,7 @@ from dimkiln.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from dimkiln.llm.mixing import OP4_SQL, op4_mixing
 from dimkiln.llm.piece_codec import op11_piece_codec
 from dimkiln.llm.pii import op6_pii
+from dimkiln.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from dimkiln.llm.quality import op2_quality
 from dimkiln.llm.sharding import op8_sharding
 from dimkiln.llm.simhash import op1_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_token_output": op10_token_output,
     "op11_piece_codec": op11_piece_codec,
     "op12_collocations": op12_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
@@ -36,4 +38,5 @@ ORACLE = {
     "op5_exact_dedup": OP5_SQL,
     "op9_chat_format": OP9_SQL,
     "op12_collocations": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

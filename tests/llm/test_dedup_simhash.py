@@ -1,6 +1,7 @@
 """Exact dedup, SimHash and components against brute force, with the awkward inputs."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -113,10 +114,21 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert got == sorted([(1, 1), (2, 1), (2, 1), (3, 3), (4, 3), (None, 1), (5, 5), (6, 6)], key=str)
     kept = simhash.keep_one(awkward(spark))
     assert kept.columns == ["doc_id", "text", "fp"]
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 5, 6, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, 5, 6]
     assert simhash.near_duplicates(awkward(spark).filter("false")).count() == 0
 
 
+def test_keep_one_does_not_depend_on_the_order_of_rows(spark):
+    a, b = "one two three four", "quite another text altogether here"
+    rows = [(0, a), (1, a), (1, b), (None, b + "!"), (None, "only nulls"), (None, "only nulls")]
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1 + seed)
+        kept = simhash.keep_one(df).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+            [(0, a), (1, b), (None, b + "!"), (None, "only nulls")], key=str)
+
+
 def test_exact_dedup_of_awkward_rows(spark):
     got = exact_dedup.exact_dedup(awkward(spark)).collect()
     rows = sorted(((r.id, r.keep_id, r.group_size, r.kept) for r in got), key=str)
@@ -128,22 +140,35 @@ def test_exact_dedup_of_awkward_rows(spark):
     assert [(r.keep_id, r.kept) for r in exact_dedup.exact_dedup(only_null).collect()] == [(None, True)]
 
 
-def test_index_keeps_what_came_first_and_survives_a_repeat(spark, scratch):
-    index = exact_dedup.DigestIndex(spark, f"{scratch}/index", buckets=4)
-    first = exact_dedup.stage_digests(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"))
-    later = exact_dedup.stage_digests(spark.createDataFrame([(7, "a"), (8, "c")], "doc_id long, text string"))
-    for batch in (first, later, later):
-        index.add(batch)
-    assert sorted(r.keep_id for r in index.read().collect()) == [1, 2, 8]
-    again = exact_dedup.DigestIndex(spark, f"{scratch}/index", buckets=4)     # another session opens the path
-    assert sorted((r.id, r.kept) for r in exact_dedup.decisions(later, again).collect()) == [(7, False), (8, True)]
+def test_index_keeps_the_largest_id_in_any_order_of_batches(spark, scratch):
+    first = [(1, "a"), (2, "b"), (9, "c")]
+    later = [(7, "a"), (8, "c"), (None, "d")]
+    for n, batches in enumerate(((first, later, later), (later, first, first))):
+        path = f"{scratch}/index{n}"
+        for i, batch in enumerate(batches):
+            with exact_dedup.DigestIndex(spark, path, buckets=4) as index:      # another session opens the path
+                index.add(exact_dedup.stage_digests(spark.createDataFrame(batch, "doc_id long, text string").repartition(i + 1)))
+        with exact_dedup.DigestIndex(spark, path, buckets=4) as index:
+            assert sorted((r.keep_id for r in index.read().collect()), key=str) == [2, 7, 9, None]
+            for batch, kept in ((first, {1: False, 2: True, 9: True}), (later, {7: True, 8: False, None: True})):
+                staged = exact_dedup.stage_digests(spark.createDataFrame(batch, "doc_id long, text string"))
+                assert {r.id: r.kept for r in exact_dedup.decisions(staged, index).collect()} == kept
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index_")]
+
+
+def test_a_batch_offered_twice_gets_the_same_decisions(spark, scratch):
+    rows = [(f"id {i % 40}", f"text {i % 30}", i) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, extra int")
+    runs = [sorted((r.id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(
+        df.repartition(n), f"{scratch}/index", batches=b).collect()) for n, b in ((3, 2), (1, 3), (7, 1))]
+    assert runs[0] == runs[1] == runs[2] and sum(r[3] for r in runs[0]) == 30
 
 
 def test_the_index_side_of_the_anti_join_is_not_shuffled(spark, scratch):
     index = exact_dedup.DigestIndex(spark, f"{scratch}/index", buckets=4)
     batch = exact_dedup.stage_digests(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
     index.add(batch)
-    joined = batch.groupBy("digest").count().join(index.read().select("digest").hint("merge"), "digest", "left_anti")
+    joined = batch.groupBy("digest").count().join(index.rows().select("digest").hint("merge"), "digest", "left_anti")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     right = plan[plan.index("SortMergeJoin"):].split("\n")
     scan = next(i for i, line in enumerate(right) if "digest_index_" in line)

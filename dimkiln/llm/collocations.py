@@ -44,9 +44,10 @@ LEAST = 100
 TOP = 2000
 RUN = 3
 HASH_BITS = 34
-MAP_BITS = 27
+MAP_BITS = 26
 _BLOCK_BITS = 10
-_HELD = 6 << 20
+_HELD = 3 << 20
+_SLICE = 4 << 20
 _RANK_PARTS = 64
 UNKNOWN_LANG = "und"
 PAD = ""
@@ -67,8 +68,8 @@ class _Words:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         data = texts.buffers()[2]
         raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        plain = pa.Array.from_buffers(pa.large_string(), len(texts),
-                                      [None, pa.py_buffer(offsets.copy()), pa.py_buffer(_BYTES[raw])])
+        plain = pa.Array.from_buffers(pa.large_string(), len(texts), [
+            None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(_BYTES[raw[offsets[0]:offsets[-1]]])])
         pieces = pc.split_pattern(plain, "\n")
         words = pc.split_pattern(pieces.flatten(), " ")
         of_doc = np.diff(pieces.offsets.to_numpy())
@@ -113,8 +114,14 @@ def _stir(x: np.ndarray) -> np.ndarray:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
+    """The words of slices of about ``_SLICE`` bytes of text, so that work arrays stay small."""
     for batch in batches:
-        yield _Words(batch.column(0), batch.column(1))
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, at = np.concatenate(([0], np.cumsum(sizes))), 0
+        while at < batch.num_rows:
+            last = max(int(np.searchsorted(upto, upto[at] + _SLICE, side="right")) - 1, at + 1)
+            yield _Words(batch.column(0).slice(at, last - at), batch.column(1).slice(at, last - at))
+            at = last
 
 
 def _counted(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +217,7 @@ def longest_windows(docs: DataFrame, marks: list[bytes], hash_bits: int = HASH_B
                     map_bits: int = MAP_BITS) -> DataFrame:
     """(lang, w1 .. w5, n): the padded windows of ``docs`` (lang, text).
 
-    A window of two words or more is a row; shorter ones come counted per batch.
+    A window of two words or more is a row; shorter ones come counted per slice.
     """
     shared = docs.sparkSession.sparkContext.broadcast(marks)
     to_map = np.uint64(max(0, hash_bits - map_bits))

@@ -46,9 +46,9 @@ from dimkiln.llm.common import free_name, python_tasks, read_table
 
 SPACE = "▁"
 _LONG_WORD = 48
-_WORDS_AT_ONCE = 1 << 16
-_PAIR_BITS = 22
-_SLICE = 6 << 20
+_WORDS_AT_ONCE = 1 << 14
+_PAIR_BITS = 21
+_SLICE = 2 << 20
 
 
 class Merges:
@@ -336,8 +336,7 @@ class PieceEncoder:
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all whole texts one after the other, how many each has)."""
-        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        parts = [self._encode_slice(texts.slice(a, b - a)) for a, b in _slices(bounds)]
+        parts = [self._encode_slice(texts.slice(a, b - a)) for a, b in _slices(texts)]
         return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -370,9 +369,10 @@ class PieceEncoder:
         return self.encode_batch(pa.array([text], pa.large_string()))[0].tolist()
 
 
-def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``_SLICE`` bytes each, so that work arrays stay small."""
-    at, n = 0, len(bounds) - 1
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    at, n = 0, len(texts)
     while at < n:
         last = max(int(np.searchsorted(bounds, bounds[at] + _SLICE, side="right")) - 1, at + 1)
         yield at, last
@@ -428,23 +428,42 @@ def _model(model_path: str | None) -> bytes:
 
 
 def encode_pieces(docs: DataFrame, model_path: str | None = None, text_col: str = "text",
-                  ids_col: str = "ids") -> DataFrame:
-    """``docs`` with an array<int> column of ids (``ids_col``, or a free name like it)."""
+                  ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with an array<int> column of ids (``ids_col``, or a free name like it).
+
+    With ``decoded_col`` the ids are decoded in the same pass (as ``decode_pieces``
+    would in another), into a column of that name or a free one like it.
+    """
     spark = docs.sparkSession
     python_tasks(spark)
     shared = spark.sparkContext.broadcast(_model(model_path))  # one model file
     name = free_name(docs, ids_col)
+    fields = [*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]
+    if decoded_col is not None:
+        fields.append(T.StructField(free_name(docs, decoded_col), T.StringType()))
+    names = [f.name for f in fields]
     at = docs.columns.index(text_col)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            ids, count = encoder.encode_batch(pc.fill_null(batch.column(at), "").cast(pa.large_string()))
-            ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
-            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, name])
+            texts = pc.fill_null(batch.column(at), "").cast(pa.large_string())
+            for a, b in _slices(texts):
+                ids, count = encoder.encode_batch(texts.slice(a, b - a))
+                ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+                made = [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+                if decoded_col is not None:
+                    made.append(_decoded(encoder.library, made[0]))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), *made], names)
+
+    return docs.mapInArrow(encode, T.StructType(fields))
+
 
-    return docs.mapInArrow(encode, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
+def _decoded(library: sentencepiece.SentencePieceProcessor, listed: pa.ListArray) -> pa.Array:
+    """The library's text of each list of ids; one text's ids at a time become Python numbers."""
+    values, ends = listed.values.to_numpy(zero_copy_only=False), listed.offsets.to_numpy().tolist()
+    return pa.array([library.decode(values[a:b].tolist()) if b > a and listed[i].is_valid else ""
+                     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))], pa.string())
 
 
 def decode_pieces(rows: DataFrame, model_path: str | None = None, ids_col: str = "ids",
@@ -459,12 +478,7 @@ def decode_pieces(rows: DataFrame, model_path: str | None = None, ids_col: str =
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _library(shared.value)
         for batch in batches:
-            listed = batch.column(at)
-            values, ends = listed.values.to_numpy(), listed.offsets.to_numpy().tolist()
-            # one text's ids at a time become Python numbers
-            texts = [library.decode(values[a:b].tolist()) if b > a and listed[i].is_valid else ""
-                     for i, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(library, batch.column(at))],
                                              [*batch.schema.names, name])
 
     return rows.mapInArrow(decode, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
@@ -473,8 +487,7 @@ def decode_pieces(rows: DataFrame, model_path: str | None = None, ids_col: str =
 def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` encoded to piece ids and decoded again."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = encode_pieces(docs).select("doc_id", "ids")
-    return decode_pieces(ids).select(
+    return encode_pieces(docs, decoded_col="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

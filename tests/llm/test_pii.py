@@ -134,3 +134,13 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("digits,ok", [("4111111111111111", True), ("4111111111111112", False), ("0", True)])
 def test_luhn(spark, digits, ok):
     assert spark.range(1).select(pii.luhn(F.lit(digits))).first()[0] is ok
+
+
+def test_neighbour_words_are_whole_however_long_or_far(spark):
+    long, gap = "w" * 100, " " * 70
+    rows = [f"{long} +1 476 555 {1000 + i}" for i in range(5)] + [f"{long} 476 555 7777"]
+    rows += [f"{long} other{i}" for i in range(80)]                       # mostly beside other things
+    rows += [f"hotline{gap}+1 476 555 {2000 + i}" for i in range(5)] + [f"hotline{gap}476 555 8888"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.id: [tuple(f) for f in r.found] for r in pii.personal_data(df).collect()}
+    assert found[5] == [] and found[rows.index(f"hotline{gap}476 555 8888")] == [("phone", 77, 89)]

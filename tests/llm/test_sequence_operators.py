@@ -126,6 +126,8 @@ def test_awkward_texts_to_pieces_and_back(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_codec.default_model_path())
     assert Counter((r.text, tuple(r.ids_), r.decoded_) for r in rows) == Counter(
         (t, tuple(library.encode(t or "")), library.decode(library.encode(t or "")) if t else "") for t in texts)
+    both = piece_codec.encode_pieces(df, decoded_col="decoded")
+    assert both.columns == back.columns and Counter(map(str, both.collect())) == Counter(map(str, rows))
     none = df.filter("false")
     assert piece_codec.decode_pieces(piece_codec.encode_pieces(none), ids_col="ids_").count() == 0
     nulls = encoded.withColumn("ids_", F.lit(None).cast("array<int>"))

@@ -474,3 +474,108 @@ def test_probe_conversation(spark):
     assert (r.n_turns, r.loss_chars) == (2, len(text))
     assert r.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+# --- training, blocks and formats held against a second way ----------------------------------
+
+
+def plain_ftrl(rows, how):
+    """Follow-the-regularised-leader, one number at a time, over one shard."""
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= how.l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * how.l1) / ((how.beta + n[i] ** 0.5) / how.alpha + how.l2)
+
+    for epoch in range(how.epochs):
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            _, indices, values, label = rows[k]
+            w = {i: weight(i) for i in indices}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in zip(indices, values))))
+            for i, v in zip(indices, values):
+                g = (p - label) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / how.alpha * w[i]
+                n[i] += g * g
+        for table in (z, n):
+            for i in table:
+                table[i] = float(np.float32(table[i]))
+    return {i: weight(i) for i in z}
+
+
+def labelled(spark, ids):
+    rng = random.Random(8)
+    docs = [(i, " ".join(rng.choice(["plain", "good", "words", "HERE!!", "bad", "42"]) for _ in range(6 + k % 5)))
+            for k, i in enumerate(ids)]
+    return (spark.createDataFrame(docs, "doc_id long, text string"),
+            spark.createDataFrame([(i, i % 2) for i in set(ids)], "doc_id long, quality int"))
+
+
+def test_training_is_plain_ftrl(spark):
+    how = quality.Training(shards=1, epochs=2)
+    docs, labels = labelled(spark, range(30))
+    rows = quality.training_rows(docs, labels, how)
+    got = quality.train(rows, how)
+    plain = sorted((r.id, list(r.indices), [float(v) for v in r["values"]], r.label) for r in rows.collect())
+    want = plain_ftrl(plain, how)
+    assert max(abs(got[i] - w) for i, w in want.items()) < 1e-5 and np.count_nonzero(got) > 3
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values())
+
+
+def test_training_does_not_depend_on_the_order_of_rows(spark):
+    how = quality.Training(shards=2, epochs=2)
+    docs, labels = labelled(spark, [i % 12 for i in range(60)])          # repeated ids
+    runs = [quality.train(quality.training_rows(docs.repartition(n, "text"), labels, how), how) for n in (1, 3, 5)]
+    assert all((r == runs[0]).all() for r in runs)
+
+
+def test_formatted_conversations_say_what_their_turns_say(spark):
+    rng = random.Random(2)
+    words = ["<|im_end|>", "<|im_start|>assistant\n", "hi", "<\\|x", "\n", "", "é𝕊"]
+    rows = [(c, rng.choice([t, None]), rng.choice(["user", "assistant", None, "a\nb"]),
+             rng.choice([None, "".join(rng.choice(words) for _ in range(rng.randint(0, 5)))]))
+            for c in range(25) for t in range(rng.randint(1, 5))]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    whole = {r.conv_id: (len(r.turns), sha("".join(f"{t.role}\n{t.text}\n" for t in r.turns)), len(r.loss_text),
+                         sha(r.loss_text), len(r.formatted))
+             for r in chat_format.read_back(chat_format.format_conversations(conv)).collect()}
+    by_turn = {r.id: tuple(r)[1:] for r in chat_format.digests(conv).collect()}
+    assert by_turn == whole
+
+
+def test_benchmark_in_many_blocks_gives_the_same_matches(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randint(0, 400)}" for _ in range(400)]
+    items = [(i, " ".join(words[7 * i:7 * i + 12])) for i in range(40)] + [(40, None), (41, "")]
+    docs = [(i, "x " + items[i % 40][1] + " y" if i % 3 else "nothing of it") for i in range(60)] + [(60, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, row_tag int")
+    found = [sorted((r.doc_id, r.row_tag, sorted(map(tuple, r.matches))) for r in
+                    decontaminate.benchmark_matches(df, bench, block_bytes=size).collect()) for size in (1 << 20, 400)]
+    assert found[0] == found[1] and sum(len(m) for *_, m in found[0]) >= 40
+    out = decontaminate.benchmark_matches(df, bench, block_bytes=60)
+    assert out.columns == [*df.columns, "matches"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan                                  # every block's matches were written
+
+
+def test_token_files_with_one_id_for_all_rows(spark, scratch):
+    docs = spark.range(600).selectExpr("cast(if(id % 3 = 0, null, 7) as long) as doc_id", "concat('text ', id % 50) as text")
+    files = token_output.write_tokens(docs, f"{scratch}/hot", ranges=6, block_ids=40)
+    blocks = spark.read.parquet(files.blocks)
+    assert blocks.select("range").distinct().count() > 3
+    rows = sorted((r.start, r.n_tokens) for r in token_output.read_tokens(spark, files).collect())
+    assert len(rows) == 600 and all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:]))
+
+
+def test_other_tokenizers_encode_whole_texts(spark, scratch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello  World\n", " lead", "", "a b", "É té 12.5"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    files = token_output.write_tokens(docs, f"{scratch}/bytes", tokenizer_path=path)
+    library = Tokenizer.from_file(path)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_output.read_tokens(spark, files).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}

@@ -55,21 +55,12 @@ _LONG_WORD = 64
 _SLICE = 4 << 20
 
 
-# ASCII characters that are neither letters, digits nor white space
-_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-
-
-def _stem(word: bytes) -> bytes:
-    """``word`` without the punctuation after its last letter or digit."""
-    stem = word.rstrip(_MARKS)
-    if not stem or len(stem) == len(word):
-        return word
-    if stem[-1] < 128:  # a control character would join the punctuation too
-        return stem if stem[-1:].isalnum() else word
-    # Beyond ASCII only Latin letters: lower-casing or composing others, and U+0130,
-    # can leave a combining mark behind, which would join the punctuation.
-    last = stem.decode()[-1]
-    return stem if "\u00c0" <= last <= "\u024f" and last.isalpha() and last != "\u0130" else word
+# punctuation at the end of a word, behind a letter or digit. Beyond ASCII only Latin
+# letters: lower-casing or composing others, and U+0130, can leave a combining mark
+# behind, and that or a control character would join the punctuation.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_TAILED = ("[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]"
+           "[\\x21-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7e]+$")
 
 
 _PROBE = "The Quick  (brown) fox's\tÉtude, 12.5\nnaïve -- end."
@@ -125,28 +116,32 @@ class CachedTokenizer:
         if len(self.words) > CACHED_WORDS // 2:
             self.words, self.older = {}, self.words
         words = self._recalled(words)
-        stems = {w: _stem(w) for w in words}
-        tails = {w[len(s):] for w, s in stems.items() if len(s) < len(w)}
-        need = self._recalled({s for s in (*stems.values(), *tails) if s not in self.words})
-        plain = [w for w in need if w.decode().isalpha()]
+        text = pa.array(words, pa.binary()).cast(pa.string())
+        tailed = pc.match_substring_regex(text, _TAILED)
+        stems = pc.if_else(tailed, pc.utf8_rtrim(text, _MARKS), text)
+        plain = pc.utf8_is_alpha(stems).to_pylist()
+        stems = _cut(stems.cast(pa.large_binary()))
+        known = self.words
+        letters, others = {}, {}
+        for w, stem, alpha in zip(words, stems, plain):
+            if stem not in known:
+                (letters if alpha else others)[stem] = None
+            if len(stem) < len(w) and (tail := w[len(stem):]) not in known:
+                others[tail] = None
         # words of letters alone are one pre-token each, whose last id ends the word
-        groups = [plain[i:i + 64] for i in range(0, len(plain), 64)]
+        letters = self._recalled(letters)
+        groups = [letters[i:i + 64] for i in range(0, len(letters), 64)]
         joined = self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
         for group, encoded in zip(groups, joined):
-            ids = np.asarray(encoded.ids, self.dtype)
+            ids = np.array(encoded.ids, self.dtype)
             cuts = np.flatnonzero(self.is_end[ids]) + 1
             if len(cuts) == len(group) and cuts[-1] == len(ids):
-                for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                    self.words[w] = ids[a:b].tobytes()
+                raw, ends = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
+                known.update(zip(group, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
             else:
-                for w in group:
-                    self.words[w] = self._bytes(self._ids(w.decode()))
-        for w in need:
-            if w not in self.words:
-                self.words[w] = self._bytes(self._ids(w.decode()))
-        for w, stem in stems.items():
-            if len(stem) < len(w):
-                self.words[w] = self.words[stem] + self.words[w[len(stem):]]
+                known.update((w, self._bytes(self._ids(w.decode()))) for w in group)
+        known.update((w, self._bytes(self._ids(w.decode()))) for w in self._recalled(others))
+        known.update((w, known[stem] + known[w[len(stem):]]) for w, stem in zip(words, stems) if len(stem) < len(w))
 
     def _recalled(self, words) -> list[bytes]:
         """Take over what the older generation has of ``words``; return the others."""
@@ -179,37 +174,41 @@ class CachedTokenizer:
         words = split.flatten()
         full = pc.greater(pc.binary_length(words), 0)
         coded = words.filter(full).dictionary_encode()
-        known = self._of_words(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        known = self._of_words(_cut(coded.dictionary.cast(pa.large_binary())))
         text_of = np.repeat(np.arange(n), per_text)[full.to_numpy(zero_copy_only=False)]
         # word codes, then one code for each text that is encoded whole, then the end id
-        entries = [*known, *special, b"" if end is None else self._bytes([end])]
-        size = np.array([len(b) for b in entries], np.int64) // self.dtype.itemsize
-        start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        flat = np.frombuffer(b"".join(entries), self.dtype)
-        code = np.full(len(text_of) + n, len(entries) - 1, np.int64)
+        entries = pa.array([*known, *special, b"" if end is None else self._bytes([end])], pa.large_binary())
+        per = np.bincount(text_of, minlength=n) + 1
+        code = np.full(len(text_of) + n, len(entries) - 1, np.int32)
         code[np.arange(len(text_of)) + text_of] = coded.indices.to_numpy()
-        ends = np.cumsum(np.bincount(text_of, minlength=n) + 1) - 1
+        ends = np.cumsum(per)
         if len(whole):  # such a text has no words left: its own code goes before its end
-            code = np.insert(code, ends[whole], len(known) + np.arange(len(whole)))
-            per = np.bincount(text_of, minlength=n) + 1
+            code = np.insert(code, ends[whole] - 1, len(known) + np.arange(len(whole)))
             per[whole] += 1
-            ends = np.cumsum(per) - 1
-        length = size[code]
-        upto = np.cumsum(length)
-        total = int(upto[-1]) if len(upto) else 0
-        at = np.arange(total) + np.repeat(start[code] - (upto - length), length)
-        return flat[at], np.diff(upto[ends], prepend=0)
+            ends = np.cumsum(per)
+        taken = entries.take(pa.array(code))
+        upto = np.frombuffer(taken.buffers()[1], np.int64)[:len(code) + 1] // self.dtype.itemsize
+        ids = np.frombuffer(taken.buffers()[2] or b"", self.dtype)[:upto[-1]]
+        return ids, np.diff(upto[ends], prepend=0)
 
     def _of_words(self, words: list[bytes]) -> list[bytes]:
         found = list(map(self.words.get, words))
         if None in found:
-            self._learn([w for w, f in zip(words, found) if f is None and len(w) <= _LONG_WORD])
+            new = [i for i, f in enumerate(found) if f is None]
+            self._learn([words[i] for i in new if len(words[i]) <= _LONG_WORD])
             get = self.words.get
-            # long words are not remembered
-            found = [f if f is not None else get(w) or self._bytes(self._ids(w.decode())) for w, f in zip(words, found)]
+            for i in new:  # long words are not remembered
+                found[i] = get(words[i]) or self._bytes(self._ids(words[i].decode()))
         return found
 
 
+def _cut(words: pa.Array) -> list[bytes]:
+    """The values of a large binary array that starts at its buffers' start."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[:len(words) + 1].tolist()
+    raw = words.buffers()[2].to_pybytes() if len(words) else b""
+    return list(map(raw.__getitem__, map(slice, ends[:-1], ends[1:])))
+
+
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
 
 

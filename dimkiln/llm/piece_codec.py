@@ -308,31 +308,35 @@ class PieceEncoder:
         out[at] = self.bytes_id[np.where(nth == 0, lead, tail)[at]]
         return out.astype(np.int32), np.bincount(word, weights=size, minlength=len(count)).astype(np.int64)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words one after the other, how many each has)."""
-        if any(len(w) > _LONG_WORD for w in words):
-            return self._with_long(words)
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct ``words`` one after the other, how many each has)."""
+        length = pc.utf8_length(words).to_numpy().astype(np.int64)
+        long = np.flatnonzero(length > _LONG_WORD)
+        if len(long):
+            return self._with_long(words, length, long)
         ids, counts = [], []
         for a in range(0, len(words), _WORDS_AT_ONCE):
-            part = words[a:a + _WORDS_AT_ONCE]
-            codes = np.frombuffer("".join(part).encode("utf-32-le"), "<u4").astype(np.int64)
-            bounds = np.concatenate(([0], np.cumsum([len(w) for w in part])))
+            part = words.slice(a, _WORDS_AT_ONCE)
+            codes = np.frombuffer(_joined(part).encode("utf-32-le"), "<u4").astype(np.int64)
+            bounds = np.concatenate(([0], np.cumsum(length[a:a + _WORDS_AT_ONCE])))
             i, c = self.read_back(self.tables(codes, bounds), codes, bounds)
             ids.append(i)
             counts.append(c)
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
-    def _with_long(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = self.encode_words([w for w in words if len(w) <= _LONG_WORD])
-        short = iter(np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else ())
-        out = []
-        for w in words:
-            if len(w) <= _LONG_WORD:
-                out.append(next(short))
-                continue
+    def _with_long(self, words: pa.Array, length: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = self.encode_words(words.filter(pa.array(length <= _LONG_WORD)))
+        cuts = np.cumsum(counts)
+        out, per, last, seen = [], np.zeros(len(words), np.int64), 0, 0
+        per[length <= _LONG_WORD] = counts
+        for k, i in enumerate(long.tolist()):
+            w = words[i].as_py()
             codes = np.frombuffer(w.encode("utf-32-le"), "<u4").astype(np.int64)
-            out.append(self.read_back(self.last_tokens(w), codes, np.array([0, len(w)]))[0])
-        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+            made = self.read_back(self.last_tokens(w), codes, np.array([0, len(w)]))[0]
+            seen = int(cuts[i - k - 1]) if i > k else 0  # ids of the short words before it
+            out += [ids[last:seen], made]
+            last, per[i] = seen, len(made)
+        return np.concatenate([*out, ids[last:]]), per
 
     def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all whole texts one after the other, how many each has)."""
@@ -354,13 +358,13 @@ class PieceEncoder:
         cuts = np.append(first, len(data)).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_string(), len(first), [None, pa.py_buffer(cuts), pa.py_buffer(
             np.ascontiguousarray(data))]).dictionary_encode()
-        ids, count = self.encode_words(words.dictionary.to_pylist())
-        start = np.cumsum(count) - count
-        code = words.indices.to_numpy()
-        size = count[code]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = ids[np.arange(total) + np.repeat(start[code] - (ends - size), size)]
+        ids, count = self.encode_words(words.dictionary)
+        ends = np.concatenate(([0], np.cumsum(count))) * 4
+        coded = pa.Array.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        taken = coded.take(words.indices)
+        upto = np.frombuffer(taken.buffers()[1], np.int64)[:len(first) + 1] // 4
+        flat = np.frombuffer(taken.buffers()[2] or b"", np.int32)[:upto[-1]]
+        size = np.diff(upto)
         text = np.searchsorted(bounds, first, side="right") - 1
         return flat, np.bincount(text, weights=size, minlength=n).astype(np.int64)
 
@@ -369,6 +373,12 @@ class PieceEncoder:
         return self.encode_batch(pa.array([text], pa.large_string()))[0].tolist()
 
 
+def _joined(words: pa.Array) -> str:
+    """The text of a large string array, its values one after the other."""
+    bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    return words.buffers()[2][int(bounds[0]):int(bounds[-1])].to_pybytes().decode() if len(words) else ""
+
+
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``_SLICE`` bytes each, so that work arrays stay small."""
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]

@@ -6,6 +6,8 @@ stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
+
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -90,6 +92,27 @@ def normalise_header(raw: str) -> str:
     return raw.replace(" ", "_").strip()
 
 
+def normalised_header(raw: Column | str) -> Column:
+    """P-04 on a column of header texts, as ``normalise_header``."""
+    col = F.col(raw) if isinstance(raw, str) else raw
+    return F.btrim(F.replace(col, F.lit(" "), F.lit("_")))
+
+
+def _name_parts(name: str) -> Column:
+    return F.transform(F.split(F.col(name), r"\."), lambda p: F.btrim(F.btrim(p), F.lit("[]")))
+
+
+def qualified(name: str, default_schema: str = "dbo") -> Column:
+    """P-14 on a column of table names, as ``spec.qualify``."""
+    parts = _name_parts(name)
+    return F.array_join(F.when(F.size(parts) == 1, F.concat(F.array(F.lit(default_schema)), parts)).otherwise(parts), ".")
+
+
+def sk_name(name: str) -> Column:
+    """P-15 on a column of dimension names, as ``spec.sk_column_for``."""
+    return F.concat(F.replace(F.element_at(_name_parts(name), -1), F.lit("Dim_"), F.lit("")), F.lit("_SK"))
+
+
 def key_renames(columns: Iterable[str], key_columns: Iterable[str]) -> dict[str, str]:
     """P-04: rename a raw header only when its normalised form is a key column."""
     keys = set(key_columns)
@@ -112,6 +135,9 @@ BULK_PREFIX = "BCP_REJECTED: "
 PROCESSING_PREFIX = "PROCESSING_ERROR: "
 REASON_TEXT_LIMIT = 200
 
+# a line "ValueError: ..." or "package.SomeException: ..." of a Python trace
+_NAMES_EXCEPTION = re.compile(r"^(?!org\.|java\.|at )[A-Za-z_][\w.]*(Error|Exception|Interrupt|Exit|Warning)\b(: |$)")
+
 
 def duplicate_reason(keys: Iterable[str]) -> Column:
     """P-10: ``DUPLICATE_RECORD: PK k1=v1, k2=v2`` (NULL shown as ``NULL``)."""
@@ -133,8 +159,14 @@ def last_line(message: Column | str) -> Column:
 
 
 def error_line(exc: BaseException) -> str:
-    """P-17: one readable line for an audit row: the error's class, then its
-    first line that is not blank."""
-    lines = (line.strip() for line in str(exc).splitlines())
-    first = next((line for line in lines if line), "")
-    return f"{type(exc).__name__}: {first}" if first else type(exc).__name__
+    """P-17: one readable line for an audit row: the error's class and its cause.
+
+    The message of a failed Python task ends with the worker's own trace and its
+    first line only points there: the cause is then the last line of that trace
+    that names an exception. Otherwise it is the first line that is not blank.
+    """
+    lines = [line.strip() for line in str(exc).splitlines() if line.strip()]
+    if any(line.startswith("Traceback (most recent call last)") for line in lines):
+        named = [line for line in lines if _NAMES_EXCEPTION.match(line)]
+        lines = named[-1:] or lines
+    return f"{type(exc).__name__}: {lines[0]}" if lines else type(exc).__name__

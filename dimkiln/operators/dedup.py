@@ -7,9 +7,9 @@ no order and is not used.
 Both operators are skew-safe. ``dedup_first`` groups by the key with
 partial (map-side) aggregation, so a key holding a third of all rows is
 reduced in every map task before the shuffle instead of landing in one task
-as raw rows. ``duplicate_keys`` finds the keys held more than once the same
-way, reading only key and order columns, and writes them to the shared
-folder; ``mark_duplicates`` and ``duplicate_rows`` join the rows to that
+as raw rows. ``duplicate_keys`` finds the keys held more than once by a count
+per key, reading only key and order columns, looks for the first position of
+those alone, and writes them to the shared folder; ``mark_duplicates`` and ``duplicate_rows`` join the rows to that
 table with the rows on the left, so the join is broadcast when the table is
 small and otherwise a shuffle whose hot partitions AQE splits. There is one
 path at every size. The order must place one row first in every key:
@@ -64,29 +64,34 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    collation: str | None = None, valid: Column | None = None) -> DataFrame:
     """A-07: (``_dk_`` keys, ``dup_count``, ``_first_pos``) of every key with more than one row.
 
-    One partial aggregate over the key and order columns. Of the rows at the
-    first position the smallest and the largest row tag are kept: they differ
-    exactly when two rows tie, which raises. NULL keys form a group. Text
-    keys group under ``collation`` when one is given. Rows that are not
-    ``valid`` do not count; they are passed over in the aggregate, where a
-    filter would evaluate a costly condition a second time.
+    Keys are counted first, in a hash aggregate of one number per key; positions
+    are then looked for only among the rows of keys held more than once. Of the
+    rows at the first position the smallest and the largest row tag are kept:
+    they differ exactly when two rows tie, which raises. NULL keys form a group.
+    Text keys group under ``collation`` when one is given. Rows that are not
+    ``valid`` do not count.
     """
     text = _text_keys(df, keys)
+    names = [f"_dk_{k}" for k in keys]
     valid = F.lit(True) if valid is None else valid
-    tagged = df.select(*[_key(F.col(k), k in text, collation).alias(f"_dk_{k}") for k in keys],
+    tagged = df.select(*[_key(F.col(k), k in text, collation).alias(n) for k, n in zip(keys, names)],
                        F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("pos"),
                        F.monotonically_increasing_id().alias("tag"), valid.alias("valid"))
-    ok = F.col("valid")
-    found = (tagged.groupBy(*[f"_dk_{k}" for k in keys])
-             .agg(F.count_if(ok).alias(DUP_COUNT), F.min(F.when(ok, F.struct("pos", "tag"))).alias("lo"),
-                  F.min(F.when(ok, F.struct(F.col("pos"), (-F.col("tag")).alias("tag")))).alias("hi"))
-             .filter(F.col(DUP_COUNT) > 1))
-    tie = F.raise_error(F.concat(F.lit("rows tie for first in key "),
-                                 F.to_json(F.struct(*[f"_dk_{k}" for k in keys]))))
+    plain = [(F.collate(F.col(n), "UTF8_BINARY") if collation and k in text else F.col(n)).alias(n)
+             for k, n in zip(keys, names)]
+    counts = tagged.groupBy(*names).agg(F.count_if("valid").alias(DUP_COUNT)).filter(F.col(DUP_COUNT) > 1)
+    held = write_shared(counts.select(*plain, DUP_COUNT), "duplicate-counts")
+    if held.isEmpty():
+        return held.withColumn("_first_pos", F.lit(None).cast(tagged.schema["pos"].dataType))
+    same = reduce(lambda a, b: a & b, [
+        F.col(f"t.{n}").eqNullSafe(_key(F.col(f"held.{n}"), k in text, collation)) for k, n in zip(keys, names)])
+    rows = tagged.filter("valid").alias("t").join(held.select(*names, DUP_COUNT).alias("held"), same).select(
+        *[F.col(f"held.{n}") for n in names], DUP_COUNT, "pos", "tag")
+    found = rows.groupBy(*names, DUP_COUNT).agg(
+        F.min(F.struct("pos", "tag")).alias("lo"), F.min(F.struct(F.col("pos"), (-F.col("tag")).alias("tag"))).alias("hi"))
+    tie = F.raise_error(F.concat(F.lit("rows tie for first in key "), F.to_json(F.struct(*names))))
     first = F.when(F.col("lo.tag") == -F.col("hi.tag"), F.col("lo.pos")).otherwise(tie)
-    plain = [(F.collate(F.col(f"_dk_{k}"), "UTF8_BINARY") if collation and k in text else F.col(f"_dk_{k}"))
-             .alias(f"_dk_{k}") for k in keys]
-    return write_shared(found.select(*plain, DUP_COUNT, first.alias("_first_pos")), "duplicate-keys")
+    return write_shared(found.select(*names, DUP_COUNT, first.alias("_first_pos")), "duplicate-keys")
 
 
 def join_duplicate_keys(df: DataFrame, found: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.types import parse_declared
+from dimkiln.session import write_shared
 from dimkiln.spec import (EFFECTIVE, EXPIRY, INSERTED, IS_CURRENT, IS_DELETED, REASON,
                           UPDATED, DimensionSpec)
 
@@ -67,6 +68,13 @@ def split_rebuild(old: DataFrame, spec: DimensionSpec, run_ts: str) -> tuple[Dat
     NULL in its place: it becomes a reject row with its reason and its old
     values as JSON. On demotion from Type 2 each key keeps one version: the
     current one, or the one last in effect when none is current.
+
+    Other key columns may put several active rows under one key, which the
+    constraint on active keys forbids (M-08): the one changed last stays (of
+    those the smallest SK), the others become reject rows that name its SK. A
+    row without a value in a new key column is a reject too. Expired and
+    deleted rows are history and stay. Only keys and SKs are grouped, with a
+    partial aggregate; the keys held more than once are joined back to the rows.
     """
     have = set(old.columns)
     if IS_CURRENT in have and not spec.is_scd2:
@@ -80,12 +88,49 @@ def split_rebuild(old: DataFrame, spec: DimensionSpec, run_ts: str) -> tuple[Dat
             bad = F.col(name).isNotNull() & F.col(name).try_cast(typ).isNull()
             failed.append(F.when(bad, F.concat(F.lit(f"TYPE_ERROR: {name}='"), F.col(name).cast("string"),
                                                F.lit(f"' is not {typ.upper()}"))))
+    failed += [F.when(F.col(k).isNull(), F.lit(f"NULL_KEY: {k}")) for k in spec.keys if k in have]
     reason = F.concat_ws("; ", *failed) if failed else F.lit("")
     fit = rebuild_dimension(old.filter(reason == ""), spec, run_ts)
-    unfit = old.filter(reason != "").select(
-        reason.alias("Rejected_Reason"),
-        F.to_json(F.struct(*old.columns), {"ignoreNullFields": "false"}).alias("Raw_Data"))
-    return fit, unfit
+    as_json = F.to_json(F.struct(*old.columns), {"ignoreNullFields": "false"})
+    unfit = old.filter(reason != "").select(reason.alias("Rejected_Reason"), as_json.alias("Raw_Data"))
+    if spec.sk not in have or IS_DELETED not in have or set(spec.keys) - have:
+        return fit, unfit
+
+    crowded = _crowded_keys(fit, spec)
+    same = reduce(lambda a, b: a & b, [
+        _binary(F.col(k), fit, k, spec.collation) == F.col(f"_rk_{k}") for k in spec.keys])
+    marked = fit.join(crowded, same, "left")
+    extra = F.coalesce(_active(spec) & (F.col("_kept_sk") != F.col(spec.sk)), F.lit(False))
+    kept = marked.filter(~extra).select(*fit.columns)
+    out = marked.filter(extra).select(F.col(spec.sk).alias("_out_sk"), "_kept_sk",
+                                      *[F.col(k).cast("string").alias(f"_out_{k}") for k in spec.keys])
+    named = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(f"_out_{k}")) for k in spec.keys])
+    moved = old.join(out, F.col(spec.sk) == F.col("_out_sk")).select(
+        F.concat(F.lit("DUPLICATE_KEY: "), named, F.lit(" stays with SK "), F.col("_kept_sk").cast("string"))
+        .alias("Rejected_Reason"), as_json.alias("Raw_Data"))
+    return kept, unfit.unionByName(moved)
+
+
+def _active(spec: DimensionSpec):
+    active = F.col(IS_DELETED) == 0
+    return active & (F.col(IS_CURRENT) == 1) if spec.is_scd2 else active
+
+
+def _binary(col, df: DataFrame, name: str, collation: str | None):
+    text = df.schema[name].dataType.typeName() in ("string", "varchar", "char")
+    return F.collate(col, collation) if collation and text else col
+
+
+def _crowded_keys(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """(``_rk_`` keys, ``_kept_sk``) of keys with more than one active row, written once."""
+    changed = F.coalesce(F.col(UPDATED), F.col(INSERTED)) if {UPDATED, INSERTED} <= set(rows.columns) else F.lit(None)
+    best = F.max(F.struct(changed.cast("timestamp_ntz").alias("at"), (-F.col(spec.sk)).alias("sk"))).alias("best")
+    found = (rows.filter(_active(spec))
+             .groupBy(*[_binary(F.col(k), rows, k, spec.collation).alias(f"_rk_{k}") for k in spec.keys])
+             .agg(F.count(F.lit(1)).alias("n"), best).filter("n > 1"))
+    plain = [F.collate(F.col(f"_rk_{k}"), "UTF8_BINARY").alias(f"_rk_{k}")
+             if rows.schema[k].dataType.typeName() in ("string", "varchar", "char") else F.col(f"_rk_{k}") for k in spec.keys]
+    return write_shared(found.select(*plain, (-F.col("best.sk")).alias("_kept_sk")), "crowded-keys")
 
 
 def evolve_schema(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

@@ -130,3 +130,44 @@ def fact_merge(existing: DataFrame, incoming: DataFrame, grain: Sequence[str],
         *[F.col(f"_n_{c}").alias(c) for c in grain + measures], ts.alias("Inserted_Datetime"),
         F.lit(None).cast("timestamp_ntz").alias("Updated_Datetime"), F.lit("insert").alias("Action"))
     return kept.unionByName(new)
+
+
+# --- stored sums that increments are added to (X-02 with X-05) ---------------
+
+STATE_KEY = "State_Key"
+ROWS = "State_Rows"
+
+
+def fact_states(fact: DataFrame, grain: Sequence[str], measures: Mapping[str, str],
+                sign: Column | None = None) -> DataFrame:
+    """X-02: per grain the unrounded sums of the measures and the rows behind them.
+
+    ``sign`` is 1 for a row that arrives and -1 for one that is taken back;
+    states of any number of increments add up to the state of all their rows.
+    ``State_Key`` is the grain as text, the key they are stored under.
+    """
+    one = F.lit(1) if sign is None else sign
+    sums = [F.sum((F.col(src).cast("decimal(28,12)") * one.cast("decimal(1,0)")).cast("decimal(28,12)"))
+            .cast("decimal(38,12)").alias(out) for out, src in measures.items()]
+    state = fact.groupBy(*grain).agg(*sums, F.sum(one.cast("long")).alias(ROWS))
+    return state.withColumn(STATE_KEY, F.to_json(F.struct(*grain), {"ignoreNullFields": "false"}))
+
+
+def add_states(stored: DataFrame, arriving: DataFrame, grain: Sequence[str], measures: Iterable[str]) -> DataFrame:
+    """X-05: the new states of the grains that ``arriving`` touches; no others.
+
+    The stored side is joined by key, so only its touched rows come back. A grain
+    whose rows were all taken back stays with no rows, until ``finished`` leaves it out.
+    """
+    names = list(measures)
+    old = stored.select(STATE_KEY, *[F.col(m).alias(f"_s_{m}") for m in (*names, ROWS)])
+    both = arriving.join(old, STATE_KEY, "left")
+    return both.select(*grain, *[(F.col(m) + F.coalesce(f"_s_{m}", F.lit(0))).cast(arriving.schema[m].dataType).alias(m)
+                                 for m in (*names, ROWS)], STATE_KEY)
+
+
+def finished(states: DataFrame, grain: Sequence[str], measures: Iterable[str], scale: int = 2) -> DataFrame:
+    """X-02: the aggregate that the states stand for, rounded once."""
+    return states.filter(F.col(ROWS) != 0).select(
+        *grain, *[F.round(F.col(m), scale).cast(f"decimal(38,{scale})").alias(m) for m in measures],
+        F.col(ROWS).alias("Row_Count"))

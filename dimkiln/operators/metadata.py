@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkiln.functions.flags import parse_flag
-from dimkiln.functions.text import collapse_ws, key_renames, strip_ws
-from dimkiln.spec import DimensionSpec
+from dimkiln.functions.text import collapse_ws, key_renames, normalised_header, qualified, sk_name, strip_ws
+from dimkiln.spec import IS_CURRENT, IS_DELETED, DimensionSpec
 
 # Metadata sources that are not business data (F-02).
 SYSTEM_SOURCES = ("Source_Imports", "Source_File_Mapping")
@@ -134,6 +134,30 @@ def missing_key_columns(columns: Iterable[str], keys: Iterable[str]) -> list[str
     return [k for k in keys if k not in have]
 
 
+def missing_keys(mapping: DataFrame, headers: DataFrame) -> DataFrame:
+    """O-04 for all sources at once: (Source_Name, Missing): key columns no header of the source gives.
+
+    ``headers`` is (Source_Name, Header). A header gives a key under its own name
+    or, as key headers are renamed (P-04), with underscores for its spaces.
+    """
+    keys = mapping.filter(parse_flag("Is_PK")).select("Source_Name", F.col("Target_Column").alias("Missing")).distinct()
+    names = headers.select("Source_Name", F.explode(F.array("Header", normalised_header("Header"))).alias("Missing"))
+    return keys.join(names, ["Source_Name", "Missing"], "left_anti")
+
+
+def column_order(mapping: DataFrame, order_col: str = "File_Mapping_SK") -> DataFrame:
+    """W-03 for all sources at once: (Source_Name, Columns): live target columns in mapping order."""
+    live = mapping.filter((F.col(IS_DELETED) == 0) & (F.col(IS_CURRENT) == 1) & F.col("Target_Column").isNotNull())
+    listed = F.array_sort(F.collect_list(F.struct(order_col, "Target_Column")))
+    return live.groupBy("Source_Name").agg(F.array_join(F.transform(listed, lambda c: c["Target_Column"]), ",").alias("Columns"))
+
+
+def table_names(sources: DataFrame) -> DataFrame:
+    """P-14, P-15 for all sources at once: staging and dimension names without brackets and the SK column."""
+    return sources.select("Source_Name", qualified("Staging_Table").alias("Staging_Name"),
+                          qualified("DW_Table_Name").alias("Dimension_Name"), sk_name("DW_Table_Name").alias("SK_Column"))
+
+
 def last_mapping_change(mapping: DataFrame, use_updated: bool = False) -> DataFrame:
     """A-01 (``MAX(Inserted)``) or A-02 (``MAX(COALESCE(Updated, Inserted))``, not deleted).
 
@@ -147,19 +171,39 @@ def last_mapping_change(mapping: DataFrame, use_updated: bool = False) -> DataFr
     return mapping.groupBy("Source_Name").agg(F.max(ts).alias("Max_Mapping_Change"))
 
 
+def mapping_fingerprints(mapping: DataFrame) -> DataFrame:
+    """C-01: (Source_Name, Fingerprint): a digest of each source's live mapping rows, in any order.
+
+    The number of rows and the sum of their hashes: a partial aggregate, and a
+    removed row changes it, which no change time of the rows left would show.
+    """
+    live = mapping.filter((F.col(IS_DELETED) == 0) & (F.col(IS_CURRENT) == 1))
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in MAPPING_SPEC.columns]).cast("decimal(38,0)")
+    return live.groupBy("Source_Name").agg(
+        F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(row).cast("string")).alias("Fingerprint"))
+
+
 def changed_sources(candidates: DataFrame, sources: DataFrame, mapping_changes: DataFrame,
-                    last_checked: DataFrame, force_all: bool = False) -> DataFrame:
+                    last_checked: DataFrame, force_all: bool = False,
+                    fingerprints: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """C-01/C-02: which sources need their structures regenerated.
 
     Forced (run flag or the source's ``Force_DDL_Generation``), never checked,
-    or a mapping change newer than the last check. One predicate over joined
-    frames for all sources; every input has one row per source.
+    or a mapping change newer than the last check, or, with ``fingerprints``
+    (now, at the last check), other live mapping rows than at the last check.
+    One predicate over joined frames for all sources; every input has one row
+    per source.
     """
     force = F.lit(force_all) | F.coalesce(parse_flag("Force_DDL_Generation"), F.lit(False))
     j = (candidates.join(sources.select("Source_Name", "Force_DDL_Generation"), "Source_Name", "left")
          .join(mapping_changes, "Source_Name", "left")
          .join(last_checked, "Source_Name", "left"))
     newer = F.coalesce(F.col("Max_Mapping_Change") > F.col("Last_Checked"), F.lit(False))
+    if fingerprints is not None:
+        now, then = fingerprints
+        j = (j.join(now.select("Source_Name", F.col("Fingerprint").alias("_now")), "Source_Name", "left")
+             .join(then.select("Source_Name", F.col("Fingerprint").alias("_then")), "Source_Name", "left"))
+        newer = newer | (F.col("_then").isNotNull() & ~F.col("_now").eqNullSafe(F.col("_then")))
     return j.select("Source_Name", force.alias("Force"), "Last_Checked", "Max_Mapping_Change",
                     (force | F.col("Last_Checked").isNull() | newer).alias("Needs_Generation"))
 
@@ -182,10 +226,20 @@ def read_metadata_workbook(spark, directory: str, pattern: str) -> tuple[DataFra
     imports = read_xlsx(spark, directory, pattern, METADATA_SHEETS[0], list(SOURCE_IMPORTS_COLUMNS))
     mapping = read_xlsx(spark, directory, pattern, METADATA_SHEETS[1], list(MAPPING_COLUMNS))
 
-    def fixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    return _fixed(imports, SOURCE_IMPORTS_COLUMNS), _fixed(mapping, MAPPING_COLUMNS)
+
+
+def read_metadata_csv(spark, directory: str) -> tuple[DataFrame, DataFrame]:
+    """S-03: the two metadata sheets as CSV files, each in the sub-folder of its sheet's name, every
+    cell as text, fixed columns: others are dropped, missing ones NULL."""
+    from dimkiln.sources.files import scan_source
+    imports, mapping = (scan_source(spark, f"{directory.rstrip('/')}/{sheet}", "*.csv", lineage=False)
+                        for sheet in METADATA_SHEETS)
+    return _fixed(imports, SOURCE_IMPORTS_COLUMNS), _fixed(mapping, MAPPING_COLUMNS)
+
 
-    return fixed(imports, SOURCE_IMPORTS_COLUMNS), fixed(mapping, MAPPING_COLUMNS)
+def _fixed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def spec_columns_from(mapping: DataFrame, name: str) -> Mapping[str, str]:

@@ -27,6 +27,7 @@ from dimkiln.plans import pipeline as PL
 from dimkiln.plans import scenarios as S
 from dimkiln.session import table_dir, write_shared
 from dimkiln.sinks import store
+from dimkiln.sinks.buckets import BucketTable
 from dimkiln.sources import bulk_log as BL
 from dimkiln.sources import files as SRC
 from dimkiln.spec import DimensionSpec
@@ -774,14 +775,13 @@ def _customer_imports(spark, *more):
 def q_refresh_metadata_two_runs(spark, sf):
     """R-03, C-01, C-02: a mapping row that becomes a Type 2 attribute regenerates its
     source; an active source without a mapped key is passed over."""
-    from dimkiln.sinks.store import SnapshotTable
     layout = PL.Layout(table_dir(spark))
     c = S.read(spark, sf, "customer").select(
         (F.col("c_custkey") * 2).alias("Customer_SK"), "c_custkey", "c_name", "c_mktsegment",
         S.ts(S.T0).alias("Inserted_Datetime"), S.null_ts().alias("Updated_Datetime"), F.lit(0).alias("Is_Deleted"),
         F.lit("NEW").alias("Row_Change_Reason"))
-    table = SnapshotTable(spark, layout.dimension("Customer"))
-    table.write(c)
+    table = BucketTable(spark, layout.dimension("Customer"))
+    table.write(c, ["c_custkey"])
     runs = []
     for n, (when, type2) in enumerate(((S.T1, False), ("2024-03-01 00:00:00", True)), 1):
         rep = PL.refresh_metadata(spark, layout, when, n, imports=_customer_imports(spark, "Unmapped"),
@@ -857,12 +857,16 @@ def q_snapshot_write_back(spark, sf):
 @query("log_purge", """SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= (
   SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY""")
 def q_log_purge(spark, sf):
-    """X-07: a log kept as snapshots, purged of what is older than 30 days before its last day."""
-    log = S.read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    table = store.SnapshotTable(spark, f"{table_dir(spark)}/log")
-    table.write(log)
-    store.purge_log(table, "o_orderdate", str(log.agg(F.max("o_orderdate")).first()[0]), 30)
-    return table.read()
+    """X-07: a log in month folders, written in two loads and purged of what is older than 30
+    days before its last day: expired months are dropped unread, one month is rewritten."""
+    from dimkiln.sinks.daylog import DayLog
+    orders = S.read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    log = DayLog(spark, f"{table_dir(spark)}/log", "o_orderdate", monthly=True)
+    for part in (F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 2 != 0):
+        log.append(orders.filter(part))
+    log.purge(str(orders.agg(F.max("o_orderdate")).first()[0]), 30)
+    log.compact(1)
+    return log.read()
 
 
 @query("processing_order", Q.with_(Q.SOURCES) + f"""SELECT Source_Name,
@@ -870,7 +874,9 @@ def q_log_purge(spark, sf):
 FROM src WHERE {Q.flag_sql('Is_Active')} AND NOT {Q.flag_sql('Is_Deleted')} AND {Q.PROC_ORDER} >= 1.0""")
 def q_processing_order(spark, sf):
     """O-02: the place of every active source in the run."""
-    # the ordered names are metadata, a list the driver walks through
-    names = [r["Source_Name"] for r in M.active_sources(_sources(spark, sf)).select("Source_Name").collect()]
-    order = spark.createDataFrame(list(enumerate(names, 1)), "place long, Source_Name string")
-    return _sources(spark, sf).select("Source_Name").distinct().join(order, "Source_Name")
+    # numbered where the rows are, without a trip through the driver
+    active = M.active_sources(_sources(spark, sf)).select("Source_Name", "Processing_Order")
+    return K.assign_sk(active, ["Processing_Order", "Source_Name"], "place").select("Source_Name", "place")
+
+
+import dimkiln.plans.catalog_storage  # noqa: E402,F401  (registers the storage queries)

@@ -25,8 +25,10 @@ from dimkiln.operators import typed_load as TL
 from dimkiln.operators.audit import FAILED, RUNNING, SKIPPED, SUCCESS, file_lineage
 from dimkiln.session import write_shared
 from dimkiln.sinks import store
-from dimkiln.sources.files import (FILE_NAME, FILE_PATH, ROW_NUMBER, list_files, path_exists, probe_files,
-                                   resolve_pattern, scan_source, source_defaults)
+from dimkiln.sinks.buckets import BucketTable, merge_result
+from dimkiln.sources.files import (FILE_NAME, FILE_PATH, ROW_NUMBER, damaged_files, file_manifest, format_for,
+                                   list_files, path_exists, resolve_pattern, scan_source, source_defaults,
+                                   unreadable_rejects)
 from dimkiln.spec import INSERTED, DimensionSpec, flag_value
 
 REJECT_COLUMNS = ("Audit_Source_Import_SK", "Source_Name", "File_Name", "Row_Number",
@@ -88,9 +90,10 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
     are de-duplicated on their typed key (under the spec's collation), so
     ``'1'`` and ``'01'`` of a BIGINT key are one key in staging, as the key
     constraint of a staging table demands; the raw text stays in the reject
-    row. The duplicate keys come from an aggregate over key and order columns
-    and are joined to the rows: one scan of the rows and at most one exchange
-    of them, none when the duplicate keys are few enough to broadcast.
+    row. The typed rows are written once to the shared folder; the duplicate
+    keys come from their key and order columns alone and are joined to the
+    rows, with at most one exchange of them, none when the duplicate keys are
+    few enough to broadcast.
     """
     data_cols = [c for c in text_df.columns if not c.startswith("_")]
     df = sanitize_frame(text_df, data_cols)                                   # P-01, P-02
@@ -101,7 +104,8 @@ def load_source(text_df: DataFrame, spec: DimensionSpec, source_name: str, audit
         raise ValueError(f"{source_name}: key columns missing after rename: {missing}")
     raw_cols = [c for c in df.columns if not c.startswith("_")]
     lineage = [c for c in (FILE_NAME, FILE_PATH, ROW_NUMBER) if c in df.columns]
-    checked = TL.check_rows(df, spec)                                          # K-02, P-08
+    # every value is converted once: the key counts and the rows both read what is written here
+    checked = write_shared(TL.check_rows(df, spec), "checked")                 # K-02, P-08
     order = [c for c in order_cols if c in lineage] or [c for c in spec.columns if c not in spec.keys]
     typed = F.col(TL.REASONS).isNull()
     found = D.duplicate_keys(checked, spec.keys, order, spec.collation, valid=typed)   # M-09, A-07
@@ -157,6 +161,16 @@ class Layout:
     def state(self) -> str:
         return f"{self.root}/etl/Source_Import_State"
 
+    @property
+    def runs(self) -> str:
+        """Manifest of the loads whose log rows count (``store.committed``)."""
+        return f"{self.root}/etl/Committed_Loads"
+
+    @property
+    def fingerprints(self) -> str:
+        """Mapping fingerprints of sources at their checks."""
+        return f"{self.root}/etl/Mapping_Fingerprints"
+
     def reject_csv(self, source: str) -> str:
         return f"{self.root}/rejected/{source}_rejected"
 
@@ -208,30 +222,50 @@ def run_source(spark: SparkSession, layout: Layout, source: dict, spec: Dimensio
     pattern = resolve_pattern(spark, folder, pattern)                            # S-01
     if pattern is None:
         return {"rows": 0, "files": 0}
-    bad = probe_files(spark, folder, pattern, source_name=name, sheet=sheet).select(   # R-05
-        F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), "Source_Name", "File_Name",
-        "Row_Number", "Rejected_Reason", F.to_json(F.struct("File_Name")).alias("Raw_Data"))
-    bad = write_shared(bad, "unreadable")
-    bad_names = [r["File_Name"] for r in bad.select("File_Name").collect()]
-    if bad_names:
-        store.append(bad, layout.rejects)
-        if set(bad_names) >= set(list_files(spark, folder, pattern)):
+    attempt = store.new_attempt()
+
+    def reject_files(errors: DataFrame) -> DataFrame:
+        return unreadable_rejects(errors, name).select(
+            F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), "Source_Name", "File_Name",
+            "Row_Number", "Rejected_Reason", F.to_json(F.struct("File_Name")).alias("Raw_Data"))
+
+    manifest = file_manifest(spark, folder, pattern, sheet=sheet)                # R-05
+    errors = manifest.filter(F.col("Error").isNotNull()).select("File_Name", "Error")
+    bad_names = [r["File_Name"] for r in errors.select("File_Name").collect()]
+    while True:
+        bad = reject_files(errors)
+        if bad_names and manifest.filter(~F.col("File_Name").isin(bad_names)).isEmpty():
+            store.append_attempt(bad, layout.rejects, attempt)
             store.write_reject_csv(bad, layout.reject_csv(name), run_ts)
             raise ValueError(f"{name}: none of the {len(bad_names)} files found could be read")
-    text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names)
-    load = load_source(text, spec, name, audit_id, run_ts).stored(layout.load(name))   # K-01
+        fmt = format_for(pattern)
+        # pages that do not match their checksums are damage too, not values
+        passing = ({"ignoreCorruptFiles": True, "parquet.page.verify-checksum.enabled": True}
+                   if fmt in ("parquet", "orc") else {})
+        text = scan_source(spark, folder, pattern, sheet=sheet, columns=headers, exclude=bad_names, options=passing)
+        load = load_source(text, spec, name, audit_id, run_ts).stored(layout.load(name))   # K-01
+        lineage = write_shared(file_lineage(load.marked, audit_id, int(source.get("Source_Import_SK") or 0)), "lineage")
+        if fmt not in ("parquet", "orc"):
+            break
+        # a file damaged inside its data: withdraw all its rows, so load again without it
+        damaged = damaged_files(manifest.filter(~F.col("File_Name").isin(bad_names)), lineage.select(
+            F.col("Original_File_Name").alias("File_Name"), F.col("File_Row_Count").alias("Loaded")), fmt)
+        found = [r["File_Name"] for r in damaged.select("File_Name").collect()]
+        if not found:
+            break
+        errors, bad_names = errors.unionByName(damaged), bad_names + found
     rejects = load.rejects
-    store.append(rejects, layout.rejects)                                        # K-04
+    store.append_attempt(rejects.unionByName(bad), layout.rejects, attempt)     # K-04
     store.write_reject_csv(rejects.unionByName(bad), layout.reject_csv(name), run_ts)   # K-05
-    lineage = write_shared(file_lineage(load.marked, audit_id, int(source.get("Source_Import_SK") or 0)), "lineage")
-    store.append(lineage.withColumn("Source_Name", F.lit(name)), layout.lineage)  # K-08
+    store.append_attempt(lineage.withColumn("Source_Name", F.lit(name)), layout.lineage, attempt)  # K-08
     stats = lineage.agg(F.sum("File_Row_Count").alias("rows"), F.count(F.lit(1)).alias("files")).first()
 
-    table = store.SnapshotTable(spark, layout.dimension(name))
-    counts = _merge_into(spark, table, load.staging.select(*spec.columns), spec, run_ts)   # M-01 / M-02
+    table = BucketTable(spark, layout.dimension(name))
+    counts = merge_dimension(spark, table, load.staging.select(*spec.columns), spec, run_ts)   # M-01 / M-02
     state = spark.createDataFrame([(name, "load", dt.datetime.fromisoformat(run_ts))],
                                   "Source_Name string, Kind string, Checkpoint_Time timestamp_ntz")
     store.append(state, layout.state)                                            # C-03
+    store.commit_attempt(spark, layout.runs, name, audit_id, attempt)
     return {"rows": int(stats["rows"] or 0), "files": int(stats["files"] or 0), **counts}
 
 
@@ -282,6 +316,22 @@ def run_sources(spark: SparkSession, layout: Layout, sources: DataFrame,
     return report
 
 
+def merge_dimension(spark: SparkSession, table: BucketTable, staged: DataFrame, spec: DimensionSpec,
+                    run_ts: str, **kw) -> dict:
+    """Merge ``staged`` into a bucketed dimension (created empty on first use).
+
+    Only buckets with a changed or new row are written; the natural keys of these
+    rows must have at most one active row each (M-08).
+    """
+    from dimkiln.operators.evolve import rebuild_dimension
+    if table.read() is None:
+        empty = staged.limit(0).withColumn(spec.sk, F.lit(None).cast("long"))
+        table.write(rebuild_dimension(empty, spec, run_ts), spec.keys)
+    res = scd.merge(table.read(), staged, spec, run_ts, **kw)
+    return merge_result(table, res, scd.merge_count_columns(),
+                        lambda rows: K.check_active_keys(rows, spec.keys, spec.is_scd2))
+
+
 def _merge_into(spark: SparkSession, table: store.SnapshotTable, staged: DataFrame,
                 spec: DimensionSpec, run_ts: str, **kw) -> dict:
     """Merge ``staged`` into the snapshot table (created empty on first use).
@@ -346,9 +396,17 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
                                         "Checkpoint_Time", "Kind", {"check": "Last_Checked"})
         else:
             checked = spark.createDataFrame([], "Source_Name string, Last_Checked timestamp_ntz")
-        # a role change updates a mapping row in place, so updates count as changes (A-02)
+        prints = M.mapping_fingerprints(mapping_dim)
+        if path_exists(spark, layout.fingerprints):
+            stored = (spark.read.parquet(layout.fingerprints).groupBy("Source_Name")
+                      .agg(F.max_by("Fingerprint", "Checked_At").alias("Fingerprint")))
+        else:
+            stored = spark.createDataFrame([], "Source_Name string, Fingerprint string")
+        # a role change updates a mapping row in place, so updates count as changes (A-02);
+        # a removed row shows in the fingerprint only
         changed = M.changed_sources(M.config_sources(sources), sources,
-                                    M.last_mapping_change(mapping_dim, use_updated=True), checked, force_ddl)
+                                    M.last_mapping_change(mapping_dim, use_updated=True), checked, force_ddl,
+                                    (prints, stored))
         needed = [r["Source_Name"] for r in changed.filter("Needs_Generation").collect()]
         rows_of = specs_rows(mapping_dim, needed)
         regenerate = []
@@ -357,7 +415,7 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
                 continue                                              # C-02: nothing to build from
             regenerate.append(name)
             spec = spec_from_mapping(name, rows_of[name], sk_col=f"{name}_SK")
-            table = store.SnapshotTable(spark, layout.dimension(name))
+            table = BucketTable(spark, layout.dimension(name))
             old = table.read()
             if old is not None:
                 rebuilt, unfit = split_rebuild(old, spec, run_ts)                    # M-06
@@ -365,12 +423,15 @@ def refresh_metadata(spark: SparkSession, layout: Layout, run_ts: str, audit_id:
                     F.lit(audit_id).cast("long").alias("Audit_Source_Import_SK"), F.lit(name).alias("Source_Name"),
                     F.lit(None).cast("string").alias("File_Name"), F.lit(None).cast("long").alias("Row_Number"),
                     "Rejected_Reason", "Raw_Data"), layout.rejects)
-                table.write(rebuilt)
+                table.write(rebuilt, spec.keys,
+                            lambda rows: K.check_active_keys(rows, spec.keys, spec.is_scd2))   # M-08
         if regenerate:
             when = dt.datetime.fromisoformat(run_ts)
             store.append(spark.createDataFrame([(n, "check", when) for n in regenerate],
                                                "Source_Name string, Kind string, "
                                                "Checkpoint_Time timestamp_ntz"), layout.state)  # C-03
+            (prints.filter(F.col("Source_Name").isin(regenerate)).withColumn("Checked_At", stamp).coalesce(1)
+             .write.mode("append").parquet(layout.fingerprints))
         rows = imports_stg.count() + mapping_stg.count()
         store.append(audit_event(spark, audit_id, 0, SUCCESS, start, dt.datetime.now(), rows, 1,
                                  pattern=pattern, counts=counts["Source_File_Mapping"]), layout.audit)

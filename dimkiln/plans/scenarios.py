@@ -330,3 +330,34 @@ LINEITEM_PIPELINE = DimensionSpec(
            "l_suppkey": "BIGINT", "l_quantity": "DECIMAL(12,2)", "l_extendedprice": "DECIMAL(12,2)",
            "l_discount": "DECIMAL(4,2)", "l_tax": "DECIMAL(4,2)", "l_returnflag": "VARCHAR(1)",
            "l_linestatus": "VARCHAR(1)", "l_shipdate": "DATETIME"})
+
+
+# --- files under names of their own ----------------------------------------------------
+
+def put_file(rows: DataFrame, fmt: str, scratch: str, target: str, damage: bool = False) -> None:
+    """``rows`` as one file at ``target``, on the store of the path; with ``damage`` its
+    middle third is overwritten with zeros, so that it opens but does not read to the end.
+
+    Spark writes the file under a name of its own; the store's streams copy it.
+    """
+    spark = rows.sparkSession
+    writer = rows.coalesce(1).write.format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(scratch)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    made, to = jvm.org.apache.hadoop.fs.Path(scratch), jvm.org.apache.hadoop.fs.Path(target)
+    fs = made.getFileSystem(conf)
+    part = next(st for st in fs.listStatus(made) if st.getPath().getName().startswith("part-"))
+    size = part.getLen()
+    source, out = fs.open(part.getPath()), to.getFileSystem(conf).create(to)
+    copy = jvm.org.apache.hadoop.io.IOUtils.copyBytes
+    third = size // 3
+    copy(source, out, third, False)
+    if damage:
+        for _ in range(third):
+            out.write(0)
+        source.skip(third)
+    else:
+        copy(source, out, third, False)
+    copy(source, out, size - 2 * third, False)
+    source.close()
+    out.close()

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or named
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application.
+
+    Python tasks import it by name; Spark's own file distribution takes it to
+    every executor, also to those that join later. Every function that starts
+    Python tasks calls this first.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{os.path.basename(package)}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh place in the shared checkpoint folder and read it back.
 

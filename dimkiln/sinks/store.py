@@ -14,6 +14,7 @@ machine-local folder.
 from __future__ import annotations
 
 import re
+import uuid
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -119,6 +120,36 @@ def append(df: DataFrame, path: str, partition_by: Iterable[str] | None = ("Sour
     w.parquet(path)
 
 
+ATTEMPT = "Attempt"
+
+
+def new_attempt() -> str:
+    """A name for one attempt at a load; it never looks like a number, so it stays text as a partition."""
+    return f"a-{uuid.uuid4().hex}"
+
+
+def append_attempt(df: DataFrame, path: str, attempt: str) -> None:
+    """K-04/K-08: append log rows under one attempt; they count once it is committed."""
+    append(df.withColumn(ATTEMPT, F.lit(attempt)), path, ("Source_Name", ATTEMPT))
+
+
+def commit_attempt(spark: SparkSession, path: str, source: str, run_id: int, attempt: str) -> None:
+    """Name ``attempt`` as the one whose log rows count for this source and run; the last step of a load."""
+    row = spark.createDataFrame([(source, int(run_id), attempt)], f"Source_Name string, Audit_Source_Import_SK long, {ATTEMPT} string")
+    row.withColumn("Committed_At", F.current_timestamp().cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(path)
+
+
+def committed(log: DataFrame, commits: DataFrame) -> DataFrame:
+    """The rows of a log that count: those of the last committed attempt of each source and run.
+
+    A load that failed after it had written log rows leaves them without a commit;
+    repeating it, under the same run or a new one, therefore leaves each row once.
+    """
+    last = (commits.groupBy("Source_Name", "Audit_Source_Import_SK")
+            .agg(F.max_by(ATTEMPT, F.struct("Committed_At", ATTEMPT)).alias(ATTEMPT)))
+    return log.join(last.select("Source_Name", ATTEMPT), ["Source_Name", ATTEMPT], "left_semi").drop(ATTEMPT)
+
+
 def purge_log(table: SnapshotTable, time_col: str, run_ts: str, days: int = 7) -> int:
     """X-07: rewrite a log kept as a snapshot table without its expired rows.
 

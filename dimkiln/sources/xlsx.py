@@ -27,6 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from dimkiln.session import ship_package
+from dimkiln.sources.files import literal, raw_name
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "pr": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -97,8 +100,9 @@ def read_xlsx(spark: SparkSession, directory: str, pattern: str = "*.xlsx", shee
     leave out. Arrow batches are bounded by bytes (``session.tune``), so a task
     holds a few small workbooks or one large one.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
-             .filter(~F.col("_metadata.file_name").isin(list(exclude))).select("path", "content"))
+    ship_package(spark)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(literal(directory))
+             .filter(~raw_name("file_name").isin(list(exclude))).select("path", "content"))
 
     # the headers of each file, parsed on the executors; only distinct names come back
     def headers(batches):

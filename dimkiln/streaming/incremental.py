@@ -11,7 +11,7 @@ other's. The checkpoint location is the caller's, in a folder that outlives
 the session, so a restarted driver resumes where the last batch ended.
 
 ``load_increment`` is the batch form: it reads the stored high-water mark,
-appends the rows above it and stores the new mark.
+appends the rows above it and those at it that are new, and stores the new mark.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,6 +28,7 @@ from dimkiln.sources.files import path_exists
 LOAD_ID = "load_id"
 BATCH_ID = "batch_id"
 MARK = "High_Water_Mark"
+NUMBER = "Load_Number"
 
 
 def load_id_of(checkpoint_location: str) -> str:
@@ -86,28 +87,59 @@ def read_loaded(spark: SparkSession, target_path: str) -> DataFrame:
 
 def stored_mark(spark: SparkSession, state_path: str, name: str) -> str | None:
     """X-03: the highest mark stored for ``name``, None before its first load."""
+    return _state(spark, state_path, name)[0]
+
+
+def _state(spark: SparkSession, state_path: str, name: str) -> tuple[str | None, int]:
+    """(mark, number of the last load of ``name``)."""
     if not path_exists(spark, state_path):
-        return None
-    marks = spark.read.parquet(state_path).filter(F.col("Name") == name)
-    return marks.agg(F.max(MARK).cast("string")).first()[0]
+        return None, 0
+    row = (spark.read.parquet(state_path).filter(F.col("Name") == name)
+           .agg(F.max(MARK).cast("string"), F.max(NUMBER)).first())
+    return row[0], int(row[1] or 0)
+
+
+def _digest(columns: list[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
 def load_increment(spark: SparkSession, fact: DataFrame, ts_col: str, target_path: str, state_path: str,
                    name: str) -> str | None:
-    """X-03: append the rows of ``fact`` above the stored mark, then store the new mark.
+    """X-03: append the rows of ``fact`` that are not loaded yet, then store the new mark.
+
+    Without a stored mark all rows are loaded, those with a NULL time too.
+    Afterwards rows above the mark are loaded, and rows at the mark's own time
+    whose digest is not among those loaded at that time: a row that arrives late
+    with the same time is loaded once. (Rows equal in every column are one row
+    there.) The digests of the rows at the mark are a table beside the state, one
+    row each, joined by digest; they count once the state names their load.
 
-    Without a stored mark all rows are loaded, those with a NULL time too. The
-    load's partition is named after the mark it started from, so a load cut
-    off before its mark was stored is repeated into the same partition.
+    The load's partition is named after the state it started from, so a load
+    cut off before its state was stored is repeated into the same partition.
     Returns the mark now stored.
     """
-    mark = stored_mark(spark, state_path, name)
-    rows = fact if mark is None else fact.filter(F.col(ts_col) > F.lit(mark).cast("timestamp_ntz"))
-    load_id = load_id_of(f"{name}/{mark}")
+    mark, number = _state(spark, state_path, name)
+    boundary_path = f"{state_path.rstrip('/')}_boundary"
+    columns = fact.columns
+    rows = fact
+    if mark is not None:
+        at = F.lit(mark).cast("timestamp_ntz")
+        seen = spark.read.parquet(boundary_path).filter(
+            (F.col("Name") == name) & (F.col(MARK) == at) & (F.col(NUMBER) <= number)).select("Digest").distinct()
+        late = (fact.filter(F.col(ts_col) == at).withColumn("Digest", _digest(columns))
+                .join(seen, "Digest", "left_anti").select(*columns))
+        rows = fact.filter(F.col(ts_col) > at).unionByName(late)
+    load_id = load_id_of(f"{name}/{number}/{mark}")
     (rows.withColumn(LOAD_ID, F.lit(load_id)).withColumn(BATCH_ID, F.lit(0).cast("long")).write
      .partitionBy(LOAD_ID, BATCH_ID).mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .parquet(target_path))
     loaded = spark.read.parquet(target_path).filter(F.col(LOAD_ID) == load_id)
-    state = loaded.agg(F.max(ts_col).cast("timestamp_ntz").alias(MARK)).filter(F.col(MARK).isNotNull())
-    state.select(F.lit(name).alias("Name"), MARK).coalesce(1).write.mode("append").parquet(state_path)
+    top = loaded.agg(F.max(ts_col).cast("timestamp_ntz")).first()[0]
+    if top is None:  # nothing new, or nothing with a time
+        return mark
+    here = F.lit(top).cast("timestamp_ntz")
+    tags = [F.lit(name).alias("Name"), here.alias(MARK), F.lit(number + 1).cast("long").alias(NUMBER)]
+    (loaded.filter(F.col(ts_col) == here).select(*tags, _digest(columns).alias("Digest")).distinct()
+     .write.mode("append").parquet(boundary_path))
+    spark.range(1).select(*tags).coalesce(1).write.mode("append").parquet(state_path)
     return stored_mark(spark, state_path, name)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimkiln.operators import dedup as D
 from dimkiln.plans import pipeline as PL
 from dimkiln.sinks import store
+from dimkiln.sinks.buckets import BucketTable
 from dimkiln.sources import bulk_log, files
 from dimkiln.spec import DimensionSpec, spec_from_mapping
 from tests.conftest import SF_SMALL
@@ -88,7 +89,7 @@ def test_run_sources_end_to_end(spark, scratch):
     c = rep.counts["Places"]
     assert (c["Inserted_Count"], c["files"], c["rows"]) == (3, 2, 5)
 
-    dim = store.SnapshotTable(spark, layout.dimension("Places")).read()
+    dim = BucketTable(spark, layout.dimension("Places")).read()
     got = {r["Place_Code"]: r["Place_Name"] for r in dim.collect()}
     assert got == {"P1": "Alpha", "P2": "Beta two", "P3": "Gamma"}     # sanitized, first kept
     rej = spark.read.parquet(layout.rejects).collect()
@@ -103,14 +104,14 @@ def test_run_sources_end_to_end(spark, scratch):
     csv = spark.read.option("header", True).csv(layout.reject_csv("Places"))
     assert csv.columns == ["Inserted_Datetime", "Rejected_Reason", "Raw_Data"] and csv.count() == 3
 
-    # second run with the same files: nothing changes (idempotent), a new snapshot is written
+    # second run with the same files: nothing changes (idempotent), no bucket is written
     rep2 = PL.run_sources(spark, layout, _sources(spark), {"Places": spec}, RUN2,
                           f"{scratch}/data", audit_id=8, requested=["Places"])
     c2 = rep2.counts["Places"]
     assert rep2.status == "Success"
     assert sum(c2[k] for k in ("Inserted_Count", "Updated_Count", "Deleted_Count",
                                "Reactivated_Count", "Expired_Count")) == 0
-    assert store.SnapshotTable(spark, layout.dimension("Places")).current_path().endswith("v000002")
+    assert BucketTable(spark, layout.dimension("Places")).version() == 2
     assert PL.next_audit_id(spark, layout) == 9
 
 
@@ -141,12 +142,12 @@ def test_refresh_metadata_from_workbook(spark, scratch):
                                 "Places_SK long, Place_Code string, Place_Name string, "
                                 "Inserted_Datetime timestamp_ntz, Updated_Datetime timestamp_ntz, "
                                 "Is_Deleted int, Row_Change_Reason string")
-    store.SnapshotTable(spark, layout.dimension("Places")).write(old)
+    BucketTable(spark, layout.dimension("Places")).write(old, ["Place_Code"])
 
     rep = PL.refresh_metadata(spark, layout, RUN1, 5, workbook_dir=cfg, pattern="etl_config.xlsx")
     assert rep.status == "Success" and rep.sources == ["Places"]
     assert rep.counts["Source_File_Mapping"]["Inserted_Count"] == 3
-    rebuilt = store.SnapshotTable(spark, layout.dimension("Places")).read()
+    rebuilt = BucketTable(spark, layout.dimension("Places")).read()
     assert "Zone_Code" in rebuilt.columns and rebuilt.first()["Places_SK"] == 5
     mdim = store.SnapshotTable(spark, f"{layout.root}/etl/Dim_Source_Imports_Mapping").read()
     assert "Extra_Column" not in mdim.columns
@@ -246,7 +247,7 @@ def test_xlsx_source_through_pipeline(spark, scratch):
     layout = PL.Layout(f"{scratch}/wh")
     rep = PL.run_sources(spark, layout, src, {"Places": spec}, RUN1, f"{scratch}/data", audit_id=3)
     assert rep.status == "Success"
-    dim = store.SnapshotTable(spark, layout.dimension("Places")).read()
+    dim = BucketTable(spark, layout.dimension("Places")).read()
     assert {r["Place_Code"]: r["Place_Name"] for r in dim.collect()} == {
         "P1": "Alpha", "7": "Seven", "P2": "Beta two"}
     rej = spark.read.parquet(layout.rejects).select("File_Name", "Row_Number").collect()
@@ -294,7 +295,7 @@ def test_keys_equal_after_typing_or_under_a_collation_are_one(spark, scratch):
         for run in (1, 2):
             layout, rep = _run_places(spark, f"{scratch}/{name}", audit_id=run, spec=spec)
             assert rep.status == "Success", rep.error
-            dim = store.SnapshotTable(spark, layout.dimension("Places")).read()
+            dim = BucketTable(spark, layout.dimension("Places")).read()
             assert [r["Place_Name"] for r in dim.collect()] == ["first"]
         reasons = {r["Rejected_Reason"] for r in spark.read.parquet(layout.rejects).collect()}
         assert reasons == {f"DUPLICATE_RECORD: PK Place_Code={k}" for k in keys}     # the raw text stays

@@ -292,7 +292,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, lang_col:
                  text_col: str = "text", hash_bits: int = HASH_BITS, map_bits: int = MAP_BITS) -> DataFrame:
     """The best phrases of each language: (lang, rank, phrase, a, l, r, n, score)."""
     counts = phrase_counts(docs, least, lang_col, text_col, hash_bits, map_bits)
-    totals = counts.filter(F.size("words") == 0).select("lang", F.col("f").alias("n"))
+    # one row a language, written so that its measured size lets it be broadcast: no task gets a whole language
+    totals = materialise(counts.filter(F.size("words") == 0).select("lang", F.col("f").alias("n")), "phrase-totals")
     part = counts.filter(F.size("words") > 0).select("lang", _phrase("words").alias("part"), F.col("f").alias("f"))
     candidates = counts.filter(F.size("words") > 1).select(
         "lang", _phrase("words").alias("phrase"), "words", F.col("f").alias("a"))

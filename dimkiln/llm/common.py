@@ -7,15 +7,12 @@ written to a machine-local folder on a cluster.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkiln.session import checkpoint_dir, write_shared
+from dimkiln.session import checkpoint_dir, ship_package, write_shared
 
 # Arrow batches handed to Python tasks are cut by bytes as well as by rows, so
 # a batch of very long texts stays within a task's memory.
@@ -29,38 +26,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def python_tasks(spark: SparkSession) -> None:
     """Prepare a session for Python tasks: the package on every executor, and
-    Arrow batches bounded by bytes unless the session has a tighter bound."""
+    Arrow batches bounded by bytes unless the session has a tighter bound. The bound
+    stays set, since frames are computed long after they are described."""
     ship_package(spark)
     now = spark.conf.get(_ARROW_BYTES, None)
     if now is None or not now.isdigit() or int(now) > _ARROW_BATCH_BYTES:
         spark.conf.set(_ARROW_BYTES, str(_ARROW_BATCH_BYTES))
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package's sources to the executors, once per application.
-
-    Python tasks import it by name; Spark's own file distribution takes it to
-    every executor, also to those that join later.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    package = os.path.basename(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package}-{uuid.uuid4().hex[:8]}.zip")
-    with zipfile.ZipFile(path, "w") as out:
-        for folder, _, names in os.walk(os.path.join(root, package)):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    out.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

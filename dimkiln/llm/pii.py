@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction (native).
 
 Strict forms (e-mail, IP address, card number, phone number) always count and are
-the seeds. The words next to seeds are lexical patterns: (kind, side, word). A
+the seeds. The words next to seeds, and the labels glued to their front (``tel:``,
+``mail=<``), are lexical patterns: (kind, side, word). A
 pattern's instances are the seeds and the loosely formed identifiers of its kind
 that stand next to its word anywhere in the corpus; pattern and instance tables
 form a graph whose edges carry occurrence counts. Scores and confidences are the
@@ -56,6 +57,8 @@ LOOSE = {
 }
 # a text without this cannot match either form of the kind
 HINT = {"email": r"@|\[at\]|\(at\)", "ip": r"[0-9][.:-][0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"[0-9]"}
+# letters and digits, then marks, at the start of a word
+LABEL = r"[A-Za-z0-9]*+[:=<>\"'|/;#\[{]++"
 CONTEXT = 64
 MIN_SUPPORT = 3
 HIGH = 0.8
@@ -121,15 +124,16 @@ def _found(text: Column, kind: str, regex: str, check) -> Column:
     return F.when(text.rlike(HINT[kind]), matches).otherwise(F.array().cast(SPAN))
 
 
-def _neighbours(text: Column, m: Column) -> tuple[Column, Column]:
-    """The words before and after a span, lower-cased, whole and beyond any white space.
+def _neighbours(text: Column, m: Column) -> tuple[Column, Column, Column]:
+    """The words before and after a span, lower-cased, whole and beyond any white space,
+    and the label glued to its front.
 
-    Empty at the text's ends and where no white space stands between: what is
-    glued to a span is no word, and its occurrences are not counted as one. Words
-    are looked for within ``CONTEXT`` characters first; where that window may cut
-    one, the whole text on that side is used.
+    Empty at the text's ends; a word is empty where no white space stands between.
+    They are looked for within ``CONTEXT`` characters first; where that window may
+    cut one, the whole text on that side is used.
     """
     before, after = r"(\S++)\s++$", r"^\s++(\S++)"
+    label = r"(?:^|(?<=\s))(" + LABEL + r")$"
     left = text.substr(F.greatest(m["start"] - CONTEXT + 1, F.lit(1)), F.least(m["start"], F.lit(CONTEXT)))
     right = text.substr(m["end"] + 1, F.lit(CONTEXT))
     cut_left = (m["start"] > CONTEXT) & left.rlike(r"^\S*+\s++$")
@@ -137,7 +141,10 @@ def _neighbours(text: Column, m: Column) -> tuple[Column, Column]:
     return (F.lower(F.when(cut_left, F.regexp_extract(text.substr(F.lit(1), m["start"]), before, 1))
                     .otherwise(F.regexp_extract(left, before, 1))),
             F.lower(F.when(cut_right, F.regexp_extract(text.substr(m["end"] + 1, F.length(text)), after, 1))
-                    .otherwise(F.regexp_extract(right, after, 1))))
+                    .otherwise(F.regexp_extract(right, after, 1))),
+            F.lower(F.when((m["start"] > CONTEXT) & left.rlike(r"^\S++$"),
+                           F.regexp_extract(text.substr(F.lit(1), m["start"]), label, 1))
+                    .otherwise(F.when(m["start"] > 0, F.regexp_extract(left, label, 1)).otherwise(""))))
 
 
 def _overlaps(a: Column, b: Column) -> Column:
@@ -156,7 +163,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return F.transform(found, lambda m: F.struct(
             F.lit(kind).alias("kind"), F.lit(seed).alias("seed"), m["start"].alias("start"), m["end"].alias("end"),
             F.lower(m["value"]).alias("value"), _neighbours(text, m)[0].alias("before"),
-            _neighbours(text, m)[1].alias("after")))
+            _neighbours(text, m)[1].alias("after"), _neighbours(text, m)[2].alias("label")))
 
     seen = []
     for kind in KINDS:
@@ -172,22 +179,29 @@ def edges(scanned: DataFrame) -> DataFrame:
     """(kind, side, word, value, seed, n): how often an instance stands next to a word."""
     seen = scanned.select(F.inline("seen"))
     sides = F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("word")),
-                    F.struct(F.lit("after").alias("side"), F.col("after").alias("word")))
+                    F.struct(F.lit("after").alias("side"), F.col("after").alias("word")),
+                    F.struct(F.lit("label").alias("side"), F.col("label").alias("word")))
     return (seen.select("kind", "value", "seed", F.inline(sides)).filter(F.col("word") != "")
             .groupBy("kind", "side", "word", "value").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("n")))
 
 
 def word_totals(docs: DataFrame, words: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, total): occurrences over all texts of the words of ``words``.
+    """(glued, word, total): occurrences over all texts of the (glued, word) rows of ``words``.
 
-    Few and short words are broadcast and filter the corpus's words before they
-    are counted; otherwise they are joined to the counts.
+    A label occurs in front of the rest of each word that starts with it. Few and
+    short words are broadcast and filter the corpus's words before they are counted;
+    otherwise they are joined to the counts.
     """
     tokens = docs.select(F.explode(F.split(F.lower(text_of(text_col)), r"\s+")).alias("word"))
-    n, longest = words.agg(F.count(F.lit(1)), F.max(F.length("word"))).first()
+    tokens = tokens.select(F.lit(False).alias("glued"), "word")
+    n, longest, labels = words.agg(F.count(F.lit(1)), F.max(F.length("word")), F.count_if("glued")).first()
+    if labels:
+        label = F.regexp_extract("word", "^(" + LABEL + r")(?=\S)", 1).alias("word")
+        tokens = tokens.union(tokens.select(F.lit(True), label).filter("word <> ''"))
+    pair = ["glued", "word"]
     if n <= BROADCAST_WORDS and (longest or 0) <= BROADCAST_LENGTH:
-        return tokens.join(F.broadcast(words), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("total"))
-    return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("total")).join(words, "word", "left_semi")
+        return tokens.join(F.broadcast(words), pair, "left_semi").groupBy(*pair).agg(F.count(F.lit(1)).alias("total"))
+    return tokens.groupBy(*pair).agg(F.count(F.lit(1)).alias("total")).join(words, pair, "left_semi")
 
 
 def confident_patterns(docs: DataFrame, scanned: DataFrame, text_col: str = "text",
@@ -203,9 +217,10 @@ def confident_patterns(docs: DataFrame, scanned: DataFrame, text_col: str = "tex
     able = materialise(graph.groupBy(*pattern).agg(
         F.count(F.when(F.col("seed"), 1)).alias("seeds"), F.sum("n").alias("n_all"))
         .filter(F.col("seeds") >= min_support), "pii-patterns")
-    totals = word_totals(docs, materialise(able.select("word").distinct(), "pii-words"), text_col)
+    able = able.withColumn("glued", F.col("side") == "label")
+    totals = word_totals(docs, materialise(able.select("glued", "word").distinct(), "pii-words"), text_col)
     confidence = materialise(
-        able.join(totals, "word", "left")
+        able.join(totals, ["glued", "word"], "left")
         .select(*pattern, "n_all", F.greatest(F.coalesce("total", F.lit(0)), "n_all").alias("total"),
                 F.lit(0.0).alias("confidence")), "pii-able")
     top = F.col("n_all") / F.col("total")
@@ -244,7 +259,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     patterns = confident_patterns(docs, scanned, text_col).select("kind", "side", "word")
     loose = scanned.select("row", F.inline("seen")).filter(~F.col("seed"))
     hits = None
-    for side in ("before", "after"):
+    for side in ("before", "after", "label"):
         own = patterns.filter(F.col("side") == side).select("kind", F.col("word").alias(side))
         part = loose.join(own, ["kind", side], "left_semi").select("row", "kind", "start", "end")
         hits = part if hits is None else hits.union(part)

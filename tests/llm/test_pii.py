@@ -144,3 +144,13 @@ def test_neighbour_words_are_whole_however_long_or_far(spark):
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     found = {r.id: [tuple(f) for f in r.found] for r in pii.personal_data(df).collect()}
     assert found[5] == [] and found[rows.index(f"hotline{gap}476 555 8888")] == [("phone", 77, 89)]
+
+
+def test_labels_glued_to_identifiers_are_patterns(spark):
+    rows = [f"call Tel:+1 476 555 {1000 + i} now" for i in range(10)] + ["call tel:476 555 9999 now"]
+    rows += [f"see ref:+1 476 555 {3000 + i}" for i in range(4)] + [f"see ref:x{i}" for i in range(40)] + ["see ref:476 555 8888"]
+    rows += ["x" * 90 + ":476 555 1212"] + ["x" * 90 + f":+1 476 555 {4000 + i}" for i in range(5)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {rows[r.id]: [tuple(f) for f in r.found] for r in pii.personal_data(df).collect() if r.found}
+    assert found == {"call tel:476 555 9999 now": [("phone", 9, 21)],
+                     "x" * 90 + ":476 555 1212": [("phone", 91, 103)]}

@@ -15,8 +15,8 @@ task. The mean state, two numbers per weight, is all that passes through the
 driver.
 
 Scoring reads every whole text, with the texts of an Arrow batch as one byte
-array. Memory is bounded: texts are taken in groups of about a megabyte, a longer
-text in parts cut at white space (n-grams do not span parts).
+array. Texts are taken in groups of about a megabyte, a longer text in parts of
+that size and one word, which repeat two words so that no n-gram is lost.
 
 Defined cases: a null text counts as empty and scores the bias; labels with a
 null id or null quality are not learned from, and of repeated labels of one id
@@ -155,35 +155,51 @@ def _texts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), bounds
 
 
-def _parts(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(number of the first text, bytes, bounds) of groups of at most CHUNK bytes."""
+def _parts(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(number of the first text, bytes, bounds, words repeated) of groups of about CHUNK bytes.
+
+    A longer text comes in parts that are cut between words; each part but the first
+    begins with the last two words of the one before, so that every word is seen
+    beside its neighbours.
+    """
     at, n = 0, len(bounds) - 1
     while at < n:
         last = max(int(np.searchsorted(bounds, bounds[at] + CHUNK, side="right")) - 1, at)
         if last > at:
-            yield at, data[bounds[at]:bounds[last]], bounds[at:last + 1] - bounds[at]
+            yield at, data[bounds[at]:bounds[last]], bounds[at:last + 1] - bounds[at], 0
             at = last
             continue
-        low, high = int(bounds[at]), int(bounds[at + 1])
-        while low < high:
-            cut = min(low + CHUNK, high)
-            if cut < high:
-                spaces = np.flatnonzero(_KIND[data[low:cut]] == _SPACE)
-                cut = low + int(spaces[-1]) + 1 if len(spaces) else cut
-            yield at, data[low:cut], np.array([0, cut - low])
-            low = cut
+        text = data[bounds[at]:bounds[at + 1]]
+        kind = _KIND[text]
+        starts = np.flatnonzero(np.concatenate(([True], kind[1:] != kind[:-1])) & (kind != _SPACE))
+        word = 0
+        while word < len(starts):
+            after = max(int(np.searchsorted(starts, starts[word] + CHUNK)), word + 1)
+            again = min(2, word)
+            end = int(starts[after]) if after < len(starts) else len(text)
+            low = int(starts[word - again])
+            yield at, text[low:end], np.array([0, end - low]), again
+            word = after
         at += 1
 
 
+def _ngrams_of(part: np.ndarray, inner: np.ndarray, again: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``ngrams`` without those that lie within the ``again`` repeated words."""
+    found = ngrams(part, inner)
+    if not again:
+        return found
+    return [(text[again - of:], index[again - of:]) for (text, index), of in zip(found, (0, 1, 0, 1))]
+
+
 def scores(array: pa.Array, weights: np.ndarray) -> np.ndarray:
     """The score of every text: the logistic function of the sparse dot product."""
     data, bounds = _texts(array)
     n = len(bounds) - 1
     total = np.zeros((len(SCALES), n))
     count = np.zeros((len(SCALES), n))
-    for first, part, inner in _parts(data, bounds):
+    for first, part, inner, again in _parts(data, bounds):
         k = len(inner) - 1
-        for f, (text, index) in enumerate(ngrams(part, inner)):
+        for f, (text, index) in enumerate(_ngrams_of(part, inner, again)):
             total[f, first:first + k] += np.bincount(text, weights=weights[index], minlength=k)
             count[f, first:first + k] += np.bincount(text, minlength=k)
     logit = weights[-1] + sum(s * t / np.maximum(c, 1) for s, t, c in zip(SCALES, total, count))
@@ -195,8 +211,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     data, bounds = _texts(pa.array([text], pa.string()))
     seen = np.zeros(len(SCALES))
     found: list[list[np.ndarray]] = [[] for _ in SCALES]
-    for _, part, inner in _parts(data, bounds):
-        for f, (_, index) in enumerate(ngrams(part, inner)):
+    for _, part, inner, again in _parts(data, bounds):
+        for f, (_, index) in enumerate(_ngrams_of(part, inner, again)):
             found[f].append(index)
             seen[f] += len(index)
     indices, values = [], []

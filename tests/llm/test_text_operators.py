@@ -56,13 +56,21 @@ def test_score_does_not_depend_on_batches_and_takes_any_text():
 
 def test_long_texts_are_read_whole_in_parts(monkeypatch):
     weights = np.random.default_rng(2).normal(size=(1 << quality.WEIGHT_BITS) + 1)
-    text = " ".join(f"word{i % 50}" for i in range(3000))
-    whole = quality.scores(pa.array([text]), weights)[0]
-    monkeypatch.setattr(quality, "CHUNK", 1000)
-    parts = quality.scores(pa.array(["first", text, "y" * 5000, "last"]), weights)
-    # only the bigrams at the cuts differ
-    assert abs(parts[1] - whole) < 0.05
-    assert np.isclose(parts[0], quality.scores(pa.array(["first"]), weights)[0])
+    texts = [" ".join(f"word{i % 50}" for i in range(3000)), "a a  a a... a" * 900, "y" * 5000, " " * 4000, "z!" * 3000, "first"]
+    whole = [quality.scores(pa.array([t]), weights)[0] for t in texts]
+    index = [quality.features(t) for t in texts]
+    for chunk in (1, 7, 1000):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        short = texts if chunk > 100 else [t[:300] for t in texts]
+        if chunk > 100:
+            assert np.allclose(quality.scores(pa.array(texts), weights), whole)
+            for t, (i, v) in zip(texts, index):
+                j, w = quality.features(t)
+                assert (i == j).all() and np.allclose(v, w)
+        else:
+            cut = quality.scores(pa.array(short), weights)
+            monkeypatch.setattr(quality, "CHUNK", 1 << 20)
+            assert np.allclose(cut, quality.scores(pa.array(short), weights))
 
 
 def test_training_on_awkward_labels(spark):

@@ -79,13 +79,16 @@ def draw_count(rate: Column, rest: Column, key: Column, seed: int = SEED) -> Col
     """A Poisson draw of mean ``rate``; ``rest`` is the table of ``rate % BLOCK``."""
     full = F.array(*[F.lit(x) for x in _table(BLOCK)])
     whole = F.floor(rate / BLOCK).cast("int")
+    # the uniforms are made before they are compared: inside a comparison with the table, its
+    # lambda would hash the key again for every entry
+    uniforms = F.transform(F.sequence(F.lit(0), whole), lambda block: uniform(
+        F.concat_ws("|", F.lit(seed).cast("string"), block.cast("string"), key)))
+    draws = F.transform(uniforms, lambda u, block: F.when(block < whole, _below(full, u)).otherwise(_below(rest, u)))
+    return F.aggregate(draws, F.lit(0), lambda total, n: total + n)
 
-    def one(block: Column) -> Column:
-        u = uniform(F.concat_ws("|", F.lit(seed).cast("string"), block.cast("string"), key))
-        rest_draw = F.size(F.filter(rest, lambda c: c <= u))
-        return F.when(block < whole, F.size(F.filter(full, lambda c: c <= u))).otherwise(rest_draw)
 
-    return F.aggregate(F.sequence(F.lit(0), whole), F.lit(0), lambda s, b: s + one(b))
+def _below(table: Column, u: Column) -> Column:
+    return F.size(F.filter(table, lambda c: c <= u))
 
 
 def _table(mean: float) -> list[float]:
@@ -118,8 +121,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, target_chars:
     drawn = (docs.join(table, docs[source_col].eqNullSafe(table[src]))
              .withColumn(ident, name)
              .withColumn(copies, draw_count(F.col(rate), F.col(rest), F.col(ident), seed))
-             .filter(F.col(copies) > 0)
-             .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+             # a filter on the count would be pushed below it and draw a second time, with the text's
+             # digest; none is inferred from an outer generator, whose null row goes afterwards
+             .withColumn(copy, F.explode_outer(F.when(F.col(copies) > 0, F.sequence(F.lit(1), F.col(copies)))))
+             .filter(F.col(copy).isNotNull())
              .withColumn(key, F.md5(F.concat_ws("|", F.lit(f"shuffle{seed}"), F.col(ident), F.col(copy).cast("string"))
                                     .cast("binary"))))
     return (drawn.drop(src, rest, ident).repartition(F.col(key)).sortWithinPartitions(key))

@@ -180,6 +180,13 @@ def test_draws_follow_the_poisson_distribution(spark):
     assert np.allclose(table, mixing._table(2.5)) and abs(table[-1] - 1) < 1e-12
 
 
+def test_mix_hashes_text_and_uniforms_once(spark):
+    docs = spark.createDataFrame([(1, "a", "x")], "doc_id long, source string, text string")
+    plan = mixing.mix(docs)._jdf.queryExecution().optimizedPlan().toString()
+    # the text's digest; a uniform per block and the shuffle key, none of them in a filter or per entry of a table
+    assert (plan.count("sha1("), plan.count("md5(")) == (1, 2)
+
+
 def test_mix_of_awkward_rows(spark):
     rows = [(1, None, "a"), (2, "", "a"), (None, "text", None), (3, "text", None), (3, "text", None), (4, "more", "b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -68,10 +68,9 @@ def convert(text: Column, dt: DeclaredType) -> Column:
     """
     if dt.spark_type == "string":
         return text
-    blank_to_null = F.when(F.trim(text) == "", F.lit(None)).otherwise(text)
+    value = F.trim(text)   # no cast to another type reads an empty text
     if dt.is_bit:
-        return F.trim(blank_to_null).try_cast("boolean").cast("int")
-    value = F.trim(blank_to_null)
+        return value.try_cast("boolean").cast("int")
     if dt.spark_type in ("date", "timestamp_ntz"):
         value = F.when(~value.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$"), value)
     return value.try_cast(dt.spark_type)
@@ -83,4 +82,4 @@ def conversion_error(text: Column, value: Column, dt: DeclaredType) -> Column:
         if dt.max_length is None:
             return F.lit(False)
         return F.coalesce(F.length(text) > F.lit(dt.max_length), F.lit(False))
-    return text.isNotNull() & (F.trim(text) != "") & value.isNull()
+    return value.isNull() & text.isNotNull() & (F.trim(text) != "")

@@ -57,7 +57,7 @@ def check_rows(text_df: DataFrame, spec: DimensionSpec) -> DataFrame:
         *extra, *[F.col(c).alias(f"_raw_{c}") for c in spec.columns])
     reasons = F.concat_ws("; ", *_messages(spec))
     return typed.select(
-        *spec.columns, *extra, F.when(reasons == "", F.lit(None)).otherwise(reasons).alias(REASONS),
+        *spec.columns, *extra, F.nullif(reasons, F.lit("")).alias(REASONS),
         *[f"_raw_{c}" for c in spec.columns])
 
 

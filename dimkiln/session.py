@@ -25,6 +25,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # parquet files keep naive timestamps naive
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # HotSpot never compiles a method above 8000 bytes of code: a stage whose generated loop is
+    # larger (a typed load of a dozen columns) runs operator by operator, in methods it does compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

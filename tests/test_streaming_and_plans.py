@@ -1,5 +1,6 @@
 """Incremental file stream (X-03) and the physical plans the operators produce."""
 
+import re
 import os
 import shutil
 
@@ -90,3 +91,17 @@ def test_stored_mark_makes_a_repeated_load_a_no_op(spark, scratch):
     for rows, n in ((df.filter("k = 1"), 1), (df, 2), (df, 2)):
         load_increment(spark, rows, "t", f"{scratch}/fact", f"{scratch}/state", "f")
         assert read_loaded(spark, f"{scratch}/fact").count() == n
+
+
+def test_line_load_leaves_no_method_that_is_never_compiled(spark):
+    """HotSpot interprets methods above 8000 bytes of code: such a stage must be above the session's limit."""
+    from dimkiln.operators import typed_load
+    from dimkiln.plans import scenarios
+    from dimkiln.session import tune
+    from dimkiln.sources.files import scan_source
+    text = scan_source(tune(spark), "/root/testdata/sf0.001", "lineitem.parquet")
+    checked = typed_load.check_rows(text, scenarios.LINEITEM_PIPELINE)
+    stages = str(checked._jdf.queryExecution().debug().codegenToSeq())
+    sizes = [int(n) for n in re.findall(r"ByteCodeStats\((\d+),", stages)]
+    limit = int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    assert sizes and not [n for n in sizes if 8000 < n <= limit]

@@ -1,7 +1,7 @@
 """Incremental file stream (X-03) and the physical plans the operators produce."""
 
-import re
 import os
+import re
 import shutil
 
 from dimkiln.plans import catalog as C
